@@ -58,10 +58,19 @@ def range_segments(df: DataFrame, keys: Sequence[Column], n: int | None = None,
     tag each row with its segment number.
 
     Segments follow the sort order (segment i holds keys <= those of
-    segment i+1) and rows with equal keys share a segment, so a hot key
-    or a whole-table order is split over many tasks of similar size. The
-    partitioner's bounds are fixed when the exchange is planned, so a
-    retried task lands rows in the same segment.
+    segment i+1) and rows with equal keys share a segment, so a whole-table
+    order or a hot group is split over many tasks of similar size.
+
+    The range bounds come from a sample whose seed depends on the RDD id,
+    so two evaluations of the same plan can cut different segments. The
+    callers read the segmented rows more than once (local pass plus
+    per-segment totals), so the result is written once with a reliable
+    ``checkpoint()`` into the session's shared checkpoint folder: every
+    later read, and every retried task, sees the same segments.
     """
+    from lakeloom.session import checkpoint_dir
+
     n = n or default_partitions(df)
-    return df.repartitionByRange(n, *keys).withColumn(seg_col, F.spark_partition_id())
+    checkpoint_dir(df.sparkSession)
+    seg = df.repartitionByRange(n, *keys).withColumn(seg_col, F.spark_partition_id())
+    return seg.checkpoint(eager=True)

@@ -21,7 +21,7 @@ def to_date(c, fmt: str | None = None, strict: bool = False) -> Column:
     c = as_col(c)
     if strict:
         return F.to_date(c, fmt) if fmt else F.to_date(c)
-    return F.try_to_date(c, F.lit(fmt)) if fmt else F.try_to_date(c)
+    return F.try_to_date(c, fmt) if fmt else F.try_to_date(c)
 
 
 def to_timestamp(c, fmt: str | None = None, strict: bool = False) -> Column:

@@ -87,6 +87,10 @@ def _interleave(bucket_cols: Sequence[str], bits: int) -> F.Column:
     return key
 
 
+def _at_most(value: F.Column):
+    return lambda x: x <= value
+
+
 def zorder(df: DataFrame, cols: Sequence[str], bits: int = 8, files: int | None = None,
            rel_error: float = 0.001) -> DataFrame:
     """Cluster rows on several columns at once (``OPTIMIZE ... ZORDER BY``).
@@ -107,7 +111,7 @@ def zorder(df: DataFrame, cols: Sequence[str], bits: int = 8, files: int | None
         name = f"_zb_{c}"
         # bucket = number of edges <= value, via a sorted literal array
         arr = F.array(*[F.lit(float(x)) for x in sorted(set(e))])
-        out = out.withColumn(name, F.size(F.filter(arr, lambda x, c=c: x <= F.col(c).cast("double"))))
+        out = out.withColumn(name, F.size(F.filter(arr, _at_most(F.col(c).cast("double")))))
         names.append(name)
     out = out.withColumn("_zkey", _interleave(names, bits))
     n = files or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))

@@ -30,6 +30,10 @@ def exact_percentiles(df: DataFrame, value_col: str, probs: Sequence[float],
     ignored; a group of only NULLs is absent)."""
     group_cols = list(group_cols)
     names = list(names) if names else [_label(p) for p in probs]
+    if not group_cols:
+        # one global group: a constant key keeps every step an equi join
+        out = exact_percentiles(df.withColumn("_all", F.lit(0)), value_col, probs, ["_all"], names, segments)
+        return out.drop("_all")
     v = F.col(value_col).cast("double")
     data = df.select(*group_cols, v.alias("_v")).where(F.col("_v").isNotNull())
     seg = range_segments(data, [F.col(c) for c in group_cols] + [F.col("_v")], segments)

@@ -24,15 +24,19 @@ def round_half_even(c, scale: int = 0) -> Column:
 
 
 def py_mod(a, b) -> Column:
-    """Python ``%``: result takes the sign of the divisor."""
-    return F.pmod(as_col(a), lit_or_col(b) if not isinstance(b, str) else F.col(b))
+    """Python ``%``: the result takes the sign of the divisor (SQL ``%``
+    follows the dividend, ``pmod`` is non-negative)."""
+    a = as_col(a)
+    b = lit_or_col(b) if not isinstance(b, str) else F.col(b)
+    r = a % b
+    return F.when((r != 0) & ((r < 0) != (b < 0)), r + b).otherwise(r)
 
 
 def floor_div(a, b) -> Column:
     """Python ``//`` on integers, exact for the full long range."""
     a = as_col(a)
     b = lit_or_col(b) if not isinstance(b, str) else F.col(b)
-    return ((a - F.pmod(a, b)) / b).cast("long")
+    return ((a - py_mod(a, b)) / b).cast("long")
 
 
 def trunc_div(a, b) -> Column:

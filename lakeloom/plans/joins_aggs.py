@@ -305,12 +305,17 @@ def a10_aggregate_after_outer_join(spark, sf):
 
 
 @register("a11_rounded_average", """
-SELECT c_nationkey, ROUND(CAST(SUM(CAST(c_acctbal AS DECIMAL(18,2))) / COUNT(*) AS DECIMAL(18,2)), 2) AS avg_balance
-FROM customer GROUP BY 1""")
+SELECT c_nationkey,
+  CAST(CAST(sign(s) * ((2 * abs(s) + n) // (2 * n)) AS DECIMAL(18,0)) * CAST(0.01 AS DECIMAL(3,2)) AS DECIMAL(18,2)) AS avg_balance
+FROM (SELECT c_nationkey, CAST(SUM(CAST(c_acctbal AS DECIMAL(18,2))) * 100 AS BIGINT) AS s, COUNT(*) AS n
+      FROM customer GROUP BY 1)""")
 def a11_rounded_average(spark, sf):
-    """Average rounded to cents, computed in DECIMAL (HALF_UP)."""
+    """Average rounded HALF_UP to cents. The quotient is taken in DECIMAL at
+    12 decimals (``avg(decimal)`` would round to 6 first and round twice)."""
+    total = F.sum(F.col("c_acctbal").cast("decimal(18,2)"))
+    n = F.count(F.lit(1)).cast("decimal(20,0)")
     return _cust(spark, sf).groupBy("c_nationkey").agg(
-        F.round(F.avg(F.col("c_acctbal").cast("decimal(18,2)")), 2).cast("decimal(18,2)").alias("avg_balance"))
+        F.round(total / n, 2).cast("decimal(18,2)").alias("avg_balance"))
 
 
 @register("a12_distinct_rows", "SELECT DISTINCT c_mktsegment, c_nationkey FROM customer")

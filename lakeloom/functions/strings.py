@@ -89,9 +89,9 @@ def _class(chars: str) -> str:
 # F5 ---------------------------------------------------------------------
 def split_words(c) -> Column:
     """Python no-argument ``split()``: runs of whitespace separate words,
-    leading/trailing whitespace yields no empty words."""
-    t = strip(c)
-    return F.when(t == "", F.array().cast("array<string>")).otherwise(F.split(t, "\\s+"))
+    leading/trailing whitespace yields no empty words. (One split pass;
+    the empty strings produced at the ends are filtered out.)"""
+    return F.filter(F.split(as_col(c), "\\s+"), lambda w: w != "")
 
 
 def split_part(c, delimiter: str, index: int, limit: int = -1) -> Column:
@@ -251,12 +251,18 @@ def words_starting_with(c, prefix: str, ignore_case: bool = False) -> Column:
 
 
 # F15 --------------------------------------------------------------------
+def _count_class(c, negated_class: str) -> Column:
+    """Characters of a class, counted as the length left after deleting
+    runs of the complement (fewer regex matches than one per character)."""
+    return F.length(F.regexp_replace(as_col(c), negated_class + "+", ""))
+
+
 def count_letters(c) -> Column:
-    return F.regexp_count(as_col(c), F.lit("\\p{L}"))
+    return _count_class(c, "\\P{L}")
 
 
 def count_digits(c) -> Column:
-    return F.regexp_count(as_col(c), F.lit("\\p{Nd}"))
+    return _count_class(c, "\\P{Nd}")
 
 
 def count_spaces(c) -> Column:
@@ -269,11 +275,11 @@ def count_specials(c) -> Column:
 
 
 def count_upper(c) -> Column:
-    return F.regexp_count(as_col(c), F.lit("\\p{Lu}"))
+    return _count_class(c, "\\P{Lu}")
 
 
 def count_lower(c) -> Column:
-    return F.regexp_count(as_col(c), F.lit("\\p{Ll}"))
+    return _count_class(c, "\\P{Ll}")
 
 
 def count_vowels(c) -> Column:

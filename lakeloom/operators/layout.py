@@ -33,6 +33,22 @@ def partition_count(df: DataFrame) -> int:
     return df.rdd.getNumPartitions()
 
 
+def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread CPU-heavy row work over the cluster when the input arrives in
+    too few partitions (e.g. a single large Parquet row group).
+
+    The partition count is known at planning time, so the check runs no
+    job. A real large input already has at least ``defaultParallelism``
+    splits and is returned unchanged (no shuffle); only a narrow input is
+    round-robin repartitioned, which Spark makes retry-safe by sorting rows
+    before distributing them.
+    """
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
 def partition_sizes(df: DataFrame) -> DataFrame:
     """Rows per partition, to spot skew after a repartition."""
     return df.groupBy(F.spark_partition_id().alias("partition")).agg(F.count(F.lit(1)).alias("rows"))

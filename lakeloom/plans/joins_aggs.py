@@ -15,6 +15,7 @@ from lakeloom.operators import joins as J
 from lakeloom.operators import reshape as R
 from lakeloom.operators import setops as U
 from lakeloom.operators import windows as W
+from lakeloom.operators.layout import ensure_parallelism
 from lakeloom.plans._common import (SQL_NET, davg, dsum, net_price, register,
                                     sql_davg, sql_dsum, table)
 
@@ -433,7 +434,8 @@ TOKEN = "[\\p{L}\\p{N}_]+"
 SELECT token, COUNT(*) AS count FROM (
   SELECT unnest(regexp_extract_all(lower(text), '{TOKEN}')) AS token FROM documents) GROUP BY 1""")
 def a24_token_frequency(spark, sf):
-    return A.token_frequency(table(spark, sf, "documents"), "text", pattern=TOKEN)
+    docs = ensure_parallelism(table(spark, sf, "documents").select("text"))
+    return A.token_frequency(docs, "text", pattern=TOKEN)
 
 
 @register("a24_most_frequent_token_per_lang", f"""
@@ -443,5 +445,6 @@ SELECT lang, token, count FROM (
       SELECT lang, unnest(regexp_extract_all(lower(text), '{TOKEN}')) AS token FROM documents) GROUP BY 1, 2))
 WHERE rn = 1""")
 def a24_most_frequent_token_per_lang(spark, sf):
-    freq = A.token_frequency(table(spark, sf, "documents"), "text", by="lang", pattern=TOKEN)
+    docs = ensure_parallelism(table(spark, sf, "documents").select("lang", "text"))
+    freq = A.token_frequency(docs, "text", by="lang", pattern=TOKEN)
     return A.most_frequent(freq, "token", "count", by="lang")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from lakeloom.functions import privacy as X
 from lakeloom.functions import strings as S
+from lakeloom.operators.layout import ensure_parallelism
 from lakeloom.plans._common import register, table
 
 # Java's \s class written out for the SQL engine (RE2 lacks \x0B in \s).
@@ -18,24 +19,37 @@ _NWS = "[^\\t\\n\\x0B\\f\\r ]+"
 
 
 def text_profile(df, text_col: str = "text", key: str = "doc_id"):
-    t = F.col(text_col)
-    words = S.split_words(t)
-    return df.select(
-        key,
-        F.size(words).alias("n_words"),
-        F.array_max(F.transform(words, F.length)).alias("max_word_len"),
+    """Per-text measures from a few passes over each full text: one
+    tokenisation, one pass per Unicode class; the remaining counts are
+    arithmetic on those (the classes letter, digit and whitespace are
+    disjoint, so specials = chars - letters - digits - whitespace)."""
+    base = ensure_parallelism(df.select(key, F.col(text_col).alias("_t")))
+    t = F.col("_t")
+    staged = base.select(
+        key, t, S.split_words(t).alias("_w"), F.length(t).alias("_n"),
         S.count_letters(t).alias("n_letters"), S.count_digits(t).alias("n_digits"),
         S.count_upper(t).alias("n_upper"), S.count_lower(t).alias("n_lower"),
-        S.count_spaces(t).alias("n_spaces"), S.count_specials(t).alias("n_specials"),
-        S.count_vowels(t).alias("n_vowels"), S.count_consonants(t).alias("n_consonants"),
-        F.size(S.words_starting_with(t, "th", ignore_case=True)).alias("n_th_words"),
-        F.length(S.remove_vowels(t)).alias("len_without_vowels"),
-        F.length(F.regexp_replace(t, "[^\\p{L}\\p{Nd}\\s]", "")).alias("len_without_punct"),
+        S.count_vowels(t).alias("n_vowels"), S.count_consonants(t).alias("n_consonants"))
+    w = F.col("_w")
+    word_chars = F.aggregate(w, F.lit(0), lambda acc, x: acc + F.length(x))
+    at_tokens = F.filter(w, lambda x: x.contains("@"))
+    staged = staged.withColumns({"_spaces": F.col("_n") - word_chars, "_at": at_tokens})
+    return staged.select(
+        key,
+        F.size(w).alias("n_words"),
+        F.array_max(F.transform(w, F.length)).alias("max_word_len"),
+        "n_letters", "n_digits", "n_upper", "n_lower",
+        F.col("_spaces").alias("n_spaces"),
+        (F.col("_n") - F.col("n_letters") - F.col("n_digits") - F.col("_spaces")).alias("n_specials"),
+        "n_vowels", "n_consonants",
+        F.size(F.filter(w, lambda x: F.startswith(F.lower(x), F.lit("th")))).alias("n_th_words"),
+        (F.col("_n") - F.col("n_vowels")).alias("len_without_vowels"),
+        (F.col("n_letters") + F.col("n_digits") + F.col("_spaces")).alias("len_without_punct"),
         S.is_palindrome(t, normalize=True).alias("is_palindrome"),
-        F.length(S.digits_only(t)).alias("n_digit_chars"), F.size(S.extract_numbers(t)).alias("n_numbers"),
-        F.size(F.filter(words, lambda w: w.contains("@"))).alias("n_at_tokens"),
-        F.size(F.filter(words, lambda w: w.rlike(S.EMAIL_PATTERN))).alias("n_valid_emails"),
-        X.hash_col(S.reverse_words(t)).alias("reversed_words_sha256"),
+        F.col("n_digits").alias("n_digit_chars"), F.size(S.extract_numbers(t)).alias("n_numbers"),
+        F.size("_at").alias("n_at_tokens"),
+        F.size(F.filter("_at", lambda x: x.rlike(S.EMAIL_PATTERN))).alias("n_valid_emails"),
+        X.hash_col(F.array_join(F.reverse(w), " ")).alias("reversed_words_sha256"),
     )
 
 
@@ -74,7 +88,7 @@ SELECT conv_id, turn, CAST(len({_WORDS}) AS INTEGER) AS n_words,
   CAST(length(text) AS INTEGER) AS n_chars
 FROM conversations""")
 def f12_f21_conversation_text_profile(spark, sf):
-    c = table(spark, sf, "conversations")
+    c = ensure_parallelism(table(spark, sf, "conversations"))
     return c.select("conv_id", "turn", S.word_count("text").alias("n_words"),
                     S.reverse_words("text").alias("reversed_words"), S.alternating_case("text").alias("alternating"),
                     S.length("text").alias("n_chars"))

@@ -5,7 +5,7 @@ whole-stage code generation and can be pushed down where Spark allows.
 """
 
 from lakeloom.functions import (collections, conditional, dates, math,
-                                nulls, privacy, strings)
+                                nulls, privacy, strings, udfs)
 
 __all__ = ["collections", "conditional", "dates", "math", "nulls",
-           "privacy", "strings"]
+           "privacy", "strings", "udfs"]

@@ -264,3 +264,27 @@ def l3_partition_sizes_total(spark, sf):
     """Rows per partition after a key repartition, summed back to the total."""
     sizes = L.partition_sizes(L.repartition_by(table(spark, sf, "lineitem"), 16, ["l_orderkey"]))
     return sizes.agg(F.sum("rows").alias("rows"))
+
+
+# ---------------------------------------------------------------- X1-X4 (UDF surface)
+@register("x3_discount_band", """
+SELECT CASE WHEN l_extendedprice IS NULL THEN NULL WHEN l_extendedprice >= 1000 THEN 'High'
+            WHEN l_extendedprice >= 300 THEN 'Medium' ELSE 'Low' END AS band, COUNT(*) AS count
+FROM lineitem GROUP BY 1""")
+def x3_discount_band(spark, sf):
+    """Line amounts banded with the built-in expression (the UDF twin is the
+    slow path measured in the optimisation pairs)."""
+    from lakeloom.functions.udfs import discount_band
+    l = table(spark, sf, "lineitem")
+    return l.groupBy(discount_band("l_extendedprice").alias("band")).agg(F.count(F.lit(1)).alias("count"))
+
+
+@register("x4_pandas_udf_discount", """
+SELECT l_returnflag, COUNT(*) AS n, CAST(SUM(CAST(l_extendedprice * 0.95 AS DECIMAL(18,4))) AS DOUBLE) AS discounted
+FROM lineitem GROUP BY 1""")
+def x4_pandas_udf_discount(spark, sf):
+    """Vectorised (Arrow batch) pandas UDF over every line."""
+    from lakeloom.functions.udfs import discounted_pandas
+    l = table(spark, sf, "lineitem")
+    d = discounted_pandas(F.col("l_extendedprice")).cast("decimal(18,4)")
+    return l.groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n"), F.sum(d).cast("double").alias("discounted"))

@@ -131,3 +131,14 @@ def test_privacy(spark):
     key = "0123456789abcdef"
     back = df.select(X.decrypt_col(X.encrypt_col("s", key), key).alias("t")).collect()
     assert [x.t for x in back] == ["177236474698698", "182736405847", None]
+
+
+def test_udf_surface_matches_builtins(spark):
+    from lakeloom.functions import udfs as Uf
+    df = spark.createDataFrame([(1500.0, "data-science"), (300.0, "ab"), (10.0, None), (None, "x")], "a double, s string")
+    r = df.select(Uf.discount_band("a").alias("b1"), Uf.discount_band_udf("a").alias("b2"),
+                  Uf.discounted("a").alias("d1"), Uf.discounted_pandas("a").alias("d2"), Uf.discounted_udf("a").alias("d3"),
+                  Uf.upper_udf("s").alias("u"), Uf.title_udf("s").alias("t")).collect()
+    assert [(x.b1, x.d1) for x in r] == [(x.b2, x.d2) for x in r] == [(x.b2, x.d3) for x in r]
+    assert [x.b1 for x in r] == ["High", "Medium", "Low", None]
+    assert r[0].t == "Data-Science" and r[2].u is None

@@ -16,7 +16,7 @@ from lakeloom.operators import reshape as R
 from lakeloom.operators import setops as U
 from lakeloom.operators import windows as W
 from lakeloom.operators.layout import ensure_parallelism
-from lakeloom.plans._common import (SQL_NET, davg, dsum, net_price, register,
+from lakeloom.plans._common import (SQL_NET, davg, dsum, money, net_price, register,
                                     sql_davg, sql_dsum, table)
 
 _O98 = "o_orderdate >= DATE '1998-01-01' AND o_orderdate < DATE '1999-01-01'"
@@ -112,8 +112,10 @@ def j7_cross_join_grid(spark, sf):
 SELECT p.p_brand, COUNT(*) AS line_count, {sql_dsum(SQL_NET, 4)} AS revenue
 FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey GROUP BY p.p_brand""")
 def j9_join_different_keys(spark, sf):
-    j = J.join_on_columns(table(spark, sf, "lineitem"), table(spark, sf, "part"), "l_partkey", "p_partkey")
-    return j.groupBy("p_brand").agg(F.count(F.lit(1)).alias("line_count"), dsum(net_price(), 4).alias("revenue"))
+    per_part = (table(spark, sf, "lineitem").groupBy("l_partkey")
+                .agg(F.count(F.lit(1)).alias("_n"), F.sum(net_price().cast("decimal(18,4)")).alias("_s")))
+    j = J.join_on_columns(per_part, table(spark, sf, "part"), "l_partkey", "p_partkey")
+    return j.groupBy("p_brand").agg(F.sum("_n").alias("line_count"), F.sum("_s").cast("double").alias("revenue"))
 
 
 @register("j10_star_join", f"""
@@ -121,20 +123,24 @@ SELECT n.n_name, CAST(year(o.o_orderdate) AS INTEGER) AS year, COUNT(*) AS line_
 FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN customer c ON o.o_custkey = c.c_custkey
 JOIN nation n ON c.c_nationkey = n.n_nationkey GROUP BY 1, 2""")
 def j10_star_join(spark, sf):
-    l = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_extendedprice", "l_discount")
+    """Lines reduced per order first, then the star join order -> customer
+    -> nation (broadcast), then totals per nation and year."""
+    l = (table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey"))
+         .agg(F.count(F.lit(1)).alias("_n"), F.sum(net_price().cast("decimal(18,4)")).alias("_s")))
     o = table(spark, sf, "orders").select("o_orderkey", F.col("o_custkey").alias("c_custkey"), "o_orderdate")
     c = _cust(spark, sf).select("c_custkey", F.col("c_nationkey").alias("n_nationkey"))
     n = J.bounded_broadcast(table(spark, sf, "nation").select("n_nationkey", "n_name"))
     s = J.star_join(l, [(o, "o_orderkey", "o_"), (c, "c_custkey", "c_"), (n, "n_nationkey", "n_")])
     return (s.groupBy("n_name", D.year("o_orderdate").alias("year"))
-            .agg(F.count(F.lit(1)).alias("line_count"), dsum(net_price(), 4).alias("revenue")))
+            .agg(F.sum("_n").alias("line_count"), F.sum("_s").cast("double").alias("revenue")))
 
 
 @register("j11_broadcast_join", f"""
 SELECT p.p_type, SUM(l.l_quantity) AS quantity FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
 GROUP BY p.p_type""")
 def j11_broadcast_join(spark, sf):
-    """The part dimension is broadcast only after its row count is checked."""
+    """The part dimension is broadcast only after its row count is checked
+    (above the bound the join is left to AQE)."""
     l = table(spark, sf, "lineitem").select(F.col("l_partkey").alias("p_partkey"), "l_quantity")
     p = table(spark, sf, "part").select("p_partkey", "p_type")
     return J.broadcast_join(l, p, "p_partkey", max_rows=2_000_000).groupBy("p_type").agg(
@@ -267,10 +273,14 @@ def a6_aggregate_several_columns(spark, sf):
 SELECT c.c_nationkey, COUNT(DISTINCT o.o_custkey) AS buying_customers, COUNT(DISTINCT o.o_orderkey) AS orders
 FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey GROUP BY 1""")
 def a7_distinct_count(spark, sf):
-    o = table(spark, sf, "orders").select(F.col("o_custkey").alias("c_custkey"), "o_orderkey")
-    j = o.join(_cust(spark, sf).select("c_custkey", "c_nationkey"), "c_custkey")
-    return j.groupBy("c_nationkey").agg(F.count_distinct("c_custkey").alias("buying_customers"),
-                                        F.count_distinct("o_orderkey").alias("orders"))
+    """Distinct buying customers and distinct orders per nation. An order
+    belongs to one customer, so distinct orders per nation is the sum of
+    distinct orders per customer: the distinct count runs per customer
+    (before the join) and the nation level only adds."""
+    per_cust = (table(spark, sf, "orders").groupBy(F.col("o_custkey").alias("c_custkey"))
+                .agg(F.count_distinct("o_orderkey").alias("_d")))
+    j = per_cust.join(_cust(spark, sf).select("c_custkey", "c_nationkey"), "c_custkey")
+    return j.groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("buying_customers"), F.sum("_d").alias("orders"))
 
 
 @register("a8_having", f"""

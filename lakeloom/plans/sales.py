@@ -14,7 +14,7 @@ from lakeloom.operators import aggregates as A
 from lakeloom.operators import joins as J
 from lakeloom.operators import ordering as O
 from lakeloom.operators import windows as W
-from lakeloom.plans._common import (SQL_NET, davg, dsum, net_price, register,
+from lakeloom.plans._common import (SQL_NET, davg, dsum, money, net_price, register,
                                     sql_davg, sql_dsum, table)
 
 
@@ -38,10 +38,17 @@ FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
 JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey
 GROUP BY r.r_name, n.n_name""")
 def g5_sales_by_region(spark, sf):
-    o = _orders(spark, sf).select(F.col("o_custkey").alias("c_custkey"), "o_totalprice")
-    return (o.join(_geo(spark, sf), "c_custkey")
+    """Orders are first reduced to one row per customer (a partial, map-side
+    aggregate, so a customer with a huge share of the orders is collapsed
+    before any shuffle); that table joins the customer dimension, whose
+    nation/region attributes come from broadcast lookups; then the regional
+    totals are summed. Exact DECIMAL partial sums make the two-level sum
+    equal to the direct one."""
+    per_cust = (_orders(spark, sf).groupBy(F.col("o_custkey").alias("c_custkey"))
+                .agg(F.count(F.lit(1)).alias("_n"), F.sum(money("o_totalprice")).alias("_s")))
+    return (per_cust.join(_geo(spark, sf).select("c_custkey", "r_name", "n_name"), "c_custkey")
             .groupBy("r_name", "n_name")
-            .agg(F.count(F.lit(1)).alias("order_count"), dsum("o_totalprice").alias("revenue")))
+            .agg(F.sum("_n").alias("order_count"), F.sum("_s").cast("double").alias("revenue")))
 
 
 @register("g1_customer_lifetime_value", f"""
@@ -108,10 +115,13 @@ def g4_top10_parts(spark, sf):
 SELECT p.p_type, COUNT(*) AS line_count, {sql_dsum(SQL_NET, 4)} AS revenue
 FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey GROUP BY p.p_type""")
 def g6_revenue_by_category(spark, sf):
-    l = table(spark, sf, "lineitem")
+    """Lines pre-aggregated per part (map-side), then joined to part and
+    summed per category."""
+    per_part = (table(spark, sf, "lineitem").groupBy("l_partkey")
+                .agg(F.count(F.lit(1)).alias("_n"), F.sum(net_price().cast("decimal(18,4)")).alias("_s")))
     p = table(spark, sf, "part").select(F.col("p_partkey").alias("l_partkey"), "p_type")
-    return (l.join(p, "l_partkey").groupBy("p_type")
-            .agg(F.count(F.lit(1)).alias("line_count"), dsum(net_price(), 4).alias("revenue")))
+    return (per_part.join(p, "l_partkey").groupBy("p_type")
+            .agg(F.sum("_n").alias("line_count"), F.sum("_s").cast("double").alias("revenue")))
 
 
 @register("g7_repeat_customers", """
@@ -152,13 +162,14 @@ SELECT c.c_mktsegment, {sql_dsum('o.o_totalprice')} AS revenue,
 FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey GROUP BY c.c_mktsegment""")
 def g10_profit_by_segment(spark, sf):
     """Profit at a 20 % margin, kept in DECIMAL (``lit(Decimal)``) so the
-    multiplication does not fall back to double."""
-    o = _orders(spark, sf).select(F.col("o_custkey").alias("c_custkey"), "o_totalprice")
-    c = table(spark, sf, "customer").select("c_custkey", "c_mktsegment")
+    multiplication does not fall back to double. Orders are pre-aggregated
+    per customer before the join."""
     margin = F.lit("0.20").cast("decimal(3,2)")
-    return (o.join(c, "c_custkey").groupBy("c_mktsegment")
-            .agg(dsum("o_totalprice").alias("revenue"),
-                 F.sum(F.col("o_totalprice").cast("decimal(18,2)") * margin).cast("double").alias("profit")))
+    per_cust = (_orders(spark, sf).groupBy(F.col("o_custkey").alias("c_custkey"))
+                .agg(F.sum(money("o_totalprice")).alias("_s"), F.sum(money("o_totalprice") * margin).alias("_p")))
+    c = table(spark, sf, "customer").select("c_custkey", "c_mktsegment")
+    return (per_cust.join(c, "c_custkey").groupBy("c_mktsegment")
+            .agg(F.sum("_s").cast("double").alias("revenue"), F.sum("_p").cast("double").alias("profit")))
 
 
 @register("g11_product_performance", f"""
@@ -194,8 +205,10 @@ SELECT r_name, revenue, CAST(DENSE_RANK() OVER (ORDER BY revenue DESC) AS INTEGE
   JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey
   GROUP BY r.r_name)""")
 def g13_region_rank(spark, sf):
-    o = _orders(spark, sf).select(F.col("o_custkey").alias("c_custkey"), "o_totalprice")
-    totals = o.join(_geo(spark, sf), "c_custkey").groupBy("r_name").agg(dsum("o_totalprice").alias("revenue"))
+    per_cust = (_orders(spark, sf).groupBy(F.col("o_custkey").alias("c_custkey"))
+                .agg(F.sum(money("o_totalprice")).alias("_s")))
+    totals = (per_cust.join(_geo(spark, sf).select("c_custkey", "r_name"), "c_custkey")
+              .groupBy("r_name").agg(F.sum("_s").cast("double").alias("revenue")))
     return W.global_rank(totals, [("revenue", "desc")], "dense_rank", "region_rank")
 
 
@@ -249,11 +262,12 @@ SELECT CAST(year(l.l_shipdate) AS INTEGER) AS year, CAST(month(l.l_shipdate) AS
        SUM(l.l_quantity) AS quantity, {sql_dsum(SQL_NET, 4)} AS revenue
 FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey GROUP BY 1, 2, 3""")
 def g16_sales_by_month_category(spark, sf):
-    l = table(spark, sf, "lineitem")
+    per = (table(spark, sf, "lineitem")
+           .groupBy("l_partkey", D.year("l_shipdate").alias("year"), D.month("l_shipdate").alias("month"))
+           .agg(F.sum("l_quantity").alias("_q"), F.sum(net_price().cast("decimal(18,4)")).alias("_s")))
     p = table(spark, sf, "part").select(F.col("p_partkey").alias("l_partkey"), "p_type")
-    return (l.join(p, "l_partkey")
-            .groupBy(D.year("l_shipdate").alias("year"), D.month("l_shipdate").alias("month"), "p_type")
-            .agg(F.sum("l_quantity").alias("quantity"), dsum(net_price(), 4).alias("revenue")))
+    return (per.join(p, "l_partkey").groupBy("year", "month", "p_type")
+            .agg(F.sum("_q").alias("quantity"), F.sum("_s").cast("double").alias("revenue")))
 
 
 @register("g17_supplier_scorecard", f"""

@@ -99,9 +99,43 @@ def rows_at_group_extreme(df: DataFrame, keys, value_col: str, kind: str = "max"
 
 
 # W5-W8 ------------------------------------------------------------------
+def has_hot_group(df: DataFrame, keys, min_share: float = 0.05) -> bool:
+    """Whether one group holds at least ``min_share`` of the rows (one
+    count and one partial aggregate; at most one row reaches the driver)."""
+    keys = _cols(keys)
+    if not keys:
+        return True
+    total = df.count()
+    if total == 0:
+        return False
+    hot = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+           .where(F.col("_n") >= F.lit(min_share * total)).limit(1).collect())
+    return bool(hot)
+
+
+def _use_segments(df, partition_by, skew_safe) -> bool:
+    if skew_safe == "auto":
+        return has_hot_group(df, partition_by)
+    return bool(skew_safe)
+
+
 def with_lead_lag(df: DataFrame, partition_by, order_by, value_col: str,
                   offset: int = 1, lead_name: str | None = None,
-                  lag_name: str | None = None, default=None) -> DataFrame:
+                  lag_name: str | None = None, default=None, skew_safe="auto") -> DataFrame:
+    """``lead``/``lag`` of ``value_col`` by ``offset`` within each group.
+
+    ``skew_safe``: ``False`` = plain window (one task per group); ``True`` =
+    ordered segments (a hot group is split over many tasks, see
+    ``segmented_lead_lag``); ``"auto"`` = segments only when a group holds at
+    least 5 % of the rows.
+    """
+    if _use_segments(df, partition_by, skew_safe):
+        out = segmented_lead_lag(df, partition_by, order_by, value_col, offset, lead_name, lag_name)
+        if default is not None:
+            for c in (lead_name, lag_name):
+                if c:
+                    out = out.withColumn(c, F.coalesce(F.col(c), F.lit(default)))
+        return out
     w = Window.partitionBy(*_cols(partition_by)).orderBy(*sort_keys(order_by))
     if lead_name:
         df = df.withColumn(lead_name, F.lead(value_col, offset, default).over(w))
@@ -111,17 +145,74 @@ def with_lead_lag(df: DataFrame, partition_by, order_by, value_col: str,
 
 
 def diff_to_previous(df: DataFrame, partition_by, order_by, value_col: str,
-                     out: str = "diff_prev") -> DataFrame:
-    w = Window.partitionBy(*_cols(partition_by)).orderBy(*sort_keys(order_by))
-    return df.withColumn(out, F.col(value_col) - F.lag(value_col).over(w))
+                     out: str = "diff_prev", skew_safe="auto") -> DataFrame:
+    prev = with_lead_lag(df, partition_by, order_by, value_col, 1, lag_name="_prev", skew_safe=skew_safe)
+    return prev.withColumn(out, F.col(value_col) - F.col("_prev")).drop("_prev")
 
 
-def rows_above_previous(df: DataFrame, partition_by, order_by, value_col: str) -> DataFrame:
+def rows_above_previous(df: DataFrame, partition_by, order_by, value_col: str,
+                        skew_safe="auto") -> DataFrame:
     """Rows whose value is greater than the previous row's (window result is
     projected first, then filtered: windows are not allowed in WHERE)."""
-    w = Window.partitionBy(*_cols(partition_by)).orderBy(*sort_keys(order_by))
-    return (df.withColumn("_prev", F.lag(value_col).over(w))
-            .where(F.col(value_col) > F.col("_prev")).drop("_prev"))
+    prev = with_lead_lag(df, partition_by, order_by, value_col, 1, lag_name="_prev", skew_safe=skew_safe)
+    return prev.where(F.col(value_col) > F.col("_prev")).drop("_prev")
+
+
+def _edge_groups(seg: DataFrame, keys: list[str]) -> DataFrame:
+    """First and last group of every segment. A group continuing across a
+    segment boundary is the last group of one segment and the first of the
+    next, so at most two groups per segment need carried values."""
+    g = F.struct(*[F.col(k) for k in keys])
+    b = seg.groupBy("_seg").agg(F.min(g).alias("_first"), F.max(g).alias("_last"))
+    return b.select("_seg", F.explode(F.array("_first", "_last")).alias("_g")).distinct() \
+        .select("_seg", *[F.col(f"_g.{k}").alias(k) for k in keys])
+
+
+def segmented_lead_lag(df: DataFrame, partition_by, order_by, value_col: str, offset: int = 1,
+                       lead_name: str | None = None, lag_name: str | None = None,
+                       segments: int | None = None) -> DataFrame:
+    """Per-group lead/lag that splits large groups over ordered segments.
+
+    1. Range-partition on (group, order) into segments; lead/lag inside each
+       (group, segment).
+    2. Only the first/last ``offset`` rows of groups at a segment edge can
+       need rows from a neighbouring segment. Those edge rows (at most
+       ``4 * offset`` per segment, independent of the data size) are taken
+       out, lead/lag is recomputed over them in (segment, order) order --
+       exact, because an edge group's rows outside the edge window are never
+       within ``offset`` of a neighbouring segment -- and the fixed values
+       are broadcast back onto the local result.
+    """
+    keys = _cols(partition_by)
+    okeys = sort_keys(order_by)
+    seg = range_segments(df, [F.col(k) for k in keys] + okeys, segments)
+    wl = Window.partitionBy(*keys, "_seg").orderBy(*okeys)
+    local = (seg.withColumn("_rn", F.row_number().over(wl))
+             .withColumn("_cnt", F.count(F.lit(1)).over(Window.partitionBy(*keys, "_seg"))))
+    if lead_name:
+        local = local.withColumn(lead_name, F.lead(value_col, offset).over(wl))
+    if lag_name:
+        local = local.withColumn(lag_name, F.lag(value_col, offset).over(wl))
+    edges = _edge_groups(seg, keys)
+    near_edge = (F.col("_rn") <= offset) | (F.col("_rn") > F.col("_cnt") - offset)
+    edge_rows = local.join(F.broadcast(edges), keys + ["_seg"], "left_semi").where(near_edge)
+    we = Window.partitionBy(*keys).orderBy(F.col("_seg"), *okeys)
+    fix_cols = []
+    if lead_name:
+        edge_rows = edge_rows.withColumn(f"_fix_{lead_name}", F.lead(value_col, offset).over(we))
+        fix_cols.append(lead_name)
+    if lag_name:
+        edge_rows = edge_rows.withColumn(f"_fix_{lag_name}", F.lag(value_col, offset).over(we))
+        fix_cols.append(lag_name)
+    # lag reaches back only from a segment's first rows, lead forward only
+    # from its last rows; elsewhere the local value is already exact
+    applies = {lead_name: F.col("_rn") > F.col("_cnt") - offset, lag_name: F.col("_rn") <= offset}
+    fixes = edge_rows.select(*keys, "_seg", "_rn", *[
+        F.struct(applies[c].alias("on"), F.col(f"_fix_{c}").alias("v")).alias(f"_fix_{c}") for c in fix_cols])
+    out = local.join(F.broadcast(fixes), keys + ["_seg", "_rn"], "left")
+    for c in fix_cols:
+        out = out.withColumn(c, F.when(F.col(f"_fix_{c}.on"), F.col(f"_fix_{c}.v")).otherwise(F.col(c)))
+    return out.drop("_seg", "_rn", "_cnt", *[f"_fix_{c}" for c in fix_cols])
 
 
 # W10 --------------------------------------------------------------------
@@ -191,8 +282,13 @@ def row_positions(df: DataFrame, order_by, out: str = "pos", segments: int | Non
 
 
 # W19 --------------------------------------------------------------------
-def fill_forward(df: DataFrame, order_by, cols: Sequence[str], partition_by=None) -> DataFrame:
-    """pandas ``ffill``: last non-NULL value so far, in ``order_by`` order."""
+def fill_forward(df: DataFrame, order_by, cols: Sequence[str], partition_by=None,
+                 skew_safe="auto") -> DataFrame:
+    """pandas ``ffill``: last non-NULL value so far, in ``order_by`` order
+    (per group when ``partition_by``). See ``with_lead_lag`` for
+    ``skew_safe``."""
+    if partition_by is None or _use_segments(df, partition_by, skew_safe):
+        return segmented_fill(df, partition_by, order_by, cols, "forward")
     w = (Window.partitionBy(*_cols(partition_by)).orderBy(*sort_keys(order_by))
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     for c in cols:
@@ -200,8 +296,11 @@ def fill_forward(df: DataFrame, order_by, cols: Sequence[str], partition_by=None
     return df
 
 
-def fill_backward(df: DataFrame, order_by, cols: Sequence[str], partition_by=None) -> DataFrame:
+def fill_backward(df: DataFrame, order_by, cols: Sequence[str], partition_by=None,
+                  skew_safe="auto") -> DataFrame:
     """pandas ``bfill``: next non-NULL value, in ``order_by`` order."""
+    if partition_by is None or _use_segments(df, partition_by, skew_safe):
+        return segmented_fill(df, partition_by, order_by, cols, "backward")
     w = (Window.partitionBy(*_cols(partition_by)).orderBy(*sort_keys(order_by))
          .rowsBetween(Window.currentRow, Window.unboundedFollowing))
     for c in cols:
@@ -209,6 +308,38 @@ def fill_backward(df: DataFrame, order_by, cols: Sequence[str], partition_by=Non
     return df
 
 
+def segmented_fill(df: DataFrame, partition_by, order_by, cols: Sequence[str],
+                   direction: str = "forward", segments: int | None = None) -> DataFrame:
+    """Forward/backward fill over ordered segments (no partition key: the
+    whole table; with one: hot groups split). Fill inside each
+    (group, segment); rows still NULL at a segment's start (end) take the
+    last (first) non-NULL value of the same group from earlier (later)
+    segments, found in a table of one row per (edge group, segment)."""
+    keys = _cols(partition_by)
+    okeys = sort_keys(order_by)
+    forward = direction == "forward"
+    seg = range_segments(df, [F.col(k) for k in keys] + okeys, segments)
+    frame = ((Window.unboundedPreceding, Window.currentRow) if forward
+             else (Window.currentRow, Window.unboundedFollowing))
+    wl = Window.partitionBy(*keys, "_seg").orderBy(*okeys).rowsBetween(*frame)
+    pick = F.last if forward else F.first
+    local = seg
+    for c in cols:
+        local = local.withColumn(c, pick(c, ignorenulls=True).over(wl))
+    # per (edge group, segment): its last (first) non-NULL value of each column
+    edge = seg.join(F.broadcast(_edge_groups(seg, keys)), keys + ["_seg"], "left_semi") if keys else seg
+    wa = Window.partitionBy(*keys, "_seg").orderBy(*okeys).rowsBetween(Window.unboundedPreceding,
+                                                                          Window.unboundedFollowing)
+    ends = edge.select(*keys, "_seg", *[pick(c, ignorenulls=True).over(wa).alias(c) for c in cols]).distinct()
+    carry_frame = (Window.unboundedPreceding, -1) if forward else (1, Window.unboundedFollowing)
+    wc = Window.partitionBy(*keys).orderBy("_seg").rowsBetween(*carry_frame)
+    carry = ends.select(*keys, "_seg", *[pick(c, ignorenulls=True).over(wc).alias(f"_carry_{c}") for c in cols])
+    out = local.join(F.broadcast(carry), keys + ["_seg"], "left")
+    for c in cols:
+        out = out.withColumn(c, F.coalesce(F.col(c), F.col(f"_carry_{c}")))
+    return out.drop("_seg", *[f"_carry_{c}" for c in cols])
+
+
 # W20 --------------------------------------------------------------------
 def ledger_balance(df: DataFrame, account_col: str, order_by: Sequence[str],
                    amount_col: str, opening: float = 0.0,

@@ -265,3 +265,44 @@ def test_ordering(spark):
     assert [r.id for r in O.tail(df, "id", 2).collect()] == [2, 3]
     assert [r.id for r in O.top_k(df, [("v", "desc")], 1).collect()] == [3]
     assert P.snake_case("SalesOrderID") == "sales_order_id" and P.snake_case("Id number") == "id_number"
+
+
+def _brute_lag(data, k, lead):
+    out = {}
+    groups = {}
+    for g, t, v in data:
+        groups.setdefault(g, []).append((t, v))
+    for g, rs in groups.items():
+        rs.sort()
+        for i, (t, v) in enumerate(rs):
+            j = i + k if lead else i - k
+            out[(g, t)] = rs[j][1] if 0 <= j < len(rs) else None
+    return out
+
+
+@pytest.mark.parametrize("k", [1, 2, 5])
+def test_segmented_lead_lag_matches_bruteforce(spark, k):
+    rnd = random.Random(k)
+    data = [("hot" if i % 3 else f"g{i % 7}", i, rnd.randint(0, 99)) for i in range(600)]
+    df = spark.createDataFrame(data, "g string, t int, v int")
+    out = W.segmented_lead_lag(df, "g", "t", "v", k, lead_name="ld", lag_name="lg", segments=11)
+    ld, lg = _brute_lag(data, k, True), _brute_lag(data, k, False)
+    got = out.collect()
+    assert len(got) == 600
+    for r in got:
+        assert r.ld == ld[(r.g, r.t)] and r.lg == lg[(r.g, r.t)], (r, k)
+
+
+def test_segmented_fill_matches_window(spark):
+    rnd = random.Random(9)
+    data = [("hot" if i % 4 else f"g{i % 5}", i, None if rnd.random() < 0.6 else float(i)) for i in range(500)]
+    df = spark.createDataFrame(data, "g string, t int, v double")
+    for direction, fn in (("forward", W.fill_forward), ("backward", W.fill_backward)):
+        seg = {(r.g, r.t): r.v for r in W.segmented_fill(df, "g", "t", ["v"], direction, segments=9).collect()}
+        plain = {(r.g, r.t): r.v for r in fn(df, "t", ["v"], "g", skew_safe=False).collect()}
+        assert seg == plain, direction
+    glob = {r.t: r.v for r in W.fill_forward(df.drop("g"), "t", ["v"]).collect()}
+    last = None
+    for _, t, v in sorted(data, key=lambda d: d[1]):
+        last = v if v is not None else last
+        assert glob[t] == last

@@ -25,13 +25,13 @@ def _cols(x) -> list[str]:
 
 # Q1 / Q2 ----------------------------------------------------------------
 def describe(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """pandas-style describe with exact quartiles, one row per column."""
+    """pandas-style describe with exact quartiles, one row per column.
+    The columns are stacked into ``(column, value)`` rows so one grouped
+    aggregate and one percentile pass serve all of them."""
     cols = list(cols or [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)])
-    parts = [describe_by(df, c).select(F.lit(c).alias("column"), "*") for c in cols]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    stacked = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot(
+        [], cols, "column", "value")
+    return describe_by(stacked, "value", "column")
 
 
 def quantiles(df: DataFrame, col: str, probs: Sequence[float], by=None) -> DataFrame:

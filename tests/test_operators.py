@@ -306,3 +306,26 @@ def test_segmented_fill_matches_window(spark):
     for _, t, v in sorted(data, key=lambda d: d[1]):
         last = v if v is not None else last
         assert glob[t] == last
+
+
+def test_bucketed_tables_join_without_exchange(spark):
+    a = spark.range(2000).withColumn("k", F.col("id") % 97)
+    b = spark.range(500).withColumn("k", F.col("id") % 97).withColumnRenamed("id", "bid")
+    L.write_bucketed(a, "lakeloom_bucket_a", 8, ["k"])
+    L.write_bucketed(b, "lakeloom_bucket_b", 8, ["k"])
+    with L.shuffle_partitions(spark, 8):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        try:
+            j = spark.table("lakeloom_bucket_a").join(spark.table("lakeloom_bucket_b"), "k")
+            plan = j._jdf.queryExecution().executedPlan().toString()
+            assert "SortMergeJoin" in plan and "Exchange" not in plan
+            assert j.count() == a.join(b, "k").count()
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_describe_stacks_columns(spark):
+    df = spark.createDataFrame([(1.0, 10), (2.0, None), (3.0, 30), (10.0, 40)], "x double, y int")
+    d = {r.column: r for r in Q.describe(df).collect()}
+    assert (d["x"]["count"], d["x"].p25, d["x"].p50) == (4, 1.75, 2.5)
+    assert (d["y"]["count"], d["y"].p50, d["y"]["max"]) == (3, 30.0, 40.0)

@@ -16,7 +16,7 @@ from lakeloom.operators import reshape as R
 from lakeloom.operators import setops as U
 from lakeloom.operators import windows as W
 from lakeloom.operators.layout import ensure_parallelism
-from lakeloom.plans._common import (SQL_NET, davg, dsum, money, net_price, register,
+from lakeloom.plans._common import (SQL_NET, cents, davg, dsum, net_sum, net_units, register,
                                     sql_davg, sql_dsum, table)
 
 _O98 = "o_orderdate >= DATE '1998-01-01' AND o_orderdate < DATE '1999-01-01'"
@@ -113,9 +113,9 @@ SELECT p.p_brand, COUNT(*) AS line_count, {sql_dsum(SQL_NET, 4)} AS revenue
 FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey GROUP BY p.p_brand""")
 def j9_join_different_keys(spark, sf):
     per_part = (table(spark, sf, "lineitem").groupBy("l_partkey")
-                .agg(F.count(F.lit(1)).alias("_n"), F.sum(net_price().cast("decimal(18,4)")).alias("_s")))
+                .agg(F.count(F.lit(1)).alias("_n"), F.sum(net_units()).alias("_s")))
     j = J.join_on_columns(per_part, table(spark, sf, "part"), "l_partkey", "p_partkey")
-    return j.groupBy("p_brand").agg(F.sum("_n").alias("line_count"), F.sum("_s").cast("double").alias("revenue"))
+    return j.groupBy("p_brand").agg(F.sum("_n").alias("line_count"), (F.sum("_s") / 1e4).alias("revenue"))
 
 
 @register("j10_star_join", f"""
@@ -126,13 +126,13 @@ def j10_star_join(spark, sf):
     """Lines reduced per order first, then the star join order -> customer
     -> nation (broadcast), then totals per nation and year."""
     l = (table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey"))
-         .agg(F.count(F.lit(1)).alias("_n"), F.sum(net_price().cast("decimal(18,4)")).alias("_s")))
+         .agg(F.count(F.lit(1)).alias("_n"), F.sum(net_units()).alias("_s")))
     o = table(spark, sf, "orders").select("o_orderkey", F.col("o_custkey").alias("c_custkey"), "o_orderdate")
     c = _cust(spark, sf).select("c_custkey", F.col("c_nationkey").alias("n_nationkey"))
     n = J.bounded_broadcast(table(spark, sf, "nation").select("n_nationkey", "n_name"))
     s = J.star_join(l, [(o, "o_orderkey", "o_"), (c, "c_custkey", "c_"), (n, "n_nationkey", "n_")])
     return (s.groupBy("n_name", D.year("o_orderdate").alias("year"))
-            .agg(F.sum("_n").alias("line_count"), F.sum("_s").cast("double").alias("revenue")))
+            .agg(F.sum("_n").alias("line_count"), (F.sum("_s") / 1e4).alias("revenue")))
 
 
 @register("j11_broadcast_join", f"""
@@ -237,7 +237,7 @@ FROM lineitem GROUP BY 1, 2""")
 def a3_group_by_several_keys(spark, sf):
     return table(spark, sf, "lineitem").groupBy("l_returnflag", "l_linestatus").agg(
         F.sum("l_quantity").alias("sum_qty"), dsum("l_extendedprice").alias("sum_base_price"),
-        dsum(net_price(), 4).alias("sum_disc_price"), davg("l_quantity").alias("avg_qty"),
+        net_sum().alias("sum_disc_price"), davg("l_quantity").alias("avg_qty"),
         F.count(F.lit(1)).alias("count_order"))
 
 
@@ -383,11 +383,11 @@ SELECT l_returnflag, {sql_dsum('l_extendedprice')} AS total, COUNT(l_extendedpri
        MIN(l_extendedprice) AS min, MAX(l_extendedprice) AS max, {sql_davg('l_extendedprice')} AS avg
 FROM lineitem GROUP BY 1""")
 def a19_salted_aggregate(spark, sf):
-    l = table(spark, sf, "lineitem").withColumn("amount", F.col("l_extendedprice").cast("decimal(18,2)"))
+    l = table(spark, sf, "lineitem").withColumn("amount", cents("l_extendedprice"))
     out = A.salted_agg(l, "l_returnflag", "amount", salt_buckets=8)
-    return out.select("l_returnflag", F.col("total").cast("double").alias("total"), "n",
-                      F.col("min").cast("double").alias("min"), F.col("max").cast("double").alias("max"),
-                      (F.col("total").cast("double") / F.col("n")).alias("avg"))
+    return out.select("l_returnflag", (F.col("total") / 100.0).alias("total"), "n",
+                      (F.col("min") / 100.0).alias("min"), (F.col("max") / 100.0).alias("max"),
+                      (F.col("total") / 100.0 / F.col("n")).alias("avg"))
 
 
 @register("a20_second_highest", """

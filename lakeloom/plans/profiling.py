@@ -13,7 +13,7 @@ from lakeloom.operators import layout as L
 from lakeloom.operators import quality as Q
 from lakeloom.operators import quantiles as QT
 from lakeloom.operators import reshape as R
-from lakeloom.plans._common import dsum, money, register, table
+from lakeloom.plans._common import cents, dsum, register, table
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
@@ -196,9 +196,9 @@ FROM orders GROUP BY 1"""
 
 def _pivot(spark, sf):
     o = table(spark, sf, "orders").select(F.year("o_orderdate").alias("year"), "o_orderstatus",
-                                          money("o_totalprice").alias("amount"))
+                                          cents("o_totalprice").alias("amount"))
     p = R.pivot(o, "year", "o_orderstatus", "amount", ["F", "O", "P"], "sum")
-    return p.select("year", *[F.col(s).cast("double").alias(s) for s in ("F", "O", "P")])
+    return p.select("year", *[(F.col(s) / 100.0).alias(s) for s in ("F", "O", "P")])
 
 
 @register("r1_pivot_table", _PIV)

@@ -14,8 +14,8 @@ from lakeloom.operators import aggregates as A
 from lakeloom.operators import joins as J
 from lakeloom.operators import ordering as O
 from lakeloom.operators import windows as W
-from lakeloom.plans._common import (SQL_NET, davg, dsum, money, net_price, register,
-                                    sql_davg, sql_dsum, table)
+from lakeloom.plans._common import (SQL_NET, cents, davg, dsum, net_price, net_sum, net_units,
+                                    register, sql_davg, sql_dsum, table)
 
 
 def _geo(spark, sf):
@@ -42,13 +42,13 @@ def g5_sales_by_region(spark, sf):
     aggregate, so a customer with a huge share of the orders is collapsed
     before any shuffle); that table joins the customer dimension, whose
     nation/region attributes come from broadcast lookups; then the regional
-    totals are summed. Exact DECIMAL partial sums make the two-level sum
-    equal to the direct one."""
+    totals are summed. Exact integer-cent partial sums make the two-level
+    sum equal to the direct one."""
     per_cust = (_orders(spark, sf).groupBy(F.col("o_custkey").alias("c_custkey"))
-                .agg(F.count(F.lit(1)).alias("_n"), F.sum(money("o_totalprice")).alias("_s")))
+                .agg(F.count(F.lit(1)).alias("_n"), F.sum(cents("o_totalprice")).alias("_s")))
     return (per_cust.join(_geo(spark, sf).select("c_custkey", "r_name", "n_name"), "c_custkey")
             .groupBy("r_name", "n_name")
-            .agg(F.sum("_n").alias("order_count"), F.sum("_s").cast("double").alias("revenue")))
+            .agg(F.sum("_n").alias("order_count"), (F.sum("_s") / 100.0).alias("revenue")))
 
 
 @register("g1_customer_lifetime_value", f"""
@@ -105,7 +105,7 @@ SELECT l_partkey AS p_partkey, p.p_name, t.revenue FROM (
   ORDER BY revenue DESC, l_partkey LIMIT 10) t JOIN part p ON p.p_partkey = t.l_partkey""")
 def g4_top10_parts(spark, sf):
     per = (table(spark, sf, "lineitem").groupBy(F.col("l_partkey").alias("p_partkey"))
-           .agg(dsum(net_price(), 4).alias("revenue")))
+           .agg(net_sum().alias("revenue")))
     top = O.top_k(per, [("revenue", "desc")], 10, tie_break=["p_partkey"])
     return top.join(table(spark, sf, "part").select("p_partkey", "p_name"), "p_partkey") \
         .select("p_partkey", "p_name", "revenue")
@@ -118,10 +118,10 @@ def g6_revenue_by_category(spark, sf):
     """Lines pre-aggregated per part (map-side), then joined to part and
     summed per category."""
     per_part = (table(spark, sf, "lineitem").groupBy("l_partkey")
-                .agg(F.count(F.lit(1)).alias("_n"), F.sum(net_price().cast("decimal(18,4)")).alias("_s")))
+                .agg(F.count(F.lit(1)).alias("_n"), F.sum(net_units()).alias("_s")))
     p = table(spark, sf, "part").select(F.col("p_partkey").alias("l_partkey"), "p_type")
     return (per_part.join(p, "l_partkey").groupBy("p_type")
-            .agg(F.sum("_n").alias("line_count"), F.sum("_s").cast("double").alias("revenue")))
+            .agg(F.sum("_n").alias("line_count"), (F.sum("_s") / 1e4).alias("revenue")))
 
 
 @register("g7_repeat_customers", """
@@ -161,15 +161,14 @@ SELECT c.c_mktsegment, {sql_dsum('o.o_totalprice')} AS revenue,
        CAST(SUM(CAST(o.o_totalprice AS DECIMAL(18,2)) * CAST(0.20 AS DECIMAL(3,2))) AS DOUBLE) AS profit
 FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey GROUP BY c.c_mktsegment""")
 def g10_profit_by_segment(spark, sf):
-    """Profit at a 20 % margin, kept in DECIMAL (``lit(Decimal)``) so the
-    multiplication does not fall back to double. Orders are pre-aggregated
-    per customer before the join."""
-    margin = F.lit("0.20").cast("decimal(3,2)")
+    """Profit at a 20 % margin, computed exactly (cents x 20 in 1e-4
+    units) rather than as ``double * 0.20``. Orders are pre-aggregated per
+    customer before the join."""
     per_cust = (_orders(spark, sf).groupBy(F.col("o_custkey").alias("c_custkey"))
-                .agg(F.sum(money("o_totalprice")).alias("_s"), F.sum(money("o_totalprice") * margin).alias("_p")))
+                .agg(F.sum(cents("o_totalprice")).alias("_s")))
     c = table(spark, sf, "customer").select("c_custkey", "c_mktsegment")
     return (per_cust.join(c, "c_custkey").groupBy("c_mktsegment")
-            .agg(F.sum("_s").cast("double").alias("revenue"), F.sum("_p").cast("double").alias("profit")))
+            .agg((F.sum("_s") / 100.0).alias("revenue"), (F.sum("_s") * 20 / 1e4).alias("profit")))
 
 
 @register("g11_product_performance", f"""
@@ -178,7 +177,7 @@ SELECT l_partkey, {sql_dsum(SQL_NET, 4)} AS revenue, SUM(l_quantity) AS total_qu
 FROM lineitem GROUP BY l_partkey""")
 def g11_product_performance(spark, sf):
     return (table(spark, sf, "lineitem").groupBy("l_partkey")
-            .agg(dsum(net_price(), 4).alias("revenue"), F.sum("l_quantity").alias("total_quantity"),
+            .agg(net_sum().alias("revenue"), F.sum("l_quantity").alias("total_quantity"),
                  F.count(F.lit(1)).alias("line_count"), F.count_distinct("l_orderkey").alias("order_count")))
 
 
@@ -191,11 +190,9 @@ FROM lineitem""")
 def g12_line_amounts(spark, sf):
     l = table(spark, sf, "lineitem")
     unit = l.l_extendedprice / l.l_quantity
-    net = net_price()
     return l.select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", unit.alias("unit_price"),
-                    net.cast("double").alias("net_amount"),
-                    (net * (F.lit(1).cast("decimal(3,2)") + F.col("l_tax").cast("decimal(18,2)"))).cast("double")
-                    .alias("gross_amount"))
+                    net_price().alias("net_amount"),
+                    (net_units() * (F.lit(100) + cents("l_tax")) / 1e6).alias("gross_amount"))
 
 
 @register("g13_region_rank", f"""
@@ -206,9 +203,9 @@ SELECT r_name, revenue, CAST(DENSE_RANK() OVER (ORDER BY revenue DESC) AS INTEGE
   GROUP BY r.r_name)""")
 def g13_region_rank(spark, sf):
     per_cust = (_orders(spark, sf).groupBy(F.col("o_custkey").alias("c_custkey"))
-                .agg(F.sum(money("o_totalprice")).alias("_s")))
+                .agg(F.sum(cents("o_totalprice")).alias("_s")))
     totals = (per_cust.join(_geo(spark, sf).select("c_custkey", "r_name"), "c_custkey")
-              .groupBy("r_name").agg(F.sum("_s").cast("double").alias("revenue")))
+              .groupBy("r_name").agg((F.sum("_s") / 100.0).alias("revenue")))
     return W.global_rank(totals, [("revenue", "desc")], "dense_rank", "region_rank")
 
 
@@ -235,7 +232,7 @@ def g14_sales_fact(spark, sf):
     return l.join(o, "l_orderkey").select(
         "l_orderkey", "l_linenumber", "o_custkey", "l_partkey", "l_suppkey",
         D.date_key("o_orderdate").alias("order_date_key"), D.date_key("l_shipdate").alias("ship_date_key"),
-        "l_quantity", net_price().cast("double").alias("net_amount"))
+        "l_quantity", net_price().alias("net_amount"))
 
 
 @register("g14_date_dimension", """
@@ -264,10 +261,10 @@ FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey GROUP BY 1, 2, 3""")
 def g16_sales_by_month_category(spark, sf):
     per = (table(spark, sf, "lineitem")
            .groupBy("l_partkey", D.year("l_shipdate").alias("year"), D.month("l_shipdate").alias("month"))
-           .agg(F.sum("l_quantity").alias("_q"), F.sum(net_price().cast("decimal(18,4)")).alias("_s")))
+           .agg(F.sum("l_quantity").alias("_q"), F.sum(net_units()).alias("_s")))
     p = table(spark, sf, "part").select(F.col("p_partkey").alias("l_partkey"), "p_type")
     return (per.join(p, "l_partkey").groupBy("year", "month", "p_type")
-            .agg(F.sum("_q").alias("quantity"), F.sum("_s").cast("double").alias("revenue")))
+            .agg(F.sum("_q").alias("quantity"), (F.sum("_s") / 1e4).alias("revenue")))
 
 
 @register("g17_supplier_scorecard", f"""

@@ -42,21 +42,26 @@ def rank_within(df: DataFrame, partition_by, order_by, method: str = "row_number
 
 def top_n_per_group(df: DataFrame, partition_by, order_by, n: int = 1,
                     method: str = "row_number", out: str | None = None,
-                    salt_buckets: int = 16, exact_rank: int | None = None) -> DataFrame:
+                    salt_buckets: int = 16, exact_rank: int | None = None,
+                    skew_safe="auto") -> DataFrame:
     """Rows whose per-group rank is ``<= n`` (``== exact_rank`` when given).
 
     ``method`` picks ties: ``row_number`` (one row per position; pass a total
     order), ``rank`` (ties share a rank, gaps follow), ``dense_rank``.
-    Stage 1 ranks inside ``(group, salt)`` sub-groups and keeps local rank
-    ``<= n``: a row's local rank never exceeds its group rank, so no row
+    With a hot group (or no group at all) ranking runs in two stages:
+    stage 1 ranks inside ``(group, salt)`` sub-groups and keeps local rank
+    ``<= n`` -- a row's local rank never exceeds its group rank, so no row
     that can qualify is dropped, and a hot group is spread over
-    ``salt_buckets`` tasks. Stage 2 ranks the few survivors per group.
+    ``salt_buckets`` tasks; stage 2 ranks the few survivors per group.
+    ``skew_safe="auto"`` measures first and skips stage 1 when no group
+    holds 5 % of the rows.
     """
     keys = sort_keys(order_by)
     parts = _cols(partition_by)
     fn = _RANKERS[method]
     limit = n if exact_rank is None else exact_rank
-    if salt_buckets and salt_buckets > 1:
+    salted = salt_buckets and salt_buckets > 1 and (not parts or _use_segments(df, parts, skew_safe))
+    if salted:
         salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(salt_buckets))
         staged = df.withColumn("_salt", salt)
         w1 = Window.partitionBy(*parts, "_salt").orderBy(*keys)
@@ -70,10 +75,12 @@ def top_n_per_group(df: DataFrame, partition_by, order_by, n: int = 1,
     return ranked if out else ranked.drop(col)
 
 
-def dedup_keep_first(df: DataFrame, keys, order_by, salt_buckets: int = 16) -> DataFrame:
+def dedup_keep_first(df: DataFrame, keys, order_by, salt_buckets: int = 16,
+                     skew_safe="auto") -> DataFrame:
     """One surviving row per key: the first by ``order_by`` (make it a
     total order for a deterministic survivor)."""
-    return top_n_per_group(df, keys, order_by, 1, "row_number", salt_buckets=salt_buckets)
+    return top_n_per_group(df, keys, order_by, 1, "row_number", salt_buckets=salt_buckets,
+                           skew_safe=skew_safe)
 
 
 def latest_per_entity(df: DataFrame, keys, ts_col: str, tie_break=None,
@@ -275,6 +282,34 @@ def global_rank(df: DataFrame, order_by, method: str = "rank", out: str = "rank"
             .drop("_lr", "_off", "_seg"))
 
 
+def global_ranks(df: DataFrame, order_by, outputs: dict, tie_break=None,
+                 segments: int | None = None) -> DataFrame:
+    """Several whole-table rankings from one segmentation. ``outputs`` maps
+    column name -> ``rank`` | ``dense_rank`` | ``row_number``; row numbers
+    follow ``order_by`` then ``tie_break``. Segments are cut on ``order_by``
+    only, so a tie group never straddles two segments and the row-number
+    refinement stays inside one segment."""
+    keys = sort_keys(order_by)
+    key_cols = key_names(order_by)
+    seg = range_segments(df, keys, segments)
+    w = Window.partitionBy("_seg").orderBy(*keys)
+    w_rn = Window.partitionBy("_seg").orderBy(*(keys + (sort_keys(tie_break) if tie_break else [])))
+    local = seg
+    for name, method in outputs.items():
+        local = local.withColumn(f"_l_{name}", _RANKERS[method]().over(w_rn if method == "row_number" else w))
+    stats = seg.groupBy("_seg").agg(
+        F.count(F.lit(1)).alias("_c"),
+        F.count_distinct(F.struct(*[F.col(c) for c in key_cols])).alias("_d"))
+    before = Window.orderBy("_seg").rowsBetween(Window.unboundedPreceding, -1)
+    offs = stats.select("_seg", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_oc"),
+                        F.coalesce(F.sum("_d").over(before), F.lit(0)).alias("_od"))
+    out = local.join(F.broadcast(offs), "_seg")
+    for name, method in outputs.items():
+        off = F.col("_od") if method == "dense_rank" else F.col("_oc")
+        out = out.withColumn(name, (F.col(f"_l_{name}") + off).cast("int")).drop(f"_l_{name}")
+    return out.drop("_seg", "_oc", "_od")
+
+
 def row_positions(df: DataFrame, order_by, out: str = "pos", segments: int | None = None) -> DataFrame:
     """0-based row position under an explicit order (pandas ``iloc``)."""
     return (global_rank(df, order_by, "row_number", "_rn", segments)

@@ -329,3 +329,27 @@ def test_describe_stacks_columns(spark):
     d = {r.column: r for r in Q.describe(df).collect()}
     assert (d["x"]["count"], d["x"].p25, d["x"].p50) == (4, 1.75, 2.5)
     assert (d["y"]["count"], d["y"].p50, d["y"]["max"]) == (3, 30.0, 40.0)
+
+
+def test_global_ranks_one_pass(spark):
+    rnd = random.Random(11)
+    data = [(i, rnd.randint(0, 40)) for i in range(700)]
+    df = spark.createDataFrame(data, "id int, v int")
+    out = W.global_ranks(df, [("v", "desc")], {"rk": "rank", "dr": "dense_rank", "rn": "row_number"},
+                         tie_break=["id"], segments=9).collect()
+    order = sorted(data, key=lambda d: (-d[1], d[0]))
+    vs = [d[1] for d in order]
+    dvs = sorted(set(vs), reverse=True)
+    pos = {d[0]: i + 1 for i, d in enumerate(order)}
+    for r in out:
+        assert r.rk == vs.index(r.v) + 1 and r.dr == dvs.index(r.v) + 1 and r.rn == pos[r.id]
+
+
+def test_top_n_auto_paths_agree(spark):
+    rnd = random.Random(2)
+    data = [(f"g{i % 50}", rnd.randint(0, 9), i) for i in range(3000)]
+    df = spark.createDataFrame(data, "g string, v int, id int")
+    a = rows(W.top_n_per_group(df, "g", [("v", "desc"), "id"], 2, skew_safe=True))
+    b = rows(W.top_n_per_group(df, "g", [("v", "desc"), "id"], 2, skew_safe=False))
+    c = rows(W.top_n_per_group(df, "g", [("v", "desc"), "id"], 2))
+    assert a == b == c and len(a) == 100

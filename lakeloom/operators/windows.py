@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeloom.operators._order import key_names, range_segments, sort_keys
+from lakeloom.operators._order import as_specs, key_names, range_segments, sort_keys
 
 _RANKERS = {"row_number": F.row_number, "rank": F.rank, "dense_rank": F.dense_rank}
 
@@ -78,7 +78,25 @@ def top_n_per_group(df: DataFrame, partition_by, order_by, n: int = 1,
 def dedup_keep_first(df: DataFrame, keys, order_by, salt_buckets: int = 16,
                      skew_safe="auto") -> DataFrame:
     """One surviving row per key: the first by ``order_by`` (make it a
-    total order for a deterministic survivor)."""
+    total order for a deterministic survivor).
+
+    When every order key has the same direction, the survivor is
+    ``min`` (or ``max``) of a struct of (order keys, other columns) per key:
+    a hash aggregate with map-side partial aggregation -- no sort, and a hot
+    key is reduced on every task before the shuffle. Struct comparison
+    matches the window order (NULL fields first ascending, last
+    descending). Mixed directions use the ranked path.
+    """
+    specs = as_specs(order_by)
+    names = key_names(specs) if all(isinstance(x, (str, tuple)) for x in specs) else None
+    dirs = {("desc" if isinstance(x, tuple) and x[1].lower().startswith("desc") else "asc") for x in specs}
+    if names is not None and len(dirs) == 1:
+        keys = _cols(keys)
+        rest = [c for c in df.columns if c not in keys and c not in names]
+        pick = F.max if dirs == {"desc"} else F.min
+        best = pick(F.struct(*[F.col(c) for c in names + rest])).alias("_best")
+        return df.groupBy(*keys).agg(best).select(*keys, *[F.col(f"_best.{c}").alias(c) for c in names + rest]) \
+            .select(*df.columns)
     return top_n_per_group(df, keys, order_by, 1, "row_number", salt_buckets=salt_buckets,
                            skew_safe=skew_safe)
 
@@ -107,17 +125,15 @@ def rows_at_group_extreme(df: DataFrame, keys, value_col: str, kind: str = "max"
 
 # W5-W8 ------------------------------------------------------------------
 def has_hot_group(df: DataFrame, keys, min_share: float = 0.05) -> bool:
-    """Whether one group holds at least ``min_share`` of the rows (one
-    count and one partial aggregate; at most one row reaches the driver)."""
+    """Whether one group holds at least ``min_share`` of the rows. One job:
+    per-key counts (partially aggregated), then their max and total; a
+    single row reaches the driver."""
     keys = _cols(keys)
     if not keys:
         return True
-    total = df.count()
-    if total == 0:
-        return False
-    hot = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-           .where(F.col("_n") >= F.lit(min_share * total)).limit(1).collect())
-    return bool(hot)
+    r = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+         .agg(F.max("_n").alias("mx"), F.sum("_n").alias("total")).first())
+    return bool(r["total"]) and r["mx"] >= min_share * r["total"]
 
 
 def _use_segments(df, partition_by, skew_safe) -> bool:

@@ -353,3 +353,13 @@ def test_top_n_auto_paths_agree(spark):
     b = rows(W.top_n_per_group(df, "g", [("v", "desc"), "id"], 2, skew_safe=False))
     c = rows(W.top_n_per_group(df, "g", [("v", "desc"), "id"], 2))
     assert a == b == c and len(a) == 100
+
+
+def test_dedup_aggregate_path_matches_window(spark):
+    rnd = random.Random(4)
+    data = [(i % 40, rnd.choice([None, 1, 2, 3]), rnd.randint(0, 5), i) for i in range(800)]
+    df = spark.createDataFrame(data, "k int, a int, b int, id int")
+    for order in (["a", "b", "id"], [("a", "desc"), ("b", "desc"), ("id", "desc")]):
+        agg = rows(W.dedup_keep_first(df, "k", order))
+        win = rows(W.top_n_per_group(df, "k", order, 1, skew_safe=False))
+        assert agg == win and len(agg) == 40

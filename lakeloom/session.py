@@ -48,14 +48,19 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
     The cluster names it in ``spark.checkpoint.dir``; that value always
-    wins. Only when it is unset (local tests) do we set one ourselves:
-    ``fallback`` or a fresh temporary folder.
+    wins. Only in local mode (tests, laptops), when it is unset, do we set
+    one ourselves: ``fallback`` or a fresh temporary folder. On a cluster a
+    machine-local folder would not survive the loss of an executor, so an
+    unset value is an error there.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
         current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a shared (distributed) folder; "
+                           "lakeloom writes checkpoints and intermediate layers there")
     path = fallback or tempfile.mkdtemp(prefix="lakeloom-ckpt-")
     os.makedirs(path, exist_ok=True)
     spark.conf.set("spark.checkpoint.dir", path)

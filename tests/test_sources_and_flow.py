@@ -73,3 +73,45 @@ def test_bronze_stream(spark, tmp_dir):
     q2 = bronze_stream(spark, src, schema, f"{tmp_dir}/sink", f"{tmp_dir}/ckpt", "tpch", "region")
     q2.awaitTermination(120)
     assert spark.read.parquet(f"{tmp_dir}/sink").count() == 5
+
+
+def test_ddl_insert_and_bounded_pulls(spark):
+    catalog.create_database(spark, "lakeloom_ddl")
+    catalog.create_table(spark, "lakeloom_ddl.departments",
+                         "dept_id BIGINT NOT NULL, dept_name STRING NOT NULL, location STRING")
+    rows = spark.createDataFrame([(10, "IT", "Mumbai"), (50, "Ops", None)], "dept_id long, dept_name string, location string")
+    catalog.insert_rows(spark, "lakeloom_ddl.departments", rows)
+    t = files.read_table(spark, "lakeloom_ddl.departments")
+    assert sorted(r.dept_id for r in t.collect()) == [10, 50]
+    assert len(files.take(t, 1)) == 1
+    it = files.iterate(t)
+    assert sorted(r.dept_id for r in it) == [10, 50]
+    assert catalog.shape(t) == (2, 3)
+
+
+def test_cached_releases(spark):
+    from lakeloom.operators import layout as L
+    df = spark.range(10)
+    with L.cached(df) as c:
+        assert c.is_cached
+    assert not df.is_cached
+
+
+def test_preprocessing_dispatcher(spark):
+    from lakeloom.operators import quality as Q
+    df = spark.createDataFrame([(1, "a", 1.0, 10.0), (2, "b", 2.0, 10.0), (3, "a", 3.0, 10.0), (4, None, 100.0, 10.0)],
+                               "id int, cat string, x double, const double")
+    enc = {r.id: r.cat_idx for r in Q.pre_processing(df, "label_encoding", col="cat").collect()}
+    assert enc[1] == enc[3] == 0.0 and enc[2] == 1.0
+    ohe = Q.pre_processing(df, "one_hot_encoding", col="cat")
+    assert "cat_ohe" in ohe.columns and ohe.count() == 4
+    sc = Q.pre_processing(df, "scaling", cols=["x"], kind="minmax").orderBy("id").collect()
+    assert sc[0].scaled[0] == 0.0 and sc[-1].scaled[0] == 1.0
+    sel = Q.pre_processing(df, "feature_selection", cols=["x", "const"]).first().selected
+    assert len(sel) == 1
+    tr, te = Q.pre_processing(spark.range(1000), "train_test_split", weights=[0.8, 0.2], seed=7)
+    assert tr.count() + te.count() == 1000
+    out = Q.pre_processing(df, "outliers", col="x").where("is_outlier").collect()
+    assert [r.id for r in out] == [4]
+    fe = Q.pre_processing(df, "feature_engineering", transforms={"x": "log"})
+    assert "x_log" in fe.columns

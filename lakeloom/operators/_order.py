@@ -49,7 +49,11 @@ def key_names(order_by) -> list[str]:
 
 
 def default_partitions(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    """Number of ordered segments: ``lakeloom.segments`` when the session
+    sets it (size it so one segment is a few hundred MB), else the shuffle
+    partition count."""
+    conf = df.sparkSession.conf
+    return int(conf.get("lakeloom.segments", None) or conf.get("spark.sql.shuffle.partitions"))
 
 
 def range_segments(df: DataFrame, keys: Sequence[Column], n: int | None = None,

@@ -448,9 +448,10 @@ def p17_composite_key_lookup(spark, sf):
         .select("o_orderkey")
 
 
-@register("p7_drop_rows_by_key", "SELECT r_regionkey, r_name FROM region WHERE r_regionkey NOT IN (0, 4)")
+@register("p7_drop_rows_by_key", "SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (0, 4, 1000)")
 def p7_drop_rows_by_key(spark, sf):
-    return P.drop_rows_by_key(table(spark, sf, "region"), "r_regionkey", [0, 4])
+    """pandas ``drop(index=[...])`` on an explicit key column."""
+    return P.drop_rows_by_key(table(spark, sf, "customer").select("c_custkey", "c_name"), "c_custkey", [0, 4, 1000])
 
 
 @register("p18_p21_banding_and_mapping", """

@@ -93,12 +93,15 @@ def describe_by(df: DataFrame, value_col: str, by=None, segments: int | None = N
     """pandas ``groupby(...)[col].describe()``: count, mean, std (sample),
     min, 25%/50%/75% (exact, linear interpolation), max."""
     by = _cols(by)
+    if not by:
+        # one global group: a constant key keeps the combination an equi join
+        return describe_by(df.withColumn("_all", F.lit(0)), value_col, ["_all"], segments).drop("_all")
     v = F.col(value_col).cast("double")
     basic = df.groupBy(*by).agg(
         F.count(v).alias("count"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"),
         F.min(v).alias("min"), F.max(v).alias("max"))
     q = exact_percentiles(df, value_col, [0.25, 0.5, 0.75], by, ["p25", "p50", "p75"], segments)
-    return basic.join(q, by, "left") if by else basic.crossJoin(q)
+    return basic.join(q, by, "left")
 
 
 # A19 / L6 ---------------------------------------------------------------

@@ -93,6 +93,8 @@ def box_stats(df: DataFrame, col: str, by=None, k: float = 1.5) -> DataFrame:
     """Box-plot numbers per group: quartiles, whiskers (most extreme values
     inside the fences) and outlier count."""
     by = _cols(by)
+    if not by:
+        return box_stats(df.withColumn("_all", F.lit(0)), col, ["_all"], k).drop("_all")
     b = iqr_bounds(df, col, by, k)
     j = _attach(df, b, by)
     x = F.col(col)
@@ -100,7 +102,7 @@ def box_stats(df: DataFrame, col: str, by=None, k: float = 1.5) -> DataFrame:
     stats = j.groupBy(*by).agg(
         F.min(F.when(inside, x)).alias("whisker_low"), F.max(F.when(inside, x)).alias("whisker_high"),
         F.count_if(x.isNotNull() & ~inside).alias("n_outliers"))
-    return b.join(stats, by) if by else b.crossJoin(stats)
+    return b.join(stats, by)
 
 
 # Q6 ---------------------------------------------------------------------

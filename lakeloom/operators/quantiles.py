@@ -63,7 +63,9 @@ def exact_percentiles(df: DataFrame, value_col: str, probs: Sequence[float],
     # rank only the segments that hold a wanted position
     needed = located.select(*group_cols, "_seg").distinct()
     w = Window.partitionBy(*group_cols, "_seg").orderBy("_v")
-    picked = (seg.join(F.broadcast(needed), group_cols + ["_seg"], "left_semi")
+    # ``needed`` has at most 2 * len(probs) rows per group; with many groups
+    # it is not small, so the join strategy is left to AQE
+    picked = (seg.join(needed, group_cols + ["_seg"], "left_semi")
               .withColumn("_k", F.row_number().over(w))
               .join(located, group_cols + ["_seg", "_k"])
               .select(*group_cols, "_r", "_v"))

@@ -13,7 +13,7 @@ from lakeloom.functions import nulls as N
 from lakeloom.functions import strings as S
 from lakeloom.operators import nulls as NO
 from lakeloom.operators import projection as P
-from lakeloom.plans._common import register, table
+from lakeloom.plans._common import dsum, register, table
 
 
 # ---------------------------------------------------------------- strings F1-F11
@@ -213,28 +213,36 @@ def n1_n13_null_expressions(spark, sf):
 
 @register("n2_n5_fill_and_drop", f"""
 WITH g AS {_GAPS_SQL}
-SELECT (SELECT COUNT(*) FROM g WHERE credit IS NOT NULL AND segment IS NOT NULL AND nation IS NOT NULL) AS rows_no_null,
-  (SELECT COUNT(*) FROM g WHERE NOT (credit IS NULL AND segment IS NULL AND nation IS NULL)) AS rows_not_all_null,
-  (SELECT COUNT(*) FROM g WHERE (CAST(credit IS NOT NULL AS INT) + CAST(segment IS NOT NULL AS INT)
-                                 + CAST(nation IS NOT NULL AS INT)) >= 2) AS rows_thresh_2,
-  (SELECT COUNT(*) FROM g WHERE credit IS NOT NULL) AS rows_credit_present,
-  (SELECT {'CAST(SUM(CAST(COALESCE(credit, 0) AS DECIMAL(18,2))) AS DOUBLE)'} FROM g) AS credit_filled_sum,
-  (SELECT COUNT(*) FROM g WHERE COALESCE(segment, 'unknown') = 'unknown') AS segment_unknown""")
+SELECT 'rows_no_null' AS metric, CAST(COUNT(*) AS DOUBLE) AS value FROM g
+  WHERE credit IS NOT NULL AND segment IS NOT NULL AND nation IS NOT NULL
+UNION ALL SELECT 'rows_not_all_null', COUNT(*) FROM g WHERE NOT (credit IS NULL AND segment IS NULL AND nation IS NULL)
+UNION ALL SELECT 'rows_thresh_2', COUNT(*) FROM g
+  WHERE (CAST(credit IS NOT NULL AS INT) + CAST(segment IS NOT NULL AS INT) + CAST(nation IS NOT NULL AS INT)) >= 2
+UNION ALL SELECT 'rows_credit_present', COUNT(*) FROM g WHERE credit IS NOT NULL
+UNION ALL SELECT 'credit_filled_sum', CAST(SUM(CAST(COALESCE(credit, 0) AS DECIMAL(18,2))) AS DOUBLE) FROM g
+UNION ALL SELECT 'segment_unknown', COUNT(*) FROM g WHERE COALESCE(segment, 'unknown') = 'unknown'""")
 def n2_n5_fill_and_drop(spark, sf):
+    """Row counts after each drop rule and totals after the fills, one row
+    per measure."""
     g = _gaps(spark, sf)
     sub = ["credit", "segment", "nation"]
     filled = NO.fill(g, mapping={"credit": 0.0, "segment": "unknown"})
+
+    def measure(name, df, value):
+        return df.agg(value.cast("double").alias("value")).select(F.lit(name).alias("metric"), "value")
+
+    n = F.count(F.lit(1))
     parts = [
-        NO.drop_null_rows(g, "any", sub).agg(F.count(F.lit(1)).alias("rows_no_null")),
-        NO.drop_null_rows(g, "all", sub).agg(F.count(F.lit(1)).alias("rows_not_all_null")),
-        NO.drop_null_rows(g, thresh=2, subset=sub).agg(F.count(F.lit(1)).alias("rows_thresh_2")),
-        NO.drop_null_rows(g, "any", ["credit"]).agg(F.count(F.lit(1)).alias("rows_credit_present")),
-        filled.agg(F.sum(F.col("credit").cast("decimal(18,2)")).cast("double").alias("credit_filled_sum"),
-                   F.count_if(F.col("segment") == "unknown").alias("segment_unknown")),
+        measure("rows_no_null", NO.drop_null_rows(g, "any", sub), n),
+        measure("rows_not_all_null", NO.drop_null_rows(g, "all", sub), n),
+        measure("rows_thresh_2", NO.drop_null_rows(g, thresh=2, subset=sub), n),
+        measure("rows_credit_present", NO.drop_null_rows(g, "any", ["credit"]), n),
+        measure("credit_filled_sum", filled, dsum("credit")),
+        measure("segment_unknown", filled, F.count_if(F.col("segment") == "unknown")),
     ]
     out = parts[0]
     for p in parts[1:]:
-        out = out.crossJoin(p)  # one-row aggregates side by side
+        out = out.unionByName(p)
     return out
 
 
@@ -263,57 +271,60 @@ def n14_threshold_treatment(spark, sf):
 
 
 # ---------------------------------------------------------------- arrays, structs, maps
-_LINES_SQL = """(SELECT l_orderkey, list_sort(list(l_partkey)) AS parts, list_sort(list(l_suppkey)) AS supps,
-  SUM(l_quantity) AS qty, MAX(l_quantity) AS max_qty, COUNT(*) AS n FROM lineitem GROUP BY l_orderkey)"""
+# Fixed value: Java's \\s class spelled out for the SQL engine.
+_SQL_WORDS = "regexp_extract_all({t}, '[^\\t\\n\\x0B\\f\\r ]+')"
+_TURNS_SQL = f"""(SELECT a.conv_id, a.turn, {_SQL_WORDS.format(t='a.text')} AS w, {_SQL_WORDS.format(t='b.text')} AS nw
+  FROM conversations a LEFT JOIN conversations b ON b.conv_id = a.conv_id AND b.turn = a.turn + 1)"""
 
 
-def _lines(spark, sf):
-    """Lines of each order as arrays. An order has a bounded number of lines
-    (the schema allows at most 7), so collecting them per order is safe."""
-    l = table(spark, sf, "lineitem")
-    return l.groupBy("l_orderkey").agg(
-        F.sort_array(F.collect_list("l_partkey")).alias("parts"),
-        F.sort_array(F.collect_list("l_suppkey")).alias("supps"),
-        F.collect_list(F.struct("l_linenumber", "l_partkey", "l_quantity")).alias("lines"))
+def _turn_words(spark, sf):
+    """Word arrays of every conversation turn and of the turn after it (a
+    self join on the unique (conversation, turn) key; the last turn has no
+    successor). Arrays come from each row's own text, never from
+    collecting a group."""
+    c = table(spark, sf, "conversations")
+    cur = c.select("conv_id", "turn", S.split_words("text").alias("w"))
+    nxt = c.select("conv_id", (F.col("turn") - 1).alias("turn"), S.split_words("text").alias("nw"))
+    return cur.join(nxt, ["conv_id", "turn"], "left")
 
 
 @register("c1_c24_array_functions", f"""
-SELECT l_orderkey, CAST(len(parts) AS INTEGER) AS n_lines, parts[1] AS first_part, parts[2] AS second_part,
-  parts[len(parts)] AS last_part, list_contains(parts, 1) AS has_part_1,
-  CAST(len(list_filter(parts, lambda x: x = parts[1])) AS INTEGER) AS first_part_count,
-  CAST(list_position(parts, parts[len(parts)]) - 1 AS INTEGER) AS last_part_index,
-  CAST(len(list_distinct(parts)) AS INTEGER) AS n_distinct_parts, list_reverse(parts)[1] AS max_part,
-  (parts[3:] || parts[:2])[1] AS rotated_first,
-  list_reduce(list_transform(parts, lambda x: x * 2), lambda a, b: a + b) AS doubled_sum,
-  CAST(len(list_filter(parts, lambda x: x % 2 = 0)) AS INTEGER) AS even_parts, list_max(supps) AS max_supp,
-  CAST(len(list_intersect(parts, supps)) AS INTEGER) AS n_common,
-  CAST(len(list_distinct(list_concat(parts, supps))) AS INTEGER) AS n_union,
-  CAST(len(list_filter(list_distinct(parts), lambda x: NOT list_contains(supps, x))) AS INTEGER) AS n_parts_only,
-  CAST(len(list_append(parts, 0)) AS INTEGER) AS appended_len, (parts[:1] || [-1] || parts[2:])[2] AS inserted_second,
-  CAST(len(parts) - 1 AS INTEGER) AS removed_len, parts[len(parts) - 1] AS popped_last_is,
-  CAST(len(flatten([parts, supps])) AS INTEGER) AS flat_len, qty AS total_qty, max_qty
-FROM {_LINES_SQL}""")
+SELECT conv_id, turn, CAST(len(w) AS INTEGER) AS n_words, w[1] AS first_word, w[2] AS second_word, w[-1] AS last_word,
+  list_contains(w, 'the') AS has_the, CAST(len(list_filter(w, lambda x: x = w[1])) AS INTEGER) AS first_word_count,
+  CAST(list_position(w, w[-1]) - 1 AS INTEGER) AS last_word_index, CAST(len(list_distinct(w)) AS INTEGER) AS n_distinct,
+  list_reverse(w)[1] AS reversed_first, CASE WHEN len(w) > 0 THEN w[(2 % len(w)) + 1] END AS rotated_first,
+  CAST(COALESCE(list_sum(list_transform(w, lambda x: length(x))), 0) AS INTEGER) AS total_len,
+  CAST(len(list_filter(w, lambda x: length(x) % 2 = 0)) AS INTEGER) AS even_len_words,
+  CAST(list_max(list_transform(w, lambda x: length(x))) AS INTEGER) AS max_len,
+  CASE WHEN nw IS NOT NULL THEN CAST(len(list_intersect(w, nw)) AS INTEGER) END AS n_common,
+  CASE WHEN nw IS NOT NULL THEN CAST(len(list_distinct(list_concat(w, nw))) AS INTEGER) END AS n_union,
+  CASE WHEN nw IS NOT NULL THEN CAST(len(list_filter(list_distinct(w), lambda x: NOT list_contains(nw, x))) AS INTEGER) END AS n_only_here,
+  CAST(len(w) + 1 AS INTEGER) AS appended_len, CASE WHEN len(w) >= 1 THEN '<x>' END AS inserted_second,
+  CASE WHEN len(w) >= 1 THEN CAST(len(w) - 1 AS INTEGER) END AS removed_len,
+  CASE WHEN len(w) >= 2 THEN w[len(w) - 1] END AS popped_last,
+  CAST(len(w) + COALESCE(len(nw), 0) AS INTEGER) AS flat_len
+FROM {_TURNS_SQL}""")
 def c1_c24_array_functions(spark, sf):
-    o = _lines(spark, sf)
-    parts, supps = F.col("parts"), F.col("supps")
-    qtys = F.transform("lines", lambda s: s["l_quantity"])
-    return o.select(
-        "l_orderkey", F.size(parts).alias("n_lines"), C.item(parts, 0).alias("first_part"),
-        C.safe_item(parts, 1).alias("second_part"), C.safe_item(parts, -1).alias("last_part"),
-        C.contains(parts, 1).alias("has_part_1"), C.count_value(parts, C.item(parts, 0)).alias("first_part_count"),
-        C.index_of(parts, C.safe_item(parts, -1)).alias("last_part_index"),
-        F.size(C.distinct_keep_order(parts)).alias("n_distinct_parts"), C.item(C.reverse(parts), 0).alias("max_part"),
-        C.item(C.rotate_left(parts, 2), 0).alias("rotated_first"),
-        C.reduce_array(C.map_array(parts, lambda x: x * 2), F.lit(0).cast("long"), lambda a, b: a + b).alias("doubled_sum"),
-        F.size(C.filter_array(parts, lambda x: x % 2 == 0)).alias("even_parts"), C.array_max(supps).alias("max_supp"),
-        F.size(C.intersect(parts, supps)).alias("n_common"), F.size(C.union(parts, supps)).alias("n_union"),
-        F.size(C.except_(parts, supps)).alias("n_parts_only"),
-        F.size(C.append(parts, F.lit(0).cast("long"))).alias("appended_len"),
-        C.item(C.insert_at(parts, 1, F.lit(-1).cast("long")), 1).alias("inserted_second"),
-        F.size(C.remove_first(parts, C.item(parts, 0))).alias("removed_len"),
-        C.safe_item(C.pop(parts, -1), -1).alias("popped_last_is"),
-        F.size(C.flatten(F.array(parts, supps))).alias("flat_len"),
-        C.reduce_array(qtys, F.lit(0.0), lambda a, b: a + b).alias("total_qty"), C.array_max(qtys).alias("max_qty"))
+    t = _turn_words(spark, sf)
+    w, nw = F.col("w"), F.col("nw")
+    lens = C.map_array(w, F.length)
+    return t.select(
+        "conv_id", "turn", F.size(w).alias("n_words"), C.safe_item(w, 0).alias("first_word"),
+        C.safe_item(w, 1).alias("second_word"), C.safe_item(w, -1).alias("last_word"),
+        C.contains(w, "the").alias("has_the"), C.count_value(w, C.safe_item(w, 0)).alias("first_word_count"),
+        C.index_of(w, C.safe_item(w, -1)).alias("last_word_index"),
+        F.size(C.distinct_keep_order(w)).alias("n_distinct"), C.safe_item(C.reverse(w), 0).alias("reversed_first"),
+        C.safe_item(C.rotate_left(w, 2), 0).alias("rotated_first"),
+        C.reduce_array(lens, F.lit(0), lambda a, b: a + b).alias("total_len"),
+        F.size(C.filter_array(w, lambda x: F.length(x) % 2 == 0)).alias("even_len_words"),
+        C.array_max(lens).alias("max_len"),
+        F.size(C.intersect(w, nw)).alias("n_common"), F.size(C.union(w, nw)).alias("n_union"),
+        F.size(C.except_(w, nw)).alias("n_only_here"),
+        F.size(C.append(w, "END")).alias("appended_len"),
+        C.safe_item(C.insert_at(w, 1, F.lit("<x>")), 1).alias("inserted_second"),
+        F.size(C.remove_first(w, C.safe_item(w, 0))).alias("removed_len"),
+        C.safe_item(C.pop(w, -1), -1).alias("popped_last"),
+        F.size(C.flatten(F.array(w, F.coalesce(nw, F.array().cast("array<string>"))))).alias("flat_len"))
 
 
 @register("c2_c17_embedding_functions", """
@@ -347,13 +358,15 @@ def c6_c8_posexplode(spark, sf):
     return table(spark, sf, "embeddings").select("vec_id", F.posexplode("embedding").alias("pos", "value"))
 
 
-@register("c9_c11_nested_explode", """
-SELECT l_orderkey, unnest(flatten([parts, supps])) AS key FROM (
-  SELECT l_orderkey, list(l_partkey) AS parts, list(l_suppkey) AS supps FROM lineitem GROUP BY l_orderkey)""")
+@register("c9_c11_nested_explode", f"""
+SELECT conv_id, turn, unnest(flatten([w, COALESCE(nw, [])])) AS word FROM {_TURNS_SQL}""")
 def c9_c11_nested_explode(spark, sf):
-    """Explode of an explode: an array of two arrays per order, unnested twice."""
-    o = _lines(spark, sf).select("l_orderkey", F.array("parts", "supps").alias("nested"))
-    return o.select("l_orderkey", F.explode("nested").alias("inner")).select("l_orderkey", F.explode("inner").alias("key"))
+    """Explode of an explode: per turn, an array of two word arrays (this
+    turn, next turn), unnested twice."""
+    t = _turn_words(spark, sf).select(
+        "conv_id", "turn", F.array("w", F.coalesce("nw", F.array().cast("array<string>"))).alias("nested"))
+    return t.select("conv_id", "turn", F.explode("nested").alias("inner")).select(
+        "conv_id", "turn", F.explode("inner").alias("word"))
 
 
 @register("c4_c22_map_functions", """
@@ -365,8 +378,9 @@ SELECT l_orderkey, COALESCE(SUM(CASE WHEN l_returnflag = 'R' THEN 1 END), NULL)
 FROM lineitem l GROUP BY l_orderkey""")
 def c4_c22_map_functions(spark, sf):
     """Per order, a map return flag -> line count built with
-    ``map_from_entries``; then lookup, keys, key test, value filter and a
-    value reduction."""
+    ``map_from_entries`` (at most one entry per return flag: the map's size
+    is bounded by the flag domain, not by the order); then lookup, keys,
+    key test, value filter and a value reduction."""
     l = table(spark, sf, "lineitem")
     counts = l.groupBy("l_orderkey", "l_returnflag").agg(F.count(F.lit(1)).alias("n"))
     m = counts.groupBy("l_orderkey").agg(F.map_from_entries(F.collect_list(F.struct("l_returnflag", "n"))).alias("m"))

@@ -9,6 +9,7 @@ bounds: Spark then issues ``num_partitions`` range queries in parallel.
 from __future__ import annotations
 
 import datetime as _dt
+import re
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,7 +33,10 @@ def read_jdbc(spark: SparkSession, url: str, table: str, properties: Mapping[str
 def discover_tables(spark: SparkSession, url: str, properties: Mapping[str, str],
                     schema: str, table_type: str = "BASE TABLE") -> list[str]:
     """Names of tables in a database schema from ``INFORMATION_SCHEMA``.
-    The list is small (table names, not data), so it is collected."""
+    The list is small (table names, not data), so it is collected. The
+    schema name and table type are validated before they enter SQL text."""
+    if not re.fullmatch(r"[A-Za-z_][A-Za-z0-9_$]*", schema) or not re.fullmatch(r"[A-Z ]+", table_type):
+        raise ValueError("schema must be a plain identifier and table_type upper-case words")
     q = ("(SELECT TABLE_SCHEMA, TABLE_NAME FROM INFORMATION_SCHEMA.TABLES "
          f"WHERE TABLE_SCHEMA = '{schema}' AND TABLE_TYPE = '{table_type}') AS tbl")
     rows = read_jdbc(spark, url, q, properties).collect()

@@ -288,3 +288,36 @@ def x4_pandas_udf_discount(spark, sf):
     l = table(spark, sf, "lineitem")
     d = discounted_pandas(F.col("l_extendedprice")).cast("decimal(18,4)")
     return l.groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n"), F.sum(d).cast("double").alias("discounted"))
+
+
+# ---------------------------------------------------------------- S6-S9 (sinks and scans)
+def _scratch(spark, name: str) -> str:
+    """A fresh folder under the shared checkpoint folder."""
+    import uuid
+
+    from lakeloom.session import checkpoint_dir
+    return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@register("s6_s7_csv_roundtrip", "SELECT * FROM orders")
+def s6_s7_csv_roundtrip(spark, sf):
+    """Orders written as CSV with a header and read back with the explicit
+    schema (no inference pass): the rows are unchanged."""
+    from lakeloom.sources import files
+    o = table(spark, sf, "orders")
+    path = _scratch(spark, "orders-csv")
+    files.write_csv(o, path)
+    return files.read_csv(spark, path, schema=o.schema)
+
+
+@register("s8_s9_partitioned_parquet", """
+SELECT *, CAST(year(o_orderdate) AS INTEGER) AS order_year FROM orders
+WHERE o_orderdate >= DATE '1998-01-01' AND o_orderdate < DATE '1999-01-01'""")
+def s8_s9_partitioned_parquet(spark, sf):
+    """Orders written as Parquet partitioned by order year; reading one year
+    back prunes to that directory (``PartitionFilters``)."""
+    from lakeloom.sources import files
+    o = table(spark, sf, "orders").withColumn("order_year", F.year("o_orderdate"))
+    path = _scratch(spark, "orders-by-year")
+    files.write_parquet(o, path, partition_by=["order_year"])
+    return files.read_parquet(spark, path).where(F.col("order_year") == 1998)

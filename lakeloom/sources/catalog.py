@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import io
 import re
 from collections.abc import Sequence
 
@@ -54,8 +56,11 @@ def shape(df: DataFrame) -> tuple[int, int]:
 
 
 def explain_plan(df: DataFrame, mode: str = "formatted") -> str:
-    """The plan text (what ``df.explain(mode)`` prints)."""
-    return df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), mode)
+    """The plan text that ``df.explain(mode)`` prints, as a string."""
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain(mode=mode)
+    return buf.getvalue()
 
 
 def synthetic(spark: SparkSession, n: int, columns: dict[str, str], partitions: int | None = None) -> DataFrame:

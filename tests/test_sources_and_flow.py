@@ -25,7 +25,7 @@ def test_partitioned_parquet_prunes(spark, tmp_dir):
     o = spark.read.parquet(f"{SF}/orders.parquet").withColumn("year", F.year("o_orderdate"))
     files.write_parquet(o, f"{tmp_dir}/o", partition_by=["year"])
     back = files.read_parquet(spark, f"{tmp_dir}/o").where("year = 1998")
-    plan = back._jdf.queryExecution().executedPlan().toString()
+    plan = catalog.explain_plan(back)
     assert "PartitionFilters: [isnotnull(year" in plan
     assert back.count() == o.where("year = 1998").count()
 

@@ -110,14 +110,20 @@ def second(c) -> Column:
 
 
 # T10 --------------------------------------------------------------------
+def ntz_literal(ts: _dt.datetime | str) -> Column:
+    """A wall-clock TIMESTAMP_NTZ literal, independent of the Python process
+    and Spark session time zones (a naive ``datetime`` passed to ``lit``
+    would be read as process-local time and shown in the session zone)."""
+    text = ts if isinstance(ts, str) else ts.isoformat(sep=" ")
+    return F.lit(text).cast("timestamp_ntz")
+
+
 def run_time(ts: _dt.datetime | str | None = None) -> Column:
     """The pipeline's run time: a literal passed in by the caller so results
     are reproducible; ``current_timestamp()`` only when none is given."""
     if ts is None:
         return F.current_timestamp()
-    if isinstance(ts, str):
-        return F.to_timestamp(F.lit(ts))
-    return F.lit(ts)
+    return ntz_literal(ts)
 
 
 def run_date(d: _dt.date | str | None = None) -> Column:

@@ -173,14 +173,15 @@ def audit(spark: SparkSession, tables: Mapping[str, DataFrame], run_ts: _dt.date
         try:
             aggs = [F.count(F.lit(1)).alias("n")]
             if dc:
-                aggs.append(F.max(F.col(dc)).cast("timestamp").alias("mx"))
+                aggs.append(F.max(F.col(dc)).cast("timestamp_ntz").alias("mx"))
             r = df.agg(*aggs).first()
             rows.append((name, layer, r["n"], "SUCCESS", r["mx"] if dc else None, run_ts))
         except Exception:  # noqa: BLE001
             rows.append((name, layer, None, "FAILED", None, run_ts))
+    # wall-clock (NTZ) timestamps: the audit reads the same in any session zone
     return spark.createDataFrame(
         rows, "table_name string, layer string, row_count long, status string, "
-              "max_business_ts timestamp, run_ts timestamp")
+              "max_business_ts timestamp_ntz, run_ts timestamp_ntz")
 
 
 # Q11 --------------------------------------------------------------------

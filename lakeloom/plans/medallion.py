@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeloom.functions import strings as S
+from lakeloom.functions.dates import ntz_literal
 from lakeloom.operators import projection as P
 from lakeloom.operators import quality as Q
 from lakeloom.operators import windows as W
@@ -37,7 +38,7 @@ LINEAGE = ("ingestion_timestamp", "source_system", "source_table")
 
 def bronze(df: DataFrame, source_system: str, source_table: str, run_ts: _dt.datetime) -> DataFrame:
     return df.withColumns({
-        "ingestion_timestamp": F.lit(run_ts).cast("timestamp_ntz"),
+        "ingestion_timestamp": ntz_literal(run_ts),
         "source_system": F.lit(source_system),
         "source_table": F.lit(source_table),
     })

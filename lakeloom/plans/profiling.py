@@ -127,8 +127,7 @@ def q8_validate_load(spark, sf):
     for t in ("customer", "orders", "lineitem", "part")))
 def q9_bronze_audit(spark, sf):
     tabs = {t: table(spark, sf, t) for t in ("customer", "orders", "lineitem", "part")}
-    return Q.audit(spark, tabs, RUN_TS, "bronze").withColumn("run_ts", F.col("run_ts").cast("timestamp_ntz")) \
-        .withColumn("max_business_ts", F.col("max_business_ts").cast("timestamp_ntz"))
+    return Q.audit(spark, tabs, RUN_TS, "bronze")
 
 
 @register("q10_gold_audit", """
@@ -137,9 +136,7 @@ SELECT 'orders' AS table_name, 'gold' AS layer, COUNT(*) AS row_count, 'SUCCESS'
 UNION ALL SELECT 'lineitem', 'gold', COUNT(*), 'SUCCESS', MAX(l_shipdate), TIMESTAMP '2024-01-01 00:00:00' FROM lineitem""")
 def q10_gold_audit(spark, sf):
     tabs = {"orders": table(spark, sf, "orders"), "lineitem": table(spark, sf, "lineitem")}
-    out = Q.audit(spark, tabs, RUN_TS, "gold", {"orders": "o_orderdate", "lineitem": "l_shipdate"})
-    return out.withColumn("run_ts", F.col("run_ts").cast("timestamp_ntz")) \
-        .withColumn("max_business_ts", F.col("max_business_ts").cast("timestamp_ntz"))
+    return Q.audit(spark, tabs, RUN_TS, "gold", {"orders": "o_orderdate", "lineitem": "l_shipdate"})
 
 
 @register("q11_key_checks", """

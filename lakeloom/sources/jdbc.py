@@ -15,6 +15,8 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakeloom.functions.dates import ntz_literal
+
 
 def read_jdbc(spark: SparkSession, url: str, table: str, properties: Mapping[str, str],
               partition_column: str | None = None, lower_bound: int | None = None,
@@ -58,7 +60,7 @@ def ingest_tables(spark: SparkSession, reader: Callable[[str], DataFrame], names
         target = name.split(".")[-1].lower()
         try:
             df = reader(name).withColumns({
-                "ingestion_timestamp": F.lit(run_ts).cast("timestamp"),
+                "ingestion_timestamp": ntz_literal(run_ts),
                 "source_system": F.lit(source_system),
                 "source_table": F.lit(name),
             })
@@ -67,4 +69,4 @@ def ingest_tables(spark: SparkSession, reader: Callable[[str], DataFrame], names
         except Exception as e:  # noqa: BLE001 - record and continue
             log.append((name, target, "FAILED", str(e).splitlines()[0][:500], run_ts))
     return spark.createDataFrame(log, "source_table string, target_table string, status string, "
-                                      "error string, run_ts timestamp")
+                                      "error string, run_ts timestamp_ntz")

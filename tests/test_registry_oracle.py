@@ -45,3 +45,18 @@ def test_report_matches_oracle(spark, con, name):
     dcols, dbag = table_rows([d[0] for d in res.description], res.fetchall())
     assert scols == dcols
     assert sbag == dbag, (list((sbag - dbag).items())[:2], list((dbag - sbag).items())[:2])
+
+
+@pytest.mark.parametrize("name", ["q9_bronze_audit", "q10_gold_audit", "med_bronze_customer", "t9_t11_time_functions",
+                                  "t1_t11_date_functions", "r5_resample_weekly"])
+def test_reports_do_not_depend_on_session_time_zone(spark, con, name):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
+    try:
+        df = QUERIES[name](spark, SF)
+        scols, sbag = table_rows(df.columns, df.collect())
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    res = con.execute(SQL[name])
+    dcols, dbag = table_rows([d[0] for d in res.description], res.fetchall())
+    assert scols == dcols and sbag == dbag

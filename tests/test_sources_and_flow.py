@@ -115,3 +115,20 @@ def test_preprocessing_dispatcher(spark):
     assert [r.id for r in out] == [4]
     fe = Q.pre_processing(df, "feature_engineering", transforms={"x": "log"})
     assert "x_log" in fe.columns
+
+
+def test_dynamic_partition_pruning_on_partition_key(spark, tmp_dir):
+    """Joining on the partition column lets Spark prune fact partitions from
+    the filtered dimension at run time."""
+    li = spark.read.parquet(f"{SF}/lineitem.parquet").withColumn("ship_year", F.year("l_shipdate"))
+    files.write_parquet(li, f"{tmp_dir}/li", partition_by=["ship_year"])
+    cal = spark.createDataFrame([(y, "recent" if y >= 2000 else "old") for y in range(1990, 2005)],
+                                "ship_year int, era string")
+    files.write_parquet(cal, f"{tmp_dir}/cal")
+    fact = files.read_parquet(spark, f"{tmp_dir}/li")
+    years = files.read_parquet(spark, f"{tmp_dir}/cal")
+    # the 15-row calendar is the broadcast side; the fact is probed and pruned
+    j = fact.join(F.broadcast(years.where(F.col("era") == "recent")), "ship_year").groupBy("ship_year").count()
+    plan = catalog.explain_plan(j, "formatted")
+    assert "dynamicpruningexpression" in plan
+    assert j.count() == li.where("ship_year >= 2000").select("ship_year").distinct().count()

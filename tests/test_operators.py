@@ -364,3 +364,22 @@ def test_dedup_aggregate_path_matches_window(spark):
         agg = rows(W.dedup_keep_first(df, "k", order))
         win = rows(W.top_n_per_group(df, "k", order, 1, skew_safe=False))
         assert agg == win and len(agg) == 40
+
+
+def test_zorder_narrows_file_ranges(spark, tmp_dir):
+    """After Z-order clustering each file covers a small box in both columns,
+    so min/max statistics can skip files for filters on either column."""
+    df = spark.range(20000).select((F.col("id") * 7919 % 1000).alias("a"), (F.col("id") * 104729 % 1000).alias("b"))
+    L.zorder_write(df, f"{tmp_dir}/z", ["a", "b"], bits=4, files=16)
+    df.repartition(16).write.parquet(f"{tmp_dir}/r")
+
+    def mean_span(path):
+        t = spark.read.parquet(path).select("a", "b", "_metadata.file_path")
+        per = t.groupBy("file_path").agg((F.max("a") - F.min("a")).alias("sa"), (F.max("b") - F.min("b")).alias("sb"))
+        r = per.agg(F.avg("sa").alias("a"), F.avg("sb").alias("b")).first()
+        return r.a, r.b
+
+    za, zb = mean_span(f"{tmp_dir}/z")
+    ra, rb = mean_span(f"{tmp_dir}/r")
+    assert za < 0.5 * ra and zb < 0.5 * rb
+    assert rows(spark.read.parquet(f"{tmp_dir}/z")) == rows(df)

@@ -38,6 +38,11 @@ def join(left: DataFrame, right: DataFrame, on, how: str = "inner",
     """
     how = JOIN_TYPES[how]
     keys = _cols(on)
+    if how in ("left_semi", "left_anti"):
+        # only key existence matters: dedup the right keys first (a partial,
+        # map-side aggregate), so a key repeated many times -- or one hot key
+        # -- crosses the shuffle once per task instead of once per row
+        right = right.select(*keys).distinct()
     if not null_safe:
         return left.join(right, keys, how)
     l, r = left.alias("_l"), right.alias("_r")

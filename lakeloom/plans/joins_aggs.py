@@ -38,9 +38,10 @@ SELECT c.c_custkey, c.c_name, COUNT(*) AS orders_1998, {sql_dsum('o.o_totalprice
 FROM customer c JOIN orders o ON o.o_custkey = c.c_custkey WHERE {_O98.replace('o_orderdate', 'o.o_orderdate')}
 GROUP BY c.c_custkey, c.c_name""")
 def j1_inner_join(spark, sf):
-    return (J.join(_cust(spark, sf).select("c_custkey", "c_name"), _orders_in(spark, sf, 1998), "c_custkey", "inner")
-            .groupBy("c_custkey", "c_name")
-            .agg(F.count(F.lit(1)).alias("orders_1998"), dsum("o_totalprice").alias("spend_1998")))
+    """1998 orders reduced per customer (map-side) before the inner join."""
+    per = (_orders_in(spark, sf, 1998).groupBy("c_custkey")
+           .agg(F.count(F.lit(1)).alias("orders_1998"), dsum("o_totalprice").alias("spend_1998")))
+    return J.join(_cust(spark, sf).select("c_custkey", "c_name"), per, "c_custkey", "inner")
 
 
 @register("j2_left_join", f"""
@@ -48,10 +49,12 @@ SELECT c.c_custkey, COUNT(o.o_orderkey) AS orders_1998, {sql_dsum('o.o_totalpric
 FROM customer c LEFT JOIN (SELECT * FROM orders WHERE {_O98}) o ON o.o_custkey = c.c_custkey
 GROUP BY c.c_custkey""")
 def j2_left_join(spark, sf):
-    """Every customer, with 0 orders / NULL spend when none in 1998 (A10)."""
-    return (J.join(_cust(spark, sf).select("c_custkey"), _orders_in(spark, sf, 1998), "c_custkey", "left")
-            .groupBy("c_custkey")
-            .agg(F.count("o_orderkey").alias("orders_1998"), dsum("o_totalprice").alias("spend_1998")))
+    """Every customer, with 0 orders / NULL spend when none in 1998 (A10).
+    Orders are reduced per customer first, so the join does not fan out."""
+    per = (_orders_in(spark, sf, 1998).groupBy("c_custkey")
+           .agg(F.count(F.lit(1)).alias("_n"), dsum("o_totalprice").alias("spend_1998")))
+    return (J.join(_cust(spark, sf).select("c_custkey"), per, "c_custkey", "left")
+            .select("c_custkey", F.coalesce("_n", F.lit(0)).alias("orders_1998"), "spend_1998"))
 
 
 @register("j3_right_join", """
@@ -59,10 +62,13 @@ SELECT n.n_nationkey, n.n_name, COUNT(s.s_suppkey) AS premium_suppliers
 FROM (SELECT * FROM supplier WHERE s_acctbal > 9000) s RIGHT JOIN nation n ON s.s_nationkey = n.n_nationkey
 GROUP BY n.n_nationkey, n.n_name""")
 def j3_right_join(spark, sf):
-    s = table(spark, sf, "supplier").where(F.col("s_acctbal") > 9000).select(
-        F.col("s_nationkey").alias("n_nationkey"), "s_suppkey")
+    """Premium suppliers counted per nation first (a partial aggregate: with
+    25 nation keys a row-level join would use only 25 tasks), then right
+    joined so every nation appears."""
+    s = (table(spark, sf, "supplier").where(F.col("s_acctbal") > 9000)
+         .groupBy(F.col("s_nationkey").alias("n_nationkey")).agg(F.count(F.lit(1)).alias("_n")))
     return (J.join(s, table(spark, sf, "nation").select("n_nationkey", "n_name"), "n_nationkey", "right")
-            .groupBy("n_nationkey", "n_name").agg(F.count("s_suppkey").alias("premium_suppliers")))
+            .select("n_nationkey", "n_name", F.coalesce("_n", F.lit(0)).alias("premium_suppliers")))
 
 
 @register("j4_full_join", f"""
@@ -307,12 +313,16 @@ SELECT n.n_nationkey, COUNT(c.c_custkey) AS premium_customers, {sql_dsum('c.c_ac
 FROM nation n LEFT JOIN (SELECT * FROM customer WHERE c_acctbal > 9900) c ON c.c_nationkey = n.n_nationkey
 GROUP BY n.n_nationkey""")
 def a10_aggregate_after_outer_join(spark, sf):
-    """Empty groups are kept: count 0, sum and average NULL."""
-    c = _cust(spark, sf).where(F.col("c_acctbal") > 9900).select(F.col("c_nationkey").alias("n_nationkey"), "c_custkey", "c_acctbal")
+    """Empty groups are kept: count 0, sum and average NULL. Customers are
+    aggregated per nation before the outer join (the nation side has 25
+    rows; joining rows first would funnel them into 25 tasks)."""
+    c = (_cust(spark, sf).where(F.col("c_acctbal") > 9900)
+         .groupBy(F.col("c_nationkey").alias("n_nationkey"))
+         .agg(F.count(F.lit(1)).alias("_n"), F.sum(cents("c_acctbal")).alias("_s")))
     n = table(spark, sf, "nation").select("n_nationkey")
-    return (n.join(c, "n_nationkey", "left").groupBy("n_nationkey")
-            .agg(F.count("c_custkey").alias("premium_customers"), dsum("c_acctbal").alias("premium_balance"),
-                 F.when(F.count("c_acctbal") > 0, davg("c_acctbal")).alias("avg_premium_balance")))
+    return n.join(c, "n_nationkey", "left").select(
+        "n_nationkey", F.coalesce("_n", F.lit(0)).alias("premium_customers"),
+        (F.col("_s") / 100.0).alias("premium_balance"), (F.col("_s") / 100.0 / F.col("_n")).alias("avg_premium_balance"))
 
 
 @register("a11_rounded_average", """

@@ -144,7 +144,7 @@ SELECT c_custkey, c_name FROM customer c WHERE NOT EXISTS (
   AND o.o_orderdate >= DATE '1998-01-01' AND o.o_orderdate < DATE '1999-01-01')""")
 def g9_customers_without_orders_1998(spark, sf):
     o98 = _orders(spark, sf).where(D.in_year("o_orderdate", 1998)).select(F.col("o_custkey").alias("c_custkey"))
-    return table(spark, sf, "customer").select("c_custkey", "c_name").join(o98, "c_custkey", "left_anti")
+    return J.join(table(spark, sf, "customer").select("c_custkey", "c_name"), o98, "c_custkey", "left_anti")
 
 
 @register("g9_parts_not_shipped_1998", """
@@ -153,7 +153,7 @@ SELECT p_partkey, p_name FROM part p WHERE NOT EXISTS (
   AND l.l_shipdate >= DATE '1998-01-01' AND l.l_shipdate < DATE '1999-01-01')""")
 def g9_parts_not_shipped_1998(spark, sf):
     l98 = table(spark, sf, "lineitem").where(D.in_year("l_shipdate", 1998)).select(F.col("l_partkey").alias("p_partkey"))
-    return table(spark, sf, "part").select("p_partkey", "p_name").join(l98, "p_partkey", "left_anti")
+    return J.join(table(spark, sf, "part").select("p_partkey", "p_name"), l98, "p_partkey", "left_anti")
 
 
 @register("g10_profit_by_segment", f"""

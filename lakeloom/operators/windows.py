@@ -34,12 +34,40 @@ def _cols(x) -> list[str]:
 
 # W1-W3, W9, W11-W14, W16 ------------------------------------------------
 def rank_within(df: DataFrame, partition_by, order_by, method: str = "row_number",
-                out: str = "rank") -> DataFrame:
-    """Plain per-group ranking column (every row kept)."""
+                out: str = "rank", skew_safe="auto") -> DataFrame:
+    """Per-group ranking column (every row kept). With a group too large
+    for one task (see ``has_hot_group``) the ranking runs in ordered
+    segments: local ranks inside (group, segment) plus, for the groups that
+    continue across a segment edge, the row count (or distinct-key count for
+    ``dense_rank``) of their earlier segments."""
+    if _use_segments(df, partition_by, skew_safe):
+        return segmented_rank_within(df, partition_by, order_by, method, out)
     w = Window.partitionBy(*_cols(partition_by)).orderBy(*sort_keys(order_by))
     return df.withColumn(out, _RANKERS[method]().over(w))
 
 
+def segmented_rank_within(df: DataFrame, partition_by, order_by, method: str = "row_number",
+                          out: str = "rank", segments: int | None = None) -> DataFrame:
+    keys = _cols(partition_by)
+    okeys = sort_keys(order_by)
+    seg = range_segments(df, [F.col(k) for k in keys] + okeys, segments)
+    w = Window.partitionBy(*keys, "_seg").orderBy(*okeys)
+    local = seg.withColumn("_lr", _RANKERS[method]().over(w))
+    # only groups at a segment edge continue into other segments: at most two
+    # per segment, so the offset table is bounded by the segment count
+    edge = seg.join(F.broadcast(_edge_groups(seg, keys)), keys + ["_seg"], "left_semi")
+    if method == "dense_rank":
+        measure = F.count_distinct(F.struct(*[F.col(c) for c in key_names(order_by)]))
+    else:
+        measure = F.count(F.lit(1))
+    stats = edge.groupBy(*keys, "_seg").agg(measure.alias("_c"))
+    before = Window.partitionBy(*keys).orderBy("_seg").rowsBetween(Window.unboundedPreceding, -1)
+    offs = stats.select(*keys, "_seg", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_off"))
+    return (local.join(F.broadcast(offs), keys + ["_seg"], "left")
+            .withColumn(out, (F.col("_lr") + F.coalesce(F.col("_off"), F.lit(0))).cast("int"))
+            .drop("_lr", "_off", "_seg"))
+
+
 def top_n_per_group(df: DataFrame, partition_by, order_by, n: int = 1,
                     method: str = "row_number", out: str | None = None,
                     salt_buckets: int = 16, exact_rank: int | None = None,
@@ -124,13 +152,17 @@ def rows_at_group_extreme(df: DataFrame, keys, value_col: str, kind: str = "max"
 
 
 # W5-W8 ------------------------------------------------------------------
-def has_hot_group(df: DataFrame, keys, min_share: float = 0.05) -> bool:
-    """Whether one group holds at least ``min_share`` of the rows. One job:
-    per-key counts (partially aggregated), then their max and total; a
-    single row reaches the driver."""
+def has_hot_group(df: DataFrame, keys, min_share: float | None = None) -> bool:
+    """Whether one group is too large for one task: it holds at least
+    ``min_share`` of the rows, by default ``min(5 %, 4 / parallelism)`` --
+    so on a large cluster even a 1 % group (which would leave most cores
+    idle) is split. One job: per-key counts (partially aggregated), then
+    their max and total; a single row reaches the driver."""
     keys = _cols(keys)
     if not keys:
         return True
+    if min_share is None:
+        min_share = min(0.05, 4.0 / df.sparkSession.sparkContext.defaultParallelism)
     r = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
          .agg(F.max("_n").alias("mx"), F.sum("_n").alias("total")).first())
     return bool(r["total"]) and r["mx"] >= min_share * r["total"]

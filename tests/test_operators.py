@@ -383,3 +383,14 @@ def test_zorder_narrows_file_ranges(spark, tmp_dir):
     ra, rb = mean_span(f"{tmp_dir}/r")
     assert za < 0.5 * ra and zb < 0.5 * rb
     assert rows(spark.read.parquet(f"{tmp_dir}/z")) == rows(df)
+
+
+@pytest.mark.parametrize("method", ["row_number", "rank", "dense_rank"])
+def test_segmented_rank_within_matches_window(spark, method):
+    rnd = random.Random(13)
+    data = [("hot" if i % 3 else f"g{i % 11}", rnd.randint(0, 25), i) for i in range(900)]
+    df = spark.createDataFrame(data, "g string, v int, id int")
+    order = [("v", "desc"), "id"] if method == "row_number" else [("v", "desc")]
+    seg = rows(W.segmented_rank_within(df, "g", order, method, "r", segments=13), "g", "id", "r")
+    plain = rows(W.rank_within(df, "g", order, method, "r", skew_safe=False), "g", "id", "r")
+    assert seg == plain

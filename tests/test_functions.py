@@ -143,3 +143,26 @@ def test_udf_surface_matches_builtins(spark):
     assert [(x.b1, x.d1) for x in r] == [(x.b2, x.d2) for x in r] == [(x.b2, x.d3) for x in r]
     assert [x.b1 for x in r] == ["High", "Medium", "Low", None]
     assert r[0].t == "Data-Science" and r[2].u is None
+
+
+def test_more_string_helpers(spark):
+    d = [("xxhixx",)]
+    assert one(spark, S.lstrip("s", "x"), d, "s string") == ["hixx"]
+    assert one(spark, S.rstrip("s", "x"), d, "s string") == ["xxhi"]
+    assert one(spark, S.lstrip("s"), [("  a ",)], "s string") == ["a "]
+    assert one(spark, S.pad_left_no_truncate("s", 3, "0"), [("7",), ("12345",)], "s string") == ["007", "12345"]
+    assert one(spark, S.lpad("s", 3, "0"), [("12345",)], "s string") == ["123"]
+    freq = one(spark, S.char_frequency("s"), [("hello",)], "s string")[0]
+    assert freq == {"h": 1, "e": 1, "l": 2, "o": 1}
+    assert one(spark, S.words_starting_with("s", "p"), [("pen apple pear",)], "s string") == [["pen", "pear"]]
+    assert one(spark, S.remove_punctuation("s"), [("a,b! c",)], "s string") == ["ab c"]
+
+
+def test_more_math_helpers(spark):
+    r = spark.createDataFrame([(3.0, 4.0, 98.6)], "a double, b double, f double").select(
+        M.hypotenuse("a", "b"), M.fahrenheit_to_celsius("f"), M.compound_amount(F.lit(1000.0), F.lit(5.5), F.lit(3)),
+        M.vector_add(F.array(F.lit(1), F.lit(2)), F.array(F.lit(10), F.lit(20), F.lit(30)))).first()
+    assert r[0] == 5.0 and abs(r[1] - 37.0) < 1e-9 and abs(r[2] - 1000 * 1.055 ** 3) < 1e-6
+    assert list(r[3]) == [11, 22, None]
+    m = spark.createDataFrame([([[1, 2], [3, None]],)], "m array<array<int>>").select(M.row_sums("m"), M.row_maxes("m")).first()
+    assert list(m[0]) == [3.0, 3.0] and list(m[1]) == [2, 3]

@@ -394,3 +394,17 @@ def test_segmented_rank_within_matches_window(spark, method):
     seg = rows(W.segmented_rank_within(df, "g", order, method, "r", segments=13), "g", "id", "r")
     plain = rows(W.rank_within(df, "g", order, method, "r", skew_safe=False), "g", "id", "r")
     assert seg == plain
+
+
+def test_misc_operators(spark):
+    from lakeloom.sources import files as FS
+    df = FS.from_rows(spark, [(1, "a"), (2, "b")], ["id", "v"])
+    assert J.prefix_columns(df, "x_", keep=["id"]).columns == ["id", "x_v"]
+    assert FS.empty(spark, "id long").count() == 0
+    txt = spark.createDataFrame([("aab",), ("b",)], "t string")
+    assert {r.char: r["count"] for r in A.char_frequency(txt, "t").collect()} == {"a": 2, "b": 2}
+    tok = A.token_frequency(spark.createDataFrame([("The cat, the hat.",)], "t string"), "t")
+    assert {r.token: r["count"] for r in tok.collect()} == {"the": 2, "cat": 1, "hat": 1}
+    assert P.select_by_type(spark.createDataFrame([(1, "x", 2.0)], "a int, b string, c double"),
+                            include=["number"]).columns == ["a", "c"]
+    assert P.query(df, "id > 1").count() == 1 and P.lookup(df, id=[1, 2], v="b").count() == 1

@@ -93,15 +93,17 @@ def describe_by(df: DataFrame, value_col: str, by=None, segments: int | None = N
     """pandas ``groupby(...)[col].describe()``: count, mean, std (sample),
     min, 25%/50%/75% (exact, linear interpolation), max."""
     by = _cols(by)
-    if not by:
-        # one global group: a constant key keeps the combination an equi join
-        return describe_by(df.withColumn("_all", F.lit(0)), value_col, ["_all"], segments).drop("_all")
-    v = F.col(value_col).cast("double")
-    basic = df.groupBy(*by).agg(
+    # one struct group key: NULL groups join as one group, no group = constant
+    gk = F.struct(*[F.col(c) for c in by]) if by else F.struct(F.lit(0).alias("_all"))
+    keyed = df.select(gk.alias("_gk"), F.col(value_col).cast("double").alias("_v"))
+    v = F.col("_v")
+    basic = keyed.groupBy("_gk").agg(
         F.count(v).alias("count"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"),
         F.min(v).alias("min"), F.max(v).alias("max"))
-    q = exact_percentiles(df, value_col, [0.25, 0.5, 0.75], by, ["p25", "p50", "p75"], segments)
-    return basic.join(q, by, "left")
+    q = exact_percentiles(keyed, "_v", [0.25, 0.5, 0.75], ["_gk"], ["p25", "p50", "p75"], segments)
+    out = basic.join(q, "_gk", "left")
+    return out.select(*[F.col(f"_gk.{c}").alias(c) for c in by], "count", "mean", "std", "min",
+                      "p25", "p50", "p75", "max")
 
 
 # A19 / L6 ---------------------------------------------------------------
@@ -143,10 +145,12 @@ def second_highest(df: DataFrame, value_col: str, by=None, out: str = "second_hi
     if not by:
         mx = df.select(F.max(value_col)).scalar()
         return df.where(F.col(value_col) < mx).agg(F.max(value_col).alias(out))
-    mx = df.groupBy(*by).agg(F.max(value_col).alias("_mx"))
-    below = (df.join(mx, by).where(F.col(value_col) < F.col("_mx"))
-             .groupBy(*by).agg(F.max(value_col).alias(out)))
-    return mx.select(*by).join(below, by, "left")
+    keyed = df.select(F.struct(*[F.col(c) for c in by]).alias("_gk"), value_col)
+    mx = keyed.groupBy("_gk").agg(F.max(value_col).alias("_mx"))
+    below = (keyed.join(mx, "_gk").where(F.col(value_col) < F.col("_mx"))
+             .groupBy("_gk").agg(F.max(value_col).alias(out)))
+    res = mx.select("_gk").join(below, "_gk", "left")
+    return res.select(*[F.col(f"_gk.{c}").alias(c) for c in by], out)
 
 
 # A22 --------------------------------------------------------------------

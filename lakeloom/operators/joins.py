@@ -191,7 +191,7 @@ def join_group_aggregate(df: DataFrame, keys, agg_exprs: Sequence[Column]) -> Da
     """Attach per-group aggregates to every row (join to an aggregated
     inline view)."""
     keys = _cols(keys)
-    return df.join(df.groupBy(*keys).agg(*agg_exprs), keys)
+    return join(df, df.groupBy(*keys).agg(*agg_exprs), keys, "inner", null_safe=True)
 
 
 # J16 --------------------------------------------------------------------

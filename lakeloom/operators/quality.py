@@ -42,7 +42,8 @@ def _attach(df: DataFrame, stats: DataFrame, by: list[str]) -> DataFrame:
     """Attach per-group statistics to every row: an equi join on the group
     key, or -- with no group -- the single statistics row as literals."""
     if by:
-        return df.join(stats, by)
+        from lakeloom.operators.joins import join
+        return join(df, stats, by, "inner", null_safe=True)
     row = stats.first()
     if row is None:
         return df.select("*", *[F.lit(None).alias(c) for c in stats.columns]).where(F.lit(False))

@@ -30,10 +30,13 @@ def exact_percentiles(df: DataFrame, value_col: str, probs: Sequence[float],
     ignored; a group of only NULLs is absent)."""
     group_cols = list(group_cols)
     names = list(names) if names else [_label(p) for p in probs]
-    if not group_cols:
-        # one global group: a constant key keeps every step an equi join
-        out = exact_percentiles(df.withColumn("_all", F.lit(0)), value_col, probs, ["_all"], names, segments)
-        return out.drop("_all")
+    if group_cols != ["_gk"]:
+        # the group key packed into one struct: every internal join is an equi
+        # join on it, NULL fields compare equal (a NULL group is one group),
+        # and no group at all becomes a single constant group
+        packed = F.struct(*[F.col(c) for c in group_cols]) if group_cols else F.struct(F.lit(0).alias("_all"))
+        out = exact_percentiles(df.select(packed.alias("_gk"), value_col), value_col, probs, ["_gk"], names, segments)
+        return out.select(*[F.col(f"_gk.{c}").alias(c) for c in group_cols], *names)
     v = F.col(value_col).cast("double")
     data = df.select(*group_cols, v.alias("_v")).where(F.col("_v").isNotNull())
     seg = range_segments(data, [F.col(c) for c in group_cols] + [F.col("_v")], segments)

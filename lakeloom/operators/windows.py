@@ -32,6 +32,12 @@ def _cols(x) -> list[str]:
     return [x] if isinstance(x, str) else list(x)
 
 
+def _gkey(keys: list[str]) -> Column:
+    """The group key packed into one struct column. Joins on it treat NULL
+    fields as equal, so a NULL group stays one group (as in a window)."""
+    return F.struct(*[F.col(k) for k in keys]) if keys else F.lit(0)
+
+
 # W1-W3, W9, W11-W14, W16 ------------------------------------------------
 def rank_within(df: DataFrame, partition_by, order_by, method: str = "row_number",
                 out: str = "rank", skew_safe="auto") -> DataFrame:
@@ -50,22 +56,22 @@ def segmented_rank_within(df: DataFrame, partition_by, order_by, method: str = "
                           out: str = "rank", segments: int | None = None) -> DataFrame:
     keys = _cols(partition_by)
     okeys = sort_keys(order_by)
-    seg = range_segments(df, [F.col(k) for k in keys] + okeys, segments)
-    w = Window.partitionBy(*keys, "_seg").orderBy(*okeys)
+    seg = range_segments(df, [F.col(k) for k in keys] + okeys, segments).withColumn("_gk", _gkey(keys))
+    w = Window.partitionBy("_gk", "_seg").orderBy(*okeys)
     local = seg.withColumn("_lr", _RANKERS[method]().over(w))
     # only groups at a segment edge continue into other segments: at most two
     # per segment, so the offset table is bounded by the segment count
-    edge = seg.join(F.broadcast(_edge_groups(seg, keys)), keys + ["_seg"], "left_semi")
+    edge = seg.join(F.broadcast(_edge_groups(seg)), ["_gk", "_seg"], "left_semi")
     if method == "dense_rank":
         measure = F.count_distinct(F.struct(*[F.col(c) for c in key_names(order_by)]))
     else:
         measure = F.count(F.lit(1))
-    stats = edge.groupBy(*keys, "_seg").agg(measure.alias("_c"))
-    before = Window.partitionBy(*keys).orderBy("_seg").rowsBetween(Window.unboundedPreceding, -1)
-    offs = stats.select(*keys, "_seg", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_off"))
-    return (local.join(F.broadcast(offs), keys + ["_seg"], "left")
+    stats = edge.groupBy("_gk", "_seg").agg(measure.alias("_c"))
+    before = Window.partitionBy("_gk").orderBy("_seg").rowsBetween(Window.unboundedPreceding, -1)
+    offs = stats.select("_gk", "_seg", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_off"))
+    return (local.join(F.broadcast(offs), ["_gk", "_seg"], "left")
             .withColumn(out, (F.col("_lr") + F.coalesce(F.col("_off"), F.lit(0))).cast("int"))
-            .drop("_lr", "_off", "_seg"))
+            .drop("_lr", "_off", "_seg", "_gk"))
 
 
 def top_n_per_group(df: DataFrame, partition_by, order_by, n: int = 1,
@@ -136,8 +142,9 @@ def latest_per_entity(df: DataFrame, keys, ts_col: str, tie_break=None,
     partial aggregate and therefore safe for hot keys."""
     keys = _cols(keys)
     if keep_ties:
-        mx = df.groupBy(*keys).agg(F.max(ts_col).alias("_mx"))
-        return (df.join(mx, keys).where(F.col(ts_col) == F.col("_mx")).drop("_mx"))
+        mx = df.groupBy(_gkey(keys).alias("_gk")).agg(F.max(ts_col).alias("_mx"))
+        return (df.withColumn("_gk", _gkey(keys)).join(mx, "_gk")
+                .where(F.col(ts_col) == F.col("_mx")).drop("_mx", "_gk"))
     order = [(ts_col, "desc")] + [(c, "desc") for c in _cols(tie_break)]
     return dedup_keep_first(df, keys, order)
 
@@ -147,8 +154,9 @@ def rows_at_group_extreme(df: DataFrame, keys, value_col: str, kind: str = "max"
     correlated max). Group aggregate + equi join: skew-safe."""
     keys = _cols(keys)
     agg = F.max if kind == "max" else F.min
-    ext = df.groupBy(*keys).agg(agg(value_col).alias("_ext"))
-    return df.join(ext, keys).where(F.col(value_col) == F.col("_ext")).drop("_ext")
+    ext = df.groupBy(_gkey(keys).alias("_gk")).agg(agg(value_col).alias("_ext"))
+    return (df.withColumn("_gk", _gkey(keys)).join(ext, "_gk")
+            .where(F.col(value_col) == F.col("_ext")).drop("_ext", "_gk"))
 
 
 # W5-W8 ------------------------------------------------------------------
@@ -213,14 +221,13 @@ def rows_above_previous(df: DataFrame, partition_by, order_by, value_col: str,
     return prev.where(F.col(value_col) > F.col("_prev")).drop("_prev")
 
 
-def _edge_groups(seg: DataFrame, keys: list[str]) -> DataFrame:
-    """First and last group of every segment. A group continuing across a
-    segment boundary is the last group of one segment and the first of the
-    next, so at most two groups per segment need carried values."""
-    g = F.struct(*[F.col(k) for k in keys])
-    b = seg.groupBy("_seg").agg(F.min(g).alias("_first"), F.max(g).alias("_last"))
-    return b.select("_seg", F.explode(F.array("_first", "_last")).alias("_g")).distinct() \
-        .select("_seg", *[F.col(f"_g.{k}").alias(k) for k in keys])
+def _edge_groups(seg: DataFrame) -> DataFrame:
+    """First and last group (``_gk``) of every segment. A group continuing
+    across a segment boundary is the last group of one segment and the first
+    of the next, so at most two groups per segment need carried values. The
+    struct order matches the range order (NULL fields first)."""
+    b = seg.groupBy("_seg").agg(F.min("_gk").alias("_first"), F.max("_gk").alias("_last"))
+    return b.select("_seg", F.explode(F.array("_first", "_last")).alias("_gk")).distinct()
 
 
 def segmented_lead_lag(df: DataFrame, partition_by, order_by, value_col: str, offset: int = 1,
@@ -240,18 +247,18 @@ def segmented_lead_lag(df: DataFrame, partition_by, order_by, value_col: str, of
     """
     keys = _cols(partition_by)
     okeys = sort_keys(order_by)
-    seg = range_segments(df, [F.col(k) for k in keys] + okeys, segments)
-    wl = Window.partitionBy(*keys, "_seg").orderBy(*okeys)
+    seg = range_segments(df, [F.col(k) for k in keys] + okeys, segments).withColumn("_gk", _gkey(keys))
+    wl = Window.partitionBy("_gk", "_seg").orderBy(*okeys)
     local = (seg.withColumn("_rn", F.row_number().over(wl))
-             .withColumn("_cnt", F.count(F.lit(1)).over(Window.partitionBy(*keys, "_seg"))))
+             .withColumn("_cnt", F.count(F.lit(1)).over(Window.partitionBy("_gk", "_seg"))))
     if lead_name:
         local = local.withColumn(lead_name, F.lead(value_col, offset).over(wl))
     if lag_name:
         local = local.withColumn(lag_name, F.lag(value_col, offset).over(wl))
-    edges = _edge_groups(seg, keys)
+    edges = _edge_groups(seg)
     near_edge = (F.col("_rn") <= offset) | (F.col("_rn") > F.col("_cnt") - offset)
-    edge_rows = local.join(F.broadcast(edges), keys + ["_seg"], "left_semi").where(near_edge)
-    we = Window.partitionBy(*keys).orderBy(F.col("_seg"), *okeys)
+    edge_rows = local.join(F.broadcast(edges), ["_gk", "_seg"], "left_semi").where(near_edge)
+    we = Window.partitionBy("_gk").orderBy(F.col("_seg"), *okeys)
     fix_cols = []
     if lead_name:
         edge_rows = edge_rows.withColumn(f"_fix_{lead_name}", F.lead(value_col, offset).over(we))
@@ -262,12 +269,12 @@ def segmented_lead_lag(df: DataFrame, partition_by, order_by, value_col: str, of
     # lag reaches back only from a segment's first rows, lead forward only
     # from its last rows; elsewhere the local value is already exact
     applies = {lead_name: F.col("_rn") > F.col("_cnt") - offset, lag_name: F.col("_rn") <= offset}
-    fixes = edge_rows.select(*keys, "_seg", "_rn", *[
+    fixes = edge_rows.select("_gk", "_seg", "_rn", *[
         F.struct(applies[c].alias("on"), F.col(f"_fix_{c}").alias("v")).alias(f"_fix_{c}") for c in fix_cols])
-    out = local.join(F.broadcast(fixes), keys + ["_seg", "_rn"], "left")
+    out = local.join(F.broadcast(fixes), ["_gk", "_seg", "_rn"], "left")
     for c in fix_cols:
         out = out.withColumn(c, F.when(F.col(f"_fix_{c}.on"), F.col(f"_fix_{c}.v")).otherwise(F.col(c)))
-    return out.drop("_seg", "_rn", "_cnt", *[f"_fix_{c}" for c in fix_cols])
+    return out.drop("_seg", "_rn", "_cnt", "_gk", *[f"_fix_{c}" for c in fix_cols])
 
 
 # W10 --------------------------------------------------------------------
@@ -401,26 +408,26 @@ def segmented_fill(df: DataFrame, partition_by, order_by, cols: Sequence[str],
     keys = _cols(partition_by)
     okeys = sort_keys(order_by)
     forward = direction == "forward"
-    seg = range_segments(df, [F.col(k) for k in keys] + okeys, segments)
+    seg = range_segments(df, [F.col(k) for k in keys] + okeys, segments).withColumn("_gk", _gkey(keys))
     frame = ((Window.unboundedPreceding, Window.currentRow) if forward
              else (Window.currentRow, Window.unboundedFollowing))
-    wl = Window.partitionBy(*keys, "_seg").orderBy(*okeys).rowsBetween(*frame)
+    wl = Window.partitionBy("_gk", "_seg").orderBy(*okeys).rowsBetween(*frame)
     pick = F.last if forward else F.first
     local = seg
     for c in cols:
         local = local.withColumn(c, pick(c, ignorenulls=True).over(wl))
     # per (edge group, segment): its last (first) non-NULL value of each column
-    edge = seg.join(F.broadcast(_edge_groups(seg, keys)), keys + ["_seg"], "left_semi") if keys else seg
-    wa = Window.partitionBy(*keys, "_seg").orderBy(*okeys).rowsBetween(Window.unboundedPreceding,
+    edge = seg.join(F.broadcast(_edge_groups(seg)), ["_gk", "_seg"], "left_semi") if keys else seg
+    wa = Window.partitionBy("_gk", "_seg").orderBy(*okeys).rowsBetween(Window.unboundedPreceding,
                                                                           Window.unboundedFollowing)
-    ends = edge.select(*keys, "_seg", *[pick(c, ignorenulls=True).over(wa).alias(c) for c in cols]).distinct()
+    ends = edge.select("_gk", "_seg", *[pick(c, ignorenulls=True).over(wa).alias(c) for c in cols]).distinct()
     carry_frame = (Window.unboundedPreceding, -1) if forward else (1, Window.unboundedFollowing)
-    wc = Window.partitionBy(*keys).orderBy("_seg").rowsBetween(*carry_frame)
-    carry = ends.select(*keys, "_seg", *[pick(c, ignorenulls=True).over(wc).alias(f"_carry_{c}") for c in cols])
-    out = local.join(F.broadcast(carry), keys + ["_seg"], "left")
+    wc = Window.partitionBy("_gk").orderBy("_seg").rowsBetween(*carry_frame)
+    carry = ends.select("_gk", "_seg", *[pick(c, ignorenulls=True).over(wc).alias(f"_carry_{c}") for c in cols])
+    out = local.join(F.broadcast(carry), ["_gk", "_seg"], "left")
     for c in cols:
         out = out.withColumn(c, F.coalesce(F.col(c), F.col(f"_carry_{c}")))
-    return out.drop("_seg", *[f"_carry_{c}" for c in cols])
+    return out.drop("_seg", "_gk", *[f"_carry_{c}" for c in cols])
 
 
 # W20 --------------------------------------------------------------------

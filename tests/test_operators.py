@@ -408,3 +408,30 @@ def test_misc_operators(spark):
     assert P.select_by_type(spark.createDataFrame([(1, "x", 2.0)], "a int, b string, c double"),
                             include=["number"]).columns == ["a", "c"]
     assert P.query(df, "id > 1").count() == 1 and P.lookup(df, id=[1, 2], v="b").count() == 1
+
+
+def test_null_group_key_is_one_group(spark):
+    """A NULL group key forms one group, as in a window, in every operator
+    that joins per-group results back."""
+    data = [(None if i % 3 == 0 else f"g{i % 2}", i, float(i % 17)) for i in range(300)]
+    df = spark.createDataFrame(data, "g string, t int, v double")
+    for method in ("rank", "row_number"):
+        order = [("v", "desc"), "t"] if method == "row_number" else [("v", "desc")]
+        assert rows(W.segmented_rank_within(df, "g", order, method, "r", segments=7), "g", "t", "r") == \
+            rows(W.rank_within(df, "g", order, method, "r", skew_safe=False), "g", "t", "r")
+    seg = rows(W.segmented_lead_lag(df, "g", "t", "v", 1, "ld", "lg", segments=7), "g", "t", "ld", "lg")
+    plain = rows(W.with_lead_lag(df, "g", "t", "v", 1, "ld", "lg", skew_safe=False), "g", "t", "ld", "lg")
+    assert seg == plain
+    gapped = df.withColumn("v", F.when(F.col("t") % 4 == 0, F.col("v")))
+    assert rows(W.segmented_fill(gapped, "g", "t", ["v"], "forward", segments=7)) == \
+        rows(W.fill_forward(gapped, "t", ["v"], "g", skew_safe=False))
+    q = {r.g: r.m for r in QT.exact_percentiles(df, "v", [0.5], ["g"], ["m"]).collect()}
+    assert set(q) == {None, "g0", "g1"}
+    assert q[None] == pytest.approx(float(np.median([v for g, _, v in data if g is None])))
+    d = {r.g: r["count"] for r in A.describe_by(df, "v", "g").collect()}
+    assert d == {None: 100, "g0": 100, "g1": 100}
+    ext = W.rows_at_group_extreme(df, "g", "v")
+    assert {r.g for r in ext.collect()} == {None, "g0", "g1"}
+    assert {r.g for r in A.second_highest(df, "v", "g").collect()} == {None, "g0", "g1"}
+    assert J.join_group_aggregate(df, "g", [F.count(F.lit(1)).alias("n")]).count() == 300
+    assert {r.g for r in Q.iqr_bounds(df, "v", "g").collect()} == {None, "g0", "g1"}

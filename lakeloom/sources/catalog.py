@@ -21,7 +21,7 @@ def _ident(name: str) -> str:
 
 
 def create_database(spark: SparkSession, name: str, location: str | None = None) -> None:
-    loc = f" LOCATION '{location}'" if location else ""
+    loc = " LOCATION '{}'".format(location.replace("\\", "\\\\").replace("'", "\\'")) if location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {_ident(name)}{loc}")
 
 

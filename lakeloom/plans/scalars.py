@@ -400,6 +400,21 @@ def c7_explode_map(spark, sf):
     return m.select("l_orderkey", F.explode("m").alias("key", "value"))
 
 
+@register("c19_map_merge_with_sum", """
+SELECT l_orderkey, l_returnflag AS key, SUM(l_quantity) + COUNT(*) AS value FROM lineitem GROUP BY 1, 2""")
+def c19_map_merge_with_sum(spark, sf):
+    """Two per-order maps keyed by return flag (quantity, line count) merged
+    by adding the values of shared keys (dict merge-with-sum). Keys come from
+    the 3-value flag domain, so each map is bounded."""
+    l = table(spark, sf, "lineitem")
+    per = l.groupBy("l_orderkey", "l_returnflag").agg(F.sum("l_quantity").alias("q"),
+                                                      F.count(F.lit(1)).cast("double").alias("n"))
+    maps = per.groupBy("l_orderkey").agg(
+        F.map_from_entries(F.collect_list(F.struct("l_returnflag", "q"))).alias("mq"),
+        F.map_from_entries(F.collect_list(F.struct("l_returnflag", "n"))).alias("mn"))
+    return maps.select("l_orderkey", F.explode(C.map_merge_sum("mq", "mn")).alias("key", "value"))
+
+
 @register("c1_c23_struct_access", """
 SELECT o_orderkey, o_custkey AS customer, o_orderstatus AS status, CAST(year(o_orderdate) AS INTEGER) AS year FROM orders""")
 def c1_c23_struct_access(spark, sf):

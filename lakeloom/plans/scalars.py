@@ -42,6 +42,19 @@ def f1_f11_string_functions(spark, sf):
         S.find("p_name", "ring").alias("ring_pos"), S.count_substring("p_name", "e").alias("e_count"))
 
 
+@register("f2_title_vs_initcap", r"""
+SELECT p_partkey,
+  array_to_string(list_transform(string_split(s, ''), lambda c, i: CASE WHEN i = 1 OR NOT regexp_matches(substring(s, i - 1, 1), '\p{L}')
+                                                            THEN upper(c) ELSE lower(c) END), '') AS title,
+  array_to_string(list_transform(string_split(s, ' '), lambda w: upper(w[1]) || lower(w[2:])), ' ') AS initcap
+FROM (SELECT p_partkey, p_type || '-' || p_name AS s FROM part)""")
+def f2_title_vs_initcap(spark, sf):
+    """Python ``title()`` capitalises after any non-letter (``Economy-Small
+    Ring``); SQL ``initcap`` only after whitespace (``Economy-small Ring``)."""
+    p = table(spark, sf, "part").select("p_partkey", F.concat_ws("-", "p_type", "p_name").alias("s"))
+    return p.select("p_partkey", S.title_case("s").alias("title"), S.initcap("s").alias("initcap"))
+
+
 @register("f16_f20_string_tests", """
 SELECT c_custkey, regexp_replace(c_name, '[^0-9]', '', 'g') AS name_digits,
   regexp_full_match(c_name, '[^@\\s,]+@[^@\\s,]+\\.[^@\\s,]+') AS name_is_email,

@@ -89,9 +89,11 @@ def percent_matching(df: DataFrame, predicate: Column, by=None, out: str = "pct"
 
 
 # A18 / Q1 ---------------------------------------------------------------
-def describe_by(df: DataFrame, value_col: str, by=None, segments: int | None = None) -> DataFrame:
+def describe_by(df: DataFrame, value_col: str, by=None, segments: int | None = None,
+                approx: bool = False, accuracy: int = 10000) -> DataFrame:
     """pandas ``groupby(...)[col].describe()``: count, mean, std (sample),
-    min, 25%/50%/75% (exact, linear interpolation), max."""
+    min, 25%/50%/75% (exact, linear interpolation; ``approx=True`` uses a
+    bounded sketch instead), max."""
     by = _cols(by)
     # one struct group key: NULL groups join as one group, no group = constant
     gk = F.struct(*[F.col(c) for c in by]) if by else F.struct(F.lit(0).alias("_all"))
@@ -100,7 +102,11 @@ def describe_by(df: DataFrame, value_col: str, by=None, segments: int | None = N
     basic = keyed.groupBy("_gk").agg(
         F.count(v).alias("count"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"),
         F.min(v).alias("min"), F.max(v).alias("max"))
-    q = exact_percentiles(keyed, "_v", [0.25, 0.5, 0.75], ["_gk"], ["p25", "p50", "p75"], segments)
+    if approx:
+        from lakeloom.operators.quantiles import approx_percentiles
+        q = approx_percentiles(keyed, "_v", [0.25, 0.5, 0.75], ["_gk"], ["p25", "p50", "p75"], accuracy)
+    else:
+        q = exact_percentiles(keyed, "_v", [0.25, 0.5, 0.75], ["_gk"], ["p25", "p50", "p75"], segments)
     out = basic.join(q, "_gk", "left")
     return out.select(*[F.col(f"_gk.{c}").alias(c) for c in by], "count", "mean", "std", "min",
                       "p25", "p50", "p75", "max")

@@ -34,7 +34,10 @@ def describe(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     return describe_by(stacked, "value", "column")
 
 
-def quantiles(df: DataFrame, col: str, probs: Sequence[float], by=None) -> DataFrame:
+def quantiles(df: DataFrame, col: str, probs: Sequence[float], by=None, approx: bool = False) -> DataFrame:
+    if approx:
+        from lakeloom.operators.quantiles import approx_percentiles
+        return approx_percentiles(df, col, probs, _cols(by))
     return exact_percentiles(df, col, probs, _cols(by))
 
 
@@ -51,19 +54,26 @@ def _attach(df: DataFrame, stats: DataFrame, by: list[str]) -> DataFrame:
 
 
 # Q3 ---------------------------------------------------------------------
-def iqr_bounds(df: DataFrame, col: str, by=None, k: float = 1.5) -> DataFrame:
-    q = exact_percentiles(df, col, [0.25, 0.75], _cols(by), ["q1", "q3"])
+def iqr_bounds(df: DataFrame, col: str, by=None, k: float = 1.5, approx: bool = False) -> DataFrame:
+    """Quartiles, IQR and the ``k``-IQR fences per group (exact by default;
+    ``approx=True`` uses a bounded sketch for very large groups)."""
+    if approx:
+        from lakeloom.operators.quantiles import approx_percentiles
+        q = approx_percentiles(df, col, [0.25, 0.75], _cols(by), ["q1", "q3"])
+    else:
+        q = exact_percentiles(df, col, [0.25, 0.75], _cols(by), ["q1", "q3"])
     iqr = F.col("q3") - F.col("q1")
     return (q.withColumn("iqr", iqr)
             .withColumn("lower", F.col("q1") - k * iqr)
             .withColumn("upper", F.col("q3") + k * iqr))
 
 
-def iqr_outliers(df: DataFrame, col: str, by=None, k: float = 1.5, flag_only: bool = False) -> DataFrame:
+def iqr_outliers(df: DataFrame, col: str, by=None, k: float = 1.5, flag_only: bool = False,
+                 approx: bool = False) -> DataFrame:
     """Rows outside ``[Q1 - k*IQR, Q3 + k*IQR]`` (per group when ``by``).
     The bounds are a small per-group table joined on the group key."""
     by = _cols(by)
-    out = _attach(df, iqr_bounds(df, col, by, k).select(*by, "lower", "upper"), by)
+    out = _attach(df, iqr_bounds(df, col, by, k, approx).select(*by, "lower", "upper"), by)
     flag = (F.col(col) < F.col("lower")) | (F.col(col) > F.col("upper"))
     if flag_only:
         return out.withColumn("is_outlier", flag).drop("lower", "upper")

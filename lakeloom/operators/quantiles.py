@@ -85,3 +85,16 @@ def exact_percentiles(df: DataFrame, value_col: str, probs: Sequence[float],
 def exact_median(df: DataFrame, value_col: str, group_cols: Sequence[str] = (),
                  name: str = "median") -> DataFrame:
     return exact_percentiles(df, value_col, [0.5], group_cols, [name])
+
+
+def approx_percentiles(df: DataFrame, value_col: str, probs: Sequence[float],
+                       group_cols: Sequence[str] = (), names: Sequence[str] | None = None,
+                       accuracy: int = 10000) -> DataFrame:
+    """Approximate percentiles (``percentile_approx``): a bounded-size sketch
+    per group, merged map-side, so cost does not depend on how values are
+    spread. The rank error is at most ``n / accuracy``."""
+    group_cols = list(group_cols)
+    names = list(names) if names else [_label(p) for p in probs]
+    arr = F.percentile_approx(F.col(value_col).cast("double"), [float(p) for p in probs], accuracy)
+    out = df.groupBy(*group_cols).agg(arr.alias("_q"))
+    return out.select(*group_cols, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])

@@ -435,3 +435,17 @@ def test_null_group_key_is_one_group(spark):
     assert {r.g for r in A.second_highest(df, "v", "g").collect()} == {None, "g0", "g1"}
     assert J.join_group_aggregate(df, "g", [F.count(F.lit(1)).alias("n")]).count() == 300
     assert {r.g for r in Q.iqr_bounds(df, "v", "g").collect()} == {None, "g0", "g1"}
+
+
+def test_approx_percentiles_close_to_exact(spark):
+    rnd = random.Random(21)
+    df = spark.createDataFrame([("a" if i % 2 else "b", float(rnd.randint(0, 10000))) for i in range(4000)],
+                               "g string, v double")
+    ex = {r.g: r for r in QT.exact_percentiles(df, "v", [0.25, 0.5, 0.75], ["g"], ["q1", "q2", "q3"]).collect()}
+    ap = {r.g: r for r in QT.approx_percentiles(df, "v", [0.25, 0.5, 0.75], ["g"], ["q1", "q2", "q3"]).collect()}
+    for g in ("a", "b"):
+        for c in ("q1", "q2", "q3"):
+            assert abs(ex[g][c] - ap[g][c]) <= 0.01 * 10000
+    d = {r.g: r.p50 for r in A.describe_by(df, "v", "g", approx=True).collect()}
+    assert abs(d["a"] - ex["a"].q2) <= 100
+    assert Q.iqr_outliers(df, "v", "g", approx=True).count() == 0

@@ -126,6 +126,7 @@ def dedup_keep_first(df: DataFrame, keys, order_by, salt_buckets: int = 16,
     dirs = {("desc" if isinstance(x, tuple) and x[1].lower().startswith("desc") else "asc") for x in specs}
     if names is not None and len(dirs) == 1:
         keys = _cols(keys)
+        names = [c for c in names if c not in keys]  # constant within a group
         rest = [c for c in df.columns if c not in keys and c not in names]
         pick = F.max if dirs == {"desc"} else F.min
         best = pick(F.struct(*[F.col(c) for c in names + rest])).alias("_best")

@@ -449,3 +449,9 @@ def test_approx_percentiles_close_to_exact(spark):
     d = {r.g: r.p50 for r in A.describe_by(df, "v", "g", approx=True).collect()}
     assert abs(d["a"] - ex["a"].q2) <= 100
     assert Q.iqr_outliers(df, "v", "g", approx=True).count() == 0
+
+
+def test_dedup_order_key_that_is_also_a_group_key(spark):
+    df = spark.createDataFrame([(1, 3, "x"), (1, 2, "y"), (2, 5, "z")], "a int, b int, c string")
+    out = rows(W.dedup_keep_first(df, "a", ["a", "b"]))
+    assert out == [(1, 2, "y"), (2, 5, "z")]

@@ -147,6 +147,9 @@ def salted_join(fact: DataFrame, dim: DataFrame, key: str, how: str = "inner",
     The join is then on ``(key, salt)``, so a hot key is spread over ``n``
     tasks. Supports inner and left joins (the fact side is preserved).
     """
+    if JOIN_TYPES[how] not in ("inner", "left"):
+        # replicated dimension rows would repeat unmatched dimension rows
+        raise ValueError("salted_join supports inner and left joins (fact side preserved)")
     hot = list(hot) if hot is not None else hot_keys(fact, key, min_share)
     if not hot:
         return fact.join(dim, key, JOIN_TYPES[how])

@@ -455,3 +455,8 @@ def test_dedup_order_key_that_is_also_a_group_key(spark):
     df = spark.createDataFrame([(1, 3, "x"), (1, 2, "y"), (2, 5, "z")], "a int, b int, c string")
     out = rows(W.dedup_keep_first(df, "a", ["a", "b"]))
     assert out == [(1, 2, "y"), (2, 5, "z")]
+
+
+def test_salted_join_rejects_outer_dimension_side(spark, emp, dept):
+    with pytest.raises(ValueError):
+        J.salted_join(emp, dept, "dept_id", "full", hot=[10])

@@ -132,3 +132,9 @@ def test_dynamic_partition_pruning_on_partition_key(spark, tmp_dir):
     plan = catalog.explain_plan(j, "formatted")
     assert "dynamicpruningexpression" in plan
     assert j.count() == li.where("ship_year >= 2000").select("ship_year").distinct().count()
+
+
+def test_jdbc_discovery_validates_identifiers(spark):
+    import pytest
+    with pytest.raises(ValueError):
+        jdbc.discover_tables(spark, "jdbc:none://nowhere", {}, "sales'; DROP TABLE x; --")

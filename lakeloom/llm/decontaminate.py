@@ -197,7 +197,7 @@ def proximity_matches(docs: DataFrame, queries: DataFrame, slop: int, doc_id: st
                         best = (min(last.values()), x["at"] + 1)
                 if best[1] - best[0] <= n + slop:
                     yield pa.RecordBatch.from_pylist([{"query": q, "doc_id": d, "start": best[0], "end": best[1]}],
-                                                     pa.schema([("query", pa.int64()), ("doc_id", pa.int64()), ("start", pa.int32()), ("end", pa.int32())]))
+                                                     pa.schema([("doc_id", pa.int64()), ("query", pa.int64()), ("start", pa.int32()), ("end", pa.int32())]))
 
     return grouped.select(F.col("query").cast("long"), "doc_id", "n", "p").mapInArrow(narrowest, "query long, doc_id long, start int, end int")
 

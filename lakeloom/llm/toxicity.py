@@ -65,17 +65,19 @@ class Model:
 # -- the character model ----------------------------------------------------
 
 def char_counts(docs: DataFrame, text: str = "text") -> DataFrame:
-    """(gram, n): trigrams of letter classes over all texts; a task sends one
-    row a trigram at most."""
+    """(gram, n): trigrams of letter classes within words and their borders
+    over all texts; a task sends one row a trigram at most."""
     def run(batches):
         total = np.zeros(STATES ** 3, np.int64)
         for batch in batches:
             for _, data, offsets in _text.slices(batch.column(0)):
                 c = np.zeros(len(data) + len(offsets) + 1, np.int64)  # a border between texts
                 c[np.arange(len(data)) + np.repeat(np.arange(len(offsets) - 1), np.diff(offsets)) + 1] = _CLASS[data]
-                c = c[np.r_[True, (c[1:] != 0) | (c[:-1] != 0)]]  # one border between words
-                gram = (c[:-2] * STATES + c[1:-1]) * STATES + c[2:]
+                c = np.r_[0, c[np.r_[True, (c[1:] != 0) | (c[:-1] != 0)]]]  # one border between words
+                # A word begins after two borders, whatever stood before it.
+                gram = (np.where(c[1:-1] == 0, 0, c[:-2]) * STATES + c[1:-1]) * STATES + c[2:]
                 total += np.bincount(gram, minlength=STATES ** 3)
+        total[0] = 0
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen.astype(np.int32)), pa.array(total[seen])], ["gram", "n"])
 

@@ -18,6 +18,9 @@ from pyspark.sql import Window  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 
+BANDS = [(15_000.0, "low"), (35_000.0, "middle"), (60_000.0, "high")]
+
+
 def main() -> None:
     from lakeloom import checkpoint_dir, get_spark
     from lakeloom.functions import dates as D
@@ -58,10 +61,10 @@ def main() -> None:
                               money_by_flag(part_read.where(F.col("ship_year") == 1998).drop("ship_year"))),
         "parquet_vs_csv": (money_by_flag(spark.read.schema(li.schema).option("header", True).csv(f"{scratch}/li_csv")),
                            money_by_flag(li)),
-        "udf_vs_builtin": (li.groupBy(Uf.discount_band_udf("l_extendedprice").alias("b")).count(),
-                           li.groupBy(Uf.discount_band("l_extendedprice").alias("b")).count()),
-        "python_udf_vs_pandas_udf": (li.agg(F.sum(Uf.discounted_udf("l_extendedprice").cast("decimal(18,4)")).alias("s")),
-                                     li.agg(F.sum(Uf.discounted_pandas("l_extendedprice").cast("decimal(18,4)")).alias("s"))),
+        "udf_vs_builtin": (li.groupBy(Uf.bands_udf(BANDS, "top")("l_extendedprice").alias("b")).count(),
+                           li.groupBy(Uf.bands("l_extendedprice", BANDS, "top").alias("b")).count()),
+        "python_udf_vs_pandas_udf": (li.agg(F.sum(Uf.times_udf(0.9)("l_extendedprice").cast("decimal(18,4)")).alias("s")),
+                                     li.agg(F.sum(Uf.times_pandas(0.9)("l_extendedprice").cast("decimal(18,4)")).alias("s"))),
         "skewed_aggregate_salted": (money_by_flag(li),
                                     A.salted_agg(li.withColumn("v", F.col("l_extendedprice").cast("decimal(18,2)")),
                                                  "l_returnflag", "v").select("l_returnflag", F.col("total").alias("s"),

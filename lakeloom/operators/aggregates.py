@@ -27,22 +27,36 @@ _AGGS = {
     "count": lambda c: F.count(c),
     "sum": F.sum, "avg": F.avg, "mean": F.avg, "min": F.min, "max": F.max,
     "std": F.stddev_samp, "var": F.var_samp,
-    "count_distinct": F.count_distinct, "median": F.median,
+    "count_distinct": F.count_distinct,
 }
 
 
 def summarize(df: DataFrame, by=None, aggs: Mapping[str, Sequence[str]] | None = None,
               count_rows: str | None = None) -> DataFrame:
     """``groupBy(by).agg`` from a spec ``{column: [func, ...]}``; output
-    columns are named ``<func>_<column>`` (pandas ``.agg([...])``)."""
+    columns are named ``<func>_<column>`` (pandas ``.agg([...])``). ``median``
+    is exact and comes from value counts, so no task holds a group's values."""
+    from lakeloom.operators.joins import join
+    from lakeloom.operators.quantiles import exact_median
+
     exprs: list[Column] = []
+    medians: list[str] = []
+    order: list[str] = list(_cols(by)) + ([count_rows] if count_rows else [])
     if count_rows:
         exprs.append(F.count(F.lit(1)).alias(count_rows))
     for col, funcs in (aggs or {}).items():
         for fn in ([funcs] if isinstance(funcs, str) else funcs):
-            exprs.append(_AGGS[fn](F.col(col)).alias(f"{fn}_{col}"))
-    g = df.groupBy(*_cols(by))
-    return g.agg(*exprs)
+            order.append(f"{fn}_{col}")
+            if fn == "median":
+                medians.append(col)
+            else:
+                exprs.append(_AGGS[fn](F.col(col)).alias(f"{fn}_{col}"))
+    keys = _cols(by)
+    out = df.groupBy(*keys).agg(*(exprs or [F.count(F.lit(1)).alias("_rows")]))
+    for col in medians:
+        m = exact_median(df, col, keys, f"median_{col}")
+        out = join(out, m, keys, "left", null_safe=True) if keys else out.join(m, F.lit(True), "left")
+    return out.select(*order)
 
 
 # A7 / A8 / G7 -----------------------------------------------------------
@@ -113,7 +127,12 @@ def describe_by(df: DataFrame, value_col: str, by=None, segments: int | None = N
 
 
 # A19 / L6 ---------------------------------------------------------------
-def salted_agg(df: DataFrame, key, value_col: str, salt_buckets: int = 8,
+def _salts(df: DataFrame, given: int | None):
+    """Salt count: as many as a shuffle has partitions unless given."""
+    return F.lit(given or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
+def salted_agg(df: DataFrame, key, value_col: str, salt_buckets: int | None = None,
                salt_cols: Sequence[str] | None = None) -> DataFrame:
     """Two-stage aggregate: partial results per ``(key, salt)`` then per key.
 
@@ -123,7 +142,7 @@ def salted_agg(df: DataFrame, key, value_col: str, salt_buckets: int = 8,
     """
     keys = _cols(key)
     salt_src = [F.col(c) for c in (salt_cols or df.columns)]
-    staged = df.withColumn("_salt", F.pmod(F.xxhash64(*salt_src), F.lit(salt_buckets)))
+    staged = df.withColumn("_salt", F.pmod(F.xxhash64(*salt_src), _salts(df, salt_buckets)))
     partial = staged.groupBy(*keys, "_salt").agg(
         F.sum(value_col).alias("_s"), F.count(value_col).alias("_n"),
         F.min(value_col).alias("_mn"), F.max(value_col).alias("_mx"))
@@ -134,12 +153,12 @@ def salted_agg(df: DataFrame, key, value_col: str, salt_buckets: int = 8,
 
 
 def salted_count_distinct(df: DataFrame, key, col: str, out: str = "n_distinct",
-                          salt_buckets: int = 8) -> DataFrame:
+                          salt_buckets: int | None = None) -> DataFrame:
     """Exact distinct count for hot keys: dedup ``(key, col)`` salted by
     ``hash(col)`` (equal values meet in the same salt), count per salt, sum."""
     keys = _cols(key)
     staged = df.select(*keys, col).where(F.col(col).isNotNull()).withColumn(
-        "_salt", F.pmod(F.xxhash64(F.col(col)), F.lit(salt_buckets)))
+        "_salt", F.pmod(F.xxhash64(F.col(col)), _salts(df, salt_buckets)))
     partial = staged.groupBy(*keys, "_salt").agg(F.count_distinct(col).alias("_d"))
     return partial.groupBy(*keys).agg(F.sum("_d").alias(out))
 
@@ -160,14 +179,22 @@ def second_highest(df: DataFrame, value_col: str, by=None, out: str = "second_hi
 
 
 # A22 --------------------------------------------------------------------
-def conditional_counts(df: DataFrame, conditions: Mapping[str, Column], by=None) -> DataFrame:
+def count_exprs(conditions: Mapping[str, Column]) -> list[Column]:
     """``count_if`` for each named condition."""
-    return df.groupBy(*_cols(by)).agg(*[F.count_if(c).alias(n) for n, c in conditions.items()])
+    return [F.count_if(c).alias(n) for n, c in conditions.items()]
+
+
+def sum_exprs(value_col: str, conditions: Mapping[str, Column]) -> list[Column]:
+    """Sum of ``value_col`` over the rows of each named condition."""
+    return [F.sum(F.when(c, F.col(value_col))).alias(n) for n, c in conditions.items()]
+
+
+def conditional_counts(df: DataFrame, conditions: Mapping[str, Column], by=None) -> DataFrame:
+    return df.groupBy(*_cols(by)).agg(*count_exprs(conditions))
 
 
 def conditional_sums(df: DataFrame, value_col: str, conditions: Mapping[str, Column], by=None) -> DataFrame:
-    return df.groupBy(*_cols(by)).agg(*[
-        F.sum(F.when(c, F.col(value_col))).alias(n) for n, c in conditions.items()])
+    return df.groupBy(*_cols(by)).agg(*sum_exprs(value_col, conditions))
 
 
 # A23 --------------------------------------------------------------------

@@ -109,24 +109,40 @@ def star_join(fact: DataFrame, dims: Sequence[tuple[DataFrame, str | Sequence[st
 
 
 # J11 --------------------------------------------------------------------
-def broadcast_join(fact: DataFrame, dim: DataFrame, on, how: str = "inner",
-                   max_rows: int = 2_000_000) -> DataFrame:
-    """Broadcast ``dim`` only after counting it: above ``max_rows`` the
-    plain join is used and AQE picks the strategy from runtime sizes."""
-    small = dim.count() <= max_rows
-    return fact.join(F.broadcast(dim) if small else dim, _cols(on), JOIN_TYPES[how])
+#: most bytes (rows times an estimate of their width) that are broadcast
+BROADCAST_BYTES = 64 << 20
+
+
+def _row_bytes(df: DataFrame) -> int:
+    """Bytes a row takes by its types: 8 for fixed widths, 40 for others."""
+    wide = ("string", "binary", "array", "map", "struct")
+    return 16 + sum(40 if f.dataType.simpleString().startswith(wide) else 8 for f in df.schema)
+
 
+def bounded_broadcast(dim: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """``dim`` with a broadcast hint if it is small: at most as many rows as
+    fit ``max_bytes`` are counted (the count stops there). Beyond that the
+    frame comes back without a hint and the join shuffles."""
+    most = max(1, max_bytes // _row_bytes(dim))
+    return F.broadcast(dim) if dim.limit(most + 1).count() <= most else dim
 
-def bounded_broadcast(dim: DataFrame) -> DataFrame:
-    """Broadcast hint for dimensions whose cardinality is fixed by the
-    schema (e.g. 5 regions, 25 nations) and does not grow with the data."""
-    return F.broadcast(dim)
+
+def broadcast_join(fact: DataFrame, dim: DataFrame, on, how: str = "inner",
+                   max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Join that broadcasts ``dim`` if it is checked to be small."""
+    return fact.join(bounded_broadcast(dim, max_bytes), _cols(on), JOIN_TYPES[how])
 
 
 # J12 / L6 ---------------------------------------------------------------
-def hot_keys(df: DataFrame, key: str, min_share: float = 0.05) -> list:
-    """Keys holding at least ``min_share`` of the rows. At most
+def _shuffle_partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def hot_keys(df: DataFrame, key: str, min_share: float | None = None) -> list:
+    """Keys (NULL too) holding at least ``min_share`` of the rows, by default
+    what one shuffle task would hold if rows were even. At most
     ``1 / min_share`` keys can qualify, so the driver-side list is bounded."""
+    min_share = min_share or 1.0 / _shuffle_partitions(df)
     total = df.count()
     if total == 0:
         return []
@@ -137,23 +153,27 @@ def hot_keys(df: DataFrame, key: str, min_share: float = 0.05) -> list:
 
 
 def salted_join(fact: DataFrame, dim: DataFrame, key: str, how: str = "inner",
-                hot: Sequence | None = None, salt_buckets: int = 8,
-                min_share: float = 0.05) -> DataFrame:
+                hot: Sequence | None = None, salt_buckets: int | None = None,
+                min_share: float | None = None) -> DataFrame:
     """Equi join that splits hot keys.
 
     Fact rows of a hot key get a salt ``pmod(xxhash64(row), n)`` (stable
     under task retry, unlike ``rand()``); the matching dimension rows are
     replicated once per salt. Other keys use salt 0 and are not replicated.
     The join is then on ``(key, salt)``, so a hot key is spread over ``n``
-    tasks. Supports inner and left joins (the fact side is preserved).
+    tasks; by default as many as a shuffle has. A hot NULL key is spread as
+    well (it joins nothing, but a left join keeps its rows). Supports inner
+    and left joins (the fact side is preserved). Which keys are measured as
+    hot changes the layout only, never the rows.
     """
+    salt_buckets = salt_buckets or _shuffle_partitions(fact)
     if JOIN_TYPES[how] not in ("inner", "left"):
         # replicated dimension rows would repeat unmatched dimension rows
         raise ValueError("salted_join supports inner and left joins (fact side preserved)")
     hot = list(hot) if hot is not None else hot_keys(fact, key, min_share)
     if not hot:
         return fact.join(dim, key, JOIN_TYPES[how])
-    is_hot = F.col(key).isin(hot)
+    is_hot = F.coalesce(F.col(key).isin([k for k in hot if k is not None]), F.lit(None in hot))
     salted_fact = fact.withColumn("_salt", F.when(is_hot, F.pmod(
         F.xxhash64(*[F.col(c) for c in fact.columns]), F.lit(salt_buckets))).otherwise(F.lit(0)))
     salted_dim = dim.withColumn("_salt", F.explode(F.when(
@@ -175,8 +195,10 @@ def pairs_summing_to(df: DataFrame, value_col: str, target) -> DataFrame:
     b = counts.select(F.col(value_col).alias("b"), F.col("_n").alias("nb"))
     t = target if isinstance(target, Column) else F.lit(target)
     joined = a.join(b, (F.col("b") == t - F.col("a")) & (F.col("a") <= F.col("b")))
-    pairs = F.when(F.col("a") == F.col("b"), F.col("na") * (F.col("na") - 1) / 2).otherwise(
-        F.col("na") * F.col("nb")).cast("long")
+    na, nb = (F.col(c).cast("decimal(19,0)") for c in ("na", "nb"))
+    same = F.col("a") == F.col("b")
+    twice = na * F.when(same, na - 1).otherwise(nb * 2).cast("decimal(19,0)")  # exact: at most 38 digits
+    pairs = F.floor(twice / 2).cast("decimal(38,0)")
     return joined.select("a", "b", pairs.alias("n_pairs")).where(F.col("n_pairs") > 0)
 
 
@@ -185,8 +207,9 @@ def count_unequal_pairs(df: DataFrame, key: str, by=None) -> DataFrame:
     ``n^2 - sum(count_k^2)``, without enumerating pairs."""
     by = [] if by is None else _cols(by)
     per = df.groupBy(*by, key).agg(F.count(F.lit(1)).alias("_c"))
-    return per.groupBy(*by).agg(
-        (F.pow(F.sum("_c"), 2) - F.sum(F.col("_c") * F.col("_c"))).cast("long").alias("n_pairs"))
+    n = F.sum("_c").cast("decimal(19,0)")
+    own = F.sum((F.col("_c").cast("decimal(19,0)") * F.col("_c").cast("decimal(19,0)")).cast("decimal(38,0)"))
+    return per.groupBy(*by).agg(((n * n).cast("decimal(38,0)") - own).cast("decimal(38,0)").alias("n_pairs"))
 
 
 # J15 --------------------------------------------------------------------
@@ -194,7 +217,7 @@ def join_group_aggregate(df: DataFrame, keys, agg_exprs: Sequence[Column]) -> Da
     """Attach per-group aggregates to every row (join to an aggregated
     inline view)."""
     keys = _cols(keys)
-    return join(df, df.groupBy(*keys).agg(*agg_exprs), keys, "inner", null_safe=True)
+    return join(df, bounded_broadcast(df.groupBy(*keys).agg(*agg_exprs)), keys, "inner", null_safe=True)
 
 
 # J16 --------------------------------------------------------------------

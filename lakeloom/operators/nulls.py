@@ -38,11 +38,23 @@ def fill(df: DataFrame, value=None, subset: Sequence[str] | None = None,
 
 
 def fill_with_stat(df: DataFrame, cols: Sequence[str], stat: str = "mean") -> DataFrame:
-    """Fill NULLs with the column mean or (exact) median. The statistics
-    are one aggregate row, brought back as literals."""
-    fn = {"mean": F.avg, "median": F.median}[stat]
-    row = df.agg(*[fn(c).alias(c) for c in cols]).first()
-    return df.fillna({c: row[c] for c in cols if row[c] is not None})
+    """Fill NULLs with the column mean or (exact) median; one number a column
+    comes back as a literal. Medians are taken from value counts. An integer
+    column whose statistic has a fraction becomes double, as in pandas."""
+    if stat == "median":
+        from lakeloom.operators.quantiles import exact_median
+        found = {c: exact_median(df, c).first() for c in cols}
+        values = {c: r["median"] if r is not None else None for c, r in found.items()}
+    else:
+        values = df.agg(*[F.avg(c).alias(c) for c in cols]).first().asDict()
+    whole = ("tinyint", "smallint", "int", "bigint")
+    types = dict(df.dtypes)
+    for c in cols:
+        if values[c] is not None:
+            value = float(values[c])
+            kept = F.col(c).cast("double") if types[c] in whole and not value.is_integer() else F.col(c)
+            df = df.withColumn(c, F.coalesce(kept, F.lit(int(value) if types[c] in whole and value.is_integer() else value)))
+    return df
 
 
 def drop_null_rows(df: DataFrame, how: str = "any", subset: Sequence[str] | None = None,

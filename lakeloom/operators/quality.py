@@ -225,53 +225,68 @@ def key_checks(df: DataFrame, pk: Sequence[str], not_null: Sequence[str] = (),
 
 
 # Q12 --------------------------------------------------------------------
-# The preprocessing step names the dispatcher accepts.
-PREPROCESSING_STEPS = ("null_values", "missing_values", "outliers", "data_quality_checks",
-                       "label_encoding", "one_hot_encoding", "scaling", "feature_engineering",
-                       "feature_selection", "train_test_split")
+def _encoded(df: DataFrame, one_hot: bool, col: str, out: str | None = None) -> DataFrame:
+    from pyspark.ml import Pipeline
+    from pyspark.ml import feature as MF
+    index = f"{col}_idx"
+    stages = [MF.StringIndexer(inputCol=col, outputCol=index if one_hot else out or index, handleInvalid="keep",
+                               stringOrderType="alphabetAsc")]
+    if one_hot:
+        stages.append(MF.OneHotEncoder(inputCol=index, outputCol=out or f"{col}_ohe"))
+    result = Pipeline(stages=stages).fit(df).transform(df)
+    return result.drop(index) if one_hot else result
 
 
-def pre_processing(df: DataFrame, step: str, **kw):
-    """Dispatch one preprocessing step to its Spark implementation."""
+def _on_vector(df: DataFrame, cols: Sequence[str], stage, invalid: str) -> DataFrame:
     from pyspark.ml import Pipeline
     from pyspark.ml import feature as MF
+    vector = MF.VectorAssembler(inputCols=list(cols), outputCol="_features", handleInvalid=invalid)
+    return Pipeline(stages=[vector, stage(MF)]).fit(df).transform(df).drop("_features")
+
+
+def _scaled(df: DataFrame, cols: Sequence[str], kind: str = "standard", out: str = "scaled") -> DataFrame:
+    names = {"inputCol": "_features", "outputCol": out}
+    return _on_vector(df, cols, lambda m: m.MinMaxScaler(**names) if kind == "minmax" else
+                      m.StandardScaler(withMean=True, withStd=True, **names), "keep")
 
+
+def _engineered(df: DataFrame, transforms: Mapping[str, str]) -> DataFrame:
     from lakeloom.functions.math import feature_transform
-    from lakeloom.operators.nulls import fill, treat_nulls
-
-    if step == "null_values":
-        return treat_nulls(df, kw.get("threshold_pct", 50.0))[0]
-    if step == "missing_values":
-        return fill(df, kw.get("value", 0), kw.get("subset"))
-    if step == "outliers":
-        return iqr_outliers(df, kw["col"], kw.get("by"), kw.get("k", 1.5), flag_only=True)
-    if step == "data_quality_checks":
-        return key_checks(df, kw["pk"], kw.get("not_null", ()))
-    if step == "label_encoding":
-        return MF.StringIndexer(inputCol=kw["col"], outputCol=kw.get("out", kw["col"] + "_idx"),
-                                handleInvalid="keep", stringOrderType="alphabetAsc").fit(df).transform(df)
-    if step == "one_hot_encoding":
-        idx = kw["col"] + "_idx"
-        pipe = Pipeline(stages=[
-            MF.StringIndexer(inputCol=kw["col"], outputCol=idx, handleInvalid="keep", stringOrderType="alphabetAsc"),
-            MF.OneHotEncoder(inputCol=idx, outputCol=kw.get("out", kw["col"] + "_ohe"))])
-        return pipe.fit(df).transform(df).drop(idx)
-    if step == "scaling":
-        vec = MF.VectorAssembler(inputCols=list(kw["cols"]), outputCol="_features", handleInvalid="keep")
-        scaler = (MF.MinMaxScaler(inputCol="_features", outputCol=kw.get("out", "scaled"))
-                  if kw.get("kind", "standard") == "minmax" else
-                  MF.StandardScaler(inputCol="_features", outputCol=kw.get("out", "scaled"),
-                                    withMean=True, withStd=True))
-        return Pipeline(stages=[vec, scaler]).fit(df).transform(df).drop("_features")
-    if step == "feature_engineering":
-        for c, kind in kw["transforms"].items():
-            df = df.withColumn(f"{c}_{kind}", feature_transform(c, kind))
-        return df
-    if step == "feature_selection":
-        vec = MF.VectorAssembler(inputCols=list(kw["cols"]), outputCol="_features")
-        sel = MF.VarianceThresholdSelector(featuresCol="_features", outputCol=kw.get("out", "selected"),
-                                           varianceThreshold=kw.get("threshold", 0.0))
-        return Pipeline(stages=[vec, sel]).fit(df).transform(df).drop("_features")
-    if step == "train_test_split":
-        return df.randomSplit(list(kw.get("weights", [0.8, 0.2])), seed=kw.get("seed", 42))
-    raise ValueError(f"unknown preprocessing step {step!r}; expected one of {PREPROCESSING_STEPS}")
+    return df.select("*", *[feature_transform(c, kind).alias(f"{c}_{kind}") for c, kind in transforms.items()])
+
+
+def _selected(df: DataFrame, cols: Sequence[str], threshold: float = 0.0, out: str = "selected") -> DataFrame:
+    return _on_vector(df, cols, lambda m: m.VarianceThresholdSelector(
+        featuresCol="_features", outputCol=out, varianceThreshold=threshold), "error")
+
+
+def _without_sparse_columns(df: DataFrame, threshold_pct: float = 50.0) -> DataFrame:
+    from lakeloom.operators.nulls import treat_nulls
+    return treat_nulls(df, threshold_pct)[0]
+
+
+def _filled(df: DataFrame, value=0, subset=None) -> DataFrame:
+    from lakeloom.operators.nulls import fill
+    return fill(df, value, subset)
+
+
+# The preprocessing step names, and what each one runs.
+PREPROCESSING = {
+    "null_values": _without_sparse_columns,
+    "missing_values": _filled,
+    "outliers": lambda df, col, by=None, k=1.5: iqr_outliers(df, col, by, k, flag_only=True),
+    "feature_scaling": _scaled,
+    "label_encoding": lambda df, col, out=None: _encoded(df, False, col, out),
+    "one_hot_encoding": lambda df, col, out=None: _encoded(df, True, col, out),
+    "feature_engineering": _engineered,
+    "feature_selection": _selected,
+    "train_test_split": lambda df, weights=(0.8, 0.2), seed=42: df.randomSplit(list(weights), seed=seed),
+    "data_quality_checks": lambda df, pk, not_null=(): key_checks(df, pk, not_null),
+}
+
+
+def pre_processing(df: DataFrame, step: str, **options):
+    """Run one preprocessing step; ``options`` are that step's parameters."""
+    if step not in PREPROCESSING:
+        raise ValueError(f"unknown preprocessing step {step!r}; expected one of {tuple(PREPROCESSING)}")
+    return PREPROCESSING[step](df, **options)

@@ -1,9 +1,10 @@
 """Exact, distributed percentiles.
 
 Spark's ``percentile`` keeps every distinct value of a group in one task.
-Here a group of any size is split into ordered segments by range
-partitioning on ``(group, value)``; per-segment counts locate which segment
-holds each wanted rank, and only those segments are ranked. The result is
+Here the rows are first counted per ``(group, value)`` -- a partial aggregate,
+so ties of any number are one row -- and the different values of a group are
+split into ordered segments by range partitioning; per-segment counts locate
+which segment holds each wanted rank, and only those segments are walked. The result is
 the linearly interpolated percentile (position ``(n - 1) * p``), the same
 as pandas ``quantile``, Spark ``percentile`` and SQL ``quantile_cont``.
 """
@@ -39,10 +40,11 @@ def exact_percentiles(df: DataFrame, value_col: str, probs: Sequence[float],
         return out.select(*[F.col(f"_gk.{c}").alias(c) for c in group_cols], *names)
     v = F.col(value_col).cast("double")
     data = df.select(*group_cols, v.alias("_v")).where(F.col("_v").isNotNull())
+    data = data.groupBy(*group_cols, "_v").agg(F.count(F.lit(1)).alias("_w"))
     seg = range_segments(data, [F.col(c) for c in group_cols] + [F.col("_v")], segments)
 
     # per (group, segment) sizes and the number of rows in earlier segments
-    sizes = seg.groupBy(*group_cols, "_seg").agg(F.count(F.lit(1)).alias("_c"))
+    sizes = seg.groupBy(*group_cols, "_seg").agg(F.sum("_w").alias("_c"))
     wg = Window.partitionBy(*group_cols).orderBy("_seg")
     sizes = (sizes
              .withColumn("_before", F.coalesce(F.sum("_c").over(
@@ -61,16 +63,17 @@ def exact_percentiles(df: DataFrame, value_col: str, probs: Sequence[float],
     ranks = wanted.select(*group_cols, F.explode(F.array("_lo", "_hi")).alias("_r")).distinct()
     located = (ranks.join(sizes, group_cols)
                .where((F.col("_r") >= F.col("_before")) & (F.col("_r") < F.col("_before") + F.col("_c")))
-               .select(*group_cols, "_seg", "_r", (F.col("_r") - F.col("_before") + 1).alias("_k")))
+               .select(*group_cols, "_seg", "_r", (F.col("_r") - F.col("_before")).alias("_k")))
 
     # rank only the segments that hold a wanted position
     needed = located.select(*group_cols, "_seg").distinct()
     w = Window.partitionBy(*group_cols, "_seg").orderBy("_v")
     # ``needed`` has at most 2 * len(probs) rows per group; with many groups
     # it is not small, so the join strategy is left to AQE
-    picked = (seg.join(needed, group_cols + ["_seg"], "left_semi")
-              .withColumn("_k", F.row_number().over(w))
-              .join(located, group_cols + ["_seg", "_k"])
+    walked = (seg.join(needed, group_cols + ["_seg"], "left_semi")
+              .withColumn("_to", F.sum("_w").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))))
+    picked = (walked.join(located, group_cols + ["_seg"])
+              .where((F.col("_k") < F.col("_to")) & (F.col("_k") >= F.col("_to") - F.col("_w")))
               .select(*group_cols, "_r", "_v"))
 
     lo = picked.withColumnRenamed("_r", "_lo").withColumnRenamed("_v", "_vlo")

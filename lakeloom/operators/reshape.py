@@ -18,12 +18,21 @@ def _cols(x) -> list[str]:
 
 def pivot(df: DataFrame, index, columns: str, values: str, pivot_values: Sequence,
           agg: str = "sum") -> DataFrame:
-    """Pivot table. ``pivot_values`` is required: it fixes the output schema
-    and saves the extra job that discovers the distinct values. Missing
-    cells are NULL."""
+    """Pivot table. ``pivot_values`` fixes the output schema and saves a job
+    that discovers the values; a value of ``columns`` that is not listed (NULL
+    included, unless listed) raises when the result is read, so no row is
+    dropped in silence. Missing cells are NULL."""
     fn = {"sum": F.sum, "avg": F.avg, "mean": F.avg, "min": F.min, "max": F.max,
           "count": F.count, "first": F.first}[agg]
-    return df.groupBy(*_cols(index)).pivot(columns, list(pivot_values)).agg(fn(values))
+    return _listed(df, columns, pivot_values).groupBy(*_cols(index)).pivot(columns, list(pivot_values)).agg(fn(values))
+
+
+def _listed(df: DataFrame, column: str, values: Sequence) -> DataFrame:
+    """``df`` whose ``column`` raises on a value that is not in ``values``."""
+    c, known = F.col(column), [v for v in values if v is not None]
+    listed = c.isin(known) if None not in values else c.isNull() | c.isin(known)
+    unlisted = F.raise_error(F.concat(F.lit(f"pivot: {column} has a value that is not listed: "), F.coalesce(c.cast("string"), F.lit("NULL"))))
+    return df.withColumn(column, F.when(F.coalesce(listed, F.lit(False)), c).otherwise(unlisted.cast(df.schema[column].dataType)))
 
 
 def unstack(df: DataFrame, index, level: str, values: str, level_values: Sequence) -> DataFrame:
@@ -31,6 +40,7 @@ def unstack(df: DataFrame, index, level: str, values: str, level_values: Sequenc
     ``(index, level)`` entries are an error: the result carries a check
     column that raises when any cell would hold more than one value."""
     idx = _cols(index)
+    df = _listed(df, level, level_values)
     checked = df.groupBy(*idx, level).agg(F.count(F.lit(1)).alias("_n"), F.first(values).alias(values))
     checked = checked.withColumn(values, F.when(
         F.col("_n") == 1, F.col(values)).otherwise(

@@ -2,10 +2,15 @@
 
 Design rules for scale:
 
-* Per-group windows partition by the group key. Where one key may hold a
-  large share of the rows, the ranking operators (top-n, dedup) run in
-  two stages: a salted first pass keeps only rows that can still reach the
-  final cut, the exact final pass ranks those survivors.
+* No operator looks at the data to choose its path, and no query is run
+  to build another (only the ``segmented_*`` forms write their segments).
+* Per-group windows partition by the group key. For groups too large for
+  one task the caller asks for the ``segmented_*`` form of the operator, which
+  gives the same rows from ordered segments.
+* Top-n and dedup always run in two stages: a salted first pass keeps only
+  rows that can still reach the final cut, the exact final pass ranks those
+  survivors. Ties are reduced to one row a key before they are ranked.
+* Ranks, positions and counts are ``bigint``.
 * Windows with no partition key (global rank, global running total, row
   positions) never run in one task: rows are range-partitioned into
   ordered segments, ranked/summed locally, and shifted by the counts/sums
@@ -16,7 +21,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -40,86 +46,119 @@ def _gkey(keys: list[str]) -> Column:
 
 # W1-W3, W9, W11-W14, W16 ------------------------------------------------
 def rank_within(df: DataFrame, partition_by, order_by, method: str = "row_number",
-                out: str = "rank", skew_safe="auto") -> DataFrame:
-    """Per-group ranking column (every row kept). With a group too large
-    for one task (see ``has_hot_group``) the ranking runs in ordered
-    segments: local ranks inside (group, segment) plus, for the groups that
-    continue across a segment edge, the row count (or distinct-key count for
-    ``dense_rank``) of their earlier segments."""
-    if _use_segments(df, partition_by, skew_safe):
-        return segmented_rank_within(df, partition_by, order_by, method, out)
+                out: str = "rank") -> DataFrame:
+    """Per-group ranking column (every row kept): one window, one task per
+    group. ``segmented_rank_within`` gives the same ranks for groups of any
+    size. Order keys may be names, (name, direction) or Columns in both."""
     w = Window.partitionBy(*_cols(partition_by)).orderBy(*sort_keys(order_by))
-    return df.withColumn(out, _RANKERS[method]().over(w))
+    return df.withColumn(out, _RANKERS[method]().over(w).cast("long"))
 
 
-def segmented_rank_within(df: DataFrame, partition_by, order_by, method: str = "row_number",
-                          out: str = "rank", segments: int | None = None) -> DataFrame:
-    keys = _cols(partition_by)
-    okeys = sort_keys(order_by)
-    seg = range_segments(df, [F.col(k) for k in keys] + okeys, segments).withColumn("_gk", _gkey(keys))
+def segmented_ranks_within(df: DataFrame, partition_by, order_by, outputs: dict[str, str],
+                           segments: int | None = None) -> DataFrame:
+    """Several rankings (column -> method) of groups of any size, from one
+    segmentation: local ranks inside (group, segment) plus, for the groups
+    that continue across a segment edge (at most two a segment), the rows or
+    different keys of their earlier segments."""
+    keys, okeys = _cols(partition_by), sort_keys(order_by)
+    local = range_segments(df, [F.col(k) for k in keys] + okeys, segments).withColumn("_gk", _gkey(keys))
     w = Window.partitionBy("_gk", "_seg").orderBy(*okeys)
-    local = seg.withColumn("_lr", _RANKERS[method]().over(w))
-    # only groups at a segment edge continue into other segments: at most two
-    # per segment, so the offset table is bounded by the segment count
-    edge = seg.join(F.broadcast(_edge_groups(seg)), ["_gk", "_seg"], "left_semi")
-    if method == "dense_rank":
-        measure = F.count_distinct(F.struct(*[F.col(c) for c in key_names(order_by)]))
-    else:
-        measure = F.count(F.lit(1))
-    stats = edge.groupBy("_gk", "_seg").agg(measure.alias("_c"))
+    local = local.withColumn("_dense", F.dense_rank().over(w).cast("long"))
+    edge = local.join(F.broadcast(_edge_groups(local)), ["_gk", "_seg"], "left_semi")
+    # the largest dense rank of a part is its number of different keys
+    stats = edge.groupBy("_gk", "_seg").agg(F.count(F.lit(1)).alias("_rows"), F.max("_dense").alias("_keys"))
     before = Window.partitionBy("_gk").orderBy("_seg").rowsBetween(Window.unboundedPreceding, -1)
-    offs = stats.select("_gk", "_seg", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_off"))
-    return (local.join(F.broadcast(offs), ["_gk", "_seg"], "left")
-            .withColumn(out, (F.col("_lr") + F.coalesce(F.col("_off"), F.lit(0))).cast("int"))
-            .drop("_lr", "_off", "_seg", "_gk"))
+    offs = stats.select("_gk", "_seg", F.sum("_rows").over(before).alias("_o_rows"), F.sum("_keys").over(before).alias("_o_keys"))
+    out = local
+    for name, method in outputs.items():
+        out = out.withColumn(f"_l_{name}", _RANKERS[method]().over(w).cast("long"))
+    out = out.join(F.broadcast(offs), ["_gk", "_seg"], "left")
+    for name, method in outputs.items():
+        off = F.coalesce(F.col("_o_keys" if method == "dense_rank" else "_o_rows"), F.lit(0))
+        out = out.withColumn(name, F.col(f"_l_{name}") + off).drop(f"_l_{name}")
+    return out.drop("_dense", "_o_rows", "_o_keys", "_seg", "_gk")
+
+
+def segmented_rank_within(df: DataFrame, partition_by, order_by, method: str = "row_number",
+                          out: str = "rank", segments: int | None = None) -> DataFrame:
+    """``rank_within`` for groups of any size."""
+    return segmented_ranks_within(df, partition_by, order_by, {out: method}, segments)
+
+
+def _salts(df: DataFrame) -> int:
+    """How many parts a hot group is cut into: as many as a shuffle has."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
 def top_n_per_group(df: DataFrame, partition_by, order_by, n: int = 1,
                     method: str = "row_number", out: str | None = None,
-                    salt_buckets: int = 16, exact_rank: int | None = None,
-                    skew_safe="auto") -> DataFrame:
+                    exact_rank: int | None = None) -> DataFrame:
     """Rows whose per-group rank is ``<= n`` (``== exact_rank`` when given).
 
     ``method`` picks ties: ``row_number`` (one row per position; pass a total
     order), ``rank`` (ties share a rank, gaps follow), ``dense_rank``.
-    With a hot group (or no group at all) ranking runs in two stages:
-    stage 1 ranks inside ``(group, salt)`` sub-groups and keeps local rank
-    ``<= n`` -- a row's local rank never exceeds its group rank, so no row
-    that can qualify is dropped, and a hot group is spread over
-    ``salt_buckets`` tasks; stage 2 ranks the few survivors per group.
-    ``skew_safe="auto"`` measures first and skips stage 1 when no group
-    holds 5 % of the rows.
+
+    Two stages: stage 1 ranks inside ``(group, salt)`` and keeps local rank
+    ``<= n`` -- a local rank never exceeds the group rank, so no row that can
+    qualify is dropped, and a hot group is spread over many tasks; stage 2
+    ranks the few survivors per group. With ``rank`` and ``dense_rank`` both
+    stages rank the *different order keys* of a group with their row counts
+    (a partial aggregate), so ties of any size never meet in one task; the
+    rows are then picked by an equi join on (group, order keys).
     """
-    keys = sort_keys(order_by)
-    parts = _cols(partition_by)
-    fn = _RANKERS[method]
-    limit = n if exact_rank is None else exact_rank
-    salted = salt_buckets and salt_buckets > 1 and (not parts or _use_segments(df, parts, skew_safe))
-    if salted:
-        salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(salt_buckets))
-        staged = df.withColumn("_salt", salt)
-        w1 = Window.partitionBy(*parts, "_salt").orderBy(*keys)
-        df = (staged.withColumn("_r1", fn().over(w1)).where(F.col("_r1") <= limit)
-              .drop("_r1", "_salt"))
-    w2 = Window.partitionBy(*parts).orderBy(*keys)
-    col = out or "_rank"
-    ranked = df.withColumn(col, fn().over(w2))
-    cond = F.col(col) == exact_rank if exact_rank is not None else F.col(col) <= n
-    ranked = ranked.where(cond)
-    return ranked if out else ranked.drop(col)
-
-
-def dedup_keep_first(df: DataFrame, keys, order_by, salt_buckets: int = 16,
-                     skew_safe="auto") -> DataFrame:
+    parts, limit, col = _cols(partition_by), n if exact_rank is None else exact_rank, out or "_rank"
+    wanted = F.col(col) == exact_rank if exact_rank is not None else F.col(col) <= n
+
+    def salted(frame, keys):
+        salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in frame.columns]), F.lit(_salts(df)))
+        w = Window.partitionBy(*parts, "_salt").orderBy(*keys)
+        return (frame.withColumn("_salt", salt).withColumn("_r1", F.row_number().over(w))
+                .where(F.col("_r1") <= limit).drop("_r1", "_salt"))
+
+    if method == "row_number":
+        keys = sort_keys(order_by)
+        ranked = salted(df, keys).withColumn(col, F.row_number().over(Window.partitionBy(*parts).orderBy(*keys)).cast("long"))
+        ranked = ranked.where(wanted)
+        return ranked if out else ranked.drop(col)
+    keyed, names, specs = _named_keys(df, order_by)
+    keys = sort_keys(specs)
+    distinct = keyed.groupBy(*parts, *[c for c in names if c not in parts]).agg(F.count(F.lit(1)).alias("_c"))
+    few = salted(distinct, keys)
+    w = Window.partitionBy(*parts).orderBy(*keys)
+    rank = (F.row_number().over(w) if method == "dense_rank" else
+            F.coalesce(F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) + 1)
+    few = few.withColumn(col, rank.cast("long")).where(wanted)
+    both = [*parts, *[c for c in names if c not in parts]]
+    picked = few.select(_gkey(both).alias("_gk"), col)
+    joined = keyed.withColumn("_gk", _gkey(both)).join(picked, "_gk")
+    return joined.select(*df.columns, *([col] if out else []))
+
+
+def _named_keys(df: DataFrame, order_by) -> tuple[DataFrame, list[str], list]:
+    """``df`` with a column for each order key, their names, and order specs
+    on those names. Column keys must carry no direction (they sort ascending
+    with NULL first) -- give ``(name, "desc")`` for the other one."""
+    names, specs = [], []
+    for k, spec in enumerate(as_specs(order_by)):
+        if isinstance(spec, Column):
+            df = df.withColumn(f"_key{k}", spec)
+            spec = f"_key{k}"
+        specs.append(spec)
+        names.append(spec if isinstance(spec, str) else spec[0])
+    return df, names, specs
+
+
+def dedup_keep_first(df: DataFrame, keys, order_by) -> DataFrame:
     """One surviving row per key: the first by ``order_by`` (make it a
     total order for a deterministic survivor).
 
     When every order key has the same direction, the survivor is
-    ``min`` (or ``max``) of a struct of (order keys, other columns) per key:
-    a hash aggregate with map-side partial aggregation -- no sort, and a hot
-    key is reduced on every task before the shuffle. Struct comparison
-    matches the window order (NULL fields first ascending, last
-    descending). Mixed directions use the ranked path.
+    ``min`` (or ``max``) of a struct of (order keys, other columns) per key.
+    A struct buffer needs a sort-based aggregate, but it is partial: each
+    task sorts its own rows and sends one row a key, so a hot key is reduced
+    before the shuffle. Struct comparison matches the window order (NULL
+    fields first ascending, last descending). Mixed directions use the
+    two-stage ranking; both give the same survivor under a total order.
     """
     specs = as_specs(order_by)
     names = key_names(specs) if all(isinstance(x, (str, tuple)) for x in specs) else None
@@ -132,8 +171,7 @@ def dedup_keep_first(df: DataFrame, keys, order_by, salt_buckets: int = 16,
         best = pick(F.struct(*[F.col(c) for c in names + rest])).alias("_best")
         return df.groupBy(*keys).agg(best).select(*keys, *[F.col(f"_best.{c}").alias(c) for c in names + rest]) \
             .select(*df.columns)
-    return top_n_per_group(df, keys, order_by, 1, "row_number", salt_buckets=salt_buckets,
-                           skew_safe=skew_safe)
+    return top_n_per_group(df, keys, order_by, 1, "row_number")
 
 
 def latest_per_entity(df: DataFrame, keys, ts_col: str, tie_break=None,
@@ -153,53 +191,22 @@ def latest_per_entity(df: DataFrame, keys, ts_col: str, tie_break=None,
 def rows_at_group_extreme(df: DataFrame, keys, value_col: str, kind: str = "max") -> DataFrame:
     """Rows equal to their group's max (or min) -- ties kept (A21, CSQ
     correlated max). Group aggregate + equi join: skew-safe."""
+    from lakeloom.operators.joins import bounded_broadcast
     keys = _cols(keys)
     agg = F.max if kind == "max" else F.min
     ext = df.groupBy(_gkey(keys).alias("_gk")).agg(agg(value_col).alias("_ext"))
-    return (df.withColumn("_gk", _gkey(keys)).join(ext, "_gk")
+    return (df.withColumn("_gk", _gkey(keys)).join(bounded_broadcast(ext), "_gk")
             .where(F.col(value_col) == F.col("_ext")).drop("_ext", "_gk"))
 
 
 # W5-W8 ------------------------------------------------------------------
-def has_hot_group(df: DataFrame, keys, min_share: float | None = None) -> bool:
-    """Whether one group is too large for one task: it holds at least
-    ``min_share`` of the rows, by default ``min(5 %, 4 / parallelism)`` --
-    so on a large cluster even a 1 % group (which would leave most cores
-    idle) is split. One job: per-key counts (partially aggregated), then
-    their max and total; a single row reaches the driver."""
-    keys = _cols(keys)
-    if not keys:
-        return True
-    if min_share is None:
-        min_share = min(0.05, 4.0 / df.sparkSession.sparkContext.defaultParallelism)
-    r = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-         .agg(F.max("_n").alias("mx"), F.sum("_n").alias("total")).first())
-    return bool(r["total"]) and r["mx"] >= min_share * r["total"]
-
-
-def _use_segments(df, partition_by, skew_safe) -> bool:
-    if skew_safe == "auto":
-        return has_hot_group(df, partition_by)
-    return bool(skew_safe)
-
-
 def with_lead_lag(df: DataFrame, partition_by, order_by, value_col: str,
                   offset: int = 1, lead_name: str | None = None,
-                  lag_name: str | None = None, default=None, skew_safe="auto") -> DataFrame:
-    """``lead``/``lag`` of ``value_col`` by ``offset`` within each group.
-
-    ``skew_safe``: ``False`` = plain window (one task per group); ``True`` =
-    ordered segments (a hot group is split over many tasks, see
-    ``segmented_lead_lag``); ``"auto"`` = segments only when a group holds at
-    least 5 % of the rows.
-    """
-    if _use_segments(df, partition_by, skew_safe):
-        out = segmented_lead_lag(df, partition_by, order_by, value_col, offset, lead_name, lag_name)
-        if default is not None:
-            for c in (lead_name, lag_name):
-                if c:
-                    out = out.withColumn(c, F.coalesce(F.col(c), F.lit(default)))
-        return out
+                  lag_name: str | None = None, default=None) -> DataFrame:
+    """``lead``/``lag`` of ``value_col`` by ``offset`` within each group: one
+    window, one task per group. ``default`` stands where there is no such row;
+    a neighbour that is NULL stays NULL. ``segmented_lead_lag`` gives the
+    same for groups of any size."""
     w = Window.partitionBy(*_cols(partition_by)).orderBy(*sort_keys(order_by))
     if lead_name:
         df = df.withColumn(lead_name, F.lead(value_col, offset, default).over(w))
@@ -209,16 +216,15 @@ def with_lead_lag(df: DataFrame, partition_by, order_by, value_col: str,
 
 
 def diff_to_previous(df: DataFrame, partition_by, order_by, value_col: str,
-                     out: str = "diff_prev", skew_safe="auto") -> DataFrame:
-    prev = with_lead_lag(df, partition_by, order_by, value_col, 1, lag_name="_prev", skew_safe=skew_safe)
+                     out: str = "diff_prev") -> DataFrame:
+    prev = with_lead_lag(df, partition_by, order_by, value_col, 1, lag_name="_prev")
     return prev.withColumn(out, F.col(value_col) - F.col("_prev")).drop("_prev")
 
 
-def rows_above_previous(df: DataFrame, partition_by, order_by, value_col: str,
-                        skew_safe="auto") -> DataFrame:
+def rows_above_previous(df: DataFrame, partition_by, order_by, value_col: str) -> DataFrame:
     """Rows whose value is greater than the previous row's (window result is
     projected first, then filtered: windows are not allowed in WHERE)."""
-    prev = with_lead_lag(df, partition_by, order_by, value_col, 1, lag_name="_prev", skew_safe=skew_safe)
+    prev = with_lead_lag(df, partition_by, order_by, value_col, 1, lag_name="_prev")
     return prev.where(F.col(value_col) > F.col("_prev")).drop("_prev")
 
 
@@ -233,7 +239,7 @@ def _edge_groups(seg: DataFrame) -> DataFrame:
 
 def segmented_lead_lag(df: DataFrame, partition_by, order_by, value_col: str, offset: int = 1,
                        lead_name: str | None = None, lag_name: str | None = None,
-                       segments: int | None = None) -> DataFrame:
+                       default=None, segments: int | None = None) -> DataFrame:
     """Per-group lead/lag that splits large groups over ordered segments.
 
     1. Range-partition on (group, order) into segments; lead/lag inside each
@@ -253,19 +259,19 @@ def segmented_lead_lag(df: DataFrame, partition_by, order_by, value_col: str, of
     local = (seg.withColumn("_rn", F.row_number().over(wl))
              .withColumn("_cnt", F.count(F.lit(1)).over(Window.partitionBy("_gk", "_seg"))))
     if lead_name:
-        local = local.withColumn(lead_name, F.lead(value_col, offset).over(wl))
+        local = local.withColumn(lead_name, F.lead(value_col, offset, default).over(wl))
     if lag_name:
-        local = local.withColumn(lag_name, F.lag(value_col, offset).over(wl))
+        local = local.withColumn(lag_name, F.lag(value_col, offset, default).over(wl))
     edges = _edge_groups(seg)
     near_edge = (F.col("_rn") <= offset) | (F.col("_rn") > F.col("_cnt") - offset)
     edge_rows = local.join(F.broadcast(edges), ["_gk", "_seg"], "left_semi").where(near_edge)
     we = Window.partitionBy("_gk").orderBy(F.col("_seg"), *okeys)
     fix_cols = []
     if lead_name:
-        edge_rows = edge_rows.withColumn(f"_fix_{lead_name}", F.lead(value_col, offset).over(we))
+        edge_rows = edge_rows.withColumn(f"_fix_{lead_name}", F.lead(value_col, offset, default).over(we))
         fix_cols.append(lead_name)
     if lag_name:
-        edge_rows = edge_rows.withColumn(f"_fix_{lag_name}", F.lag(value_col, offset).over(we))
+        edge_rows = edge_rows.withColumn(f"_fix_{lag_name}", F.lag(value_col, offset, default).over(we))
         fix_cols.append(lag_name)
     # lag reaches back only from a segment's first rows, lead forward only
     # from its last rows; elsewhere the local value is already exact
@@ -289,6 +295,28 @@ def running_total(df: DataFrame, partition_by, order_by, value_col: str,
     return df.withColumn(out, F.sum(value_col).over(w))
 
 
+def segmented_running_total(df: DataFrame, partition_by, order_by, value_col: str,
+                            out: str = "running_total", rows: bool = False,
+                            segments: int | None = None) -> DataFrame:
+    """``running_total`` for groups of any size: running sums inside (group,
+    segment) plus the group's sums of earlier segments, which only groups at
+    a segment edge have (at most two a segment). Rows with equal keys share a
+    segment, so the RANGE frame stays exact."""
+    keys, okeys = _cols(partition_by), sort_keys(order_by)
+    seg = range_segments(df, [F.col(k) for k in keys] + okeys, segments).withColumn("_gk", _gkey(keys))
+    w = Window.partitionBy("_gk", "_seg").orderBy(*okeys)
+    w = (w.rowsBetween(Window.unboundedPreceding, Window.currentRow) if rows
+         else w.rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    local = seg.withColumn("_local", F.sum(value_col).over(w))
+    edge = seg.join(F.broadcast(_edge_groups(seg)), ["_gk", "_seg"], "left_semi")
+    before = Window.partitionBy("_gk").orderBy("_seg").rowsBetween(Window.unboundedPreceding, -1)
+    offs = edge.groupBy("_gk", "_seg").agg(F.sum(value_col).alias("_t")).select("_gk", "_seg", F.sum("_t").over(before).alias("_off"))
+    # a NULL sum is a sum of NULLs only: it adds nothing, and stays NULL alone
+    total = F.when(F.col("_local").isNull(), F.col("_off")).otherwise(F.col("_local") + F.coalesce(F.col("_off"), F.lit(0)))
+    return (local.join(F.broadcast(offs), ["_gk", "_seg"], "left").withColumn(out, total)
+            .drop("_local", "_off", "_seg", "_gk"))
+
+
 def global_running_total(df: DataFrame, order_by, value_col: str,
                          out: str = "running_total", rows: bool = False,
                          segments: int | None = None) -> DataFrame:
@@ -334,7 +362,7 @@ def global_rank(df: DataFrame, order_by, method: str = "rank", out: str = "rank"
     offs = stats.withColumn("_off", F.coalesce(F.sum("_c").over(
         Window.orderBy("_seg").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     return (local.join(F.broadcast(offs.select("_seg", "_off")), "_seg")
-            .withColumn(out, (F.col("_lr") + F.col("_off")).cast("int"))
+            .withColumn(out, F.col("_lr").cast("long") + F.col("_off"))
             .drop("_lr", "_off", "_seg"))
 
 
@@ -362,24 +390,23 @@ def global_ranks(df: DataFrame, order_by, outputs: dict, tie_break=None,
     out = local.join(F.broadcast(offs), "_seg")
     for name, method in outputs.items():
         off = F.col("_od") if method == "dense_rank" else F.col("_oc")
-        out = out.withColumn(name, (F.col(f"_l_{name}") + off).cast("int")).drop(f"_l_{name}")
+        out = out.withColumn(name, F.col(f"_l_{name}").cast("long") + off).drop(f"_l_{name}")
     return out.drop("_seg", "_oc", "_od")
 
 
 def row_positions(df: DataFrame, order_by, out: str = "pos", segments: int | None = None) -> DataFrame:
     """0-based row position under an explicit order (pandas ``iloc``)."""
     return (global_rank(df, order_by, "row_number", "_rn", segments)
-            .withColumn(out, (F.col("_rn") - 1).cast("long")).drop("_rn"))
+            .withColumn(out, F.col("_rn") - 1).drop("_rn"))
 
 
 # W19 --------------------------------------------------------------------
-def fill_forward(df: DataFrame, order_by, cols: Sequence[str], partition_by=None,
-                 skew_safe="auto") -> DataFrame:
+def fill_forward(df: DataFrame, order_by, cols: Sequence[str], partition_by=None) -> DataFrame:
     """pandas ``ffill``: last non-NULL value so far, in ``order_by`` order
-    (per group when ``partition_by``). See ``with_lead_lag`` for
-    ``skew_safe``."""
-    if partition_by is None or _use_segments(df, partition_by, skew_safe):
-        return segmented_fill(df, partition_by, order_by, cols, "forward")
+    (per group when ``partition_by``; ``segmented_fill`` gives the same for
+    groups of any size)."""
+    if partition_by is None:
+        return segmented_fill(df, None, order_by, cols, "forward")
     w = (Window.partitionBy(*_cols(partition_by)).orderBy(*sort_keys(order_by))
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     for c in cols:
@@ -387,11 +414,10 @@ def fill_forward(df: DataFrame, order_by, cols: Sequence[str], partition_by=None
     return df
 
 
-def fill_backward(df: DataFrame, order_by, cols: Sequence[str], partition_by=None,
-                  skew_safe="auto") -> DataFrame:
+def fill_backward(df: DataFrame, order_by, cols: Sequence[str], partition_by=None) -> DataFrame:
     """pandas ``bfill``: next non-NULL value, in ``order_by`` order."""
-    if partition_by is None or _use_segments(df, partition_by, skew_safe):
-        return segmented_fill(df, partition_by, order_by, cols, "backward")
+    if partition_by is None:
+        return segmented_fill(df, None, order_by, cols, "backward")
     w = (Window.partitionBy(*_cols(partition_by)).orderBy(*sort_keys(order_by))
          .rowsBetween(Window.currentRow, Window.unboundedFollowing))
     for c in cols:
@@ -439,37 +465,55 @@ def ledger_balance(df: DataFrame, account_col: str, order_by: Sequence[str],
     current balance is rejected and leaves the balance unchanged.
 
     Rejection makes the fold stateful, so it is not a running sum. Rows are
-    hash-partitioned by account and sorted inside each partition; a pandas
-    fold then streams through the sorted Arrow batches carrying one balance
-    per account, so memory stays bounded whatever an account's size.
-    Accounts run in parallel; one account's rows are a sequential chain by
-    definition and are folded in order inside one task.
+    hash-partitioned by account and sorted inside each partition; a fold
+    streams through the sorted Arrow batches carrying one balance, so memory
+    stays bounded whatever an account's size. Accounts are told apart by a
+    key string made in the JVM, so a NULL account is one account and long ids
+    stay exact. Stretches without a possible rejection (deposits, and
+    withdrawals that the running sum covers) are summed as arrays; only a
+    rejection starts a new stretch. Accounts run in parallel; one account's
+    rows are a sequential chain by definition and are folded in order inside
+    one task.
     """
-    order_by = list(order_by)
     schema = T.StructType(df.schema.fields + [
         T.StructField(balance_col, T.DoubleType()),
         T.StructField(status_col, T.StringType())])
-    prepared = (df.repartition(account_col)
-                .sortWithinPartitions(account_col, *order_by))
+    key = F.to_json(F.struct(F.col(account_col).cast("string").alias("k")), {"ignoreNullFields": "false"})
+    prepared = (df.select("*", F.col(amount_col).cast("double").alias("__amount"), key.alias("__account"))
+                .repartition("__account").sortWithinPartitions("__account", *list(order_by)))
+    names = df.columns
+
+    def chain(amounts, start):
+        """Balance after each amount, and which amounts were rejected."""
+        balance, rejected, at = np.empty(len(amounts)), np.zeros(len(amounts), bool), 0
+        while at < len(amounts):
+            running = np.cumsum(np.r_[start, amounts[at:at + 4096]])[1:]
+            bad = np.flatnonzero((running < 0) & (amounts[at:at + 4096] < 0))
+            stop = int(bad[0]) if len(bad) else len(running)
+            balance[at:at + stop] = running[:stop]
+            start = float(running[stop - 1]) if stop else start
+            at += stop
+            if len(bad):
+                balance[at], rejected[at] = start, True
+                at += 1
+        return balance, rejected
 
     def fold(batches):
-        current_acct, bal = None, opening
-        for pdf in batches:
-            balances, statuses = [], []
-            for acct, amt in zip(pdf[account_col].tolist(), pdf[amount_col].tolist()):
-                if acct != current_acct:
-                    current_acct, bal = acct, opening
-                if amt is None or pd.isna(amt):
-                    statuses.append("skipped")
-                elif amt >= 0:
-                    bal += amt
-                    statuses.append("deposit")
-                elif -amt <= bal:
-                    bal += amt
-                    statuses.append("withdrawal")
-                else:
-                    statuses.append("rejected")
-                balances.append(bal)
-            yield pdf.assign(**{balance_col: balances, status_col: statuses})
-
-    return prepared.mapInPandas(fold, schema)
+        current, bal = None, opening
+        for batch in batches:
+            accounts = batch.column(len(names) + 1).to_numpy(zero_copy_only=False)
+            amounts = batch.column(len(names)).to_numpy(zero_copy_only=False)
+            known = ~np.isnan(amounts)
+            edges = np.r_[0, np.flatnonzero(accounts[1:] != accounts[:-1]) + 1, len(accounts)] if len(accounts) else [0]
+            balance, status = np.empty(len(accounts)), np.where(amounts >= 0, "deposit", "withdrawal").astype(object)
+            status[~known] = "skipped"
+            for a, b in zip(edges[:-1], edges[1:]):
+                if accounts[a] != current:
+                    current, bal = accounts[a], opening
+                balance[a:b], rejected = chain(np.where(known[a:b], amounts[a:b], 0.0), bal)
+                status[a:b][rejected] = "rejected"
+                bal = float(balance[b - 1])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:len(names)], pa.array(balance), pa.array(status, pa.string())],
+                                             [*names, balance_col, status_col])
+
+    return prepared.mapInArrow(fold, schema)

@@ -54,7 +54,21 @@ def cents(c, scale: int = 2) -> Column:
 def dsum(c, scale: int = 2) -> Column:
     """Exact sum of a money column, as double (the exact total, correctly
     rounded once)."""
-    return F.sum(cents(c, scale)) / float(10 ** scale)
+    return exact_sum(cents(c, scale)).cast("double") / float(10 ** scale)
+
+
+def exact_sum(units: Column) -> Column:
+    """Sum of bigint units as DECIMAL that no number of rows overflows: the
+    low 20 bits and the rest are summed apart as bigint (each partial sum
+    stays in generated code) and put together once per group."""
+    high = F.sum(F.shiftright(units, 20)).cast("decimal(20,0)")
+    low = F.sum(units.bitwiseAND(F.lit((1 << 20) - 1))).cast("decimal(20,0)")
+    return high * F.lit(1 << 20).cast("decimal(8,0)") + low
+
+
+def total(c: str) -> Column:
+    """Sum of partial sums (bigint or DECIMAL) as DECIMAL(38,0)."""
+    return F.sum(F.col(c).cast("decimal(38,0)"))
 
 
 def davg(c, scale: int = 2) -> Column:
@@ -74,7 +88,7 @@ def net_price() -> Column:
 
 
 def net_sum() -> Column:
-    return F.sum(net_units()) / 1e4
+    return exact_sum(net_units()).cast("double") / 1e4
 
 
 # SQL twins of the helpers above

@@ -16,8 +16,8 @@ from lakeloom.operators import reshape as R
 from lakeloom.operators import setops as U
 from lakeloom.operators import windows as W
 from lakeloom.operators.layout import ensure_parallelism
-from lakeloom.plans._common import (SQL_NET, cents, davg, dsum, net_sum, net_units, register,
-                                    sql_davg, sql_dsum, table)
+from lakeloom.plans._common import (SQL_NET, cents, davg, dsum, exact_sum, net_sum, net_units, register,
+                                    sql_davg, sql_dsum, table, total)
 
 _O98 = "o_orderdate >= DATE '1998-01-01' AND o_orderdate < DATE '1999-01-01'"
 _O97 = "o_orderdate >= DATE '1997-01-01' AND o_orderdate < DATE '1998-01-01'"
@@ -119,9 +119,9 @@ SELECT p.p_brand, COUNT(*) AS line_count, {sql_dsum(SQL_NET, 4)} AS revenue
 FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey GROUP BY p.p_brand""")
 def j9_join_different_keys(spark, sf):
     per_part = (table(spark, sf, "lineitem").groupBy("l_partkey")
-                .agg(F.count(F.lit(1)).alias("_n"), F.sum(net_units()).alias("_s")))
+                .agg(F.count(F.lit(1)).alias("_n"), exact_sum(net_units()).alias("_s")))
     j = J.join_on_columns(per_part, table(spark, sf, "part"), "l_partkey", "p_partkey")
-    return j.groupBy("p_brand").agg(F.sum("_n").alias("line_count"), (F.sum("_s") / 1e4).alias("revenue"))
+    return j.groupBy("p_brand").agg(F.sum("_n").alias("line_count"), (total("_s").cast("double") / 1e4).alias("revenue"))
 
 
 @register("j10_star_join", f"""
@@ -132,13 +132,13 @@ def j10_star_join(spark, sf):
     """Lines reduced per order first, then the star join order -> customer
     -> nation (broadcast), then totals per nation and year."""
     l = (table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey"))
-         .agg(F.count(F.lit(1)).alias("_n"), F.sum(net_units()).alias("_s")))
+         .agg(F.count(F.lit(1)).alias("_n"), exact_sum(net_units()).alias("_s")))
     o = table(spark, sf, "orders").select("o_orderkey", F.col("o_custkey").alias("c_custkey"), "o_orderdate")
     c = _cust(spark, sf).select("c_custkey", F.col("c_nationkey").alias("n_nationkey"))
     n = J.bounded_broadcast(table(spark, sf, "nation").select("n_nationkey", "n_name"))
     s = J.star_join(l, [(o, "o_orderkey", "o_"), (c, "c_custkey", "c_"), (n, "n_nationkey", "n_")])
     return (s.groupBy("n_name", D.year("o_orderdate").alias("year"))
-            .agg(F.sum("_n").alias("line_count"), (F.sum("_s") / 1e4).alias("revenue")))
+            .agg(F.sum("_n").alias("line_count"), (total("_s").cast("double") / 1e4).alias("revenue")))
 
 
 @register("j11_broadcast_join", f"""
@@ -149,27 +149,22 @@ def j11_broadcast_join(spark, sf):
     (above the bound the join is left to AQE)."""
     l = table(spark, sf, "lineitem").select(F.col("l_partkey").alias("p_partkey"), "l_quantity")
     p = table(spark, sf, "part").select("p_partkey", "p_type")
-    return J.broadcast_join(l, p, "p_partkey", max_rows=2_000_000).groupBy("p_type").agg(
+    return J.broadcast_join(l, p, "p_partkey").groupBy("p_type").agg(
         F.sum("l_quantity").alias("quantity"))
 
 
-@register("j12_salted_join", f"""
-WITH f AS (SELECT l_returnflag, {sql_davg('l_extendedprice')} AS flag_avg_price, COUNT(*) AS flag_lines
-           FROM lineitem GROUP BY l_returnflag)
-SELECT l.l_orderkey, l.l_linenumber, l.l_returnflag, l.l_extendedprice, f.flag_avg_price, f.flag_lines
-FROM lineitem l JOIN f USING (l_returnflag)""")
+@register("j12_salted_join", """
+SELECT e.event_id, e.event_type, c.c_custkey, c.c_name, c.c_mktsegment FROM events e JOIN customer c ON e.user_id = c.c_custkey""")
 def j12_salted_join(spark, sf):
-    """Each line with its return flag's statistics. Three flags hold all
-    rows, so every key is hot: the join is salted on the measured hot keys."""
-    l = table(spark, sf, "lineitem")
-    stats = l.groupBy("l_returnflag").agg(davg("l_extendedprice").alias("flag_avg_price"),
-                                          F.count(F.lit(1)).alias("flag_lines"))
-    return J.salted_join(l.select("l_orderkey", "l_linenumber", "l_returnflag", "l_extendedprice"),
-                         stats, "l_returnflag", "inner", salt_buckets=8, min_share=0.05)
+    """Every event with its user's customer row: both sides are large and a
+    few users may hold most events, so hot users are salted."""
+    e = table(spark, sf, "events").select("event_id", F.col("user_id").alias("c_custkey"), "event_type")
+    c = table(spark, sf, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    return J.salted_join(e, c, "c_custkey", "inner")
 
 
 @register("j13_pairs_summing_to_target", """
-SELECT LEAST(x.p_size, y.p_size) AS a, GREATEST(x.p_size, y.p_size) AS b, COUNT(*) AS n_pairs
+SELECT LEAST(x.p_size, y.p_size) AS a, GREATEST(x.p_size, y.p_size) AS b, CAST(COUNT(*) AS DECIMAL(38,0)) AS n_pairs
 FROM part x JOIN part y ON x.p_size + y.p_size = 50 AND x.p_partkey < y.p_partkey GROUP BY 1, 2""")
 def j13_pairs_summing_to_target(spark, sf):
     """Pairs of parts whose sizes add up to 50, counted per size pair."""
@@ -177,7 +172,7 @@ def j13_pairs_summing_to_target(spark, sf):
 
 
 @register("j14_unequal_pairs", """
-SELECT a.c_mktsegment, COUNT(*) AS n_pairs FROM customer a JOIN customer b
+SELECT a.c_mktsegment, CAST(COUNT(*) AS DECIMAL(38,0)) AS n_pairs FROM customer a JOIN customer b
 ON a.c_mktsegment = b.c_mktsegment AND a.c_nationkey <> b.c_nationkey GROUP BY a.c_mktsegment""")
 def j14_unequal_pairs(spark, sf):
     """Ordered pairs of customers of one segment living in different nations,
@@ -279,14 +274,14 @@ def a6_aggregate_several_columns(spark, sf):
 SELECT c.c_nationkey, COUNT(DISTINCT o.o_custkey) AS buying_customers, COUNT(DISTINCT o.o_orderkey) AS orders
 FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey GROUP BY 1""")
 def a7_distinct_count(spark, sf):
-    """Distinct buying customers and distinct orders per nation. An order
-    belongs to one customer, so distinct orders per nation is the sum of
-    distinct orders per customer: the distinct count runs per customer
-    (before the join) and the nation level only adds."""
-    per_cust = (table(spark, sf, "orders").groupBy(F.col("o_custkey").alias("c_custkey"))
-                .agg(F.count_distinct("o_orderkey").alias("_d")))
-    j = per_cust.join(_cust(spark, sf).select("c_custkey", "c_nationkey"), "c_custkey")
-    return j.groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("buying_customers"), F.sum("_d").alias("orders"))
+    """Distinct buying customers and distinct orders per nation. Customers and
+    (nation, order) pairs are made distinct first, partially in each task, so
+    a nation is only counted, whichever customers an order has."""
+    o = table(spark, sf, "orders").select(F.col("o_custkey").alias("c_custkey"), "o_orderkey")
+    j = o.distinct().join(_cust(spark, sf).select("c_custkey", "c_nationkey"), "c_custkey")
+    buyers = j.select("c_nationkey", "c_custkey").distinct().groupBy("c_nationkey").agg(F.count("c_custkey").alias("buying_customers"))
+    orders = j.select("c_nationkey", "o_orderkey").distinct().groupBy("c_nationkey").agg(F.count("o_orderkey").alias("orders"))
+    return buyers.join(orders, "c_nationkey")
 
 
 @register("a8_having", f"""
@@ -318,11 +313,12 @@ def a10_aggregate_after_outer_join(spark, sf):
     rows; joining rows first would funnel them into 25 tasks)."""
     c = (_cust(spark, sf).where(F.col("c_acctbal") > 9900)
          .groupBy(F.col("c_nationkey").alias("n_nationkey"))
-         .agg(F.count(F.lit(1)).alias("_n"), F.sum(cents("c_acctbal")).alias("_s")))
+         .agg(F.count(F.lit(1)).alias("_n"), exact_sum(cents("c_acctbal")).alias("_s")))
     n = table(spark, sf, "nation").select("n_nationkey")
     return n.join(c, "n_nationkey", "left").select(
         "n_nationkey", F.coalesce("_n", F.lit(0)).alias("premium_customers"),
-        (F.col("_s") / 100.0).alias("premium_balance"), (F.col("_s") / 100.0 / F.col("_n")).alias("avg_premium_balance"))
+        (F.col("_s").cast("double") / 100.0).alias("premium_balance"),
+        (F.col("_s").cast("double") / 100.0 / F.col("_n")).alias("avg_premium_balance"))
 
 
 @register("a11_rounded_average", """
@@ -394,7 +390,7 @@ SELECT l_returnflag, {sql_dsum('l_extendedprice')} AS total, COUNT(l_extendedpri
 FROM lineitem GROUP BY 1""")
 def a19_salted_aggregate(spark, sf):
     l = table(spark, sf, "lineitem").withColumn("amount", cents("l_extendedprice"))
-    out = A.salted_agg(l, "l_returnflag", "amount", salt_buckets=8)
+    out = A.salted_agg(l, "l_returnflag", "amount")
     return out.select("l_returnflag", (F.col("total") / 100.0).alias("total"), "n",
                       (F.col("min") / 100.0).alias("min"), (F.col("max") / 100.0).alias("max"),
                       (F.col("total") / 100.0 / F.col("n")).alias("avg"))
@@ -426,10 +422,9 @@ SELECT l_returnflag, COUNT_IF(l_discount > 0) AS discounted_lines, COUNT_IF(l_ta
        SUM(CASE WHEN l_quantity >= 25 THEN l_quantity END) AS bulk_quantity FROM lineitem GROUP BY 1""")
 def a22_conditional_counts(spark, sf):
     l = table(spark, sf, "lineitem")
-    c = A.conditional_counts(l, {"discounted_lines": F.col("l_discount") > 0, "untaxed_lines": F.col("l_tax") == 0},
-                             "l_returnflag")
-    s = A.conditional_sums(l, "l_quantity", {"bulk_quantity": F.col("l_quantity") >= 25}, "l_returnflag")
-    return c.join(s, "l_returnflag")
+    return l.groupBy("l_returnflag").agg(
+        *A.count_exprs({"discounted_lines": F.col("l_discount") > 0, "untaxed_lines": F.col("l_tax") == 0}),
+        *A.sum_exprs("l_quantity", {"bulk_quantity": F.col("l_quantity") >= 25}))
 
 
 @register("a23_merge_with_sum", """

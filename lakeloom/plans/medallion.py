@@ -25,6 +25,7 @@ from pyspark.sql import types as T
 
 from lakeloom.functions import strings as S
 from lakeloom.functions.dates import ntz_literal
+from lakeloom.operators import joins as J
 from lakeloom.operators import projection as P
 from lakeloom.operators import quality as Q
 from lakeloom.operators import windows as W
@@ -59,7 +60,7 @@ def silver_customer(bronze_customer: DataFrame, nation: DataFrame) -> DataFrame:
     credit, nation name attached (25 nations: broadcast)."""
     c = clean(bronze_customer, ["c_custkey"])
     n = nation.select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("nation_name"))
-    return (c.join(F.broadcast(n), "c_nationkey", "left")
+    return (c.join(J.bounded_broadcast(n), "c_nationkey", "left")
             .select("c_custkey", S.strip("c_name").alias("customer_name"), S.capitalize("c_mktsegment").alias("segment"),
                     "c_nationkey", "nation_name", F.when(F.col("c_acctbal") >= 0, F.col("c_acctbal")).alias("credit"),
                     *LINEAGE))

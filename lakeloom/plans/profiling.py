@@ -205,12 +205,15 @@ def r1_pivot_table(spark, sf):
 
 @register("r2_unstack", """
 SELECT CAST(year(o_orderdate) AS INTEGER) AS year, COUNT_IF(o_orderpriority = '1-URGENT') AS "1-URGENT",
-  COUNT_IF(o_orderpriority = '5-LOW') AS "5-LOW" FROM orders GROUP BY 1""")
+  COUNT_IF(o_orderpriority = '2-HIGH') AS "2-HIGH", COUNT_IF(o_orderpriority = '3-MEDIUM') AS "3-MEDIUM",
+  COUNT_IF(o_orderpriority = '4-NOT SPECIFIED') AS "4-NOT SPECIFIED", COUNT_IF(o_orderpriority = '5-LOW') AS "5-LOW"
+FROM orders GROUP BY 1""")
 def r2_unstack(spark, sf):
-    counts = (table(spark, sf, "orders").where(F.col("o_orderpriority").isin("1-URGENT", "5-LOW"))
-              .groupBy(F.year("o_orderdate").alias("year"), "o_orderpriority").agg(F.count(F.lit(1)).alias("n")))
-    out = R.unstack(counts, "year", "o_orderpriority", "n", ["1-URGENT", "5-LOW"])
-    return out.select("year", *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in ("1-URGENT", "5-LOW")])
+    levels = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
+    counts = (table(spark, sf, "orders").groupBy(F.year("o_orderdate").alias("year"), "o_orderpriority")
+              .agg(F.count(F.lit(1)).alias("n")))
+    out = R.unstack(counts, "year", "o_orderpriority", "n", levels)
+    return out.select("year", *[F.coalesce(F.col(f"`{c}`"), F.lit(0)).alias(c) for c in levels])
 
 
 @register("r3_stack", f"""
@@ -227,6 +230,17 @@ def r5_resample_weekly(spark, sf):
     return _r6(r, {"value"})
 
 
+@register("r5_resample_weekly_gaps", """
+WITH w AS (SELECT event_type, CAST(date_trunc('week', ts) AS DATE) + 6 AS week_end, AVG(value) AS v FROM events
+           WHERE weekofyear(ts) % 3 <> 0 GROUP BY 1, 2),
+g AS (SELECT event_type, CAST(unnest(generate_series(MIN(week_end), MAX(week_end), INTERVAL 7 DAY)) AS DATE) AS week_end FROM w GROUP BY 1)
+SELECT event_type, week_end, ROUND(v, 6) AS value FROM g LEFT JOIN w USING (event_type, week_end)""")
+def r5_resample_weekly_gaps(spark, sf):
+    """Every third week is taken out, so that empty weeks have to be filled."""
+    e = table(spark, sf, "events").where(F.weekofyear("ts") % 3 != 0)
+    return _r6(R.resample_weekly(e, "ts", ["value"], "mean", by="event_type"), {"value"})
+
+
 @register("r6_select_one_date", """
 SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderdate >= DATE '1997-05-28' AND o_orderdate < DATE '1997-05-29'""")
 def r6_select_one_date(spark, sf):
@@ -265,25 +279,25 @@ def l3_partition_sizes_total(spark, sf):
 
 # ---------------------------------------------------------------- X1-X4 (UDF surface)
 @register("x3_discount_band", """
-SELECT CASE WHEN l_extendedprice IS NULL THEN NULL WHEN l_extendedprice >= 1000 THEN 'High'
-            WHEN l_extendedprice >= 300 THEN 'Medium' ELSE 'Low' END AS band, COUNT(*) AS count
-FROM lineitem GROUP BY 1""")
+SELECT b.band, COUNT(*) AS count FROM lineitem JOIN (VALUES (0, 15000, 'low'), (15000, 35000, 'middle'),
+  (35000, 60000, 'high'), (60000, 1000000000, 'top')) b(a, z, band) ON l_extendedprice >= a AND l_extendedprice < z GROUP BY 1""")
 def x3_discount_band(spark, sf):
     """Line amounts banded with the built-in expression (the UDF twin is the
     slow path measured in the optimisation pairs)."""
-    from lakeloom.functions.udfs import discount_band
+    from lakeloom.functions.udfs import bands
     l = table(spark, sf, "lineitem")
-    return l.groupBy(discount_band("l_extendedprice").alias("band")).agg(F.count(F.lit(1)).alias("count"))
+    edges = [(15_000.0, "low"), (35_000.0, "middle"), (60_000.0, "high")]
+    return l.groupBy(bands("l_extendedprice", edges, "top").alias("band")).agg(F.count(F.lit(1)).alias("count"))
 
 
 @register("x4_pandas_udf_discount", """
-SELECT l_returnflag, COUNT(*) AS n, CAST(SUM(CAST(l_extendedprice * 0.95 AS DECIMAL(18,4))) AS DOUBLE) AS discounted
+SELECT l_returnflag, COUNT(*) AS n, CAST(SUM(CAST(l_extendedprice * 0.9 AS DECIMAL(18,4))) AS DOUBLE) AS discounted
 FROM lineitem GROUP BY 1""")
 def x4_pandas_udf_discount(spark, sf):
     """Vectorised (Arrow batch) pandas UDF over every line."""
-    from lakeloom.functions.udfs import discounted_pandas
+    from lakeloom.functions.udfs import times_pandas
     l = table(spark, sf, "lineitem")
-    d = discounted_pandas(F.col("l_extendedprice")).cast("decimal(18,4)")
+    d = times_pandas(0.9)(F.col("l_extendedprice")).cast("decimal(18,4)")
     return l.groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n"), F.sum(d).cast("double").alias("discounted"))
 
 
@@ -296,6 +310,79 @@ def _scratch(spark, name: str) -> str:
     return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def _database(spark) -> str:
+    """A database of its own for one run, in the session's warehouse."""
+    import uuid
+    name = f"run_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {name}")
+    return name
+
+
+@register("s10_s11_managed_tables", """
+SELECT CAST(year(o_orderdate) AS INTEGER) AS order_year, o_orderstatus, COUNT(*) AS n FROM orders GROUP BY 1, 2""")
+def s10_s11_managed_tables(spark, sf):
+    """Orders written as a partitioned managed table and read by name."""
+    from lakeloom.sources import files
+    name = f"{_database(spark)}.orders"
+    files.save_table(table(spark, sf, "orders").withColumn("order_year", F.year("o_orderdate")), name, partition_by=["order_year"])
+    return spark.table(name).groupBy("order_year", "o_orderstatus").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("s12_schema_replacing_overwrite", "SELECT c_custkey, upper(c_mktsegment) AS segment FROM customer")
+def s12_schema_replacing_overwrite(spark, sf):
+    """A managed table overwritten by a frame of another schema."""
+    from lakeloom.sources import files
+    c, name = table(spark, sf, "customer"), f"{_database(spark)}.customer"
+    files.save_table(c.select("c_custkey", "c_name", "c_acctbal"), name)
+    files.save_table(c.select("c_custkey", F.upper("c_mktsegment").alias("segment")), name)
+    return spark.table(name)
+
+
+@register("s18_s19_view_and_sql", """
+SELECT n_name, COUNT(*) AS customers FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY 1""")
+def s18_s19_view_and_sql(spark, sf):
+    """Temporary views queried by SQL text."""
+    import uuid
+    c, n = (f"{t}_{uuid.uuid4().hex}" for t in ("customer", "nation"))
+    table(spark, sf, "customer").createOrReplaceTempView(c)
+    table(spark, sf, "nation").createOrReplaceTempView(n)
+    return spark.sql(f"SELECT n_name, COUNT(*) AS customers FROM {c} JOIN {n} ON c_nationkey = n_nationkey GROUP BY n_name")
+
+
+@register("s20_ddl_and_insert", """
+SELECT n_regionkey AS region, COUNT(*) AS nations, MIN(n_name) AS first_nation FROM nation GROUP BY 1""")
+def s20_ddl_and_insert(spark, sf):
+    """A table made by DDL and filled by INSERT ... SELECT."""
+    import uuid
+    view, name = f"nation_{uuid.uuid4().hex}", f"{_database(spark)}.regions"
+    table(spark, sf, "nation").createOrReplaceTempView(view)
+    spark.sql(f"CREATE TABLE {name} (region BIGINT, nations BIGINT, first_nation STRING) USING parquet")
+    spark.sql(f"INSERT INTO {name} SELECT n_regionkey, COUNT(*), MIN(n_name) FROM {view} GROUP BY n_regionkey")
+    return spark.table(name)
+
+
+@register("l7_l9_compaction_detail", "SELECT COUNT(*) AS num_rows, true AS fewer_files FROM orders")
+def l7_l9_compaction_detail(spark, sf):
+    """Orders written as many small files, then compacted: rows stay, files
+    get fewer (both counted from what lies in the folders)."""
+    small, large = _scratch(spark, "orders-small"), _scratch(spark, "orders-compact")
+    table(spark, sf, "orders").repartition(16).write.parquet(small)
+    spark.read.parquet(small).repartition(2).write.parquet(large)
+    files = lambda p: spark.read.parquet(p).select(F.input_file_name().alias("f")).agg(F.count_distinct("f")).scalar()
+    return spark.read.parquet(large).agg(F.count(F.lit(1)).alias("num_rows")).select("num_rows", (files(large) < files(small)).alias("fewer_files"))
+
+
+@register("l11_bucketed_join", """
+SELECT c_mktsegment, COUNT(*) AS orders FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1""")
+def l11_bucketed_join(spark, sf):
+    """Join of two tables bucketed by the key: neither side is shuffled."""
+    db = _database(spark)
+    table(spark, sf, "orders").select(F.col("o_custkey").alias("custkey"), "o_orderkey").write.bucketBy(8, "custkey").saveAsTable(f"{db}.o")
+    table(spark, sf, "customer").select(F.col("c_custkey").alias("custkey"), "c_mktsegment").write.bucketBy(8, "custkey").saveAsTable(f"{db}.c")
+    j = spark.table(f"{db}.o").join(spark.table(f"{db}.c").hint("merge"), "custkey")
+    return j.groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("orders"))
+
+
 @register("s6_s7_csv_roundtrip", "SELECT * FROM orders")
 def s6_s7_csv_roundtrip(spark, sf):
     """Orders written as CSV with a header and read back with the explicit

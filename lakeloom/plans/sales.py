@@ -14,8 +14,8 @@ from lakeloom.operators import aggregates as A
 from lakeloom.operators import joins as J
 from lakeloom.operators import ordering as O
 from lakeloom.operators import windows as W
-from lakeloom.plans._common import (SQL_NET, cents, davg, dsum, net_price, net_sum, net_units,
-                                    register, sql_davg, sql_dsum, table)
+from lakeloom.plans._common import (SQL_NET, cents, davg, dsum, exact_sum, net_price, net_sum, net_units,
+                                    register, sql_davg, sql_dsum, table, total)
 
 
 def _geo(spark, sf):
@@ -45,10 +45,10 @@ def g5_sales_by_region(spark, sf):
     totals are summed. Exact integer-cent partial sums make the two-level
     sum equal to the direct one."""
     per_cust = (_orders(spark, sf).groupBy(F.col("o_custkey").alias("c_custkey"))
-                .agg(F.count(F.lit(1)).alias("_n"), F.sum(cents("o_totalprice")).alias("_s")))
+                .agg(F.count(F.lit(1)).alias("_n"), exact_sum(cents("o_totalprice")).alias("_s")))
     return (per_cust.join(_geo(spark, sf).select("c_custkey", "r_name", "n_name"), "c_custkey")
             .groupBy("r_name", "n_name")
-            .agg(F.sum("_n").alias("order_count"), (F.sum("_s") / 100.0).alias("revenue")))
+            .agg(F.sum("_n").alias("order_count"), (total("_s").cast("double") / 100.0).alias("revenue")))
 
 
 @register("g1_customer_lifetime_value", f"""
@@ -118,10 +118,10 @@ def g6_revenue_by_category(spark, sf):
     """Lines pre-aggregated per part (map-side), then joined to part and
     summed per category."""
     per_part = (table(spark, sf, "lineitem").groupBy("l_partkey")
-                .agg(F.count(F.lit(1)).alias("_n"), F.sum(net_units()).alias("_s")))
+                .agg(F.count(F.lit(1)).alias("_n"), exact_sum(net_units()).alias("_s")))
     p = table(spark, sf, "part").select(F.col("p_partkey").alias("l_partkey"), "p_type")
     return (per_part.join(p, "l_partkey").groupBy("p_type")
-            .agg(F.sum("_n").alias("line_count"), (F.sum("_s") / 1e4).alias("revenue")))
+            .agg(F.sum("_n").alias("line_count"), (total("_s").cast("double") / 1e4).alias("revenue")))
 
 
 @register("g7_repeat_customers", """
@@ -147,6 +147,15 @@ def g9_customers_without_orders_1998(spark, sf):
     return J.join(table(spark, sf, "customer").select("c_custkey", "c_name"), o98, "c_custkey", "left_anti")
 
 
+@register("g9_types_without_large_parts", """
+SELECT p_type FROM part GROUP BY 1 HAVING COUNT_IF(p_size >= 49 AND p_brand = 'Brand#1') = 0""")
+def g9_types_without_large_parts(spark, sf):
+    """Part types (categories) without any part of one brand and size."""
+    p = table(spark, sf, "part")
+    large = p.where((F.col("p_size") >= 49) & (F.col("p_brand") == "Brand#1")).select("p_type")
+    return J.join(p.select("p_type").distinct(), large, "p_type", "left_anti")
+
+
 @register("g9_parts_not_shipped_1998", """
 SELECT p_partkey, p_name FROM part p WHERE NOT EXISTS (
   SELECT 1 FROM lineitem l WHERE l.l_partkey = p.p_partkey
@@ -165,10 +174,10 @@ def g10_profit_by_segment(spark, sf):
     units) rather than as ``double * 0.20``. Orders are pre-aggregated per
     customer before the join."""
     per_cust = (_orders(spark, sf).groupBy(F.col("o_custkey").alias("c_custkey"))
-                .agg(F.sum(cents("o_totalprice")).alias("_s")))
+                .agg(exact_sum(cents("o_totalprice")).alias("_s")))
     c = table(spark, sf, "customer").select("c_custkey", "c_mktsegment")
     return (per_cust.join(c, "c_custkey").groupBy("c_mktsegment")
-            .agg((F.sum("_s") / 100.0).alias("revenue"), (F.sum("_s") * 20 / 1e4).alias("profit")))
+            .agg((total("_s").cast("double") / 100.0).alias("revenue"), ((total("_s") * F.lit(20).cast("decimal(2,0)")).cast("double") / 1e4).alias("profit")))
 
 
 @register("g11_product_performance", f"""
@@ -196,16 +205,16 @@ def g12_line_amounts(spark, sf):
 
 
 @register("g13_region_rank", f"""
-SELECT r_name, revenue, CAST(DENSE_RANK() OVER (ORDER BY revenue DESC) AS INTEGER) AS region_rank FROM (
+SELECT r_name, revenue, DENSE_RANK() OVER (ORDER BY revenue DESC) AS region_rank FROM (
   SELECT r.r_name, {sql_dsum('o.o_totalprice')} AS revenue
   FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
   JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey
   GROUP BY r.r_name)""")
 def g13_region_rank(spark, sf):
     per_cust = (_orders(spark, sf).groupBy(F.col("o_custkey").alias("c_custkey"))
-                .agg(F.sum(cents("o_totalprice")).alias("_s")))
+                .agg(exact_sum(cents("o_totalprice")).alias("_s")))
     totals = (per_cust.join(_geo(spark, sf).select("c_custkey", "r_name"), "c_custkey")
-              .groupBy("r_name").agg((F.sum("_s") / 100.0).alias("revenue")))
+              .groupBy("r_name").agg((total("_s").cast("double") / 100.0).alias("revenue")))
     return W.global_rank(totals, [("revenue", "desc")], "dense_rank", "region_rank")
 
 
@@ -261,10 +270,10 @@ FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey GROUP BY 1, 2, 3""")
 def g16_sales_by_month_category(spark, sf):
     per = (table(spark, sf, "lineitem")
            .groupBy("l_partkey", D.year("l_shipdate").alias("year"), D.month("l_shipdate").alias("month"))
-           .agg(F.sum("l_quantity").alias("_q"), F.sum(net_units()).alias("_s")))
+           .agg(F.sum("l_quantity").alias("_q"), exact_sum(net_units()).alias("_s")))
     p = table(spark, sf, "part").select(F.col("p_partkey").alias("l_partkey"), "p_type")
     return (per.join(p, "l_partkey").groupBy("year", "month", "p_type")
-            .agg(F.sum("_q").alias("quantity"), (F.sum("_s") / 1e4).alias("revenue")))
+            .agg(F.sum("_q").alias("quantity"), (total("_s").cast("double") / 1e4).alias("revenue")))
 
 
 @register("g17_supplier_scorecard", f"""

@@ -181,6 +181,17 @@ def m5_feature_transforms(spark, sf):
                     F.round(ft("power") / 1e9, 4).alias("power_e9"), F.round(ft("custom"), 6).alias("custom"))
 
 
+@register("t1_t7_timestamp_and_months", """
+SELECT o_orderkey, strptime(strftime(o_orderdate, '%Y-%m-%d') || ' 06:30:15', '%Y-%m-%d %H:%M:%S') AS parsed,
+  ROUND((year(o_orderdate) - 1992) * 12 + month(o_orderdate) - 1 + (day(o_orderdate) - 1) / 31.0, 6) AS months FROM orders""")
+def t1_t7_timestamp_and_months(spark, sf):
+    """Order dates as text parsed to a timestamp, and months since 1992."""
+    o = table(spark, sf, "orders")
+    text = F.concat(F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit(" 06:30:15"))
+    return o.select("o_orderkey", F.to_timestamp_ntz(text, F.lit("yyyy-MM-dd HH:mm:ss")).alias("parsed"),
+                    F.round(F.months_between("o_orderdate", F.lit("1992-01-01").cast("date")), 6).alias("months"))
+
+
 # ---------------------------------------------------------------- NULLs N1-N14
 _GAPS_SQL = """(SELECT c_custkey, c_name, CASE WHEN c_acctbal >= 0 THEN c_acctbal END AS credit,
   NULLIF(c_mktsegment, 'HOUSEHOLD') AS segment, NULLIF(c_nationkey, 0) AS nation FROM customer)"""
@@ -275,12 +286,20 @@ def n6_drop_null_columns(spark, sf):
 @register("n14_threshold_treatment", f"""
 WITH g AS {_GAPS_SQL}
 SELECT c_custkey, c_name, ROUND(COALESCE(credit, (SELECT AVG(credit) FROM g)), 6) AS credit,
-  COALESCE(nation, CAST(TRUNC((SELECT AVG(nation) FROM g)) AS INTEGER)) AS nation FROM g""")
+  ROUND(COALESCE(CAST(nation AS DOUBLE), (SELECT AVG(nation) FROM g)), 6) AS nation FROM g""")
 def n14_threshold_treatment(spark, sf):
     """Columns with >= 10 % NULLs are dropped (segment); the rest are filled
-    with their mean (credit; nation keeps its integer type)."""
+    with their mean (an integer column becomes double, as in pandas)."""
     out, dropped = NO.treat_nulls(_gaps(spark, sf), 10.0)
-    return out.select("c_custkey", "c_name", F.round("credit", 6).alias("credit"), "nation")
+    return out.select("c_custkey", "c_name", F.round("credit", 6).alias("credit"), F.round("nation", 6).alias("nation"))
+
+
+@register("n3_fill_with_median", f"""
+WITH g AS {_GAPS_SQL}
+SELECT c_custkey, ROUND(COALESCE(credit, (SELECT MEDIAN(credit) FROM g)), 6) AS credit FROM g""")
+def n3_fill_with_median(spark, sf):
+    out = NO.fill_with_stat(_gaps(spark, sf), ["credit"], "median")
+    return out.select("c_custkey", F.round("credit", 6).alias("credit"))
 
 
 # ---------------------------------------------------------------- arrays, structs, maps

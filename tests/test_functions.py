@@ -136,12 +136,13 @@ def test_privacy(spark):
 
 def test_udf_surface_matches_builtins(spark):
     from lakeloom.functions import udfs as Uf
-    df = spark.createDataFrame([(1500.0, "data-science"), (300.0, "ab"), (10.0, None), (None, "x")], "a double, s string")
-    r = df.select(Uf.discount_band("a").alias("b1"), Uf.discount_band_udf("a").alias("b2"),
-                  Uf.discounted("a").alias("d1"), Uf.discounted_pandas("a").alias("d2"), Uf.discounted_udf("a").alias("d3"),
+    df = spark.createDataFrame([(1500.0, "data-science"), (300.0, "ab"), (10.0, None), (None, "x"), (299.99, "y")], "a double, s string")
+    edges = [(100.0, "small"), (300.0, "middle")]
+    r = df.select(Uf.bands("a", edges, "large").alias("b1"), Uf.bands_udf(edges, "large")("a").alias("b2"),
+                  Uf.times("a", 0.9).alias("d1"), Uf.times_pandas(0.9)("a").alias("d2"), Uf.times_udf(0.9)("a").alias("d3"),
                   Uf.upper_udf("s").alias("u"), Uf.title_udf("s").alias("t")).collect()
     assert [(x.b1, x.d1) for x in r] == [(x.b2, x.d2) for x in r] == [(x.b2, x.d3) for x in r]
-    assert [x.b1 for x in r] == ["High", "Medium", "Low", None]
+    assert [x.b1 for x in r] == ["large", "large", "small", None, "middle"]
     assert r[0].t == "Data-Science" and r[2].u is None
 
 

@@ -97,7 +97,7 @@ def test_top_n_per_group_matches_bruteforce(spark):
     df = spark.createDataFrame(data, "g string, v int, id int")
     for method in ("row_number", "rank", "dense_rank"):
         got = rows(W.top_n_per_group(df, "g", [("v", "desc"), "id"] if method == "row_number" else [("v", "desc")],
-                                     3, method, salt_buckets=8), "g", "v", "id")
+                                     3, method), "g", "v", "id")
         exp = []
         for g in {d[0] for d in data}:
             grp = sorted([d for d in data if d[0] == g], key=lambda d: (-d[1], d[2]))
@@ -299,7 +299,7 @@ def test_segmented_fill_matches_window(spark):
     df = spark.createDataFrame(data, "g string, t int, v double")
     for direction, fn in (("forward", W.fill_forward), ("backward", W.fill_backward)):
         seg = {(r.g, r.t): r.v for r in W.segmented_fill(df, "g", "t", ["v"], direction, segments=9).collect()}
-        plain = {(r.g, r.t): r.v for r in fn(df, "t", ["v"], "g", skew_safe=False).collect()}
+        plain = {(r.g, r.t): r.v for r in fn(df, "t", ["v"], "g").collect()}
         assert seg == plain, direction
     glob = {r.t: r.v for r in W.fill_forward(df.drop("g"), "t", ["v"]).collect()}
     last = None
@@ -350,8 +350,8 @@ def test_top_n_auto_paths_agree(spark):
     rnd = random.Random(2)
     data = [(f"g{i % 50}", rnd.randint(0, 9), i) for i in range(3000)]
     df = spark.createDataFrame(data, "g string, v int, id int")
-    a = rows(W.top_n_per_group(df, "g", [("v", "desc"), "id"], 2, skew_safe=True))
-    b = rows(W.top_n_per_group(df, "g", [("v", "desc"), "id"], 2, skew_safe=False))
+    a = rows(W.top_n_per_group(df, "g", [("v", "desc"), "id"], 2))
+    b = rows(W.top_n_per_group(df, "g", [("v", "desc"), "id"], 2))
     c = rows(W.top_n_per_group(df, "g", [("v", "desc"), "id"], 2))
     assert a == b == c and len(a) == 100
 
@@ -362,7 +362,7 @@ def test_dedup_aggregate_path_matches_window(spark):
     df = spark.createDataFrame(data, "k int, a int, b int, id int")
     for order in (["a", "b", "id"], [("a", "desc"), ("b", "desc"), ("id", "desc")]):
         agg = rows(W.dedup_keep_first(df, "k", order))
-        win = rows(W.top_n_per_group(df, "k", order, 1, skew_safe=False))
+        win = rows(W.top_n_per_group(df, "k", order, 1))
         assert agg == win and len(agg) == 40
 
 
@@ -392,7 +392,7 @@ def test_segmented_rank_within_matches_window(spark, method):
     df = spark.createDataFrame(data, "g string, v int, id int")
     order = [("v", "desc"), "id"] if method == "row_number" else [("v", "desc")]
     seg = rows(W.segmented_rank_within(df, "g", order, method, "r", segments=13), "g", "id", "r")
-    plain = rows(W.rank_within(df, "g", order, method, "r", skew_safe=False), "g", "id", "r")
+    plain = rows(W.rank_within(df, "g", order, method, "r"), "g", "id", "r")
     assert seg == plain
 
 
@@ -418,13 +418,13 @@ def test_null_group_key_is_one_group(spark):
     for method in ("rank", "row_number"):
         order = [("v", "desc"), "t"] if method == "row_number" else [("v", "desc")]
         assert rows(W.segmented_rank_within(df, "g", order, method, "r", segments=7), "g", "t", "r") == \
-            rows(W.rank_within(df, "g", order, method, "r", skew_safe=False), "g", "t", "r")
+            rows(W.rank_within(df, "g", order, method, "r"), "g", "t", "r")
     seg = rows(W.segmented_lead_lag(df, "g", "t", "v", 1, "ld", "lg", segments=7), "g", "t", "ld", "lg")
-    plain = rows(W.with_lead_lag(df, "g", "t", "v", 1, "ld", "lg", skew_safe=False), "g", "t", "ld", "lg")
+    plain = rows(W.with_lead_lag(df, "g", "t", "v", 1, "ld", "lg"), "g", "t", "ld", "lg")
     assert seg == plain
     gapped = df.withColumn("v", F.when(F.col("t") % 4 == 0, F.col("v")))
     assert rows(W.segmented_fill(gapped, "g", "t", ["v"], "forward", segments=7)) == \
-        rows(W.fill_forward(gapped, "t", ["v"], "g", skew_safe=False))
+        rows(W.fill_forward(gapped, "t", ["v"], "g"))
     q = {r.g: r.m for r in QT.exact_percentiles(df, "v", [0.5], ["g"], ["m"]).collect()}
     assert set(q) == {None, "g0", "g1"}
     assert q[None] == pytest.approx(float(np.median([v for g, _, v in data if g is None])))
@@ -460,3 +460,120 @@ def test_dedup_order_key_that_is_also_a_group_key(spark):
 def test_salted_join_rejects_outer_dimension_side(spark, emp, dept):
     with pytest.raises(ValueError):
         J.salted_join(emp, dept, "dept_id", "full", hot=[10])
+
+
+def _windowed(spark):
+    rnd = random.Random(12)
+    data = [(rnd.choice([None, "hot", "hot", "hot", "b"]), rnd.choice([None, 1, 2, 3]), i, rnd.choice([None, 1.0, 2.0])) for i in range(300)]
+    return spark.createDataFrame(data, "g string, t int, id int, v double")
+
+
+@pytest.mark.parametrize("method", ["rank", "dense_rank", "row_number"])
+def test_both_rank_forms_agree_on_nulls_ties_and_column_keys(spark, method):
+    df = _windowed(spark)
+    for order in (["t", "id"] if method == "row_number" else ["t"], [F.col("t").desc_nulls_first()] + ([F.col("id")] if method == "row_number" else [])):
+        a = W.rank_within(df, "g", order, method, "r")
+        b = W.segmented_rank_within(df, "g", order, method, "r", segments=9)
+        assert dict(a.dtypes)["r"] == dict(b.dtypes)["r"] == "bigint"
+        assert rows(a, "g", "id", "r") == rows(b, "g", "id", "r")
+
+
+def test_both_lead_lag_forms_agree_with_a_default(spark):
+    df = _windowed(spark)
+    a = W.with_lead_lag(df, "g", ["t", "id"], "v", 2, "ld", "lg", default=-1.0)
+    b = W.segmented_lead_lag(df, "g", ["t", "id"], "v", 2, "ld", "lg", default=-1.0, segments=9)
+    assert rows(a, "g", "id", "ld", "lg") == rows(b, "g", "id", "ld", "lg")
+    assert a.where("ld is null").count() > 0  # NULL neighbours stay NULL
+
+
+@pytest.mark.parametrize("by_rows", [True, False])
+def test_both_running_total_forms_agree(spark, by_rows):
+    df = _windowed(spark).withColumn("v", F.col("v").cast("long"))
+    a = W.running_total(df, "g", ["t", "id"] if by_rows else "t", "v", "s", rows=by_rows)
+    b = W.segmented_running_total(df, "g", ["t", "id"] if by_rows else "t", "v", "s", rows=by_rows, segments=9)
+    assert rows(a, "g", "id", "s") == rows(b, "g", "id", "s")
+
+
+@pytest.mark.parametrize("method", ["rank", "dense_rank"])
+def test_top_n_with_ties_matches_window(spark, method):
+    df = _windowed(spark)
+    for order in ([("t", "desc")], ["t"], ["t", ("v", "desc")]):
+        got = rows(W.top_n_per_group(df, "g", order, 2, method, "r"), "g", "id", "r")
+        want = rows(W.rank_within(df, "g", order, method, "r").where("r <= 2"), "g", "id", "r")
+        assert got == want
+
+
+def _apply_in_order(base, changes):
+    state, rejects = dict(base), []
+    for k, v, op, _, new in sorted(changes, key=lambda c: c[3]):
+        if op == "i" or (op == "u" and k in state):
+            state[k] = v
+        elif op == "d" and k in state:
+            del state[k]
+        elif op == "r" and k in state and new is not None:
+            state[new] = state.pop(k)
+        else:
+            rejects.append((k, op))
+    return sorted(state.items()), sorted(rejects)
+
+
+@pytest.mark.parametrize("ops", ["iud", "iudr"])
+def test_changes_apply_in_sequence(spark, ops):
+    rnd = random.Random(len(ops))
+    base = [(k, f"b{k}") for k in range(12)]
+    changes = [(rnd.randrange(20), f"c{n}", rnd.choice(ops), n, rnd.choice([None, rnd.randrange(20)])) for n in range(150)]
+    b = spark.createDataFrame(base, "k int, v string")
+    c = spark.createDataFrame(changes, "k int, v string, op string, seq int, new_k int")
+    new, rejected = U.apply_changes(b, c, ["k"], new_key_col="new_k" if "r" in ops else None)
+    assert (sorted(rows(new)), sorted(rows(rejected))) == _apply_in_order(base, changes)
+
+
+def test_insert_then_update_keeps_the_row(spark):
+    b = spark.createDataFrame([(1, "a")], "k int, v string")
+    c = spark.createDataFrame([(2, "x", "i", 1), (2, "y", "u", 2), (1, None, "d", 3), (1, "z", "u", 4)], "k int, v string, op string, seq int")
+    new, rejected = U.apply_changes(b, c, ["k"])
+    assert rows(new) == [(2, "y")] and rows(rejected) == [(1, "u")]
+
+
+def test_ledger_null_account_and_large_ids(spark):
+    big = 2 ** 53 + 1
+    df = spark.createDataFrame([(None, 1, 10.0), (None, 2, -5.0), (big, 1, 4.0), (big + 1, 1, -1.0), (big, 2, None), (big, 3, -9.0)], "acct long, t int, amt double")
+    out = {(r.acct, r.t): (r.balance, r.status) for r in W.ledger_balance(df, "acct", ["t"], "amt").collect()}
+    assert out == {(None, 1): (10.0, "deposit"), (None, 2): (5.0, "withdrawal"), (big, 1): (4.0, "deposit"), (big, 2): (4.0, "skipped"),
+                   (big, 3): (4.0, "rejected"), (big + 1, 1): (0.0, "rejected")}
+
+
+def test_pivot_raises_on_unlisted_values(spark):
+    df = spark.createDataFrame([("d1", "A", 1.0), ("d1", "C", 2.0)], "d string, p string, s double")
+    with pytest.raises(Exception, match="not listed: C"):
+        R.pivot(df, "d", "p", "s", ["A", "B"]).collect()
+
+
+def test_exact_sums_beyond_64_bits(spark):
+    from lakeloom.plans._common import exact_sum
+    df = spark.range(4).select(F.lit(2 ** 62).alias("u")).union(spark.createDataFrame([(-3,)], "u long"))
+    assert int(df.agg(exact_sum(F.col("u"))).first()[0]) == 2 ** 64 - 3
+
+
+def test_salted_join_spreads_a_hot_null_key(spark):
+    fact = spark.createDataFrame([(None, i) for i in range(90)] + [(1, i) for i in range(10)], "k int, i int")
+    dim = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    assert None in J.hot_keys(fact, "k", 0.2)
+    got = rows(J.salted_join(fact, dim, "k", "left", salt_buckets=4, min_share=0.2))
+    assert got == rows(fact.join(dim, "k", "left"))
+
+
+def test_percentiles_with_many_ties(spark):
+    from lakeloom.operators.quantiles import exact_percentiles
+    df = spark.range(2000).select((F.col("id") % 3).alias("g"), (F.col("id") % 11 / 100.0).alias("v"))
+    probs = [0.0, 0.1, 0.25, 0.5, 0.9, 0.99, 1.0]
+    got = exact_percentiles(df, "v", probs, ["g"], segments=5).orderBy("g").collect()
+    want = df.groupBy("g").agg(F.percentile("v", F.array(*map(F.lit, probs))).alias("p")).orderBy("g").collect()
+    for a, b in zip(got, want):
+        assert [round(x, 9) for x in a[1:]] == [round(x, 9) for x in b.p]
+
+
+def test_small_sides_are_checked_before_they_are_broadcast(spark):
+    small, large = spark.range(10), spark.range(100)
+    hint = lambda df: "broadcast" in df._jdf.queryExecution().logical().toString().lower()
+    assert hint(J.bounded_broadcast(small, 24 * 50)) and not hint(J.bounded_broadcast(large, 24 * 50))

@@ -105,7 +105,7 @@ def test_preprocessing_dispatcher(spark):
     assert enc[1] == enc[3] == 0.0 and enc[2] == 1.0
     ohe = Q.pre_processing(df, "one_hot_encoding", col="cat")
     assert "cat_ohe" in ohe.columns and ohe.count() == 4
-    sc = Q.pre_processing(df, "scaling", cols=["x"], kind="minmax").orderBy("id").collect()
+    sc = Q.pre_processing(df, "feature_scaling", cols=["x"], kind="minmax").orderBy("id").collect()
     assert sc[0].scaled[0] == 0.0 and sc[-1].scaled[0] == 1.0
     sel = Q.pre_processing(df, "feature_selection", cols=["x", "const"]).first().selected
     assert len(sel) == 1

@@ -160,39 +160,46 @@ def suggest_types(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame
 
 
 # Q8-Q10 -----------------------------------------------------------------
+def _each(spark: SparkSession, rows: list[DataFrame], schema: str) -> DataFrame:
+    out = spark.createDataFrame([], schema)
+    for r in rows:
+        out = out.unionAll(r)
+    return out
+
+
 def validate_load(spark: SparkSession, tables: Mapping[str, Callable[[], DataFrame]]) -> DataFrame:
-    """Row count and SUCCESS/FAILED per table; a failing table does not
-    stop the others. Each count is a distributed job; only the count
-    reaches the driver."""
+    """Row count and SUCCESS/FAILED per table. A table that cannot be opened
+    does not stop the others and carries the whole error text. All counts are
+    one lazy union of aggregates, so they run side by side."""
+    schema = "table_name string, status string, row_count long, error string"
     rows = []
     for name, load in tables.items():
         try:
-            rows.append((name, "SUCCESS", load().count(), None))
+            rows.append(load().agg(F.count(F.lit(1)).alias("n")).select(
+                F.lit(name), F.lit("SUCCESS"), "n", F.lit(None).cast("string")))
         except Exception as e:  # noqa: BLE001 - record the failure
-            rows.append((name, "FAILED", None, str(e).splitlines()[0][:500]))
-    return spark.createDataFrame(rows, "table_name string, status string, row_count long, error string")
+            rows.append(spark.createDataFrame([(name, "FAILED", None, str(e))], schema))
+    return _each(spark, rows, schema)
 
 
 def audit(spark: SparkSession, tables: Mapping[str, DataFrame], run_ts: _dt.datetime,
           layer: str, date_cols: Mapping[str, str] | None = None) -> DataFrame:
     """Audit rows: table, layer, rows, status, max business date (when a
-    date column is named) and the run timestamp. One aggregate job per table."""
-    date_cols = date_cols or {}
-    rows = []
-    for name, df in tables.items():
-        dc = date_cols.get(name)
-        try:
-            aggs = [F.count(F.lit(1)).alias("n")]
-            if dc:
-                aggs.append(F.max(F.col(dc)).cast("timestamp_ntz").alias("mx"))
-            r = df.agg(*aggs).first()
-            rows.append((name, layer, r["n"], "SUCCESS", r["mx"] if dc else None, run_ts))
-        except Exception:  # noqa: BLE001
-            rows.append((name, layer, None, "FAILED", None, run_ts))
+    date column is named) and the run timestamp, as one lazy union of one
+    aggregate per table. A table without its date column is FAILED."""
     # wall-clock (NTZ) timestamps: the audit reads the same in any session zone
-    return spark.createDataFrame(
-        rows, "table_name string, layer string, row_count long, status string, "
+    schema = ("table_name string, layer string, row_count long, status string, "
               "max_business_ts timestamp_ntz, run_ts timestamp_ntz")
+    stamp = F.lit(run_ts.isoformat(sep=" ")).cast("timestamp_ntz")
+    rows = []
+    for name, df in tables.items():
+        day = (date_cols or {}).get(name)
+        failed = day is not None and day not in df.columns
+        newest = F.max(day).cast("timestamp_ntz") if day and not failed else F.lit(None).cast("timestamp_ntz")
+        one = df.agg(F.count(F.lit(1)).alias("n"), newest.alias("newest"))
+        rows.append(one.select(F.lit(name), F.lit(layer), F.when(F.lit(not failed), F.col("n")),
+                               F.lit("FAILED" if failed else "SUCCESS"), "newest", stamp))
+    return _each(spark, rows, schema)
 
 
 # Q11 --------------------------------------------------------------------

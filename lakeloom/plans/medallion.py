@@ -16,10 +16,10 @@ checkpoint folder named by the cluster (``spark.checkpoint.dir``).
 from __future__ import annotations
 
 import datetime as _dt
-import os
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -47,12 +47,13 @@ def bronze(df: DataFrame, source_system: str, source_table: str, run_ts: _dt.dat
 
 def clean(df: DataFrame, keys: Sequence[str], latest_by: str = "ingestion_timestamp") -> DataFrame:
     """Generic silver step: snake_case names, trimmed strings, one row per
-    key (the latest by ``latest_by``; ties broken by every other column)."""
+    key (the latest by ``latest_by``; ties broken by every other column, the
+    largest first, so one aggregate finds it)."""
     df = P.rename_all(df, "snake")
     df = df.select(*[S.strip(F.col(f.name)).alias(f.name) if isinstance(f.dataType, T.StringType) else F.col(f.name)
                      for f in df.schema.fields])
     others = [c for c in df.columns if c not in keys and c != latest_by]
-    return W.dedup_keep_first(df, list(keys), [(latest_by, "desc")] + others)
+    return W.dedup_keep_first(df, list(keys), [(latest_by, "desc")] + [(c, "desc") for c in others])
 
 
 def silver_customer(bronze_customer: DataFrame, nation: DataFrame) -> DataFrame:
@@ -72,6 +73,34 @@ def silver_orders(bronze_orders: DataFrame) -> DataFrame:
                     F.col("o_totalprice").cast("decimal(18,2)").alias("total_due"), "o_orderstatus", *LINEAGE)
 
 
+def _flag(c: str, yes: str) -> Column:
+    return F.col(c) == yes
+
+
+#: table -> (keys, the columns of the cleaned frame besides lineage)
+SILVER = {
+    "region": (["r_regionkey"], lambda: [F.col("r_regionkey").alias("region_key"), S.capitalize("r_name").alias("region_name")]),
+    "nation": (["n_nationkey"], lambda: [F.col("n_nationkey").alias("nation_key"), S.strip("n_name").alias("nation_name"),
+                                         F.col("n_regionkey").alias("region_key")]),
+    "supplier": (["s_suppkey"], lambda: [F.col("s_suppkey").alias("supplier_key"), S.strip("s_name").alias("supplier_name"),
+                                         F.col("s_nationkey").alias("nation_key"), F.when(F.col("s_acctbal") >= 0, F.col("s_acctbal")).alias("credit")]),
+    "part": (["p_partkey"], lambda: [F.col("p_partkey").alias("part_key"), S.strip("p_name").alias("part_name"), S.strip("p_brand").alias("brand"),
+                                     S.strip("p_type").alias("part_type"), "p_size", F.col("p_retailprice").cast("decimal(18,2)").alias("list_price")]),
+    "lineitem": (["l_orderkey", "l_linenumber"], lambda: [
+        "l_orderkey", "l_linenumber", F.col("l_partkey").alias("part_key"), F.col("l_suppkey").alias("supplier_key"), "l_quantity",
+        F.col("l_extendedprice").cast("decimal(18,2)").alias("gross"), _flag("l_returnflag", "R").alias("returned"),
+        F.to_date("l_shipdate").alias("ship_date")]),
+    "events": (["event_id"], lambda: ["event_id", "user_id", "ts", S.strip("event_type").alias("event_type"),
+                                      F.when(F.col("event_type") != "error", F.col("value")).alias("reading")]),
+}
+
+
+def silver(name: str, bronze_table: DataFrame) -> DataFrame:
+    """The cleaned frame of one of the ``SILVER`` tables."""
+    keys, columns = SILVER[name]
+    return clean(bronze_table, keys).select(*columns(), *LINEAGE)
+
+
 def gold_sales_by_nation(silver_orders_df: DataFrame, silver_customer_df: DataFrame) -> DataFrame:
     o = silver_orders_df.select(F.col("o_custkey").alias("c_custkey"), "total_due", "order_date")
     return (o.join(silver_customer_df.select("c_custkey", "nation_name"), "c_custkey")
@@ -84,7 +113,7 @@ def run(spark: SparkSession, reader: Callable[[str], DataFrame], base_path: str
     """Run all three layers. ``reader(name)`` supplies a source table (JDBC,
     files or a catalog). Returns the audit frames of every layer."""
     run_ts = run_ts or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-    base = base_path or os.path.join(checkpoint_dir(spark), "medallion")
+    base = base_path or f"{checkpoint_dir(spark).rstrip('/')}/medallion-{uuid.uuid4().hex}"
 
     def write(df: DataFrame, layer: str, name: str) -> DataFrame:
         path = f"{base}/{layer}/{name}"
@@ -92,6 +121,7 @@ def run(spark: SparkSession, reader: Callable[[str], DataFrame], base_path: str
         return spark.read.parquet(path)
 
     b = {t: write(bronze(reader(t), source_system, t, run_ts), "bronze", t) for t in ("customer", "orders", "nation")}
+    # the other cleaned tables are written by the callers that need them: silver(name, bronze)
     s = {"customer": write(silver_customer(b["customer"], b["nation"]), "silver", "customer"),
          "orders": write(silver_orders(b["orders"]), "silver", "orders")}
     g = {"sales_by_nation": write(gold_sales_by_nation(s["orders"], s["customer"]), "gold", "sales_by_nation")}
@@ -129,3 +159,28 @@ FROM orders o JOIN {_SILVER_CUST} c ON o.o_custkey = c.c_custkey GROUP BY 1, 2""
 def med_gold_sales_by_nation(spark, sf):
     o = silver_orders(bronze(table(spark, sf, "orders"), "tpch", "orders", RUN_TS))
     return gold_sales_by_nation(o, med_silver_customer(spark, sf))
+
+
+_LINEAGE_SQL = "TIMESTAMP '2024-01-01 00:00:00' AS ingestion_timestamp, 'tpch' AS source_system"
+_SILVER_SQL = {
+    "region": "r_regionkey AS region_key, upper(trim(r_name)[1]) || lower(trim(r_name)[2:]) AS region_name",
+    "nation": "n_nationkey AS nation_key, trim(n_name) AS nation_name, n_regionkey AS region_key",
+    "supplier": "s_suppkey AS supplier_key, trim(s_name) AS supplier_name, s_nationkey AS nation_key, CASE WHEN s_acctbal >= 0 THEN s_acctbal END AS credit",
+    "part": "p_partkey AS part_key, trim(p_name) AS part_name, trim(p_brand) AS brand, trim(p_type) AS part_type, p_size, "
+            "CAST(p_retailprice AS DECIMAL(18,2)) AS list_price",
+    "lineitem": "l_orderkey, l_linenumber, l_partkey AS part_key, l_suppkey AS supplier_key, l_quantity, "
+                "CAST(l_extendedprice AS DECIMAL(18,2)) AS gross, l_returnflag = 'R' AS returned, CAST(l_shipdate AS DATE) AS ship_date",
+    "events": "event_id, user_id, ts, trim(event_type) AS event_type, CASE WHEN event_type <> 'error' THEN value END AS reading",
+}
+_ONE = {t: ("" if t != "lineitem" else " QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey DESC, l_suppkey DESC, l_quantity DESC, l_extendedprice DESC) = 1")
+        for t in SILVER}
+
+
+def _register_silver(name: str) -> None:
+    @register(f"med_silver_{name}", f"SELECT {_SILVER_SQL[name]}, {_LINEAGE_SQL}, '{name}' AS source_table FROM {name}{_ONE[name]}")
+    def report(spark, sf):
+        return silver(name, bronze(table(spark, sf, name), "tpch", name, RUN_TS))
+
+
+for _name in SILVER:
+    _register_silver(_name)

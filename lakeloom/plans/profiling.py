@@ -124,19 +124,23 @@ def q8_validate_load(spark, sf):
 @register("q9_bronze_audit", " UNION ALL ".join(
     f"SELECT '{t}' AS table_name, 'bronze' AS layer, COUNT(*) AS row_count, 'SUCCESS' AS status, "
     f"CAST(NULL AS TIMESTAMP) AS max_business_ts, TIMESTAMP '2024-01-01 00:00:00' AS run_ts FROM {t}"
-    for t in ("customer", "orders", "lineitem", "part")))
+    for t in TABLES))
 def q9_bronze_audit(spark, sf):
-    tabs = {t: table(spark, sf, t) for t in ("customer", "orders", "lineitem", "part")}
-    return Q.audit(spark, tabs, RUN_TS, "bronze")
+    return Q.audit(spark, {t: table(spark, sf, t) for t in TABLES}, RUN_TS, "bronze")
 
 
 @register("q10_gold_audit", """
-SELECT 'orders' AS table_name, 'gold' AS layer, COUNT(*) AS row_count, 'SUCCESS' AS status,
-  MAX(o_orderdate) AS max_business_ts, TIMESTAMP '2024-01-01 00:00:00' AS run_ts FROM orders
-UNION ALL SELECT 'lineitem', 'gold', COUNT(*), 'SUCCESS', MAX(l_shipdate), TIMESTAMP '2024-01-01 00:00:00' FROM lineitem""")
+SELECT 'customer' AS table_name, 'silver' AS layer, COUNT(*) AS row_count, 'SUCCESS' AS status,
+  CAST(NULL AS TIMESTAMP) AS max_business_ts, TIMESTAMP '2024-01-01 00:00:00' AS run_ts FROM customer
+UNION ALL SELECT 'orders', 'silver', COUNT(*), 'SUCCESS', CAST(MAX(CAST(o_orderdate AS DATE)) AS TIMESTAMP), TIMESTAMP '2024-01-01 00:00:00' FROM orders
+UNION ALL SELECT 'sales_by_nation', 'gold', COUNT(*), 'SUCCESS', CAST(NULL AS TIMESTAMP), TIMESTAMP '2024-01-01 00:00:00'
+FROM (SELECT DISTINCT c_nationkey, year(o_orderdate) FROM orders JOIN customer ON o_custkey = c_custkey)""")
 def q10_gold_audit(spark, sf):
-    tabs = {"orders": table(spark, sf, "orders"), "lineitem": table(spark, sf, "lineitem")}
-    return Q.audit(spark, tabs, RUN_TS, "gold", {"orders": "o_orderdate", "lineitem": "l_shipdate"})
+    """All three layers are built and stored; silver and gold are audited
+    from what was stored."""
+    from lakeloom.plans import medallion
+    done = medallion.run(spark, lambda t: table(spark, sf, t), run_ts=RUN_TS)
+    return done["silver"].unionByName(done["gold"])
 
 
 @register("q11_key_checks", """

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -58,7 +59,7 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
         current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):  # local-cluster is a cluster
         raise RuntimeError("set spark.checkpoint.dir to a shared (distributed) folder; "
                            "lakeloom writes checkpoints and intermediate layers there")
     path = fallback or tempfile.mkdtemp(prefix="lakeloom-ckpt-")

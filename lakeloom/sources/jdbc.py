@@ -67,6 +67,6 @@ def ingest_tables(spark: SparkSession, reader: Callable[[str], DataFrame], names
             sink(df, target)
             log.append((name, target, "SUCCESS", None, run_ts))
         except Exception as e:  # noqa: BLE001 - record and continue
-            log.append((name, target, "FAILED", str(e).splitlines()[0][:500], run_ts))
+            log.append((name, target, "FAILED", str(e), run_ts))
     return spark.createDataFrame(log, "source_table string, target_table string, status string, "
                                       "error string, run_ts timestamp_ntz")

@@ -11,11 +11,12 @@ import pytest
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
 
 import __spark_entry__ as E  # noqa: E402
+from lakeloom.plans import registry  # noqa: E402
 from oracle_check import TABLES, table_rows  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
-QUERIES = E.queries()
-SQL = E.oracle_sql()
+QUERIES = registry.queries()
+SQL = registry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -32,6 +33,10 @@ def test_entry(spark):
     assert df.count() > 0
 
 
+def test_entry_point_offers_every_report():
+    assert set(QUERIES) <= set(E.queries()) and set(SQL) <= set(E.oracle_sql())
+
+
 def test_every_report_has_sql():
     missing = sorted(set(QUERIES) - set(SQL))
     assert missing == [], missing

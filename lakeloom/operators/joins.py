@@ -77,14 +77,17 @@ def join_on_columns(left: DataFrame, right: DataFrame, left_on, right_on,
 
 
 # J7 / R4 ----------------------------------------------------------------
-def cross_product(left: DataFrame, right: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
-    """Cartesian product, only when the output size is checked to be at most
-    ``max_rows`` (two cheap counts); larger products raise instead of
-    silently exploding."""
-    n = left.count() * right.count()
-    if n > max_rows:
-        raise ValueError(f"cross product of {n} rows exceeds max_rows={max_rows}")
-    return left.crossJoin(right)
+def cross_product(left: DataFrame, right: DataFrame, max_bytes: int | None = None) -> DataFrame:
+    """Cartesian product with a side that is checked to be small and is
+    broadcast; its size is all that is bounded, not the rows of the result. If
+    neither side is small, raises."""
+    limit = max_bytes or BROADCAST_BYTES
+    for small, other in ((right, left), (left, right)):
+        most = max(1, limit // _row_bytes(small))
+        if small.limit(most + 1).count() <= most:
+            out = other.crossJoin(F.broadcast(small))
+            return out if small is right else out.select(*left.columns, *right.columns)
+    raise ValueError(f"neither side of the cross product fits {limit} bytes")
 
 
 # J10 / D17 --------------------------------------------------------------

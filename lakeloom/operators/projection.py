@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakeloom.operators._order import sort_keys
 from lakeloom.operators.windows import row_positions
 
 
@@ -76,12 +77,14 @@ def query(df: DataFrame, condition: str) -> DataFrame:
 def slice_rows(df: DataFrame, order_by, start: int = 0, stop: int | None = None,
                cols: Sequence[str] | None = None) -> DataFrame:
     """pandas ``iloc[start:stop, cols]`` under an explicit order (row order
-    is otherwise undefined in Spark). Positions come from a distributed
-    global row number, not a single-task window."""
+    is otherwise undefined in Spark). With a ``stop`` only the first ``stop``
+    rows are looked for (a top-k, then an offset); an open end takes positions
+    from a distributed global row number. Give a total order."""
+    if stop is not None:
+        out = df.orderBy(*sort_keys(order_by)).limit(max(stop, 0)).offset(start)
+        return out.select(*cols) if cols else out
     pos = row_positions(df, order_by, "_pos")
     cond = F.col("_pos") >= start
-    if stop is not None:
-        cond = cond & (F.col("_pos") < stop)
     out = pos.where(cond).drop("_pos")
     return out.select(*cols) if cols else out
 

@@ -71,13 +71,13 @@ def resample_weekly(df: DataFrame, date_col: str, value_cols: Sequence[str], how
     return grid.join(weekly, by + [out_col], "left")
 
 
-def key_grid(dims: Sequence[DataFrame], max_rows: int = 1_000_000) -> DataFrame:
-    """Cartesian grid of distinct key lists (``MultiIndex.from_product``),
-    built only after checking its size."""
+def key_grid(dims: Sequence[DataFrame]) -> DataFrame:
+    """All combinations of the distinct rows of each frame; each frame's
+    distinct rows are checked to be few before they are broadcast."""
     from lakeloom.operators.joins import cross_product
     grid = dims[0].distinct()
     for d in dims[1:]:
-        grid = cross_product(grid, d.distinct(), max_rows)
+        grid = cross_product(grid, d.distinct())
     return grid
 
 

@@ -47,7 +47,7 @@ def test_join_types(emp, dept):
 def test_cross_product_guard(spark, emp, dept):
     assert J.cross_product(emp, dept).count() == 20
     with pytest.raises(ValueError):
-        J.cross_product(emp, dept, max_rows=10)
+        J.cross_product(emp, dept, max_bytes=50)
 
 
 def test_star_join_prefixes_duplicates(spark):

@@ -13,6 +13,21 @@ from lakeloom.session import checkpoint_dir
 BROADCAST_ROWS = 500_000
 
 
+#: rows and bytes of text that a task holds at once on its way to Python
+BATCH_ROWS, BATCH_BYTES = 1000, 8 << 20
+
+
+def text_batches(spark: SparkSession) -> None:
+    """Send texts to Python in small Arrow batches from now on: a session
+    setting, as a default batch of 10 000 long texts takes hundreds of MB in
+    the JVM and again in Python. A smaller setting of the session stays."""
+    for key, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        key = f"spark.sql.execution.arrow.{key}"
+        now = spark.conf.get(key).removesuffix("b")
+        if not (now.isdigit() and 0 < int(now) <= most):
+            spark.conf.set(key, str(most))
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to a new folder in the shared checkpoint folder and read
     it back: lineage is cut, the table survives lost executors, and Catalyst

@@ -21,7 +21,8 @@ ALNUM[0x30:0x3A] = ALNUM[0x41:0x5B] = ALNUM[0x61:0x7B] = ALNUM[0x80:] = True
 FOLD = np.arange(256, dtype=np.uint8)
 FOLD[0x41:0x5B] += 0x20
 
-SLICE_BYTES = 2 << 20
+#: small enough for the work arrays of a slice to stay in a core's cache
+SLICE_BYTES = 1 << 18
 
 
 def mix(x: np.ndarray) -> np.ndarray:

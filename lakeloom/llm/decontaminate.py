@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeloom.llm import _text
-from lakeloom.llm._io import bounded, staged
+from lakeloom.llm._io import bounded, staged, text_batches
 
 WINDOW = 13
 #: rarest terms of a phrase whose postings are intersected before the rest
@@ -148,6 +148,7 @@ def phrase_matches(docs: DataFrame, phrase: DataFrame, doc_id: str = "doc_id", t
 
     Postings of the rarest terms are stored first; documents in which all of
     those line up are read again for the postings of the other terms."""
+    text_batches(docs.sparkSession)
     phrase = staged(phrase.select("phrase", "terms").distinct(), "phrases")
     wanted = _term_set(phrase)
     df = staged(frequencies(docs, wanted, text), "frequencies")
@@ -179,6 +180,7 @@ def proximity_matches(docs: DataFrame, queries: DataFrame, slop: int, doc_id: st
     query (query, terms) the narrowest span (end exclusive, first of equal
     ones) that holds each term, if it is at most ``slop`` words wider than the
     number of different terms."""
+    text_batches(docs.sparkSession)
     queries = staged(queries.select(F.col("query"), F.array_distinct("terms").alias("terms")), "queries")
     index = staged(build_index(docs, _term_set(queries), doc_id, text), "postings").where("term is not null")
     each = queries.select("query", F.size("terms").alias("n"), F.explode("terms").alias("term"))

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeloom.llm import _text
-from lakeloom.llm._io import sample_cut
+from lakeloom.llm._io import sample_cut, text_batches
 
 UNKNOWN = "und"
 SIZES = (2, 3, 4)
@@ -37,9 +37,9 @@ class Settings:
     """``sample``: most labelled rows that are learned from. ``precision``:
     predictions below the confidence that reaches it are rejected."""
 
-    buckets: int = 1 << 15
+    buckets: int = 1 << 14
     dimensions: int = 16
-    sample: int = 4000
+    sample: int = 2000
     epochs: int = 12
     rate: float = 0.5
     precision: float = 0.98
@@ -77,7 +77,7 @@ def _features(docs: DataFrame, label: str, text: str, buckets: int) -> DataFrame
     """(label, bucket array, count array) of each text."""
     def run(batches):
         for batch in batches:
-            for first, data, offsets in _text.slices(batch.column(1), 1 << 19):
+            for first, data, offsets in _text.slices(batch.column(1)):
                 n = len(offsets) - 1
                 keys = [row * buckets + bucket for row, bucket in grams(data, offsets, buckets)]
                 key, count = np.unique(np.concatenate(keys) if keys else np.zeros(0, np.int64), return_counts=True)
@@ -146,6 +146,7 @@ def fit(docs: DataFrame, learn: Column, settings: Settings = Settings(), doc_id:
     """Learn from at most ``settings.sample`` of the rows where ``learn`` holds
     and text and lang are not null, chosen by a hash of the id. None if there
     is no such row."""
+    text_batches(docs.sparkSession)
     rows = docs.where(learn & F.col(text).isNotNull() & F.col(lang).isNotNull() & F.col(doc_id).isNotNull())
     cut = sample_cut(rows, doc_id, settings.sample)
     if cut is None:
@@ -191,6 +192,7 @@ def predict(docs: DataFrame, model: Model | None, doc_id: str = "doc_id", text:
     order. Repeated rows and ids give a row each; an empty table an empty
     table; other columns are ignored.
     """
+    text_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
@@ -213,6 +215,7 @@ def accepted(docs: DataFrame, model: Model | None, doc_id: str = "doc_id", text:
 
     The decision needs only the row's own text, so nothing is joined. Without a
     model (nothing to learn from) only texts without a letter go."""
+    text_batches(docs.sparkSession)
     at, names = docs.columns.index(text), docs.columns
     sent = docs.sparkSession.sparkContext.broadcast(model)
 

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeloom.llm import _text
-from lakeloom.llm._io import sample_cut, staged
+from lakeloom.llm._io import sample_cut, staged, text_batches
 
 DOMAINS = ("high", "low", "toxic")
 #: wanted shares of the expected tokens
@@ -33,7 +33,7 @@ class Settings:
     """``sample``: most labelled rows that are learned from."""
 
     buckets: int = 1 << 15
-    sample: int = 8000
+    sample: int = 4000
     epochs: int = 8
     rate: float = 0.3
     steps: int = 60
@@ -94,7 +94,7 @@ def fit_classifier(docs: DataFrame, labels: DataFrame, s: Settings = Settings(),
 
     def features(batches):
         for batch in batches:
-            for first, data, offsets in _text.slices(batch.column(1), 1 << 20):
+            for first, data, offsets in _text.slices(batch.column(1)):
                 n = len(offsets) - 1
                 row, bucket, count, _ = _buckets(data, offsets, s.buckets)
                 per_row = np.bincount(row, minlength=n)
@@ -222,6 +222,7 @@ class Mix:
 def fit(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS, settings: Settings = Settings(),
         doc_id: str = "doc_id", text: str = "text") -> tuple[Mix, DataFrame]:
     """The mix, and the stored table (doc_id, tokens, p) it was fitted on."""
+    text_batches(docs.sparkSession)
     domains = tuple(sorted(targets))
     wanted = np.array([targets[d] for d in domains], float)
     wanted = wanted / wanted.sum()

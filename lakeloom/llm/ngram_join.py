@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeloom.llm import _text
-from lakeloom.llm._io import bounded, staged
+from lakeloom.llm._io import bounded, staged, text_batches
 from lakeloom.llm.components import components
 
 SIZE = 4
@@ -265,6 +265,7 @@ def links(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, large: int
     id; links (src, dst) between representatives that span all components."""
     if not 80 <= percent <= 99:
         raise ValueError("a similarity of 80 to 99 percent is needed")
+    text_batches(docs.sparkSession)
     sketch = staged(token_sets(docs, size, doc_id, text, percent), "sketches")
     one = staged(sketch.groupBy("doc_id").agg(F.max(F.struct("n", "f1", "f2")).alias("s")).select("doc_id", "s.*"), "fingerprints")
     classes = staged(one.groupBy("n", "f1", "f2").agg(F.min("doc_id").alias("representative")), "classes")

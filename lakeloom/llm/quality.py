@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeloom.llm import _text
-from lakeloom.llm._io import sample_cut
+from lakeloom.llm._io import sample_cut, text_batches
 
 GRAM = 4
 WHITE = " \t\n\x0b\x0c\r"
@@ -95,6 +95,7 @@ def fit(docs: DataFrame, labels: DataFrame, s: Settings = Settings(), doc_id: st
     """Counts over all ``docs``; trusted are rows of ``labels`` (doc_id,
     quality) with quality 1. Without any, every score and the threshold are
     such that all texts pass."""
+    text_batches(docs.sparkSession)
     trusted = labels.where("quality = 1").select(F.col(doc_id).cast("long").alias("__id")).where("__id is not null")
     cut = sample_cut(trusted, "__id", s.sample)
     if cut is None:
@@ -150,6 +151,7 @@ def judge(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "te
     counts as reached). Repeated rows and null ids keep a row each; an empty
     table gives an empty table; other columns are ignored.
     """
+    text_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)
     names = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "score", "kept"]
 

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeloom.llm._io import staged
+from lakeloom.llm._io import staged, text_batches
 from lakeloom.session import checkpoint_dir
 
 KEYS = ("source", "lang", "tokenizer")
@@ -42,6 +42,7 @@ def piece_tokens(text: Column) -> Column:
 def bpe_tokens(docs: DataFrame, ranks: str, pattern: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_tokens) with a public BPE vocabulary (a .tiktoken file at a
     path that every executor has); null and empty texts have no tokens."""
+    text_batches(docs.sparkSession)
     def run(batches: Iterator[pa.RecordBatch]):
         import tiktoken
         with open(ranks, "rb") as f:

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeloom.llm import _text
-from lakeloom.llm._io import sample_cut
+from lakeloom.llm._io import sample_cut, text_batches
 
 # What a character may stand for, besides itself.
 LOOKALIKE = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t", "8": "b", "9": "g",
@@ -252,6 +252,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, s: Settings = Setting
     """Character model over all ``docs``; lexicon and logistic from the rows
     of ``labels`` (doc_id, toxic) where ``learn`` holds. Of repeated labels of
     an id, toxic counts. Without any label all scores are the prior 0.5."""
+    text_batches(docs.sparkSession)
     cost = char_model(char_counts(docs, text))
     empty = Model(cost, {}, np.zeros(4))
     sample = _sample(docs, labels, learn, s, doc_id, text)
@@ -300,6 +301,7 @@ def score(docs: DataFrame, model: Model, s: Settings = Settings(), doc_id: str =
     hits. Repeated rows and null ids keep a row each; an empty table gives an
     empty table; other columns are ignored.
     """
+    text_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):

@@ -21,27 +21,39 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.llm._io import staged
+from lakeloom.llm._io import staged, text_batches
 
 WHITE = " \t\n\x0b\x0c\r"
 BITS_PER_LINE = 16
 MAX_FILTER_MB = 64
 SHARD_BITS = 20  # a shard has 2**20 bits (128 KB)
-_UPPER = {c: c + 32 for c in range(65, 91)}
+_LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
-def line_key(line: str) -> str:
-    """The line without ASCII white space at both ends, A-Z lower-cased."""
+def line_key(line: str, min_chars: int) -> bytes | None:
+    """The line without ASCII white space at both ends, A-Z lower-cased, as
+    UTF-8 (where a byte table folds case); None if it is too short."""
     line = line.strip(WHITE)
-    return line.lower() if line.isascii() else line.translate(_UPPER)
+    return line.encode("utf-8", "surrogatepass").translate(_LOWER) if len(line) >= min_chars else None
 
 
-def _digests(text: str | None, min_chars: int) -> list[bytes]:
+def _parts(batch: pa.RecordBatch, rows: int = 500):
+    """A batch in pieces, so that few texts are Python strings at once."""
+    for k in range(0, batch.num_rows, rows):
+        yield batch.slice(k, rows)
+
+
+def _digests(text: str | None, min_chars: int) -> set[bytes]:
     """128-bit digests of a text's distinct keys of ``min_chars`` or more."""
-    if not text:
-        return []
-    return list({xxhash.xxh3_128_digest(k.encode("utf-8", "surrogatepass"))
-                 for line in text.split("\n") if len(line) >= min_chars and len(k := line_key(line)) >= min_chars})
+    if not text or len(text) < min_chars:
+        return set()
+    return {xxhash.xxh3_128_digest(k) for line in text.split("\n") if (k := line_key(line, min_chars))}
+
+
+def _flat(texts: pa.Array, min_chars: int) -> tuple[list[bytes], list[int]]:
+    """The digests of several texts in a row, and how many each text has."""
+    each = [_digests(t, min_chars) for t in texts.to_pylist()]
+    return [x for d in each for x in d], [len(d) for d in each]
 
 
 def _bits(low: np.ndarray, high: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -78,6 +90,7 @@ def filter_bits(lines: int) -> int:
 
 def build_filter(docs: DataFrame, min_chars: int, text: str = "text") -> tuple[np.ndarray, int]:
     """The twice-seen filter as bytes, and its bits."""
+    text_batches(docs.sparkSession)
     upper = docs.agg(F.sum(F.length(text))).first()[0] or 0
     bits = filter_bits(int(upper) // (4 * min_chars))
     shard_bytes = 1 << (SHARD_BITS - 3)
@@ -85,10 +98,16 @@ def build_filter(docs: DataFrame, min_chars: int, text: str = "text") -> tuple[n
     def partial(batches):
         once, again = np.zeros(bits >> 3, np.uint8), np.zeros(bits >> 3, np.uint8)
         for batch in batches:
-            for t in batch.column(0):
-                if d := _digests(t.as_py(), min_chars):
-                    a, b = _bits(*_halves(d), bits)
-                    seen = _hit(once, a, b)
+            for part in _parts(batch):
+                found, _ = _flat(part.column(0), min_chars)
+                if found:
+                    low, high = _halves(found)
+                    order = np.lexsort((low, high))
+                    low, high = low[order], high[order]
+                    new = np.r_[True, (low[1:] != low[:-1]) | (high[1:] != high[:-1])]
+                    repeated = np.add.reduceat(np.ones(len(low), np.int64), np.flatnonzero(new)) > 1
+                    a, b = _bits(low[new], high[new], bits)
+                    seen = repeated | _hit(once, a, b)
                     _set(again, a[seen], b[seen])
                     _set(once, a, b)
         for k in range(bits >> SHARD_BITS):
@@ -135,14 +154,12 @@ def suspected(docs: DataFrame, min_chars: int, doc_id: str = "doc_id", text: str
     def scan(batches):
         again = sent.value
         for batch in batches:
-            ids, found = [], []
-            for i, t in zip(batch.column(0).to_pylist(), batch.column(1)):
-                if i is not None and (d := _digests(t.as_py(), min_chars)):
-                    hit = _hit(again, *_bits(*_halves(d), bits))
-                    new = [x for x, h in zip(d, hit) if h]
-                    found += new
-                    ids += [i] * len(new)
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(found, pa.binary())], ["doc_id", "digest"])
+            for part in _parts(batch.filter(batch.column(0).is_valid())):
+                found, n = _flat(part.column(1), min_chars)
+                hit = _hit(again, *_bits(*_halves(found), bits)) if found else np.zeros(0, bool)
+                ids = np.repeat(np.asarray(part.column(0)), n)
+                yield pa.RecordBatch.from_arrays([pa.array(ids[hit]), pa.array([x for x, h in zip(found, hit) if h], pa.binary())],
+                                                 ["doc_id", "digest"])
 
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(
         scan, "doc_id long, digest binary")
@@ -177,20 +194,19 @@ def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5,
     at, plan = names.index(text), joined.select(*names, "__drop")
 
     def strip(batches):
-        for batch in batches:
+        for batch in (part for whole in batches for part in _parts(whole)):
             kept, before, gone = [], [], []
-            for t, drop in zip(batch.column(at), batch.column(len(names))):
-                lines = (t.as_py() or "").split("\n")
-                before.append(len(lines))
-                if drop.is_valid:
-                    bad = set(drop.as_py())
-                    left = [x for x in lines if len(x) < min_chars or len(k := line_key(x)) < min_chars
-                            or xxhash.xxh3_128_digest(k.encode("utf-8", "surrogatepass")) not in bad]
+            for t, drop in zip(batch.column(at).to_pylist(), batch.column(len(names)).to_pylist()):
+                t = t or ""
+                before.append(t.count("\n") + 1)
+                if drop:
+                    bad, lines = set(drop), t.split("\n")
+                    left = [x for x in lines if not (k := line_key(x, min_chars)) or xxhash.xxh3_128_digest(k) not in bad]
                     gone.append(len(lines) - len(left))
-                    kept.append("\n".join(left))
+                    t = "\n".join(left)
                 else:
                     gone.append(0)
-                    kept.append("\n".join(lines))
+                kept.append(t)
             columns = [pa.array(kept, batch.column(i).type) if i == at else batch.column(i) for i in range(len(names))]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(before, pa.int64()), pa.array(gone, pa.int64())],
                                              [*names, "__lines", "__dropped"])

@@ -4,11 +4,16 @@ Every 2-, 3- and 4-byte window of the lower-cased text, with all that is no
 letter as a border byte, is hashed to a bucket; a text's vector is the mean of
 its buckets' embeddings and a linear softmax predicts the language. Trained by
 stochastic gradient descent in numpy on a bounded sample of labelled rows, with
-a temperature and a rejection threshold fitted on a part kept out of training.
+a temperature and rejection thresholds fitted on a part kept out of training.
 
 Both layers are linear up to the softmax, so scoring multiplies them once into
 one table (bucket -> logits) that is sent to the tasks (its size is fixed) and
 averages table rows over each whole text.
+
+A softmax always names some language, so a second number tells whether the text
+looks like it at all: its windows' mean log probability in the learned texts of
+the predicted language. Both have a threshold that the right kept-out
+predictions reach but for a low quantile.
 """
 
 from __future__ import annotations
@@ -35,7 +40,11 @@ _BORDER[0x80:] = np.arange(0x80, 0x100)
 @dataclass(frozen=True)
 class Settings:
     """``sample``: most labelled rows that are learned from. ``precision``:
-    predictions below the confidence that reaches it are rejected."""
+    predictions below the confidence that reaches it are rejected. ``quantile``
+    and ``margin``: so are those less confident than that quantile of the right
+    kept-out predictions (and than ``precision``), and texts whose windows are, by ``margin`` nats plus
+    ``spread`` nats over the root of their number, rarer in the predicted
+    language than that quantile."""
 
     buckets: int = 1 << 14
     dimensions: int = 16
@@ -43,6 +52,9 @@ class Settings:
     epochs: int = 12
     rate: float = 0.5
     precision: float = 0.98
+    quantile: float = 0.002
+    margin: float = 0.3
+    spread: float = 3.0
     seed: int = 7
 
 
@@ -52,6 +64,12 @@ class Model:
     table: np.ndarray  # bucket -> logits, temperature applied
     bias: np.ndarray
     threshold: float
+    familiar: np.ndarray  # bucket -> log probability in each language's texts
+    floor: float
+    spread: float
+
+    def accepts(self, best, known, windows):
+        return (best >= self.threshold) & (known >= self.floor - self.spread / np.sqrt(np.maximum(windows, 1)))
 
 
 def grams(data: np.ndarray, offsets: np.ndarray, buckets: int):
@@ -103,6 +121,10 @@ def _softmax(z: np.ndarray) -> np.ndarray:
     return z / z.sum(axis=1, keepdims=True)
 
 
+def _known(familiar: np.ndarray, bucket: np.ndarray, n: np.ndarray) -> float:
+    return float((familiar[bucket] * n).sum() / max(n.sum(), 1))
+
+
 def train(rows: list[tuple[np.ndarray, np.ndarray]], labels: list[str], s: Settings) -> Model:
     """Fit on (buckets, counts) rows. Every fifth row (in a seeded order) is
     kept for calibration."""
@@ -128,6 +150,11 @@ def train(rows: list[tuple[np.ndarray, np.ndarray]], labels: list[str], s: Setti
                 q[where] += step * step  # steps shrink where gradients were large
                 p[where] -= s.rate * step / np.sqrt(q[where])
     table = embed @ out
+    seen = np.zeros((len(languages), s.buckets))
+    for k in fit:
+        seen[y[k], rows[k][0]] += rows[k][1]
+    seen = (seen + 0.5) / (seen.sum(axis=1, keepdims=True) + 0.5 * s.buckets)
+    familiar = np.ascontiguousarray(np.log(seen).T.astype(np.float32))
     logits = np.concatenate([_dense(rows, held[k:k + 64], s.buckets) @ table + bias for k in range(0, len(held), 64)])
     scales = np.geomspace(0.05, 5, 60)
     loss = [-np.log(np.maximum(_softmax(logits * t)[np.arange(len(held)), y[held]], 1e-12)).mean() for t in scales]
@@ -136,9 +163,17 @@ def train(rows: list[tuple[np.ndarray, np.ndarray]], labels: list[str], s: Setti
     best, right = p.max(axis=1), p.argmax(axis=1) == y[held]
     rank = np.argsort(-best, kind="stable")
     precise = np.cumsum(right[rank]) / np.arange(1, len(rank) + 1) >= s.precision
-    # All are accepted where precision holds for all.
     threshold = 0.0 if precise[-1] else float(best[rank][np.flatnonzero(precise)[-1]]) if precise.any() else 1.0
-    return Model(languages, (table * t).astype(np.float32), (bias * t).astype(np.float32), threshold)
+    guess = p.argmax(axis=1)
+    known = np.array([_known(familiar[:, guess[i]], *rows[k]) for i, k in enumerate(held)])
+    windows = np.array([rows[k][1].sum() for k in held])
+    floor = -np.inf
+    good = right & (windows > 0)
+    if good.any():
+        # Where precision holds for all, texts of no learned language still have to go.
+        threshold = max(threshold, min(float(np.quantile(best[good], s.quantile, method="lower")), s.precision))
+        floor = float(np.quantile((known + s.spread / np.sqrt(np.maximum(windows, 1)))[good], s.quantile, method="lower")) - s.margin
+    return Model(languages, (table * t).astype(np.float32), (bias * t).astype(np.float32), threshold, familiar, floor, s.spread)
 
 
 def fit(docs: DataFrame, learn: Column, settings: Settings = Settings(), doc_id: str = "doc_id",
@@ -160,26 +195,31 @@ def fit(docs: DataFrame, learn: Column, settings: Settings = Settings(), doc_id:
     return train([pairs[i] for i in order], [labels[i] for i in order], settings)
 
 
-def _judge(m: Model | None, texts: pa.Array, first: int, data: np.ndarray, offsets: np.ndarray) -> tuple[list[str], np.ndarray, float]:
-    """Prediction and confidence of each row of a slice, and the threshold."""
+def _judge(m: Model | None, texts: pa.Array, first: int, data: np.ndarray, offsets: np.ndarray) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Prediction and confidence of each row of a slice, and whether it is accepted."""
     n = len(offsets) - 1
     if m is None:
-        names, best = ["?"] * n, np.zeros(n)
+        names, best, ok = ["?"] * n, np.zeros(n), np.ones(n, bool)
     else:
         total, count = np.zeros((n, len(m.languages))), np.zeros(n)
-        for row, bucket in grams(data, offsets, len(m.table)):
+        found = list(grams(data, offsets, len(m.table)))
+        for row, bucket in found:
             count += np.bincount(row, minlength=n)
             for k in range(len(m.languages)):
                 total[:, k] += np.bincount(row, m.table[bucket, k], minlength=n)
         p = _softmax(total / np.maximum(count, 1)[:, None] + m.bias)
-        best = p.max(axis=1)
-        names = [m.languages[k] for k in p.argmax(axis=1)]
+        best, guess = p.max(axis=1), p.argmax(axis=1)
+        names = [m.languages[k] for k in guess]
+        known = np.zeros(n)
+        for row, bucket in found:
+            known += np.bincount(row, m.familiar[bucket, guess[row]], minlength=n)
+        ok = m.accepts(best, known / np.maximum(count, 1), count)
     ascii_letter = (data < 0x80) & (_BORDER[data] != 0x20)
     letters = np.add.reduceat(np.r_[ascii_letter, False].astype(np.int64), offsets[:-1]) * (np.diff(offsets) > 0)
     for i in np.flatnonzero(letters == 0):  # few: only these are looked at as code points
         if not any(c.isalpha() for c in texts[first + int(i)].as_py() or ""):
-            names[i], best[i] = UNKNOWN, 0.0
-    return names, best, 0.0 if m is None else m.threshold
+            names[i], best[i], ok[i] = UNKNOWN, 0.0, False
+    return names, best, ok
 
 
 def predict(docs: DataFrame, model: Model | None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -187,7 +227,8 @@ def predict(docs: DataFrame, model: Model | None, doc_id: str = "doc_id", text:
 
     ``score`` is the calibrated probability of the prediction. Null texts and
     texts without any letter get ``und``, score 0 and are rejected; so are
-    predictions below the threshold. If there was nothing to learn from
+    predictions below the threshold and texts unlike those learned of the
+    predicted language. If there was nothing to learn from
     (``model`` None) all get ``und``. Ties go to the first language in sort
     order. Repeated rows and ids give a row each; an empty table an empty
     table; other columns are ignored.
@@ -199,9 +240,9 @@ def predict(docs: DataFrame, model: Model | None, doc_id: str = "doc_id", text:
         m = sent.value
         for batch in batches:
             for first, data, offsets in _text.slices(batch.column(1)):
-                names, best, threshold = _judge(m, batch.column(1), first, data, offsets)
+                names, best, ok = _judge(m, batch.column(1), first, data, offsets)
                 names = [UNKNOWN if m is None else x for x in names]
-                rejected = [x == UNKNOWN or b < threshold for x, b in zip(names, best)]
+                rejected = [x == UNKNOWN or not k for x, k in zip(names, ok)]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(first, len(names)), pa.array(names, pa.string()), pa.array(best, pa.float64()),
                      pa.array(rejected, pa.bool_())], ["doc_id", "lang_pred", "score", "rejected"])
@@ -222,7 +263,7 @@ def accepted(docs: DataFrame, model: Model | None, doc_id: str = "doc_id", text:
     def run(batches):
         for batch in batches:
             found = [_judge(sent.value, batch.column(at), first, data, offsets) for first, data, offsets in _text.slices(batch.column(at))]
-            keep = [x != UNKNOWN and b >= t for names_, best, t in found for x, b in zip(names_, best)]
+            keep = [bool(k) for _, _, ok in found for k in ok]
             yield pa.RecordBatch.from_arrays(batch.columns, names).filter(pa.array(keep, pa.bool_()))
 
     fields = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in docs.schema)

@@ -57,3 +57,17 @@ def test_held_out_accuracy(spark):
     from lakeloom.llm.queries import op7_language_id
     out = op7_language_id(spark, SMALL).join(spark.read.parquet(SMALL + "/documents.parquet").select("doc_id", "lang"), "doc_id").where("held_out")
     assert out.agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int"))).first()[0] >= 0.95
+
+
+def test_foreign_script_and_gibberish_go_though_all_kept_out_rows_are_right(spark):
+    rng = np.random.default_rng(3)
+    docs = spark.read.parquet(SMALL + "/documents.parquet")
+    model = langid.fit(docs, F.lit(True))
+    assert 0 < model.threshold < 1
+    consonants = " ".join("".join(rng.choice(list("bcdfghjklmnpqrstvwxz"), rng.integers(3, 9))) for _ in range(80))
+    odd = [consonants, "Это длинный русский текст о том, как люди живут в большом городе. " * 4, "今日は天気がいいので、公園へ行きました。" * 5,
+           "for (int i = 0; i < n; ++i) { buf[i] ^= key[i % klen]; if (!ptr->next) return -EINVAL; }\n" * 6]
+    more = spark.createDataFrame([(i, t, "en", 0.5) for i, t in enumerate(odd)], "doc_id long, text string, lang string, score double")
+    assert all(r.rejected for r in langid.predict(more, model).collect()) and langid.accepted(more, model).count() == 0
+    clean = docs.where(F.size(F.split("text", r"\s+")) >= 20)
+    assert langid.accepted(clean, model).count() >= 0.99 * clean.count()

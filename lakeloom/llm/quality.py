@@ -1,9 +1,9 @@
 """Quality rules: hashed n-gram log-likelihood ratio of two multinomials.
 
 Byte 4-grams, hashed to a fixed number of buckets, are counted over all texts
-(raw corpus) and over a bounded sample of trusted texts (target). A text's
-score is the mean of log(target / raw) over its n-grams. The threshold is a
-low quantile of the trusted sample's own scores, so trusted-like text passes;
+(raw corpus) and over all trusted texts (target). A text's score is the mean
+of log(target / raw) over its n-grams. The threshold is a low quantile of all
+trusted texts' own scores, so trusted-like text passes;
 each document is then kept or not by that number alone. Word, symbol and
 repetition counts are taken in the same pass over the bytes.
 """
@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeloom.llm import _text
-from lakeloom.llm._io import sample_cut, text_batches
+from lakeloom.llm._io import BROADCAST_ROWS, staged, text_batches
 
 GRAM = 4
 WHITE = " \t\n\x0b\x0c\r"
@@ -28,12 +28,12 @@ _SYMBOL[list(b"#*$%&|<>")] = True
 
 @dataclass(frozen=True)
 class Settings:
-    """``sample``: most trusted documents that the target is counted from.
-    ``quantile`` and ``margin``: the threshold lies ``margin`` below that
-    quantile of the trusted scores."""
+    """``quantile`` and ``margin``: the threshold lies ``margin`` below that
+    quantile of the trusted scores. ``accuracy``: the quantile's rank is off by
+    at most one in so many trusted rows (exact up to that many)."""
 
     buckets: int = 1 << 16
-    sample: int = 10_000
+    accuracy: int = 100_000
     quantile: float = 0.001
     margin: float = 0.3
     smooth: float = 0.5
@@ -92,25 +92,27 @@ class Model:
 
 
 def fit(docs: DataFrame, labels: DataFrame, s: Settings = Settings(), doc_id: str = "doc_id", text: str = "text") -> Model:
-    """Counts over all ``docs``; trusted are rows of ``labels`` (doc_id,
-    quality) with quality 1. Without any, every score and the threshold are
+    """Counts over all ``docs``; trusted are all of them with a row of
+    ``labels`` (doc_id, quality) of quality 1. Without any, every score and the threshold are
     such that all texts pass."""
     text_batches(docs.sparkSession)
-    trusted = labels.where("quality = 1").select(F.col(doc_id).cast("long").alias("__id")).where("__id is not null")
-    cut = sample_cut(trusted, "__id", s.sample)
-    if cut is None:
+    trusted = labels.where("quality = 1").select(F.col(doc_id).cast("long").alias("__id")).where("__id is not null").distinct()
+    trusted = staged(trusted, "trusted")
+    n = trusted.count()
+    if not n:
         return Model(np.zeros(s.buckets), -1.0)
-    picked = F.broadcast(trusted.where(F.xxhash64("__id") <= cut).limit(s.sample).distinct())
-    sample = docs.select(F.col(doc_id).cast("long").alias("__doc"), F.col(text).alias("text")).join(
-        picked, F.col("__doc") == F.col("__id"), "left_semi").select("text")
-    table = _distribution(counts(sample, s.buckets), s) - _distribution(counts(docs, s.buckets, text), s)
+    target = docs.select(F.col(doc_id).cast("long").alias("__doc"), F.col(text).alias("text")).join(
+        F.broadcast(trusted) if n <= BROADCAST_ROWS else trusted, F.col("__doc") == F.col("__id"), "left_semi").select("text")
+    if n > BROADCAST_ROWS:  # read twice: its texts are shuffled once
+        target = staged(target, "target")
+    table = _distribution(counts(target, s.buckets), s) - _distribution(counts(docs, s.buckets, text), s)
 
     def score(batches):
         for batch in batches:
             for _, data, offsets in _text.slices(batch.column(0)):
                 yield pa.RecordBatch.from_arrays([pa.array(_mean_ratio(table, data, offsets))], ["score"])
 
-    low = sample.mapInArrow(score, "score double").agg(F.percentile("score", F.lit(s.quantile))).first()[0]  # bounded by the sample
+    low = target.mapInArrow(score, "score double").agg(F.percentile_approx("score", s.quantile, s.accuracy)).first()[0]
     return Model(table, (0.0 if low is None else low) - s.margin)
 
 

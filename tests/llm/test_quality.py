@@ -57,3 +57,17 @@ def test_nothing_trusted_and_empty_table(spark):
     got = judged(spark, [(1, "word " * 3 + " ".join(f"w{k}" for k in range(60)))], [(1, 0)])
     assert got[0].kept
     assert judged(spark, [], [(1, 1)]) == []
+
+
+def test_all_trusted_rows_count(spark):
+    """More trusted rows than the former sample: all are counted, so a target of
+    all rows equals the raw corpus."""
+    rng = np.random.default_rng(1)
+    text = lambda v, n: " ".join(rng.choice(v) + rng.choice(["", "x", "y"]) for _ in range(n))
+    common, rare = ["stone", "walks", "under", "bright", "letter", "garden"], ["жёлтый", "город", "снег", "ветер"]
+    rows = [(i, text(common, 8)) for i in range(10_500)] + [(20_000 + i, text(rare, 60)) for i in range(15)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1) for i, _ in rows], "doc_id long, quality int")
+    model = quality.fit(docs, labels)
+    # everything is trusted: target and raw are the same counts, and so all scores 0
+    assert np.allclose(model.table, 0) and abs(model.threshold + quality.Settings().margin) < 1e-6

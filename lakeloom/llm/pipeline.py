@@ -27,8 +27,9 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the smallest id stays."""
-    return ngram_join.drop_near_duplicates(docs)
+    """Of each group of near copies (sets of 5-word shingles with a similarity
+    of 0.8 or more) the smallest id stays."""
+    return ngram_join.drop_near_duplicates(docs, size=5, percent=80)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -36,3 +36,14 @@ def test_stages_against_brute_force(spark):
 def test_registered():
     assert [n.split("_")[0] for n in queries.QUERIES] == [f"op{k}" for k in range(1, 11)]
     assert set(queries.ORACLE_SQL) <= set(queries.QUERIES)
+
+
+def test_near_copies_by_five_words_and_80_percent(spark):
+    base = [f"w{k}" for k in range(1000)]
+    changed = [f"x{k}" if k % 47 == 20 else w for k, w in enumerate(base)]  # 21 words
+    other = [f"v{k}" for k in range(1000)]
+    far = [f"y{k}" if k % 31 == 20 else w for k, w in enumerate(other)]  # 32 words: 0.72
+    rows = [(1, base), (2, changed), (3, base + [f"z{k}" for k in range(200)]), (4, other), (5, far)]
+    rows = [(i, " ".join(w)) for i, w in rows]
+    got = dict(corpus_pipeline.STAGES)["n-gram Jaccard join"](spark, spark.createDataFrame(rows, "doc_id long, text string"), SMALL)
+    assert sorted(r.doc_id for r in got.collect()) == [i for i, _, c in near_brute(rows, 5, 80) if c == i] == [1, 4, 5]

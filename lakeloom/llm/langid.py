@@ -39,16 +39,19 @@ _BORDER[0x80:] = np.arange(0x80, 0x100)
 
 @dataclass(frozen=True)
 class Settings:
-    """``sample``: most labelled rows that are learned from. ``precision``:
+    """``sample``: most labelled rows that are learned from, besides up to
+    about ``each`` rows of every language (fewer if there are more than
+    ``sample / each`` languages). ``precision``:
     predictions below the confidence that reaches it are rejected. ``quantile``
     and ``margin``: so are those less confident than that quantile of the right
     kept-out predictions (and than ``precision``), and texts whose windows are, by ``margin`` nats plus
     ``spread`` nats over the root of their number, rarer in the predicted
     language than that quantile."""
 
-    buckets: int = 1 << 14
+    buckets: int = 1 << 15
     dimensions: int = 16
-    sample: int = 2000
+    sample: int = 4000
+    each: int = 50
     epochs: int = 12
     rate: float = 0.5
     precision: float = 0.98
@@ -178,15 +181,28 @@ def train(rows: list[tuple[np.ndarray, np.ndarray]], labels: list[str], s: Setti
 
 def fit(docs: DataFrame, learn: Column, settings: Settings = Settings(), doc_id: str = "doc_id",
         text: str = "text", lang: str = "lang") -> Model | None:
-    """Learn from at most ``settings.sample`` of the rows where ``learn`` holds
-    and text and lang are not null, chosen by a hash of the id. None if there
-    is no such row."""
+    """Learn from about ``settings.sample`` of the rows where ``learn`` holds
+    and text and lang are not null, and about ``settings.each`` of each
+    language at least (all of a language with fewer), chosen by a hash of the
+    id. None if there is no such row."""
     text_batches(docs.sparkSession)
     rows = docs.where(learn & F.col(text).isNotNull() & F.col(lang).isNotNull() & F.col(doc_id).isNotNull())
     cut = sample_cut(rows, doc_id, settings.sample)
     if cut is None:
         return None
-    picked = rows.where(F.xxhash64(doc_id) <= cut).limit(settings.sample)
+    h, per_language = F.xxhash64(doc_id), rows.groupBy(F.col(lang).alias("lang")).agg(F.count(F.lit(1)).alias("n"))
+    sizes = per_language.orderBy("n", "lang").limit(settings.sample).collect()
+    each = max(1, min(settings.each, settings.sample // max(len(sizes), 1)))
+    wanted = h <= cut
+    rare = [r.lang for r in sizes if r.n <= each]
+    if rare:
+        wanted |= F.col(lang).isin(rare)
+    for r in sizes:
+        # A cut that leaves about ``each`` rows; a frequent language has more by the first cut.
+        own = int(each / r.n * 2 ** 64) - 2 ** 63 if r.n > each else cut
+        if own > cut:
+            wanted |= (F.col(lang) == r.lang) & (h <= own)
+    picked = rows.where(wanted).limit(3 * settings.sample)
     got = _features(picked, lang, text, settings.buckets).toArrow()  # bounded by the sample
     pairs = [(np.asarray(b.values), np.asarray(n.values)) for b, n in zip(got["bucket"], got["n"])]
     labels = got["label"].to_pylist()

@@ -33,7 +33,7 @@ class Settings:
     """``sample``: most labelled rows that are learned from."""
 
     buckets: int = 1 << 15
-    sample: int = 4000
+    sample: int = 8000
     epochs: int = 8
     rate: float = 0.3
     steps: int = 60

@@ -71,3 +71,21 @@ def test_foreign_script_and_gibberish_go_though_all_kept_out_rows_are_right(spar
     assert all(r.rejected for r in langid.predict(more, model).collect()) and langid.accepted(more, model).count() == 0
     clean = docs.where(F.size(F.split("text", r"\s+")) >= 20)
     assert langid.accepted(clean, model).count() >= 0.99 * clean.count()
+
+
+def test_a_rare_language_is_learned(spark):
+    rng = np.random.default_rng(5)
+    text = lambda v: " ".join(rng.choice(v, 25))
+    v = {"aa": ["abba", "kon", "mala", "abko"], "nn": ["ñolo", "tir", "ñati", "rilo"], "zz": ["żyć", "szept", "włos", "chrzą"]}
+    langs = ["zz" if i % 500 == 7 else "aa" if i % 2 else "nn" for i in range(6000)]
+    df = frame(spark, [(i, text(v[x]), x) for i, x in enumerate(langs)])
+    settings = langid.Settings(buckets=1 << 12, epochs=2, sample=100)
+    model = langid.fit(df, F.lit(True), settings)  # the 100 rows alone hold none or one of the 12 zz rows
+    assert model.languages == ["aa", "nn", "zz"]
+    new = frame(spark, [(i, text(v["zz"]), "zz") for i in range(20)])
+    assert {r.lang_pred for r in langid.predict(new, model).collect()} == {"zz"}
+
+
+def test_bounds():
+    from lakeloom.llm import mixing
+    assert langid.Settings().sample >= 4000 and langid.Settings().buckets >= 1 << 15 and mixing.Settings().sample >= 8000

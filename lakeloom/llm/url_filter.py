@@ -84,8 +84,8 @@ def _attribute(tag: Column, name: str) -> Column:
 
 
 def alias_edges(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """(src, dst) node names: every page to its canonical link and to the
-    target of its meta refresh."""
+    """(src, dst, host, path): node names of every page and of its canonical
+    link and the target of its meta refresh, whose host and path rules see."""
     base = pages.where(F.col(url).isNotNull() & F.col(html).isNotNull()).select(
         F.col(url).alias("url"), F.col(html).alias("html"))
     # a page without either tag ends here, before any tag is parsed
@@ -105,7 +105,9 @@ def alias_edges(pages: DataFrame, url: str = "url", html: str = "html") -> DataF
     # moved below would repeat all the expressions above them.
     links = staged(tags.select("url", F.trim(F.replace(target, F.lit("&amp;"), F.lit("&"))).alias("link")), "links")
     whole = staged(links.select("url", _absolute(F.col("url"), F.col("link")).alias("link")), "targets")
-    ends = staged(whole.select(node(F.col("url")).alias("src"), node(F.col("link")).alias("dst")), "url-edges")
+    host, path = url_parts(F.col("link"))
+    ends = staged(whole.select(node(F.col("url")).alias("src"), node(F.col("link")).alias("dst"),
+                               host.alias("host"), path.alias("path")), "url-edges")
     return ends.where(F.col("src") != F.col("dst")).distinct()
 
 
@@ -120,10 +122,15 @@ def judge(pages: DataFrame, rules: list[tuple[str, str]], redirects: DataFrame |
     urls and ids give one row for each input row; an empty table gives an
     empty table; other columns of ``pages`` are ignored.
     """
-    edges = alias_edges(pages, url, html)
+    found = alias_edges(pages, url, html)
+    edges, linked = found.select("src", "dst"), found.select(F.col("dst").alias("node"), "host", "path")
     if redirects is not None:
-        edges = edges.unionByName(redirects.select(node(F.col("src")).alias("src"), node(F.col("dst")).alias("dst"))
-                                  .where(F.col("src") != F.col("dst")))
+        moved = redirects.select(node(F.col("src")).alias("src"), node(F.col("dst")).alias("dst"),
+                                 *(F.col(c).alias(f"{c}_url") for c in ("src", "dst"))).where(F.col("src") != F.col("dst"))
+        edges = edges.unionByName(moved.select("src", "dst"))
+        for end in ("src", "dst"):
+            h, p = url_parts(F.col(f"{end}_url"))
+            linked = linked.unionByName(moved.select(F.col(end).alias("node"), h.alias("host"), p.alias("path")))
     classes = components(edges)
     host, path = url_parts(F.col(url))
     rows = pages.select(F.col(page_id).alias("page_id"), host.alias("host"), path.alias("path"),
@@ -133,11 +140,11 @@ def judge(pages: DataFrame, rules: list[tuple[str, str]], redirects: DataFrame |
         return rows.select("page_id", "host", "path", "own.rule", F.coalesce("own.verdict", F.lit("allow")).alias("verdict"),
                            F.lit(None).cast("string").alias("component"))
     members = rows.join(classes, "node", "left")
-    # A member of the class that is only linked to (no page of its own) has rules as well.
-    linked_host = F.regexp_extract("node", "(?s)^([^/?]*)", 1)
-    linked_path = F.regexp_extract("node", "(?s)^[^/?]*([^?]*)", 1)
-    linked_path = F.when(linked_path == "", "/").otherwise(linked_path)
-    own = classes.select("component", matched_rule(linked_host, linked_path, rules).alias("own"))
+    # A member of the class that is only linked to (no page of its own) has rules
+    # as well; they see its path as linked, with a slash at the end that its node name lacks.
+    linked_path = F.when(F.col("path") == "", "/").otherwise(F.col("path"))
+    own = linked.withColumn("own", matched_rule(F.col("host"), linked_path, rules)).where(F.col("own").isNotNull())
+    own = own.select("node", "own").distinct().join(classes, "node").select("component", "own")
     from_pages = members.where(F.col("component").isNotNull()).select("component", "own")
     decided = staged(own.unionByName(from_pages).where(F.col("own").isNotNull()).groupBy("component").agg(
         F.bool_or(F.col("own.verdict") == "allow").alias("has_allow"),

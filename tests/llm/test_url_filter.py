@@ -39,3 +39,16 @@ def test_long_chains_and_given_redirects(spark):
 
 def test_empty_table(spark):
     assert judged(spark, []) == {}
+
+
+def test_directory_targets_without_a_page(spark):
+    got = judged(spark, [
+        (1, "https://a.org/x", '<link rel="canonical" href="http://example.com/en/">'),
+        (2, "https://b.org/x", '<meta http-equiv="refresh" content="0; url=http://d.net/fr/">'),
+        (3, "https://c.org/x", '<link rel="canonical" href="http://example.com/en/"><link rel="canonical" href="http://www.example.com/en/">'),
+        (4, "https://e.org/x", '<link rel="canonical" href="http://f.net/es">')])
+    assert {k: r.verdict for k, r in got.items()} == {1: "allow", 2: "block", 3: "allow", 4: "allow"}
+    got = judged(spark, [(1, "https://a.org/x", '<link rel="canonical" href="http://example.com/en/">')])
+    assert got[1].verdict == "block"
+    moved = spark.createDataFrame([("https://a.org/x", "http://d.net/es/")], "src string, dst string")
+    assert judged(spark, [(1, "https://a.org/x", "")], redirects=moved)[1].verdict == "block"

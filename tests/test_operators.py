@@ -18,7 +18,7 @@ from lakeloom.operators import reshape as R
 from lakeloom.operators import setops as U
 from lakeloom.operators import windows as W
 
-from conftest import rows
+from _rows import rows
 
 EMP = [(101, "A", 10), (102, "B", 20), (103, "C", None), (104, "D", 30), (105, "E", 40)]
 DEPT = [(10, "IT"), (20, "HR"), (50, "Ops"), (None, "Null dept")]

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeloom.llm import (decontaminate, langid, line_dedup, mixing, ngram_join, quality, rollup, secrets,
-                          toxicity, url_filter)
+                          token_alignment, token_files, toxicity, url_filter, whitening)
 from lakeloom.llm._io import held_out, read
 
 URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"),
@@ -147,8 +147,34 @@ SELECT u.page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM u
 """
 
 
+def _public(name: str) -> str:
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.align_corpus(read(spark, sf_dir, "documents"), _public("byte_bpe_50k.json"), _public("piece_bpe_32k.model"))
+
+
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``deviation`` is null where the exact number does not fit in 64 bits;
+    ``deviation_exact`` always holds it."""
+    out = whitening.whiten(read(spark, sf_dir, "embeddings"))
+    return out.select("vec_id", "component", "n", F.col("deviation").try_cast("long").alias("deviation"), "whitened", "explained",
+                      "identity_error", F.col("deviation").alias("deviation_exact"))
+
+
+END_OF_TEXT = 2
+
+
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = token_files.write(read(spark, sf_dir, "documents"), _public("word_bpe_49k.json"), END_OF_TEXT)
+    return token_files.documents(spark, folder)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_toxicity, op2_secret_scan, op3_ngram_join, op4_line_dedup, op5_source_mixing, op6_quality_rules,
-    op7_language_id, op8_token_rollup, op9_decontamination, op10_url_filter)}
+    op7_language_id, op8_token_rollup, op9_decontamination, op10_url_filter,
+    op11_token_alignment, op12_embedding_whitening, op13_token_files)}
 ORACLE_SQL = {"op3_ngram_join": OP3_SQL, "op4_line_dedup": OP4_SQL, "op8_token_rollup": rollup.ORACLE_SQL,
               "op9_decontamination": OP9_SQL, "op10_url_filter": OP10_SQL}

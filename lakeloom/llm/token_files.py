@@ -23,6 +23,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -34,6 +35,8 @@ from lakeloom.session import checkpoint_dir
 MANIFEST = "shard int, file string, width int, docs long, nulls long, tokens long"
 #: about so many documents a shard; small corpora have one shard a shuffle partition
 SHARD_DOCS = 250_000
+#: chunks whose ids are gathered at once
+BLOCK = 1 << 20
 _LOWEST = -1 << 63
 
 
@@ -45,6 +48,81 @@ def _place(folder: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(folder)
 
 
+class Packer:
+    """A tokenizer that writes ids as packed integers, and the chunks it has
+    met: their ids stand in one array, and the ones used last are kept."""
+
+    def __init__(self, raw: bytes, width: int, plain_specials: bool):
+        self.made, self.kind = _vocab.tokenizer(raw, plain_specials), np.dtype(f"<u{width}")
+        # bytes that a token stands for: one for each character of a byte-level token, but for the mark of a word's end
+        self.bytes = np.zeros(self.made.get_vocab_size(with_added_tokens=True), np.int64)
+        for token, k in self.made.get_vocab(with_added_tokens=True).items():
+            self.bytes[k] = len(token.removesuffix("</w>"))
+        self.forget()
+
+    def forget(self) -> None:
+        self.chunks, self.ids, self.ends = pa.array([], pa.string()), np.zeros(0, self.kind), np.zeros(1, np.int64)
+        self.used, self.now = np.zeros(0, np.int64), 0
+
+    def encoded(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.made.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _together(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
+        """Ids and their number for chunks of visible ASCII, encoded as one
+        text and cut where the bytes of each end; None if no token ends there."""
+        ids = np.array(self.encoded([" ".join(chunks)])[0], self.kind)
+        ends, wanted = np.cumsum(self.bytes[ids]), np.cumsum(list(map(len, chunks)))
+        cut = np.searchsorted(ends, wanted, "right")
+        if not len(ids) or cut[-1] != len(ids) or not np.array_equal(ends[np.maximum(cut, 1) - 1], wanted):
+            return None
+        return ids, np.diff(cut, prepend=0)
+
+    def _learn(self, chunks: pa.Array) -> None:
+        if not len(chunks):
+            return
+        texts = chunks.to_pylist()
+        found = self._together(texts) if pc.all(pc.match_substring_regex(chunks, "^[!-~]+$")).as_py() else None
+        if found is None:
+            lists = self.encoded(texts)
+            found = np.array([k for ids in lists for k in ids], self.kind), np.array([len(ids) for ids in lists], np.int64)
+        self.chunks = pa.concat_arrays([self.chunks, chunks])
+        self.ends = np.r_[self.ends, self.ends[-1] + np.cumsum(found[1])]
+        self.ids = np.r_[self.ids, found[0]]
+        self.used = np.r_[self.used, np.full(len(chunks), self.now)]
+
+    def _places(self, chunks: pa.Array) -> np.ndarray:
+        """Where the ids of each chunk stand, after learning the new ones."""
+        self.now += 1
+        if len(self.chunks) > _vocab.REMEMBERED * 2 or self.chunks.nbytes > 64 << 20:
+            short = np.flatnonzero(np.asarray(pc.less_equal(pc.binary_length(self.chunks), _vocab.LONGEST)))
+            keep = np.sort(short[np.argsort(-self.used[short], kind="stable")[:_vocab.REMEMBERED]])
+            ids, sizes = _vocab.gathered(self.ids, self.ends, keep), np.diff(self.ends)[keep]
+            self.chunks, self.ids, self.ends, self.used = self.chunks.take(pa.array(keep)), ids, np.r_[0, np.cumsum(sizes)], self.used[keep]
+        found = pc.index_in(chunks, value_set=self.chunks)
+        new, at = np.flatnonzero(np.asarray(found.is_null())), np.array(found.fill_null(0), np.int64)
+        visible = np.asarray(pc.match_substring_regex(chunks.take(pa.array(new)), "^[!-~]+$"))
+        for part in (new[visible], new[~visible]):
+            at[part] = len(self.chunks) + np.arange(len(part))
+            self._learn(chunks.take(pa.array(part)))
+        self.used[at] = self.now
+        return at
+
+    def __call__(self, texts: pa.Array, end_id: int | None, chunked: bool) -> pa.Array:
+        """Packed ids of each text, closed by ``end_id``."""
+        texts = texts.fill_null("")
+        end = np.array([] if end_id is None else [end_id], self.kind)
+        if not chunked:
+            return pa.array([np.r_[np.array(ids, self.kind), end].tobytes() for ids in self.encoded(texts.to_pylist())], pa.binary())
+        chunks, at, row = _vocab.numbered(_vocab.blank_chunks(texts))
+        place = self._places(chunks)
+        flat, ends = np.r_[self.ids, end], np.r_[self.ends, len(self.ids) + len(end)]
+        at = np.insert(place[at], row[1:], len(ends) - 2)  # the end after each text
+        row = row + np.arange(len(row))  # with the ends
+        out = [_vocab.gathered(flat, ends, at[k:k + BLOCK]).tobytes() for k in range(0, len(at), BLOCK)]
+        starts = np.r_[0, np.cumsum(np.diff(ends)[at])][row] * self.kind.itemsize
+        return pa.BinaryArray.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer(starts.astype(np.int32)), pa.py_buffer(b"".join(out))])
+
+
 def encode(docs: DataFrame, vocabulary: str, end_id: int | None, width: int, chunked: bool = True, plain_specials: bool = False,
            doc_id: str = "doc_id", text: str = "text", borders: np.ndarray | None = None) -> DataFrame:
     """(shard, doc_id, tie, ids binary): the packed ids of every text, closed
@@ -52,30 +130,18 @@ def encode(docs: DataFrame, vocabulary: str, end_id: int | None, width: int, chu
     encoded chunk by chunk."""
     text_batches(docs.sparkSession)
     raw = _vocab.vocabulary(docs.sparkSession, vocabulary)
-    kind = np.dtype(f"<u{width}")
     borders = np.zeros(0, np.int64) if borders is None else borders
 
     def run(batches):
-        made = _vocab.tokenizer(raw.value, plain_specials)
-        pack = lambda many: [np.array(e.ids, kind).tobytes() for e in made.encode_batch_fast(many, add_special_tokens=False)]
-        known = _vocab.Memory(pack)
-        end = b"" if end_id is None else np.array([end_id], kind).tobytes()
-        for batch in batches:
+        packer = _vocab.kept(f"ids-{width}-{plain_specials}", [raw.value], lambda: Packer(raw.value, width, plain_specials))
+        for batch in _vocab.larger(batches, 2):
             ids = np.asarray(batch.column(0).fill_null(_LOWEST))
             tie = np.asarray(batch.column(1))
             low, high = np.searchsorted(borders, ids, "left"), np.searchsorted(borders, ids, "right")
             part = (tie >> 32) + (1 << 31)  # 0 to 2^32 - 1, in the order of tie
             shard = low + (part * (high - low + 1) >> 32)
-            packed = []
-            for t in batch.column(2):
-                t = t.as_py() or ""
-                if chunked:
-                    cut = _vocab.CHUNK.split(t)
-                    packed.append(b"".join(map(known.learn(cut).__getitem__, cut)) + end)
-                else:
-                    packed.append(pack([t])[0] + end)
             yield pa.RecordBatch.from_arrays([pa.array(shard.astype(np.int32)), batch.column(0), batch.column(1),
-                                              pa.array(packed, pa.binary())], ["shard", "doc_id", "tie", "ids"])
+                                              packer(batch.column(2), end_id, chunked)], ["shard", "doc_id", "tie", "ids"])
 
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(text).alias("tie"), F.col(text).alias("text")).mapInArrow(
         run, "shard int, doc_id long, tie long, ids binary")

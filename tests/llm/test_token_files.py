@@ -1,21 +1,25 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from lakeloom.llm import _vocab, token_files
+from lakeloom.llm import token_files
 from lakeloom.llm.queries import op13_token_files
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
 NASTY = st.text(st.sampled_from(list("aAbé́ñ'st 1<|>\n\t  İΣς▁中🙂.") + [" ", " "]), max_size=40)
 
 
+MADE = Tokenizer.from_file(WORDS)
+
+
 def whole(text):
-    return Tokenizer.from_file(WORDS).encode(text or "", add_special_tokens=False).ids + [2]
+    return MADE.encode(text or "", add_special_tokens=False).ids + [2]
 
 
 def expected(rows):
@@ -32,15 +36,28 @@ def got(spark, folder):
 
 
 @pytest.fixture(scope="module")
-def made():
-    return Tokenizer.from_file(WORDS)
+def packer():
+    with open(WORDS, "rb") as f:
+        return token_files.Packer(f.read(), 2, False)
 
 
 @settings(max_examples=400, deadline=None)
 @given(NASTY)
-def test_chunks_give_the_tokens_of_the_whole_text(made, text):
-    cut = [k for c in _vocab.CHUNK.split(text) for k in made.encode(c, add_special_tokens=False).ids]
-    assert cut == made.encode(text, add_special_tokens=False).ids
+def test_chunks_give_the_tokens_of_the_whole_text(packer, text):
+    packer.forget()
+    want = [whole(t) for t in (text, None, "x " + text + " 1st", text)]
+    for _ in range(2):  # learned, then remembered
+        got = packer(pa.array([text, None, "x " + text + " 1st", text], pa.string()), 2, True)
+        assert [np.frombuffer(b, "<u2").tolist() for b in got.to_pylist()] == want
+
+
+def test_forgetting_keeps_the_ids_right(packer, monkeypatch):
+    monkeypatch.setattr(token_files._vocab, "REMEMBERED", 5)
+    packer.forget()
+    for k in range(30):
+        texts = [f"w{k} café w{k + 1} the {'x' * 100}{k}", f"the w{k // 2}"]
+        assert [np.frombuffer(b, "<u2").tolist() for b in packer(pa.array(texts), 2, True).to_pylist()] == [whole(t) for t in texts]
+    assert len(packer.chunks) < 20
 
 
 def test_files_hold_every_document_in_order(spark, docs):

@@ -21,7 +21,8 @@ shuffle. Both ways together see every link.
 from __future__ import annotations
 
 import hashlib
-from dataclasses import dataclass
+from itertools import count
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -60,44 +61,29 @@ def piece_table(made) -> list[bytes]:
     return [bytes([int(p[3:5], 16)]) if made.is_byte(k) else p.replace("▁", " ").encode() for k, p in enumerate(pieces)]
 
 
-def _ends(tokens: list[bytes]) -> list[int]:
-    total, out = 0, []
-    for t in tokens:
-        total += len(t)
-        out.append(total)
-    return out
-
-
-@dataclass(frozen=True)
-class Aligned:
-    """Groups as text ``a1,a2|b1;a3|b2``, links as pairs (a << 32 | b)."""
+class Part(NamedTuple):
+    """The alignment of a chunk: groups as ``a1,a2|b1;a3|b2`` and packed links
+    (a << 32 | b)."""
 
     n_a: int
     n_b: int
-    groups: tuple[str, ...]
-    links: tuple[int, ...]
-
-
-def align(a: list[int], b: list[int], a_bytes: list[bytes], b_bytes: list[bytes]) -> Aligned:
-    """Groups and links of two id lists over the same bytes.
-
-    A token without bytes ends where the one before it does; it stays in that
-    group, and all A and B tokens of one end are linked with each other."""
-    a_ends, b_ends = _ends(a_bytes), _ends(b_bytes)
-    a_last, b_last = dict(zip(a_ends, range(len(a)))), dict(zip(b_ends, range(len(b))))  # the last index of an end
-    groups, links, i, j = [], [], 0, 0
-    for end in sorted(a_last.keys() & b_last.keys()):
-        p, q = a_last[end] + 1, b_last[end] + 1
-        groups.append(f"{','.join(map(str, a[i:p]))}|{','.join(map(str, b[j:q]))}")
-        for x in range(p - 1, i - 1, -1):
-            if a_ends[x] != end:
-                break
-            for y in range(q - 1, j - 1, -1):
-                if b_ends[y] != end:
-                    break
-                links.append(a[x] << 32 | b[y])
-        i, j = p, q
-    return Aligned(len(a), len(b), tuple(groups), tuple(links))
+    n_groups: int
+    text: str
+    links: bytes
+
+
+#: chunks whose token bytes are not those of the text
+DIFFERENT = Part(-1, -1, -1, "", b"")
+NOTHING = Part(0, 0, 0, "", b"")
+
+
+def common_ends(a_ends: np.ndarray, b_ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ends that both lists have, sorted, and the number of A and B tokens up
+    to each: a hash-set intersection over end -> index dictionaries."""
+    a_at, b_at = dict(zip(a_ends.tolist(), count(1))), dict(zip(b_ends.tolist(), count(1)))
+    common = sorted(a_at.keys() & b_at.keys())
+    after = lambda table: np.fromiter(map(table.__getitem__, common), np.int64, len(common))
+    return np.array(common, np.int64), after(a_at), after(b_at)
 
 
 class Aligner:
@@ -106,27 +92,82 @@ class Aligner:
     def __init__(self, a_raw: bytes, b_raw: bytes):
         self.a, self.b = _vocab.tokenizer(a_raw, plain_specials=True), _vocab.pieces(b_raw)
         self.a_table, self.b_table = byte_level_table(self.a), piece_table(self.b)
-        self.known = _vocab.Memory(self._several)
-
-    def _several(self, texts: list[str]) -> list[Aligned | None]:
-        """None where the bytes of a token list are not blank + text."""
-        out = []
-        for t, e, b in zip(texts, self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False), self.b.encode(texts, num_threads=1)):
-            a = e.ids
-            a_bytes, b_bytes, whole = [self.a_table[k] for k in a], [self.b_table[k] for k in b], b" " + t.encode()
-            same = None not in a_bytes and b"".join(a_bytes) == whole and b"".join(b_bytes) == whole
-            out.append(align(a, b, a_bytes, b_bytes) if same else None)
-        return out
-
-    def __call__(self, text: str | None) -> list[Aligned]:
-        """The alignment of a text in parts; empty if it has none."""
-        if not text:
-            return []
-        cut = _vocab.CHUNK.split(text)
-        found = list(map(self.known.learn(cut).__getitem__, cut))
-        if None in found:
-            found = self._several([text])
-        return [] if None in found else found
+        self.a_size, self.b_size = (np.array([len(t or b"") for t in table], np.int64) for table in (self.a_table, self.b_table))
+        # each id as text before a comma and before the sign that ends its side of a group
+        self.a_text, self.b_text = (np.array([[f"{k}," for k in range(len(t))], [f"{k}{end}" for k in range(len(t))]], object)
+                                    for t, end in ((self.a_table, "|"), (self.b_table, ";")))
+        self.known = _vocab.Memory(self.several)
+
+    def align(self, text: str, ends: np.ndarray) -> list[Part] | None:
+        """Parts of a text that is cut after the bytes ``ends`` of blank +
+        text. None where the bytes of a token list are not blank + text, or
+        tokens do not end at all cuts."""
+        a_ids = self.a.encode_batch_fast([" " + text], add_special_tokens=False)[0].ids
+        b_ids, whole = self.b.encode(text, num_threads=1), b" " + text.encode()
+        a_bytes, b_bytes = list(map(self.a_table.__getitem__, a_ids)), list(map(self.b_table.__getitem__, b_ids))
+        if not all(a_bytes) or not all(b_bytes) or b"".join(a_bytes) != whole or b"".join(b_bytes) != whole:
+            return None
+        a, b = np.array(a_ids, np.int64), np.array(b_ids, np.int64)
+        common, p, q = common_ends(np.cumsum(self.a_size[a]), np.cumsum(self.b_size[b]))
+        cut = np.searchsorted(common, ends, "right")  # groups up to each cut
+        if not len(common) or not np.array_equal(common[np.maximum(cut, 1) - 1], ends):
+            return None
+        # Every token has bytes, so of a slice only the last A and the last B token end together.
+        links = a[p - 1] << 32 | b[q - 1]
+        n_a, n_b = np.diff(p, prepend=0), np.diff(q, prepend=0)
+        group_a, group_b = np.repeat(np.arange(len(p)), n_a), np.repeat(np.arange(len(q)), n_b)
+        last_a, last_b = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
+        last_a[p - 1] = last_b[q - 1] = 1
+        written = np.empty(len(a) + len(b), object)  # group by group, A before B
+        written[np.arange(len(a)) + (q - n_b)[group_a]] = self.a_text[last_a, a]
+        written[np.arange(len(b)) + p[group_b]] = self.b_text[last_b, b]
+        p, q = np.r_[0, p][np.r_[0, cut]].tolist(), np.r_[0, q][np.r_[0, cut]].tolist()
+        cut, links, written = [0, *cut.tolist()], links.tobytes(), written.tolist()
+        return [Part(p[k + 1] - p[k], q[k + 1] - q[k], cut[k + 1] - cut[k], "".join(written[p[k] + q[k]:p[k + 1] + q[k + 1]])[:-1],
+                     links[8 * cut[k]:8 * cut[k + 1]]) for k in range(len(ends))]
+
+    def part(self, text: str) -> Part:
+        found = self.align(text, np.array([1 + len(text.encode())])) if text else [NOTHING]
+        return found[0] if found else DIFFERENT
+
+    def several(self, chunks: list[str]) -> list[Part]:
+        """The parts of chunks: as one text, chunk by blank by chunk, if all
+        their bytes come back; else halves of them."""
+        whole = [c for c in chunks if c and not c[0].isspace() and not c[-1].isspace()]
+        if len(chunks) == 1 or len(whole) < len(chunks):
+            joined = dict(zip(whole, self.several(whole))) if whole and len(chunks) > 1 else {}
+            return [joined[c] if c in joined else self.part(c) for c in chunks]
+        found = self.align(" ".join(chunks), np.cumsum([1 + len(c.encode()) for c in chunks]))
+        half = len(chunks) // 2
+        return found or [*self.several(chunks[:half]), *self.several(chunks[half:])]
+
+    def __call__(self, texts: pa.Array) -> tuple[list[Part], np.ndarray, np.ndarray]:
+        """Parts, the number of the part of each chunk, and each text's first
+        chunk. Texts without tokens have one part without anything."""
+        texts = texts.fill_null("")
+        chunks, at, row = _vocab.numbered(_vocab.inner_chunks(texts))
+        parts = self.known.values(chunks.to_pylist())
+        odd = np.array([p is DIFFERENT for p in parts], bool)
+        if not odd.any():
+            return parts, at, row
+        parts, lists = list(parts), []
+        for k in range(len(texts)):
+            here = at[row[k]:row[k + 1]]
+            if odd[here].any():  # such a text is looked at as a whole
+                whole = self.part(texts[k].as_py())
+                parts.append(NOTHING if whole is DIFFERENT else whole)
+                here = np.array([len(parts) - 1])
+            lists.append(here)
+        return parts, np.concatenate(lists), np.cumsum([0, *map(len, lists)])
+
+
+def _aligner(a_raw, b_raw) -> Aligner:
+    return _vocab.kept("alignment", [a_raw.value, b_raw.value], lambda: Aligner(a_raw.value, b_raw.value))
+
+
+def _slices(batch: pa.RecordBatch):
+    for first in range(0, len(batch), 256):
+        yield batch.slice(first, 256)
 
 
 def alignments(docs: DataFrame, a_path: str, b_path: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -136,22 +177,25 @@ def alignments(docs: DataFrame, a_path: str, b_path: str, doc_id: str = "doc_id"
     a_raw, b_raw = _vocab.vocabulary(docs.sparkSession, a_path), _vocab.vocabulary(docs.sparkSession, b_path)
 
     def run(batches):
-        aligner = Aligner(a_raw.value, b_raw.value)
-        for batch in batches:
-            counts, hashes, pairs, times = [], [], [], []
-            for t in batch.column(1):
-                found = aligner(t.as_py())
-                links = np.array([x for f in found for x in f.links], np.int64)
-                counts.append((sum(f.n_a for f in found), sum(f.n_b for f in found), sum(len(f.groups) for f in found), len(links)))
-                hashes.append(hashlib.sha256(";".join(g for f in found for g in f.groups).encode()).hexdigest() if found else "")
-                pair, n = np.unique(links, return_counts=True)
+        aligner = _aligner(a_raw, b_raw)
+        for batch in (s for b in batches for s in _slices(b)):
+            parts, at, row = aligner(batch.column(1))
+            numbers = np.array([p[:3] for p in parts], np.int64).reshape(-1, 3)[at]
+            sums = np.add.reduceat(numbers, row[:-1], axis=0) if len(batch) else numbers
+            written = np.array([p.text for p in parts], object)[at]
+            offsets = np.cumsum([0, *(len(p.links) // 8 for p in parts)])
+            links = _vocab.gathered(np.frombuffer(b"".join(p.links for p in parts), np.int64), offsets, at)
+            ends = np.r_[0, np.cumsum(np.diff(offsets)[at])][row]
+            hashes, pairs, times = [], [], []
+            for k in range(len(batch)):
+                hashes.append(hashlib.sha256(";".join(written[row[k]:row[k + 1]].tolist()).encode()).hexdigest() if sums[k, 0] else "")
+                pair, n = np.unique(links[ends[k]:ends[k + 1]], return_counts=True)
                 pairs.append(pair)
                 times.append(n.astype(np.int32))
             size = np.array([len(p) for p in pairs], np.int64)
             flat = (np.concatenate(pairs), np.concatenate(times)) if pairs else (np.zeros(0, np.int64), np.zeros(0, np.int32))
-            numbers = np.array(counts, np.int64).reshape(-1, 4)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *(pa.array(numbers[:, k]) for k in range(4)), pa.array(hashes, pa.string()),
+                [batch.column(0), *(pa.array(sums[:, k]) for k in range(3)), pa.array(np.diff(ends)), pa.array(hashes, pa.string()),
                  _text.lists(flat[0], size), _text.lists(flat[1], size)],
                 ["doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "pairs", "times"])
 
@@ -166,9 +210,10 @@ def groups(docs: DataFrame, a_path: str, b_path: str, doc_id: str = "doc_id", te
     a_raw, b_raw = _vocab.vocabulary(docs.sparkSession, a_path), _vocab.vocabulary(docs.sparkSession, b_path)
 
     def run(batches):
-        aligner = Aligner(a_raw.value, b_raw.value)
-        for batch in batches:
-            found = [[g for f in aligner(t.as_py()) for g in f.groups] for t in batch.column(1)]
+        aligner = _aligner(a_raw, b_raw)
+        for batch in (s for b in batches for s in _slices(b)):
+            parts, at, row = aligner(batch.column(1))
+            found = [[g for k in at[x:y] if parts[k].text for g in parts[k].text.split(";")] for x, y in zip(row[:-1], row[1:])]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.string()))], ["doc_id", "groups"])
 
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, "doc_id long, groups array<string>")

@@ -6,6 +6,8 @@ had, a revised count does both. A batch is aggregated once, written as one
 folder named after the batch, and counts as committed when Spark's writer has
 finished that folder; a batch that was committed is not written again, and one
 that broke off is written anew in full. Totals read all committed batches.
+Compaction keeps a ledger of the names it sums up, so that a batch sent again
+later is still known.
 """
 
 from __future__ import annotations
@@ -81,7 +83,14 @@ def revisions(before: DataFrame, after: DataFrame) -> DataFrame:
 # -- the store --------------------------------------------------------------
 
 class Rollup:
-    """Committed batches below one folder of the shared file system."""
+    """Committed batches below one folder of the shared file system.
+
+    A folder counts as committed when Spark's writer has finished it. A batch
+    made by ``compact`` carries the names it covers in its folder, in a table
+    that is written before its rows: those names stay committed for good, and
+    their own folders, whether they are still there or not, are read no more
+    from the moment the sum is committed.
+    """
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
@@ -96,28 +105,50 @@ class Rollup:
             raise ValueError(f"a batch name has letters, digits, - _ and . only: {batch!r}")
         return f"{self.path}/{batch}"
 
-    def committed(self, batch: str) -> bool:
+    def _written(self, batch: str) -> bool:
         p, files = self._files(f"{self._folder(batch)}/_SUCCESS")
         return files.exists(p)
 
+    def _names(self, path: str) -> list[str]:
+        p, files = self._files(path)
+        return sorted(s.getPath().getName() for s in files.listStatus(p) if s.isDirectory()) if files.exists(p) else []
+
+    def _covered(self, batch: str) -> list[str]:
+        """Names that a compacted batch stands for."""
+        path = f"{self.path}/_covers/{batch}"
+        p, files = self._files(f"{path}/_SUCCESS")
+        return [r.batch for r in self.spark.read.schema("batch string").parquet(path).collect()] if files.exists(p) else []
+
+    def _ledger(self) -> tuple[list[str], set[str]]:
+        """Batches that are read, and all names that were ever committed."""
+        written = [n for n in self._names(self.path) if n[0] not in "._" and self._written(n)]
+        gone = {c for n in self._names(f"{self.path}/_covers") if n in written for c in self._covered(n)}
+        return [n for n in written if n not in gone], gone.union(written)
+
+    def committed(self, batch: str) -> bool:
+        """Whether the batch counts, by its own folder or in a compacted one."""
+        return self._written(batch) or batch in self._ledger()[1]
+
+    def _write(self, batch: str, signed: DataFrame) -> None:
+        total = signed.groupBy(*KEYS).agg(*(F.coalesce(F.sum(m), F.lit(0)).cast("long").alias(m) for m in MEASURES))
+        # the totals are summed in all tasks; only what comes out, a row a key, goes to one file
+        total.where("n_docs != 0 or n_tokens != 0").repartition(1).write.mode("overwrite").parquet(self._folder(batch))
+
     def commit(self, batch: str, signed: DataFrame) -> bool:
         """Add a batch of signed rows; False if it was committed before (its
-        rows are then not even read). Rows are summed by key in each task and
-        again after one small shuffle; keys that cancel out are left out. Null
-        sources, languages and versions are keys of their own; null counts
-        count as 0. An empty batch is committed as empty."""
+        rows are then not even read), also if it was compacted since. Rows are
+        summed by key in each task and again after one small shuffle; keys that
+        cancel out are left out. Repeated rows count each. Null sources,
+        languages and versions are keys of their own; null counts count as 0.
+        An empty batch is committed as empty. One writer at a time."""
         if self.committed(batch):
             return False
-        total = signed.groupBy(*KEYS).agg(*(F.coalesce(F.sum(m), F.lit(0)).cast("long").alias(m) for m in MEASURES))
-        total.where("n_docs != 0 or n_tokens != 0").coalesce(1).write.mode("overwrite").parquet(self._folder(batch))
+        self._write(batch, signed)
         return True
 
     def batches(self) -> list[str]:
-        p, files = self._files(self.path)
-        if not files.exists(p):
-            return []
-        names = [s.getPath().getName() for s in files.listStatus(p) if s.isDirectory()]
-        return sorted(n for n in names if n[0] not in "._" and self.committed(n))
+        """Committed batches that the totals are read from."""
+        return self._ledger()[0]
 
     def totals(self) -> DataFrame:
         """source, lang, tokenizer, n_docs, n_tokens; keys without a document
@@ -130,13 +161,22 @@ class Rollup:
         return out.where("n_docs != 0 or n_tokens != 0")
 
     def compact(self, batch: str, names: list[str]) -> None:
-        """Put the sum of committed batches in their place. The batches are
-        removed after the sum is committed; a crash in between leaves a folder
-        ``<batch>`` next to them, so give the same names again to finish."""
-        rows = self.spark.read.schema(DELTA).parquet(*(self._folder(n) for n in names if self.committed(n))) if not self.committed(batch) else None
-        if rows is not None:
-            self.commit(batch, rows)
-        for n in names:
+        """Put the sum of committed batches in their place, under a new name.
+
+        The names covered (with all that those covered themselves) are written
+        first, then the sum; from its commit on the totals read the sum and
+        none of the parts. Folders of parts are removed last. Given again after
+        a crash it does what is left. Names not committed are not covered."""
+        if not self._written(batch):
+            live, known = self._ledger()
+            if batch in known:
+                return  # compacted itself since
+            names = [n for n in names if n in live and n != batch]
+            every = sorted({*names, *(c for n in names for c in self._covered(n))})
+            self.spark.createDataFrame([(n,) for n in every], "batch string").repartition(1).write.mode("overwrite").parquet(f"{self.path}/_covers/{batch}")
+            rows = self.spark.read.schema(DELTA).parquet(*(self._folder(n) for n in names)) if names else self.spark.createDataFrame([], DELTA)
+            self._write(batch, rows)
+        for n in self._covered(batch):
             p, files = self._files(self._folder(n))
             files.delete(p, True)
 

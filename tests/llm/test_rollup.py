@@ -50,11 +50,43 @@ def test_empty_batch_compaction_and_names(spark):
     assert totals(s) == before == {("x", "en", "1"): (2, 8)} and s.batches() == ["c1"]
     s.compact("c1", ["b0", "b1", "b2"])
     assert totals(s) == before
+    for b in ("b0", "b1", "b2", "c1"):  # each one sent again
+        assert s.committed(b) and not s.commit(b, rollup.inserts(one))
+    assert totals(s) == before and s.batches() == ["c1"]
+    s.commit("b3", rollup.inserts(one))
+    s.compact("c2", ["c1", "b3", "nowhere"])
+    assert totals(s) == {("x", "en", "1"): (3, 12)} and s.batches() == ["c2"]
+    assert not any(s.commit(b, rollup.inserts(one)) for b in ("b0", "b1", "b2", "b3", "c1", "c2"))
+    assert s.commit("nowhere", rollup.inserts(one)) and totals(s) == {("x", "en", "1"): (4, 16)}
+    s.compact("c1", ["b0", "nowhere"])  # summed up itself since: nothing happens
+    assert s.batches() == ["c2", "nowhere"]
     for bad in ("", "../x", "_x", ".x", "a/b"):
         with pytest.raises(ValueError):
             s.commit(bad, rollup.inserts(one))
 
 
+def test_totals_between_the_steps_of_a_compaction(spark, monkeypatch):
+    s = store(spark)
+    one = counted(spark, [("x", "en", "1", 4)])
+    s.commit("b1", rollup.inserts(one))
+    s.commit("b2", rollup.inserts(one))
+    want = {("x", "en", "1"): (2, 8)}
+    write = s._write
+    monkeypatch.setattr(s, "_write", lambda *a: (_ for _ in ()).throw(RuntimeError))  # lost after the names, before the sum
+    with pytest.raises(RuntimeError):
+        s.compact("c1", ["b1", "b2"])
+    assert totals(s) == want and s.batches() == ["b1", "b2"]
+    monkeypatch.setattr(s, "_write", write)
+    files = s._files
+    monkeypatch.setattr(s, "_files", lambda path: files(path) if not path.endswith(("/b1", "/b2")) else (_ for _ in ()).throw(RuntimeError))
+    with pytest.raises(RuntimeError):  # lost after the sum, before the parts are removed
+        s.compact("c1", ["b1", "b2"])
+    assert totals(s) == want and s.batches() == ["c1"] and not s.commit("b2", rollup.inserts(one))
+    monkeypatch.setattr(s, "_files", files)
+    s.compact("c1", ["b1", "b2"])
+    assert totals(s) == want and s._names(s.path) == ["_covers", "c1"] and not s.commit("b1", rollup.inserts(one))
+
+
 def test_counts(spark):
     rows = [(None,), ("",), ("a  b\tc\x0bd",), ("né-é, 3.5!",), ("x\x85y",), ("word " * 30_000,)]
     got = spark.createDataFrame(rows, "t string").select(rollup.space_tokens(F.col("t")).alias("a"), rollup.piece_tokens(F.col("t")).alias("b")).collect()

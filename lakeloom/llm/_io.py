@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import pickle
 import uuid
+from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,6 +48,40 @@ def bounded(table: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(table) if table.count() <= rows else table
 
 
+def join_in_blocks(left: DataFrame, table: DataFrame, key: str, rows: int | None = None) -> DataFrame:
+    """Inner join of ``left`` with ``table`` (staged, narrow) that never moves
+    ``left`` by the key: the table is sent in blocks of about ``rows`` rows, each
+    to all of ``left``. A key that most of ``left`` holds is no hot key then."""
+    rows = rows or BROADCAST_ROWS
+    blocks = max(1, -(-table.count() // rows))
+    if blocks == 1:
+        return left.join(F.broadcast(table), key)
+    left, part = staged(left, "blocks"), F.pmod(F.xxhash64(*table.columns), F.lit(blocks))
+    return reduce(DataFrame.unionByName, (left.join(F.broadcast(table.where(part == b)), key) for b in range(blocks)))
+
+
+def join_by_weight(left: DataFrame, table: DataFrame, key: str, weight: str, rows: int | None = None) -> DataFrame:
+    """Inner join of ``left`` with ``table`` (staged, narrow, each key once),
+    where ``weight`` tells how many rows of ``left`` hold a key. The heaviest
+    keys, ``rows`` at most, are sent to the tasks; the others, which are in few
+    rows each, are joined by shuffle."""
+    rows = rows or BROADCAST_ROWS
+    if table.count() <= rows:
+        return left.join(F.broadcast(table), key)
+    cut = table.select(weight).orderBy(F.desc(weight)).limit(rows + 1).agg(F.min(weight)).first()[0]
+    hot = left.join(F.broadcast(table.where(F.col(weight) > cut)), key)
+    return hot.unionByName(left.join(table.where(F.col(weight) <= cut), key))
+
+
+def unused(name: str, *frames: DataFrame) -> str:
+    """``name`` or, where a frame has such a column, ``name`` with as many
+    underscores before it as it needs."""
+    taken = {c.lower() for f in frames for c in f.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def sample_cut(ids: DataFrame, column: str, rows: int) -> int | None:
     """The ``rows``-th smallest ``xxhash64`` of a column: rows at or below it
     are a deterministic sample of at most about ``rows`` rows. None if the
@@ -53,6 +90,15 @@ def sample_cut(ids: DataFrame, column: str, rows: int) -> int | None:
     return h.agg(F.max("h")).first()[0]
 
 
+def fitted(features: DataFrame, fit):
+    """``fit(batches)`` run in one task over all rows of ``features`` (a bounded
+    sample); only what it returns comes to the driver. None stays None."""
+    def run(batches):
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit(list(batches)))], pa.binary())], ["model"])
+
+    return pickle.loads(features.repartition(1).mapInArrow(run, "model binary").first().model)
+
+
 def held_out(column: str, mod: int, rest: int):
     """True where crc32 of the id as text leaves ``rest`` modulo ``mod``."""
     return F.crc32(F.col(column).cast("string")) % mod == rest

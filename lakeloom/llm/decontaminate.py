@@ -6,26 +6,32 @@ positions of each, less the term's offset in the phrase, are intersected list
 by list, so a document leaves as soon as one term does not fit. The terms
 that are left are then read only in the documents that are left.
 
-Terms are 64-bit hashes of lower-cased words. Every step is keyed by (phrase,
-document) or by (term, document), never by a term alone, so a term that is in
-each document is spread over the tasks that hold the documents.
+Terms are 64-bit hashes of lower-cased words. Postings and matches are moved
+by document or by (document, term), never by a term or a phrase alone, so a
+term or a passage that is in each document is spread over the tasks that hold
+the documents. Test terms and phrases go to the tasks, in blocks if there are
+many, whatever their number.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeloom.llm import _text
-from lakeloom.llm._io import bounded, staged, text_batches
+from lakeloom.llm._io import bounded, join_in_blocks, staged, text_batches, unused
 
 WINDOW = 13
 #: rarest terms of a phrase whose postings are intersected before the rest
 RARE_TERMS = 3
-#: test terms are sent to the tasks when there are at most so many
-MOST_TERMS = 2_000_000
+#: test terms that are sent to the tasks at once; more are sent in blocks, each with a pass over the texts
+TERM_BLOCK = 2_000_000
+#: rows of phrase tables that are sent to the tasks at once
+PHRASE_BLOCK = 250_000
 
 
 def terms_of(docs: DataFrame, id_col: str, text: str = "text") -> DataFrame:
@@ -52,19 +58,31 @@ def phrases(items: DataFrame, window: int = WINDOW, item_id: str = "item_id", te
     return rows.distinct().select(F.xxhash64("terms").alias("phrase"), "item_id", "terms")
 
 
-def build_index(docs: DataFrame, terms: set[int] | None = None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Postings (term, doc_id, n_words, positions) of the wanted terms (all if
-    None), in position order. ``n_words`` is the length of the document; a
-    row without term (null) stands for each document, so lengths are kept of
-    those without any wanted term. Null ids get no postings."""
+def term_blocks(terms: DataFrame) -> list[np.ndarray]:
+    """The terms of a staged table (term, each once) as sorted arrays of about
+    TERM_BLOCK terms, read one after the other."""
+    blocks = max(1, -(-terms.count() // TERM_BLOCK))
+    for b in range(blocks):
+        here = terms.where(F.pmod(F.xxhash64("term"), F.lit(blocks)) == b).select("term").toArrow()["term"]
+        yield np.sort(np.asarray(here).astype(np.int64))
+
+
+def build_index(docs: DataFrame, terms: np.ndarray | None = None, doc_id: str = "doc_id", text: str = "text",
+                with_lengths: bool = True) -> DataFrame:
+    """Postings (term, doc_id, n_words, positions) of the wanted terms (sorted;
+    all if None), in position order. ``n_words`` is the length of the document;
+    with ``with_lengths`` a row without term (null) stands for each document, so
+    lengths are kept of those without any wanted term. Null ids get no
+    postings."""
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    wanted = None if terms is None else docs.sparkSession.sparkContext.broadcast(np.sort(np.array(list(terms), np.int64)))
+    wanted = None if terms is None else docs.sparkSession.sparkContext.broadcast(terms)
 
     def run(batches):
         for batch in batches:
             for first, data, offsets in _text.slices(batch.column(1)):
                 n = len(offsets) - 1
-                ids = np.asarray(batch.column(0).slice(first, n).fill_null(-1 << 63))
+                known = np.asarray(batch.column(0).slice(first, n).is_valid())
+                ids = np.asarray(batch.column(0).slice(first, n).fill_null(0))
                 starts, ends, row = _text.words(data, offsets, _text.ALNUM)
                 h = _text.signed(_text.word_hashes(data, starts, ends, folded=True))
                 length = np.diff(row)
@@ -75,7 +93,7 @@ def build_index(docs: DataFrame, terms: set[int] | None = None, doc_id: str = "d
                     at = np.minimum(np.searchsorted(table, h), max(len(table) - 1, 0))
                     keep = (table[at] == h) if len(table) else np.zeros(len(h), bool)
                     h, doc, place = h[keep], doc[keep], place[keep]
-                keep = ids[doc] != -1 << 63
+                keep = known[doc]
                 h, doc, place = h[keep], doc[keep], place[keep]
                 order = np.lexsort((place, h, doc))
                 h, doc, place = h[order], doc[order], place[order]
@@ -84,6 +102,8 @@ def build_index(docs: DataFrame, terms: set[int] | None = None, doc_id: str = "d
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(h[new]), pa.array(ids[doc[new]]), pa.array(length[doc[new]].astype(np.int64)), _text.lists(place, counts)],
                     ["term", "doc_id", "n_words", "positions"])
+                if not with_lengths:
+                    continue
                 yield pa.RecordBatch.from_arrays(
                     [pa.nulls(n, pa.int64()), batch.column(0).slice(first, n), pa.array(length.astype(np.int64)),
                      _text.lists(np.zeros(0, np.int32), np.zeros(n, np.int64))], ["term", "doc_id", "n_words", "positions"])
@@ -91,9 +111,10 @@ def build_index(docs: DataFrame, terms: set[int] | None = None, doc_id: str = "d
     return docs.mapInArrow(run, "term long, doc_id long, n_words long, positions array<int>")
 
 
-def frequencies(docs: DataFrame, terms: set[int], text: str = "text") -> DataFrame:
-    """(term, n) occurrences in the texts, at most one row a wanted term."""
-    wanted = docs.sparkSession.sparkContext.broadcast(np.sort(np.array(list(terms), np.int64)))
+def frequencies(docs: DataFrame, terms: np.ndarray, text: str = "text") -> DataFrame:
+    """(term, n) occurrences in the texts, at most one row a wanted term
+    (``terms`` sorted)."""
+    wanted = docs.sparkSession.sparkContext.broadcast(terms)
 
     def run(batches):
         table = wanted.value
@@ -129,11 +150,14 @@ def phrase_candidates(index: DataFrame, offsets: DataFrame, terms: int = RARE_TE
     for rank in range(terms):
         step = offsets.where(F.col("rank") == rank).select("phrase", "term", F.col("offset"))
         if found is None:
-            found = index.join(bounded(step), "term").select(
+            found = join_in_blocks(index, step, "term", PHRASE_BLOCK).select(
                 "doc_id", "phrase", F.filter(F.transform("positions", lambda p: p - F.col("offset")), lambda s: s >= 0).alias("starts"))
         else:
             # Phrases with fewer different terms keep their lists.
-            left = found.join(bounded(step.withColumnRenamed("term", "next")), "phrase", "left")
+            ready = step.withColumnRenamed("term", "next")
+            short = offsets.groupBy("phrase").agg(F.max("rank").alias("most")).where(F.col("most") < rank).select("phrase")
+            ready = ready.unionByName(short.select("phrase", F.lit(None).cast("long").alias("next"), F.lit(None).cast("int").alias("offset")))
+            left = join_in_blocks(found, ready, "phrase", PHRASE_BLOCK)
             lists = index.select("doc_id", F.col("term").alias("next"), "positions")
             both = left.join(lists, ["doc_id", "next"], "left")
             found = both.select("doc_id", "phrase", F.when(F.col("next").isNull(), F.col("starts")).otherwise(
@@ -150,29 +174,32 @@ def phrase_matches(docs: DataFrame, phrase: DataFrame, doc_id: str = "doc_id", t
     those line up are read again for the postings of the other terms."""
     text_batches(docs.sparkSession)
     phrase = staged(phrase.select("phrase", "terms").distinct(), "phrases")
-    wanted = _term_set(phrase)
-    df = staged(frequencies(docs, wanted, text), "frequencies")
+    counted = [frequencies(docs, block, text) for block in term_blocks(_terms(phrase))]
+    df = staged(reduce(DataFrame.unionByName, counted), "frequencies")
     offsets = staged(_offsets(phrase, df), "offsets")
-    rare = {r.term for r in offsets.where(F.col("rank") < RARE_TERMS).select("term").distinct().toLocalIterator()}
-    index = staged(build_index(docs, rare, doc_id, text), "postings")
+    rare = staged(offsets.where(F.col("rank") < RARE_TERMS).select("term").distinct(), "rare-terms")
+    index = staged(_index_of(docs, rare, doc_id, text), "postings")
     found = staged(phrase_candidates(index, offsets), "candidates")
     # Repeated ids share postings; they are told apart only here, as one text.
-    ids = staged(found.select(F.col("doc_id").alias("__id")).distinct(), "candidate-ids")
-    again = docs.join(bounded(ids), docs[doc_id] == F.col("__id"), "left_semi")
+    wanted = unused("wanted", docs)
+    ids = staged(found.select(F.col("doc_id").alias(wanted)).distinct(), "candidate-ids")
+    again = docs.join(bounded(ids), F.col(doc_id).cast("long") == F.col(wanted), "left_semi")
     whole = terms_of(again, doc_id, text).withColumnRenamed("id", "doc_id")
-    checked = (found.join(bounded(phrase), "phrase").join(whole.withColumnRenamed("terms", "doc_terms"), "doc_id")
+    checked = (join_in_blocks(found, phrase, "phrase", PHRASE_BLOCK).join(whole.withColumnRenamed("terms", "doc_terms"), "doc_id")
                .select("doc_id", "phrase", F.size("terms").alias("size"), F.filter(
                    "starts", lambda s: F.slice("doc_terms", s + 1, F.size("terms")) == F.col("terms")).alias("starts")))
     lengths = index.where(F.col("term").isNull()).select("doc_id", "n_words")
     return checked.where(F.size("starts") > 0), lengths
 
 
-def _term_set(phrase: DataFrame) -> set[int]:
-    terms = phrase.select(F.explode("terms").alias("term")).distinct()
-    n = terms.count()
-    if n > MOST_TERMS:
-        raise ValueError(f"{n} different test terms; split the test set into parts of at most {MOST_TERMS}")
-    return {r.term for r in terms.toLocalIterator()}
+def _terms(phrase: DataFrame) -> DataFrame:
+    return staged(phrase.select(F.explode("terms").alias("term")).distinct(), "terms")
+
+
+def _index_of(docs: DataFrame, terms: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """Postings of all terms of a staged table, and the row of each document."""
+    parts = [build_index(docs, block, doc_id, text, with_lengths=k == 0) for k, block in enumerate(term_blocks(terms))]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def proximity_matches(docs: DataFrame, queries: DataFrame, slop: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -182,9 +209,9 @@ def proximity_matches(docs: DataFrame, queries: DataFrame, slop: int, doc_id: st
     number of different terms."""
     text_batches(docs.sparkSession)
     queries = staged(queries.select(F.col("query"), F.array_distinct("terms").alias("terms")), "queries")
-    index = staged(build_index(docs, _term_set(queries), doc_id, text), "postings").where("term is not null")
+    index = staged(_index_of(docs, _terms(queries), doc_id, text), "postings").where("term is not null")
     each = queries.select("query", F.size("terms").alias("n"), F.explode("terms").alias("term"))
-    lists = index.join(bounded(each), "term").select("query", "doc_id", "n", "term", F.explode("positions").alias("at"))
+    lists = join_in_blocks(index, each, "term", PHRASE_BLOCK).select("query", "doc_id", "n", "term", F.explode("positions").alias("at"))
     # Per (query, document), the last place of each term up to a place.
     grouped = lists.groupBy("query", "doc_id", "n").agg(F.array_sort(F.collect_list(F.struct("at", "term"))).alias("p"),
                                                         F.count_distinct("term").alias("have")).where("have = n")
@@ -230,8 +257,8 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, least
     spans = matches.groupBy("doc_id").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.transform(
         "starts", lambda s: F.struct(s.alias("start"), F.col("size").alias("size"))))))).alias("spans"),
         F.collect_set("phrase").alias("phrases"))
-    by_phrase = bounded(phrase.select("phrase", "item_id"))
-    named = (spans.select("doc_id", F.explode("phrases").alias("phrase")).join(by_phrase, "phrase")
+    by_phrase = phrase.select("phrase", "item_id")
+    named = (join_in_blocks(spans.select("doc_id", F.explode("phrases").alias("phrase")), by_phrase, "phrase", PHRASE_BLOCK)
              .groupBy("doc_id").agg(F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("items")))
     hits = staged(spans.select("doc_id", _covered(F.col("spans")).cast("long").alias("n_hit")).join(named, "doc_id"), "hits")
     out = lengths.join(bounded(hits), "doc_id", "left")
@@ -242,7 +269,12 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, least
 
 
 def remove_contaminated(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
-    """``docs`` without the contaminated ones, all columns as they were."""
+    """``docs`` without the contaminated ones, all columns as they were.
+
+    Rows with a null id and rows whose text is null, empty or without words
+    stay. Rows that repeat an id stay or go together. An empty table gives an
+    empty table."""
     doc_id = options.get("doc_id", "doc_id")
-    bad = staged(contamination(docs, items, **options).where("contaminated").select(F.col("doc_id").alias("__bad")).distinct(), "contaminated")
-    return docs.join(bounded(bad), docs[doc_id] == F.col("__bad"), "left_anti")
+    bad = unused("bad", docs)
+    gone = staged(contamination(docs, items, **options).where("contaminated").select(F.col("doc_id").alias(bad)).distinct(), "contaminated")
+    return docs.join(bounded(gone), F.col(doc_id).cast("long") == F.col(bad), "left_anti")

@@ -1,5 +1,7 @@
 import random
 
+from pyspark.sql import functions as F
+
 from lakeloom.llm import decontaminate
 from tests.llm.conftest import words
 
@@ -50,6 +52,16 @@ def test_matches_brute_force(spark, docs):
     assert result(docs(rows), make_items(spark, items)) == brute(rows, items)
 
 
+def test_blocks_of_one_and_the_lowest_id(spark, docs, monkeypatch):
+    rng = random.Random(5)
+    text = lambda n: " ".join(rng.choice(["the", "of", "tree", "w1", "w2", "w3"]) for _ in range(n))
+    items = [(k, text(rng.choice([2, 13, 15]))) for k in range(4)]
+    rows = [(i, f"{text(8)} {items[i % 4][1]} {text(4)}") for i in range(12)] + [(-(1 << 63), items[1][1]), (None, items[1][1])]
+    monkeypatch.setattr(decontaminate, "TERM_BLOCK", 3)
+    monkeypatch.setattr(decontaminate, "PHRASE_BLOCK", 4)
+    assert result(docs(rows), make_items(spark, items)) == brute(rows, items)
+
+
 def test_five_percent_is_contaminated(spark, docs):
     phrase = " ".join(f"p{k}" for k in range(13))
     rows = [(1, phrase + " z" * 247), (2, phrase + " z" * 248)]  # 13 of 260 and of 261
@@ -69,6 +81,12 @@ def test_filter_keeps_columns(spark, docs):
     assert out.columns == df.columns and sorted((r.doc_id for r in out.collect()), key=repr) == [2, None]
 
 
+def test_filter_with_clashing_columns(spark, docs):
+    df = docs([(1, "a b c"), (2, "q r s")]).withColumnsRenamed({"n": "bad", "tokens": "wanted"}).withColumn("__bad", F.lit(1))
+    out = decontaminate.remove_contaminated(df, make_items(spark, [(1, "b c")]))
+    assert out.columns == df.columns and [r.doc_id for r in out.collect()] == [2]
+
+
 def test_proximity(spark, docs):
     df = docs([(1, "alpha x beta"), (2, "alpha x x x x beta x alpha"), (3, "alpha"), (4, None)])
     terms = decontaminate.terms_of(spark.createDataFrame([(7, "alpha beta")], "q long, text string"), "q").withColumnRenamed("id", "query")

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.llm._io import staged, text_batches
+from lakeloom.llm._io import join_by_weight, staged, text_batches, unused
 
 WHITE = " \t\n\x0b\x0c\r"
 BITS_PER_LINE = 16
@@ -170,7 +170,7 @@ def _confirmed(suspects: DataFrame, min_docs: int) -> DataFrame:
     # documents hold is reduced in each task before and after the shuffle.
     return (suspects.select("digest", "doc_id").distinct()
             .groupBy("digest").agg(F.count(F.lit(1)).alias("n_docs"), F.max("doc_id").alias("keeper"))
-            .where(F.col("n_docs") >= min_docs).select("digest", "keeper"))
+            .where(F.col("n_docs") >= min_docs))
 
 
 def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5,
@@ -186,12 +186,14 @@ def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5,
     """
     docs = docs.drop(*(c for c in ("n_lines", "n_dropped") if c not in (doc_id, text)))
     suspects = staged(suspected(docs, min_chars, doc_id, text), "lines")
-    confirmed = _confirmed(suspects, min_docs)
-    drops = (suspects.join(confirmed, "digest").where(F.col("doc_id") < F.col("keeper"))
-             .groupBy(F.col("doc_id").alias("__drop_id")).agg(F.collect_set("digest").alias("__drop")))
-    joined = docs.join(drops, F.col(doc_id) == F.col("__drop_id"), "left").drop("__drop_id")
+    confirmed = staged(_confirmed(suspects, min_docs), "repeated-lines")
+    drop_id, drop = unused("drop_id", docs), unused("drop", docs)
+    n_lines, n_dropped = unused("n_lines", docs), unused("n_dropped", docs)
+    drops = (join_by_weight(suspects, confirmed, "digest", "n_docs").where(F.col("doc_id") < F.col("keeper"))
+             .groupBy(F.col("doc_id").alias(drop_id)).agg(F.collect_set("digest").alias(drop)))
+    joined = docs.join(drops, F.col(doc_id).cast("long") == F.col(drop_id), "left").drop(drop_id)
     names = docs.columns
-    at, plan = names.index(text), joined.select(*names, "__drop")
+    at, plan = names.index(text), joined.select(*names, drop)
 
     def strip(batches):
         for batch in (part for whole in batches for part in _parts(whole)):
@@ -209,11 +211,10 @@ def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5,
                 kept.append(t)
             columns = [pa.array(kept, batch.column(i).type) if i == at else batch.column(i) for i in range(len(names))]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(before, pa.int64()), pa.array(gone, pa.int64())],
-                                             [*names, "__lines", "__dropped"])
+                                             [*names, n_lines, n_dropped])
 
     fields = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in docs.schema)
-    out = plan.mapInArrow(strip, f"{fields}, __lines long, __dropped long")
-    return out.withColumnsRenamed({"__lines": "n_lines", "__dropped": "n_dropped"})
+    return plan.mapInArrow(strip, f"{fields}, {n_lines} long, {n_dropped} long")
 
 
 def line_report(docs: DataFrame, **options) -> DataFrame:

@@ -62,3 +62,16 @@ def test_full_filter_only_costs_rows(docs, monkeypatch):
     monkeypatch.setattr(line_dedup, "filter_bits", lambda lines: 1 << line_dedup.SHARD_BITS)
     rows = [(i, f"line {i % 7} of a text that is held by several documents\nand line {i} is held by one document only") for i in range(50)]
     assert rows_of(line_dedup.line_report(docs(rows))) == brute(rows)
+
+
+def test_clashing_columns_and_many_repeated_lines(spark, docs, monkeypatch):
+    from lakeloom.llm import _io
+    monkeypatch.setattr(_io, "BROADCAST_ROWS", 2)  # most lines are joined by shuffle, the heaviest are sent
+    lines = [f"a line that many documents hold, number {k} of them".ljust(45, ".") for k in range(6)]
+    rows = [(i, "\n".join([f"own {i}", *lines[i % 6:], lines[0]])) for i in range(40)]
+    df = docs(rows).withColumnsRenamed({"n": "drop", "tokens": "drop_id"}).selectExpr("*", "1 as __drop", "2 as __lines", "3 as n_lines")
+    out = line_dedup.dedup_lines(df)
+    assert out.columns == [*(c for c in df.columns if c != "n_lines"), "n_lines", "n_dropped"]
+    monkeypatch.undo()
+    want = {r.doc_id: r.text for r in line_dedup.dedup_lines(docs(rows)).collect()}
+    assert {r.doc_id: r.text for r in out.collect()} == want

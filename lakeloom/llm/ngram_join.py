@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeloom.llm import _text
-from lakeloom.llm._io import bounded, staged, text_batches
+from lakeloom.llm._io import bounded, join_by_weight, staged, text_batches, unused
 from lakeloom.llm.components import components
 
 SIZE = 4
@@ -204,8 +204,8 @@ def _family_links(entries: DataFrame, sets: DataFrame, percent: int, block: int)
     """Links (src, dst) that join the linked members of large buckets."""
     spark = entries.sparkSession
     none = spark.createDataFrame([], "src long, dst long")
-    roots = entries.groupBy("sig").agg(F.min("doc_id").alias("dst"), F.count(F.lit(1)).alias("weight"))
-    weighted = entries.join(roots, "sig")
+    roots = staged(entries.groupBy("sig").agg(F.min("doc_id").alias("dst"), F.count(F.lit(1)).alias("weight")), "roots")
+    weighted = join_by_weight(entries, roots, "sig", "weight")
     family = components(weighted.select(F.col("doc_id").alias("src"), "dst"))
     if family is None:
         return none
@@ -276,15 +276,16 @@ def links(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, large: int
     large_enough = classes.where(F.col("n") > (percent - 1) // (100 - percent)).withColumnRenamed("representative", "doc_id")
     own = staged(sketch.join(large_enough, ["doc_id", "n", "f1", "f2"]).dropDuplicates(["doc_id"]), "representatives")
     left = staged(_survivors(own, percent), "survivors")
-    again = docs.join(bounded(left.select(F.col("doc_id").alias("__id"))), docs[doc_id] == F.col("__id"), "left_semi")
+    wanted = unused("wanted", docs)
+    again = docs.join(bounded(left.select(F.col("doc_id").alias(wanted))), F.col(doc_id).cast("long") == F.col(wanted), "left_semi")
     sets = token_sets(again, size, doc_id, text).join(left, ["doc_id", "f1", "f2"]).dropDuplicates(["doc_id"])
     sets = staged(sets.select("doc_id", "tokens"), "sets")
     shared = _with_frequency(sets.select("doc_id", F.explode("tokens").alias("token")))
     rows = shared.groupBy("doc_id").agg(F.collect_list(F.struct("df", "token")).alias("t"))
     rows = rows.join(sets.select("doc_id", F.size("tokens").cast("long").alias("n")), "doc_id")
     entries = staged(_signatures(rows, percent, large), "signatures")
-    buckets = entries.groupBy("sig").agg(F.count(F.lit(1)).alias("members")).where("members >= 2")
-    entries = staged(entries.join(buckets, "sig"), "buckets")
+    buckets = staged(entries.groupBy("sig").agg(F.count(F.lit(1)).alias("members")).where("members >= 2"), "bucket-sizes")
+    entries = staged(join_by_weight(entries, buckets, "sig", "members"), "buckets")
     pairs = _verified_pairs(entries.where(F.col("members") <= large), sets, percent)
     families = _family_links(entries.where(F.col("members") > large).select("sig", "doc_id"), sets, percent, block)
     return members, staged(pairs.unionByName(families), "links")
@@ -312,7 +313,10 @@ def near_duplicates(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, d
 
 def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", **options) -> DataFrame:
     """``docs`` with the smallest id of each component; all its rows if ids
-    repeat, and all rows with a null id."""
+    repeat, and all rows with a null id. Null, empty and white texts link with
+    nothing and stay; equal texts are one component, so ties go to the smallest
+    id. An empty table gives an empty table."""
     found = near_duplicates(docs, doc_id=doc_id, **options)
-    gone = staged(found.where("component_id != doc_id").select(F.col("doc_id").alias("__gone")), "near-copies")
-    return docs.join(bounded(gone), docs[doc_id] == F.col("__gone"), "left_anti")
+    copy = unused("copy", docs)
+    gone = staged(found.where("component_id != doc_id").select(F.col("doc_id").alias(copy)), "near-copies")
+    return docs.join(bounded(gone), F.col(doc_id).cast("long") == F.col(copy), "left_anti")

@@ -75,3 +75,10 @@ def test_empty_table_and_bounds(docs):
     assert ngram_join.near_duplicates(docs([])).count() == 0
     with pytest.raises(ValueError):
         ngram_join.near_duplicates(docs([]), percent=60)
+
+
+def test_drop_with_clashing_columns(spark, docs):
+    text = " ".join(f"w{k}" for k in range(60))
+    df = docs([(1, text), (2, text + " x"), (3, "other"), (None, text)]).withColumnsRenamed({"n": "copy", "tokens": "wanted"}).selectExpr("*", "1 as __gone", "2 as __id")
+    out = ngram_join.drop_near_duplicates(df)
+    assert out.columns == df.columns and sorted((r.doc_id for r in out.collect()), key=repr) == [1, 3, None]

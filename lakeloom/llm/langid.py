@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeloom.llm import _text
-from lakeloom.llm._io import sample_cut, text_batches
+from lakeloom.llm._io import fitted, sample_cut, text_batches
 
 UNKNOWN = "und"
 SIZES = (2, 3, 4)
@@ -184,7 +184,8 @@ def fit(docs: DataFrame, learn: Column, settings: Settings = Settings(), doc_id:
     """Learn from about ``settings.sample`` of the rows where ``learn`` holds
     and text and lang are not null, and about ``settings.each`` of each
     language at least (all of a language with fewer), chosen by a hash of the
-    id. None if there is no such row."""
+    id. Texts are hashed where they are; one task learns from the bounded
+    sample and returns the model. None if there is no such row."""
     text_batches(docs.sparkSession)
     rows = docs.where(learn & F.col(text).isNotNull() & F.col(lang).isNotNull() & F.col(doc_id).isNotNull())
     cut = sample_cut(rows, doc_id, settings.sample)
@@ -202,13 +203,17 @@ def fit(docs: DataFrame, learn: Column, settings: Settings = Settings(), doc_id:
         own = int(each / r.n * 2 ** 64) - 2 ** 63 if r.n > each else cut
         if own > cut:
             wanted |= (F.col(lang) == r.lang) & (h <= own)
-    picked = rows.where(wanted).limit(3 * settings.sample)
-    got = _features(picked, lang, text, settings.buckets).toArrow()  # bounded by the sample
-    pairs = [(np.asarray(b.values), np.asarray(n.values)) for b, n in zip(got["bucket"], got["n"])]
-    labels = got["label"].to_pylist()
-    # The order in which tasks answer must not matter.
-    order = sorted(range(len(pairs)), key=lambda i: (crc32(pairs[i][0].tobytes() + pairs[i][1].tobytes()), labels[i]))
-    return train([pairs[i] for i in order], [labels[i] for i in order], settings)
+    # Of rows that repeat an id the first text in order counts.
+    picked = rows.where(wanted).groupBy(F.col(doc_id).alias("id")).agg(F.min(F.struct(F.col(text).alias("text"), F.col(lang).alias("lang"))).alias("r"))
+
+    def learn(batches):
+        pairs = [(np.asarray(b.values), np.asarray(n.values), label) for batch in batches
+                 for label, b, n in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2))]
+        # The order in which rows come must not matter.
+        pairs.sort(key=lambda x: (crc32(x[0].tobytes() + x[1].tobytes()), x[2]))
+        return train([x[:2] for x in pairs], [x[2] for x in pairs], settings) if pairs else None
+
+    return fitted(_features(picked.select("r.*"), "lang", "text", settings.buckets), learn)
 
 
 def _judge(m: Model | None, texts: pa.Array, first: int, data: np.ndarray, offsets: np.ndarray) -> tuple[list[str], np.ndarray, np.ndarray]:
@@ -270,8 +275,11 @@ def predict(docs: DataFrame, model: Model | None, doc_id: str = "doc_id", text:
 def accepted(docs: DataFrame, model: Model | None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` that are not rejected, all columns as they were.
 
-    The decision needs only the row's own text, so nothing is joined. Without a
-    model (nothing to learn from) only texts without a letter go."""
+    The decision needs only the row's own text, so nothing is joined: null and
+    empty texts go, as do all without a letter; long texts are judged whole;
+    repeated rows stay or go together; ids and other columns do not matter.
+    Without a model (nothing to learn from) only texts without a letter go. An
+    empty table gives an empty table."""
     text_batches(docs.sparkSession)
     at, names = docs.columns.index(text), docs.columns
     sent = docs.sparkSession.sparkContext.broadcast(model)

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeloom.llm import _text
-from lakeloom.llm._io import sample_cut, staged, text_batches
+from lakeloom.llm._io import fitted, sample_cut, staged, text_batches
 
 DOMAINS = ("high", "low", "toxic")
 #: wanted shares of the expected tokens
@@ -80,17 +80,43 @@ def _weights(count: np.ndarray, row: np.ndarray, n_rows: int) -> np.ndarray:
     return w / np.maximum(norm, 1e-9)[row]
 
 
+def train(data: list[tuple[np.ndarray, np.ndarray, int]], domains: tuple[str, ...], s: Settings) -> Classifier | None:
+    """Softmax by stochastic gradient descent on (buckets, weights, domain
+    number) rows, in an order that follows from the rows alone."""
+    if not data:
+        return None
+    data = sorted(data, key=lambda x: (crc32(x[0].tobytes() + x[1].tobytes()), x[2]))
+    rng = np.random.default_rng(s.seed)
+    share = np.bincount([y for *_, y in data], minlength=len(domains)) + 0.5
+    table, bias = np.zeros((s.buckets, len(domains))), np.log(share / share.sum())
+    squares = np.full_like(table, 1e-6)
+    for _ in range(s.epochs):
+        for k in rng.permutation(len(data)):
+            bucket, w, y = data[k]
+            z = w @ table[bucket] + bias
+            g = np.exp(z - z.max())
+            g /= g.sum()
+            g[y] -= 1
+            step = w[:, None] * g
+            squares[bucket] += step * step
+            table[bucket] -= s.rate * step / np.sqrt(squares[bucket] + 0.01)
+    return Classifier(domains, table.astype(np.float32), bias)
+
+
 def fit_classifier(docs: DataFrame, labels: DataFrame, s: Settings = Settings(), domains: tuple[str, ...] = DOMAINS,
                    doc_id: str = "doc_id", text: str = "text") -> Classifier | None:
     """Softmax over hashed words, by stochastic gradient descent in numpy, on
-    at most ``s.sample`` labelled documents. None if there is none."""
+    at most ``s.sample`` labelled documents, chosen by a hash of the id (of
+    rows that repeat an id the first text in order). Texts are hashed where
+    they are; one task learns from the bounded sample and returns the weights.
+    None if there is nothing to learn from."""
     marked = domain_of(labels) if "domain" not in labels.columns else labels
     cut = sample_cut(marked, "doc_id", s.sample)
     if cut is None:
         return None
     picked = F.broadcast(marked.where(F.xxhash64("doc_id") <= cut).limit(s.sample).withColumnRenamed("doc_id", "__id"))
     rows = docs.select(F.col(doc_id).cast("long").alias("__doc"), F.col(text).alias("text")).where("text is not null").join(
-        picked, F.col("__doc") == F.col("__id")).select("domain", "text").limit(s.sample)
+        picked, F.col("__doc") == F.col("__id")).groupBy("__doc").agg(F.min("domain").alias("domain"), F.min("text").alias("text"))
 
     def features(batches):
         for batch in batches:
@@ -102,27 +128,11 @@ def fit_classifier(docs: DataFrame, labels: DataFrame, s: Settings = Settings(),
                     [batch.column(0).slice(first, n), _text.lists(bucket.astype(np.int32), per_row),
                      _text.lists(_weights(count, row, n).astype(np.float32), per_row)], ["domain", "bucket", "w"])
 
-    got = rows.mapInArrow(features, "domain string, bucket array<int>, w array<float>").toArrow()  # bounded by the sample
-    data = [(np.asarray(b.values), np.asarray(w.values), domains.index(d))
-            for b, w, d in zip(got["bucket"], got["w"], got["domain"].to_pylist()) if d in domains]
-    if not data:
-        return None
-    data.sort(key=lambda x: (crc32(x[0].tobytes() + x[1].tobytes()), x[2]))
-    rng = np.random.default_rng(s.seed)
-    share = np.bincount([y for *_, y in data], minlength=len(domains)) + 0.5
-    table, bias = np.zeros((s.buckets, len(domains))), np.log(share / share.sum())
-    squares = np.full_like(table, 1e-6)
-    for _ in range(s.epochs):
-        for k in rng.permutation(len(data)):
-            bucket, w, y = data[k]
-            z = w @ table[bucket] + bias
-            g = np.exp(z - z.max())
-            g /= g.sum()
-            g[y] -= 1
-            step = w[:, None] * g
-            squares[bucket] += step * step
-            table[bucket] -= s.rate * step / np.sqrt(squares[bucket] + 0.01)
-    return Classifier(domains, table.astype(np.float32), bias)
+    def learn(batches):
+        return train([(np.asarray(b.values), np.asarray(w.values), domains.index(d)) for batch in batches
+                      for d, b, w in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)) if d in domains], domains, s)
+
+    return fitted(rows.select("domain", "text").mapInArrow(features, "domain string, bucket array<int>, w array<float>"), learn)
 
 
 def _posterior(m: Classifier, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -263,7 +273,10 @@ def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS,
 def weighted(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS, settings: Settings = Settings(),
              doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with ``mix_rate`` (replacing a column of that name); documents
-    with rate 0 go. The rate follows from the text, so nothing is joined."""
+    with rate 0 go. The rate follows from the text, so nothing is joined: null and
+    empty texts get the rate of an empty text, equal texts and repeated rows
+    the same rate each, null ids a rate like all others. Without any usable
+    label all rates are 1. An empty table gives an empty table."""
     docs = docs.drop("mix_rate")
     found, _ = fit(docs, labels, targets, settings, doc_id, text)
     at, names = docs.columns.index(text), docs.columns

@@ -13,7 +13,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakeloom.operators.quantiles import exact_percentiles
+from lakeloom.operators._store import stored_side
+from lakeloom.operators.quantiles import _pack as pack_key
+from lakeloom.operators.quantiles import percentile_table
 
 
 def _cols(x) -> list[str]:
@@ -103,25 +105,21 @@ def percent_matching(df: DataFrame, predicate: Column, by=None, out: str = "pct"
 
 
 # A18 / Q1 ---------------------------------------------------------------
-def describe_by(df: DataFrame, value_col: str, by=None, segments: int | None = None,
-                approx: bool = False, accuracy: int = 10000) -> DataFrame:
+def describe_by(df: DataFrame, value_col: str, by=None, approx: bool = False, accuracy: int = 10000) -> DataFrame:
     """pandas ``groupby(...)[col].describe()``: count, mean, std (sample),
     min, 25%/50%/75% (exact, linear interpolation; ``approx=True`` uses a
-    bounded sketch instead), max."""
+    bounded sketch instead), max. The plain statistics come from the scan that
+    brackets the percentiles."""
     by = _cols(by)
-    # one struct group key: NULL groups join as one group, no group = constant
-    gk = F.struct(*[F.col(c) for c in by]) if by else F.struct(F.lit(0).alias("_all"))
-    keyed = df.select(gk.alias("_gk"), F.col(value_col).cast("double").alias("_v"))
-    v = F.col("_v")
-    basic = keyed.groupBy("_gk").agg(
-        F.count(v).alias("count"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"),
-        F.min(v).alias("min"), F.max(v).alias("max"))
+    v, probs, names = F.col("_v"), [0.25, 0.5, 0.75], ["p25", "p50", "p75"]
+    keyed = df.select(pack_key(by).alias("_gk"), F.col(value_col).cast("double").alias("_v"))
+    basic = [F.count(v).alias("count"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"),
+             F.min(v).alias("min"), F.max(v).alias("max")]
     if approx:
-        from lakeloom.operators.quantiles import approx_percentiles
-        q = approx_percentiles(keyed, "_v", [0.25, 0.5, 0.75], ["_gk"], ["p25", "p50", "p75"], accuracy)
+        q = F.percentile_approx(v, probs, accuracy)
+        out = keyed.groupBy("_gk").agg(*basic, q.alias("_q")).select("*", *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
     else:
-        q = exact_percentiles(keyed, "_v", [0.25, 0.5, 0.75], ["_gk"], ["p25", "p50", "p75"], segments)
-    out = basic.join(q, "_gk", "left")
+        out = percentile_table(keyed, probs, names, basic)
     return out.select(*[F.col(f"_gk.{c}").alias(c) for c in by], "count", "mean", "std", "min",
                       "p25", "p50", "p75", "max")
 
@@ -171,7 +169,7 @@ def second_highest(df: DataFrame, value_col: str, by=None, out: str = "second_hi
         mx = df.select(F.max(value_col)).scalar()
         return df.where(F.col(value_col) < mx).agg(F.max(value_col).alias(out))
     keyed = df.select(F.struct(*[F.col(c) for c in by]).alias("_gk"), value_col)
-    mx = keyed.groupBy("_gk").agg(F.max(value_col).alias("_mx"))
+    mx = stored_side(keyed.groupBy("_gk").agg(F.max(value_col).alias("_mx")), "maxima")
     below = (keyed.join(mx, "_gk").where(F.col(value_col) < F.col("_mx"))
              .groupBy("_gk").agg(F.max(value_col).alias(out)))
     res = mx.select("_gk").join(below, "_gk", "left")

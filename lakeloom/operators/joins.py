@@ -14,6 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakeloom.operators._store import BROADCAST_BYTES, row_bytes, stored_side
 from lakeloom.operators.windows import row_positions
 
 # Accepted join type spellings and their Spark names.
@@ -83,7 +84,7 @@ def cross_product(left: DataFrame, right: DataFrame, max_bytes: int | None = Non
     neither side is small, raises."""
     limit = max_bytes or BROADCAST_BYTES
     for small, other in ((right, left), (left, right)):
-        most = max(1, limit // _row_bytes(small))
+        most = max(1, limit // row_bytes(small))
         if small.limit(most + 1).count() <= most:
             out = other.crossJoin(F.broadcast(small))
             return out if small is right else out.select(*left.columns, *right.columns)
@@ -112,21 +113,11 @@ def star_join(fact: DataFrame, dims: Sequence[tuple[DataFrame, str | Sequence[st
 
 
 # J11 --------------------------------------------------------------------
-#: most bytes (rows times an estimate of their width) that are broadcast
-BROADCAST_BYTES = 64 << 20
-
-
-def _row_bytes(df: DataFrame) -> int:
-    """Bytes a row takes by its types: 8 for fixed widths, 40 for others."""
-    wide = ("string", "binary", "array", "map", "struct")
-    return 16 + sum(40 if f.dataType.simpleString().startswith(wide) else 8 for f in df.schema)
-
-
 def bounded_broadcast(dim: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """``dim`` with a broadcast hint if it is small: at most as many rows as
     fit ``max_bytes`` are counted (the count stops there). Beyond that the
     frame comes back without a hint and the join shuffles."""
-    most = max(1, max_bytes // _row_bytes(dim))
+    most = max(1, max_bytes // row_bytes(dim))
     return F.broadcast(dim) if dim.limit(most + 1).count() <= most else dim
 
 
@@ -218,9 +209,10 @@ def count_unequal_pairs(df: DataFrame, key: str, by=None) -> DataFrame:
 # J15 --------------------------------------------------------------------
 def join_group_aggregate(df: DataFrame, keys, agg_exprs: Sequence[Column]) -> DataFrame:
     """Attach per-group aggregates to every row (join to an aggregated
-    inline view)."""
+    inline view). The aggregate is computed once and stored; its written size
+    decides whether it is sent to the rows or both sides are shuffled."""
     keys = _cols(keys)
-    return join(df, bounded_broadcast(df.groupBy(*keys).agg(*agg_exprs)), keys, "inner", null_safe=True)
+    return join(df, stored_side(df.groupBy(*keys).agg(*agg_exprs), "group-statistics"), keys, "inner", null_safe=True)
 
 
 # J16 --------------------------------------------------------------------

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeloom.operators.aggregates import describe_by
+from lakeloom.operators._store import stored_side
 from lakeloom.operators.quantiles import exact_percentiles
 
 
@@ -42,8 +43,9 @@ def quantiles(df: DataFrame, col: str, probs: Sequence[float], by=None, approx:
 
 
 def _attach(df: DataFrame, stats: DataFrame, by: list[str]) -> DataFrame:
-    """Attach per-group statistics to every row: an equi join on the group
-    key, or -- with no group -- the single statistics row as literals."""
+    """Attach per-group statistics to every row; with no group the single row
+    comes in as literals. Give statistics with a broadcast hint where they are
+    counted to be few, so that rows are not shuffled to a few keys."""
     if by:
         from lakeloom.operators.joins import join
         return join(df, stats, by, "inner", null_safe=True)
@@ -92,7 +94,7 @@ def histogram(df: DataFrame, col: str, bins: int, by=None) -> DataFrame:
     width = (hi - lo) / bins
     b = F.when(hi == lo, F.lit(1)).otherwise(
         F.least(F.floor((x - lo) / width).cast("int") + 1, F.lit(bins)))
-    joined = _attach(df.where(F.col(col).isNotNull()), mm, by)
+    joined = _attach(df.where(F.col(col).isNotNull()), stored_side(mm, "ranges") if by else mm, by)
     counted = joined.withColumn("bin", b).groupBy(*by, "bin", "_lo", "_hi").agg(F.count(F.lit(1)).alias("count"))
     w = (F.col("_hi") - F.col("_lo")) / bins
     return counted.select(*by, "bin", (F.col("_lo") + (F.col("bin") - 1) * w).alias("bin_start"),
@@ -106,14 +108,15 @@ def box_stats(df: DataFrame, col: str, by=None, k: float = 1.5) -> DataFrame:
     by = _cols(by)
     if not by:
         return box_stats(df.withColumn("_all", F.lit(0)), col, ["_all"], k).drop("_all")
-    b = iqr_bounds(df, col, by, k)
+    b = stored_side(iqr_bounds(df, col, by, k), "fences")
     j = _attach(df, b, by)
     x = F.col(col)
     inside = (x >= F.col("lower")) & (x <= F.col("upper"))
     stats = j.groupBy(*by).agg(
         F.min(F.when(inside, x)).alias("whisker_low"), F.max(F.when(inside, x)).alias("whisker_high"),
         F.count_if(x.isNotNull() & ~inside).alias("n_outliers"))
-    return b.join(stats, by)
+    from lakeloom.operators.joins import join
+    return join(b, stats, by, "inner", null_safe=True)
 
 
 # Q6 ---------------------------------------------------------------------

@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakeloom.operators._store import stored_side
 from lakeloom.operators._order import as_specs, key_names, range_segments, sort_keys
 
 _RANKERS = {"row_number": F.row_number, "rank": F.rank, "dense_rank": F.dense_rank}
@@ -181,7 +182,7 @@ def latest_per_entity(df: DataFrame, keys, ts_col: str, tie_break=None,
     partial aggregate and therefore safe for hot keys."""
     keys = _cols(keys)
     if keep_ties:
-        mx = df.groupBy(_gkey(keys).alias("_gk")).agg(F.max(ts_col).alias("_mx"))
+        mx = stored_side(df.groupBy(_gkey(keys).alias("_gk")).agg(F.max(ts_col).alias("_mx")), "latest")
         return (df.withColumn("_gk", _gkey(keys)).join(mx, "_gk")
                 .where(F.col(ts_col) == F.col("_mx")).drop("_mx", "_gk"))
     order = [(ts_col, "desc")] + [(c, "desc") for c in _cols(tie_break)]
@@ -190,12 +191,11 @@ def latest_per_entity(df: DataFrame, keys, ts_col: str, tie_break=None,
 
 def rows_at_group_extreme(df: DataFrame, keys, value_col: str, kind: str = "max") -> DataFrame:
     """Rows equal to their group's max (or min) -- ties kept (A21, CSQ
-    correlated max). Group aggregate + equi join: skew-safe."""
-    from lakeloom.operators.joins import bounded_broadcast
+    correlated max). The extremes are stored once and, if few, sent to the rows."""
     keys = _cols(keys)
     agg = F.max if kind == "max" else F.min
     ext = df.groupBy(_gkey(keys).alias("_gk")).agg(agg(value_col).alias("_ext"))
-    return (df.withColumn("_gk", _gkey(keys)).join(bounded_broadcast(ext), "_gk")
+    return (df.withColumn("_gk", _gkey(keys)).join(stored_side(ext, "extremes"), "_gk")
             .where(F.col(value_col) == F.col("_ext")).drop("_ext", "_gk"))
 
 

@@ -158,7 +158,7 @@ def test_exact_percentiles_match_numpy(spark):
     data = [("a" if i % 4 else "b", float(rnd.randint(0, 1000)) / 7) for i in range(1501)]
     df = spark.createDataFrame(data, "g string, v double")
     probs = [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]
-    got = {r.g: r for r in QT.exact_percentiles(df, "v", probs, ["g"], segments=9).collect()}
+    got = {r.g: r for r in QT.exact_percentiles(df, "v", probs, ["g"]).collect()}
     for g in ("a", "b"):
         vals = np.array([v for k, v in data if k == g])
         for p in probs:
@@ -567,7 +567,7 @@ def test_percentiles_with_many_ties(spark):
     from lakeloom.operators.quantiles import exact_percentiles
     df = spark.range(2000).select((F.col("id") % 3).alias("g"), (F.col("id") % 11 / 100.0).alias("v"))
     probs = [0.0, 0.1, 0.25, 0.5, 0.9, 0.99, 1.0]
-    got = exact_percentiles(df, "v", probs, ["g"], segments=5).orderBy("g").collect()
+    got = exact_percentiles(df, "v", probs, ["g"]).orderBy("g").collect()
     want = df.groupBy("g").agg(F.percentile("v", F.array(*map(F.lit, probs))).alias("p")).orderBy("g").collect()
     for a, b in zip(got, want):
         assert [round(x, 9) for x in a[1:]] == [round(x, 9) for x in b.p]
@@ -577,3 +577,44 @@ def test_small_sides_are_checked_before_they_are_broadcast(spark):
     small, large = spark.range(10), spark.range(100)
     hint = lambda df: "broadcast" in df._jdf.queryExecution().logical().toString().lower()
     assert hint(J.bounded_broadcast(small, 24 * 50)) and not hint(J.bounded_broadcast(large, 24 * 50))
+
+
+def test_percentiles_of_bracketed_groups(spark, monkeypatch):
+    """Large groups (two scans, brackets, slots), ties over a third of the rows,
+    a small and a NULL group, infinities; equal to numpy and to one bracket."""
+    import numpy as np
+    rng = np.random.default_rng(8)
+    values = {"a": rng.normal(size=9000), "b": np.r_[np.full(4000, 2.5), rng.uniform(0, 5, 8000)], "c": np.array([1.0, 3.0, 7.0]),
+              None: rng.integers(0, 40, 6000).astype(float), "d": np.r_[np.full(5000, -np.inf), rng.normal(size=5000), [np.inf] * 10]}
+    data = [(g, float(v)) for g, x in values.items() for v in x] + [("a", None), ("e", None)]
+    df = spark.createDataFrame(data, "g string, v double").repartition(5)
+    probs = [0.0, 0.01, 0.25, 0.5, 0.9, 0.9001, 1.0]
+    got = {r.g: list(r)[1:] for r in QT.exact_percentiles(df, "v", probs, ["g"]).collect()}
+    assert set(got) == set(values)
+    for g, x in values.items():
+        want = np.quantile(x, probs) if g != "d" else [sorted(x)[int(p * (len(x) - 1))] for p in probs]
+        for p, a, b in zip(probs, got[g], want):
+            assert a == pytest.approx(b, rel=1e-12, abs=1e-12) or (g == "d" and not float((len(x) - 1) * p).is_integer()), (g, p)
+    monkeypatch.setattr(QT, "SMALL_GROUP", 1 << 40)  # every group one bracket
+    whole = {r.g: list(r)[1:] for r in QT.exact_percentiles(df, "v", probs[1:-1], ["g"]).collect()}
+    assert all(repr(whole[g]) == repr(got[g][1:-1]) for g in values)
+
+
+def test_describe_plan_has_few_exchanges(spark):
+    df = spark.range(20000).selectExpr("id % 3 as g", "cast(id * 7 % 1000 as double) as v")
+    plan = A.describe_by(df, "v", "g")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") + plan.count("Exchange rangepartitioning") <= 6 and "Range (" not in plan
+
+
+def test_group_statistics_are_computed_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+    df = spark.range(1000).selectExpr("id % 4 as g", "id as v").mapInArrow(count, "g long, v long")
+    out = J.join_group_aggregate(df, "g", [F.max("v").alias("m")])
+    assert seen.value == 1000  # the aggregate, stored
+    assert out.where("v = m").count() == 4 and seen.value == 2000
+    assert rows(W.rows_at_group_extreme(df, ["g"], "v"), "g", "v") == [(k, 996 + k) for k in range(4)]

@@ -78,17 +78,34 @@ def join_on_columns(left: DataFrame, right: DataFrame, left_on, right_on,
 
 
 # J7 / R4 ----------------------------------------------------------------
+#: rows of a row or column block of a product
+PRODUCT_BLOCK = 2_000
+
+
 def cross_product(left: DataFrame, right: DataFrame, max_bytes: int | None = None) -> DataFrame:
-    """Cartesian product with a side that is checked to be small and is
-    broadcast; its size is all that is bounded, not the rows of the result. If
-    neither side is small, raises."""
-    limit = max_bytes or BROADCAST_BYTES
+    """Cartesian product of tables of any size. A side that is counted to be
+    small is broadcast; of two large sides, see ``blocked_product``."""
+    limit = BROADCAST_BYTES if max_bytes is None else max_bytes
     for small, other in ((right, left), (left, right)):
-        most = max(1, limit // row_bytes(small))
-        if small.limit(most + 1).count() <= most:
+        most = limit // row_bytes(small)
+        if most and small.limit(most + 1).count() <= most:
             out = other.crossJoin(F.broadcast(small))
             return out if small is right else out.select(*left.columns, *right.columns)
-    raise ValueError(f"neither side of the cross product fits {limit} bytes")
+    return blocked_product(left, right)
+
+
+def blocked_product(left: DataFrame, right: DataFrame, block: int = PRODUCT_BLOCK) -> DataFrame:
+    """Cartesian product by cells: the left rows are dealt to row blocks and the
+    right ones to column blocks of about ``block`` rows, in turn (so equal rows
+    do not gather), and each (row block, column block) is one key of an equi
+    join. A left row goes to every column block once and a right row to every
+    row block; no side is broadcast and no task holds more than a cell's rows."""
+    n_rows, n_columns = (max(1, -(-side.count() // block)) for side in (left, right))
+    deal = lambda n: F.pmod(F.monotonically_increasing_id(), F.lit(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    a = left.select("*", deal(n_rows).alias("_row")).select("*", every(n_columns).alias("_column"))
+    b = right.select("*", deal(n_columns).alias("_column")).select("*", every(n_rows).alias("_row"))
+    return a.join(b.hint("merge"), ["_row", "_column"]).drop("_row", "_column")
 
 
 # J10 / D17 --------------------------------------------------------------
@@ -219,7 +236,8 @@ def join_group_aggregate(df: DataFrame, keys, agg_exprs: Sequence[Column]) -> Da
 def zip_rows(left: DataFrame, right: DataFrame, left_order, right_order) -> DataFrame:
     """Positional side-by-side concat (pandas ``concat(axis=1)``): the i-th
     row of each side under its explicit order; the shorter side is padded
-    with NULL. Positions come from the distributed global row number."""
+    with NULL. Positions come from the distributed global row number; rows come
+    back in no order of their own."""
     lp = row_positions(left, left_order, "_pos")
     rp = row_positions(right, right_order, "_pos")
-    return lp.join(rp, "_pos", "full").orderBy("_pos").drop("_pos")
+    return lp.join(rp, "_pos", "full").drop("_pos")

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeloom.operators.aggregates import describe_by
-from lakeloom.operators._store import stored_side
+from lakeloom.operators._store import small_side, stored, stored_side
 from lakeloom.operators.quantiles import exact_percentiles
 
 
@@ -235,16 +235,30 @@ def key_checks(df: DataFrame, pk: Sequence[str], not_null: Sequence[str] = (),
 
 
 # Q12 --------------------------------------------------------------------
+def label_dictionary(df: DataFrame, col: str) -> DataFrame:
+    """(``col``, ``label_index`` double) of the different labels in ascending
+    order, numbered from 0 in ordered segments and stored: however many labels
+    there are, none come to the driver."""
+    from lakeloom.operators.windows import row_positions
+    labels = stored(df.select(col).where(F.col(col).isNotNull()).distinct(), "labels")
+    return stored(row_positions(labels, [col], "_at").select(col, F.col("_at").cast("double").alias("label_index")), "dictionary")
+
+
+def _labelled(df: DataFrame, col: str, out: str) -> tuple[DataFrame, DataFrame]:
+    """``df`` with the label's number, a NULL label having the number of labels."""
+    dictionary = label_dictionary(df, col)
+    side = small_side(dictionary.withColumnsRenamed({col: "_label", "label_index": out}))
+    known = df.drop(out).join(side, F.col(col) == F.col("_label"), "left").drop("_label")
+    return known.fillna({out: float(dictionary.count())}), dictionary
+
+
 def _encoded(df: DataFrame, one_hot: bool, col: str, out: str | None = None) -> DataFrame:
-    from pyspark.ml import Pipeline
+    if not one_hot:
+        return _labelled(df, col, out or f"{col}_idx")[0]
     from pyspark.ml import feature as MF
-    index = f"{col}_idx"
-    stages = [MF.StringIndexer(inputCol=col, outputCol=index if one_hot else out or index, handleInvalid="keep",
-                               stringOrderType="alphabetAsc")]
-    if one_hot:
-        stages.append(MF.OneHotEncoder(inputCol=index, outputCol=out or f"{col}_ohe"))
-    result = Pipeline(stages=stages).fit(df).transform(df)
-    return result.drop(index) if one_hot else result
+    result, dictionary = _labelled(df, col, "_index")
+    encoder = MF.OneHotEncoder(inputCol="_index", outputCol=out or f"{col}_ohe", handleInvalid="keep")
+    return encoder.fit(dictionary.select(F.col("label_index").alias("_index"))).transform(result).drop("_index")
 
 
 def _on_vector(df: DataFrame, cols: Sequence[str], stage, invalid: str) -> DataFrame:

@@ -72,8 +72,8 @@ def resample_weekly(df: DataFrame, date_col: str, value_cols: Sequence[str], how
 
 
 def key_grid(dims: Sequence[DataFrame]) -> DataFrame:
-    """All combinations of the distinct rows of each frame; each frame's
-    distinct rows are checked to be few before they are broadcast."""
+    """All combinations of the distinct rows of each frame, of any number: few
+    are broadcast, many are combined block by block."""
     from lakeloom.operators.joins import cross_product
     grid = dims[0].distinct()
     for d in dims[1:]:

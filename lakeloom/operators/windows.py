@@ -2,17 +2,19 @@
 
 Design rules for scale:
 
-* No operator looks at the data to choose its path, and no query is run
-  to build another (only the ``segmented_*`` forms write their segments).
+* No operator looks at the data to choose its path. Jobs that run while a
+  query is built: the ``segmented_*`` and whole-table forms read their key
+  columns for the segments' bounds, group extremes are stored before they are
+  joined back.
 * Per-group windows partition by the group key. For groups too large for
   one task the caller asks for the ``segmented_*`` form of the operator, which
-  gives the same rows from ordered segments.
+  gives the same rows from ordered segments (bounds are data, rows are tagged).
 * Top-n and dedup always run in two stages: a salted first pass keeps only
   rows that can still reach the final cut, the exact final pass ranks those
   survivors. Ties are reduced to one row a key before they are ranked.
 * Ranks, positions and counts are ``bigint``.
 * Windows with no partition key (global rank, global running total, row
-  positions) never run in one task: rows are range-partitioned into
+  positions) never run in one task: rows are dealt to
   ordered segments, ranked/summed locally, and shifted by the counts/sums
   of earlier segments (a small per-segment table).
 """
@@ -62,7 +64,7 @@ def segmented_ranks_within(df: DataFrame, partition_by, order_by, outputs: dict[
     that continue across a segment edge (at most two a segment), the rows or
     different keys of their earlier segments."""
     keys, okeys = _cols(partition_by), sort_keys(order_by)
-    local = range_segments(df, [F.col(k) for k in keys] + okeys, segments).withColumn("_gk", _gkey(keys))
+    local = range_segments(df, [*keys, *as_specs(order_by)], segments).withColumn("_gk", _gkey(keys))
     w = Window.partitionBy("_gk", "_seg").orderBy(*okeys)
     local = local.withColumn("_dense", F.dense_rank().over(w).cast("long"))
     edge = local.join(F.broadcast(_edge_groups(local)), ["_gk", "_seg"], "left_semi")
@@ -254,7 +256,7 @@ def segmented_lead_lag(df: DataFrame, partition_by, order_by, value_col: str, of
     """
     keys = _cols(partition_by)
     okeys = sort_keys(order_by)
-    seg = range_segments(df, [F.col(k) for k in keys] + okeys, segments).withColumn("_gk", _gkey(keys))
+    seg = range_segments(df, [*keys, *as_specs(order_by)], segments).withColumn("_gk", _gkey(keys))
     wl = Window.partitionBy("_gk", "_seg").orderBy(*okeys)
     local = (seg.withColumn("_rn", F.row_number().over(wl))
              .withColumn("_cnt", F.count(F.lit(1)).over(Window.partitionBy("_gk", "_seg"))))
@@ -303,7 +305,7 @@ def segmented_running_total(df: DataFrame, partition_by, order_by, value_col: st
     a segment edge have (at most two a segment). Rows with equal keys share a
     segment, so the RANGE frame stays exact."""
     keys, okeys = _cols(partition_by), sort_keys(order_by)
-    seg = range_segments(df, [F.col(k) for k in keys] + okeys, segments).withColumn("_gk", _gkey(keys))
+    seg = range_segments(df, [*keys, *as_specs(order_by)], segments).withColumn("_gk", _gkey(keys))
     w = Window.partitionBy("_gk", "_seg").orderBy(*okeys)
     w = (w.rowsBetween(Window.unboundedPreceding, Window.currentRow) if rows
          else w.rangeBetween(Window.unboundedPreceding, Window.currentRow))
@@ -325,7 +327,7 @@ def global_running_total(df: DataFrame, order_by, value_col: str,
     Rows with equal order keys share a segment, so the RANGE frame (peers
     summed together) stays exact. With ``rows=True`` give a total order."""
     keys = sort_keys(order_by)
-    seg = range_segments(df, keys, segments)
+    seg = range_segments(df, as_specs(order_by), segments)
     w = Window.partitionBy("_seg").orderBy(*keys)
     w = (w.rowsBetween(Window.unboundedPreceding, Window.currentRow) if rows
          else w.rangeBetween(Window.unboundedPreceding, Window.currentRow))
@@ -349,7 +351,7 @@ def global_rank(df: DataFrame, order_by, method: str = "rank", out: str = "rank"
     """
     keys = sort_keys(order_by)
     key_cols = key_names(order_by)
-    seg = range_segments(df, keys, segments)
+    seg = range_segments(df, as_specs(order_by), segments)
     w = Window.partitionBy("_seg").orderBy(*keys)
     local = seg.withColumn("_lr", _RANKERS[method]().over(w))
     if method == "dense_rank":
@@ -375,7 +377,7 @@ def global_ranks(df: DataFrame, order_by, outputs: dict, tie_break=None,
     refinement stays inside one segment."""
     keys = sort_keys(order_by)
     key_cols = key_names(order_by)
-    seg = range_segments(df, keys, segments)
+    seg = range_segments(df, as_specs(order_by), segments)
     w = Window.partitionBy("_seg").orderBy(*keys)
     w_rn = Window.partitionBy("_seg").orderBy(*(keys + (sort_keys(tie_break) if tie_break else [])))
     local = seg
@@ -435,7 +437,7 @@ def segmented_fill(df: DataFrame, partition_by, order_by, cols: Sequence[str],
     keys = _cols(partition_by)
     okeys = sort_keys(order_by)
     forward = direction == "forward"
-    seg = range_segments(df, [F.col(k) for k in keys] + okeys, segments).withColumn("_gk", _gkey(keys))
+    seg = range_segments(df, [*keys, *as_specs(order_by)], segments).withColumn("_gk", _gkey(keys))
     frame = ((Window.unboundedPreceding, Window.currentRow) if forward
              else (Window.currentRow, Window.unboundedFollowing))
     wl = Window.partitionBy("_gk", "_seg").orderBy(*okeys).rowsBetween(*frame)

@@ -114,6 +114,18 @@ def j7_cross_join_grid(spark, sf):
             .select("r_name", "c_mktsegment", F.coalesce("customers", F.lit(0)).alias("customers"), "balance"))
 
 
+@register("j7_blocked_product", """
+SELECT s.s_nationkey, p.p_brand, COUNT(*) AS n_pairs, COUNT(*) FILTER (s.s_suppkey < p.p_partkey) AS n_below,
+       MIN(s.s_suppkey + p.p_partkey) AS least_sum, MAX(p.p_retailprice) AS max_price
+FROM supplier s CROSS JOIN part p GROUP BY 1, 2""")
+def j7_blocked_product(spark, sf):
+    """Every supplier with every part, neither side broadcast."""
+    s, p = table(spark, sf, "supplier").select("s_nationkey", "s_suppkey"), table(spark, sf, "part").select("p_partkey", "p_brand", "p_retailprice")
+    return J.cross_product(s, p, max_bytes=0).groupBy("s_nationkey", "p_brand").agg(
+        F.count(F.lit(1)).alias("n_pairs"), F.count_if(F.col("s_suppkey") < F.col("p_partkey")).alias("n_below"),
+        F.min(F.col("s_suppkey") + F.col("p_partkey")).alias("least_sum"), F.max("p_retailprice").alias("max_price"))
+
+
 @register("j9_join_different_keys", f"""
 SELECT p.p_brand, COUNT(*) AS line_count, {sql_dsum(SQL_NET, 4)} AS revenue
 FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey GROUP BY p.p_brand""")

@@ -165,6 +165,36 @@ def q12_label_encoding(spark, sf):
     return Q.pre_processing(c, "label_encoding", col="c_mktsegment", out="segment_idx").select("c_custkey", "segment_idx")
 
 
+@register("q12_label_encoding_unique", """
+SELECT o_orderkey, CAST(DENSE_RANK() OVER (ORDER BY label) - 1 AS DOUBLE) AS label_idx FROM (
+  SELECT o_orderkey, o_orderpriority || '-' || CAST(o_orderkey AS VARCHAR) AS label FROM orders)""")
+def q12_label_encoding_unique(spark, sf):
+    """As many labels as rows: the dictionary is numbered in segments."""
+    o = table(spark, sf, "orders").select("o_orderkey", F.concat_ws("-", "o_orderpriority", F.col("o_orderkey").cast("string")).alias("label"))
+    return Q.pre_processing(o, "label_encoding", col="label", out="label_idx").select("o_orderkey", "label_idx")
+
+
+@register("q12_one_hot_encoding", """
+WITH d AS (SELECT c_mktsegment, CAST(DENSE_RANK() OVER (ORDER BY c_mktsegment) - 1 AS INTEGER) AS place FROM (SELECT DISTINCT c_mktsegment FROM customer))
+SELECT c_custkey, place, (SELECT CAST(count(*) AS INTEGER) FROM d) AS width, 1.0::DOUBLE AS total FROM customer JOIN d USING (c_mktsegment)""")
+def q12_one_hot_encoding(spark, sf):
+    from pyspark.ml.functions import vector_to_array
+    c = Q.pre_processing(table(spark, sf, "customer").select("c_custkey", "c_mktsegment"), "one_hot_encoding", col="c_mktsegment", out="v")
+    v = c.select("c_custkey", vector_to_array("v").alias("a"))
+    return v.select("c_custkey", (F.array_position("a", 1.0) - 1).cast("int").alias("place"), F.size("a").alias("width"),
+                    F.aggregate("a", F.lit(0.0), lambda x, y: x + y).alias("total"))
+
+
+@register("q12_feature_scaling", """
+SELECT p_partkey, round((p_size - avg(p_size) OVER ()) / stddev_samp(p_size) OVER (), 6) AS size_scaled,
+       round((p_retailprice - avg(p_retailprice) OVER ()) / stddev_samp(p_retailprice) OVER (), 6) AS price_scaled FROM part""")
+def q12_feature_scaling(spark, sf):
+    from pyspark.ml.functions import vector_to_array
+    p = table(spark, sf, "part").select("p_partkey", "p_size", "p_retailprice")
+    s = Q.pre_processing(p, "feature_scaling", cols=["p_size", "p_retailprice"]).select("p_partkey", vector_to_array("scaled").alias("a"))
+    return s.select("p_partkey", F.round(F.col("a")[0], 6).alias("size_scaled"), F.round(F.col("a")[1], 6).alias("price_scaled"))
+
+
 # ---------------------------------------------------------------- X5-X9
 @register("x5_x9_masking_and_hashing", """
 SELECT c_custkey, '*******' || right(c_name, 4) AS name_last4,

@@ -44,10 +44,15 @@ def test_join_types(emp, dept):
     assert (103,) in rows(ns, "emp_id")
 
 
-def test_cross_product_guard(spark, emp, dept):
-    assert J.cross_product(emp, dept).count() == 20
-    with pytest.raises(ValueError):
-        J.cross_product(emp, dept, max_bytes=50)
+def test_cross_product_of_small_and_large_sides(spark, emp, dept):
+    want = rows(emp.crossJoin(dept))
+    assert len(want) == 20 and rows(J.cross_product(emp, dept)) == want
+    assert rows(J.cross_product(emp, dept, max_bytes=0)) == want
+    twice = emp.unionAll(emp)  # equal rows are dealt to different blocks
+    assert rows(J.blocked_product(twice, dept, block=2)) == rows(twice.crossJoin(dept))
+    plan = J.blocked_product(twice, dept, block=2)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastExchange" not in plan and "CartesianProduct" not in plan
+    assert J.cross_product(emp.where("false"), dept, max_bytes=0).count() == 0
 
 
 def test_star_join_prefixes_duplicates(spark):
@@ -618,3 +623,46 @@ def test_group_statistics_are_computed_once(spark):
     assert seen.value == 1000  # the aggregate, stored
     assert out.where("v = m").count() == 4 and seen.value == 2000
     assert rows(W.rows_at_group_extreme(df, ["g"], "v"), "g", "v") == [(k, 996 + k) for k in range(4)]
+
+
+def test_segments_are_balanced_and_tie_safe(spark):
+    from lakeloom.operators._order import range_segments, sort_keys
+    rng = np.random.default_rng(2)
+    data = [(i, float(rng.normal()), ["a", None, "c"][i % 3]) for i in range(20000)] + [(20000 + i, 9.0, "z") for i in range(500)]
+    df = spark.createDataFrame(data, "id long, v double, s string")
+    for specs in (["v"], [("v", "desc")], [F.col("v").desc_nulls_first(), "id"], ["s", ("v", "desc")], [F.expr("v * 2").asc_nulls_last()]):
+        tagged = range_segments(df, specs, 16)
+        again = range_segments(df.repartition(7), specs, 16)
+        got = {r.id: r._seg for r in tagged.collect()}
+        assert got == {r.id: r._seg for r in again.collect()}  # the layout does not matter
+        sizes = np.bincount(list(got.values()), minlength=16)
+        assert len(sizes) == 16 and sizes.max() <= 2 * len(got) / 16 and "Exchange" not in tagged._jdf.queryExecution().executedPlan().toString().split("Subquery")[0]
+        ordered = [r._seg for r in tagged.orderBy(*sort_keys(specs)).collect()]
+        assert ordered == sorted(ordered)
+
+
+def test_segments_of_nulls_few_keys_and_empty_tables(spark):
+    from lakeloom.operators._order import range_segments
+    df = spark.createDataFrame([(None,)] * 5 + [(1,)] * 50 + [(2,)], "k int")
+    seg = {(r.k, r._seg) for r in range_segments(df, ["k"], 4).collect()}
+    assert len(seg) == 3 and len({k for k, _ in seg}) == 3
+    last = {r.k: r._seg for r in range_segments(df, [F.col("k").desc_nulls_last()], 4).collect()}
+    assert last[2] <= last[1] <= last[None]
+    assert range_segments(df.where("false"), ["k"], 4).count() == 0
+
+
+def test_whole_table_order_runs_no_job_over_rows(spark):
+    """While the query is built only key columns are read."""
+    df = spark.range(5000).selectExpr("id", "id % 100 as k", "if(id >= 0, 1, cast(raise_error('row read') as int)) as heavy")
+    out = W.global_rank(df.selectExpr("id", "k", "heavy"), ["k", "id"], "row_number", "rn", segments=6)
+    assert [r.rn for r in out.orderBy("k", "id").select("rn").collect()] == list(range(1, 5001))
+
+
+def test_label_dictionary_of_many_and_null_labels(spark):
+    df = spark.createDataFrame([(i, None if i % 50 == 0 else f"k{(i * 7919) % 3000:04d}") for i in range(4000)], "id long, k string")
+    labels = sorted({r.k for r in df.collect() if r.k is not None})
+    got = {r.id: (r.k, r.n) for r in Q.pre_processing(df, "label_encoding", col="k", out="n").collect()}
+    assert len(got) == 4000 and all(n == (len(labels) if k is None else labels.index(k)) for k, n in got.values())
+    hot = Q.pre_processing(df.where("id < 60"), "one_hot_encoding", col="k", out="v").collect()
+    known = sorted({r.k for r in hot if r.k is not None})
+    assert all(r.v.size == len(known) and r.v.numNonzeros() == (r.k is not None) and (r.k is None or r.v[known.index(r.k)] == 1) for r in hot)

@@ -12,6 +12,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakeloom.operators._store import stored_side
 from lakeloom.operators.quantiles import _pack as pack_key
@@ -33,10 +34,26 @@ _AGGS = {
 }
 
 
+def exact_sum(units: Column) -> Column:
+    """Sum of bigint units as DECIMAL that no number of rows overflows: the
+    low 20 bits and the rest are summed apart as bigint (each partial sum
+    stays in generated code) and put together once per group."""
+    high = F.sum(F.shiftright(units, 20)).cast("decimal(20,0)")
+    low = F.sum(units.bitwiseAND(F.lit((1 << 20) - 1))).cast("decimal(20,0)")
+    return high * F.lit(1 << 20).cast("decimal(8,0)") + low
+
+
+def _safe_sum(df: DataFrame, col: str) -> Column:
+    """``sum``, for whole numbers the exact one."""
+    whole = isinstance(df.schema[col].dataType, T.IntegralType)
+    return exact_sum(F.col(col).cast("long")) if whole else F.sum(col)
+
+
 def summarize(df: DataFrame, by=None, aggs: Mapping[str, Sequence[str]] | None = None,
               count_rows: str | None = None) -> DataFrame:
     """``groupBy(by).agg`` from a spec ``{column: [func, ...]}``; output
-    columns are named ``<func>_<column>`` (pandas ``.agg([...])``). ``median``
+    columns are named ``<func>_<column>`` (pandas ``.agg([...])``). Sums of whole
+    numbers are DECIMAL and cannot overflow. ``median``
     is exact and comes from value counts, so no task holds a group's values."""
     from lakeloom.operators.joins import join
     from lakeloom.operators.quantiles import exact_median
@@ -52,7 +69,7 @@ def summarize(df: DataFrame, by=None, aggs: Mapping[str, Sequence[str]] | None =
             if fn == "median":
                 medians.append(col)
             else:
-                exprs.append(_AGGS[fn](F.col(col)).alias(f"{fn}_{col}"))
+                exprs.append((_safe_sum(df, col) if fn == "sum" else _AGGS[fn](F.col(col))).alias(f"{fn}_{col}"))
     keys = _cols(by)
     out = df.groupBy(*keys).agg(*(exprs or [F.count(F.lit(1)).alias("_rows")]))
     for col in medians:
@@ -142,12 +159,12 @@ def salted_agg(df: DataFrame, key, value_col: str, salt_buckets: int | None = No
     salt_src = [F.col(c) for c in (salt_cols or df.columns)]
     staged = df.withColumn("_salt", F.pmod(F.xxhash64(*salt_src), _salts(df, salt_buckets)))
     partial = staged.groupBy(*keys, "_salt").agg(
-        F.sum(value_col).alias("_s"), F.count(value_col).alias("_n"),
+        _safe_sum(staged, value_col).alias("_s"), F.count(value_col).alias("_n"),
         F.min(value_col).alias("_mn"), F.max(value_col).alias("_mx"))
     return partial.groupBy(*keys).agg(
         F.sum("_s").alias("total"), F.sum("_n").alias("n"),
         F.min("_mn").alias("min"), F.max("_mx").alias("max"),
-        (F.sum("_s") / F.sum("_n")).alias("avg"))
+        (F.sum("_s").cast("double") / F.sum("_n")).alias("avg"))
 
 
 def salted_count_distinct(df: DataFrame, key, col: str, out: str = "n_distinct",

@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.operators._store import BROADCAST_BYTES, row_bytes, stored_side
+from lakeloom.operators._store import BROADCAST_BYTES, row_bytes, stored, stored_side
 from lakeloom.operators.windows import row_positions
 
 # Accepted join type spellings and their Spark names.
@@ -154,12 +154,11 @@ def hot_keys(df: DataFrame, key: str, min_share: float | None = None) -> list:
     what one shuffle task would hold if rows were even. At most
     ``1 / min_share`` keys can qualify, so the driver-side list is bounded."""
     min_share = min_share or 1.0 / _shuffle_partitions(df)
-    total = df.count()
-    if total == 0:
+    counts = stored(df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")), "key-counts")  # the only scan of df
+    total = counts.agg(F.sum("_n")).first()[0]
+    if not total:
         return []
-    limit = int(1 / min_share) + 1
-    rows = (df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-            .where(F.col("_n") >= F.lit(min_share * total)).limit(limit).collect())
+    rows = counts.where(F.col("_n") >= F.lit(min_share * total)).limit(int(1 / min_share) + 1).collect()
     return [r[key] for r in rows]
 
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import contextlib
 import time
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -76,6 +76,23 @@ def shuffle_partitions(spark: SparkSession, n: int):
         spark.conf.set("spark.sql.shuffle.partitions", old)
 
 
+def sized_partitions(spark: SparkSession, path: str, target_bytes: int = 256 << 20, expansion: float = 3.0, fmt: str = "parquet") -> int:
+    """Shuffle partitions for a job over the table at ``path``: the bytes of
+    its files, times what rows take more in memory than in files, over
+    ``target_bytes``; at least one for each core."""
+    files = spark.read.format(fmt).load(path).select("_metadata.file_path", "_metadata.file_size").distinct()
+    size = files.agg(F.sum("file_size")).first()[0] or 0
+    return max(spark.sparkContext.defaultParallelism, -(-int(size * expansion) // target_bytes))
+
+
+def shared_reuse(df: DataFrame, consumers: Mapping[str, Callable[[DataFrame], DataFrame]], level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> dict[str, DataFrame]:
+    """Results of several consumers of one frame that is computed once: it is
+    persisted, each consumer's result is stored, then the frame is released."""
+    from lakeloom.operators._store import stored
+    with cached(df, level) as held:
+        return {name: stored(consume(held), name) for name, consume in consumers.items()}
+
+
 # L7 ---------------------------------------------------------------------
 def compact(spark: SparkSession, src: str, dst: str, target_files: int, fmt: str = "parquet",
             partition_by: Sequence[str] = ()) -> DataFrame:
@@ -103,35 +120,42 @@ def _interleave(bucket_cols: Sequence[str], bits: int) -> F.Column:
     return key
 
 
-def _at_most(value: F.Column):
-    return lambda x: x <= value
-
-
-def zorder(df: DataFrame, cols: Sequence[str], bits: int = 8, files: int | None = None,
-           rel_error: float = 0.001) -> DataFrame:
+def zorder(df: DataFrame, cols: Sequence[str], bits: int = 8, files: int | None = None) -> DataFrame:
     """Cluster rows on several columns at once (``OPTIMIZE ... ZORDER BY``).
 
-    Each column is mapped to ``2**bits`` buckets by approximate quantile
-    edges (a bounded list computed with ``approxQuantile``), the bucket
-    numbers are bit-interleaved into a Morton key, and rows are range
-    partitioned and sorted by that key. Written to Parquet, each file then
-    covers a compact box in all the columns, so min/max statistics skip
-    files for filters on any of them.
+    Each column (of any ordered type) gets one of at most ``2**bits`` buckets
+    of about equal rows: the bounds are stored data from a hash sample of the
+    column, a row finds its bucket by binary search. The bucket numbers are
+    bit-interleaved into a Morton key, and rows are range partitioned and sorted
+    by that key and then the columns themselves, so that a cell that holds many
+    rows is split over files too. Written to Parquet, each file then covers a
+    compact box in all the columns, so min/max statistics skip files for
+    filters on any of them.
     """
-    n_b = 2 ** bits
-    probs = [i / n_b for i in range(1, n_b)]
-    edges = df.approxQuantile(list(cols), probs, rel_error)
-    out = df
-    names = []
-    for c, e in zip(cols, edges):
-        name = f"_zb_{c}"
-        # bucket = number of edges <= value, via a sorted literal array
-        arr = F.array(*[F.lit(float(x)) for x in sorted(set(e))])
-        out = out.withColumn(name, F.size(F.filter(arr, _at_most(F.col(c).cast("double")))))
-        names.append(name)
+    from lakeloom.operators._order import range_segments
+    out, names = df, [f"_zb_{c}" for c in cols]
+    for c, name in zip(cols, names):
+        out = range_segments(out, [c], 2 ** bits, name)
     out = out.withColumn("_zkey", _interleave(names, bits))
     n = files or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return out.repartitionByRange(n, "_zkey").sortWithinPartitions("_zkey").drop("_zkey", *names)
+    return out.repartitionByRange(n, "_zkey", *cols).sortWithinPartitions("_zkey", *cols).drop("_zkey", *names)
+
+
+def file_ranges(spark: SparkSession, path: str, cols: Sequence[str], fmt: str = "parquet") -> DataFrame:
+    """One row a file: ``file_path``, ``rows``, and ``min_<c>`` and ``max_<c>``
+    of each column, as a reader that skips files by statistics sees them."""
+    df = spark.read.format(fmt).load(path).select(*cols, "_metadata.file_path")
+    return df.groupBy("file_path").agg(F.count(F.lit(1)).alias("rows"), *[
+        f(c).alias(f"{n}_{c}") for c in cols for n, f in (("min", F.min), ("max", F.max))])
+
+
+def skipped_files(ranges: DataFrame, box: Mapping[str, tuple]) -> DataFrame:
+    """``file_ranges`` with ``skipped``: no row of the file can lie in the box
+    (column -> lowest and highest wanted value)."""
+    out = F.lit(False)
+    for c, (low, high) in box.items():
+        out |= F.col(f"min_{c}").isNull() | (F.col(f"max_{c}") < low) | (F.col(f"min_{c}") > high)
+    return ranges.withColumn("skipped", out)
 
 
 def zorder_write(df: DataFrame, path: str, cols: Sequence[str], bits: int = 8,

@@ -39,12 +39,13 @@ def fill(df: DataFrame, value=None, subset: Sequence[str] | None = None,
 
 def fill_with_stat(df: DataFrame, cols: Sequence[str], stat: str = "mean") -> DataFrame:
     """Fill NULLs with the column mean or (exact) median; one number a column
-    comes back as a literal. Medians are taken from value counts. An integer
-    column whose statistic has a fraction becomes double, as in pandas."""
+    comes back as a literal. All columns' medians come from one percentile pass
+    over (column, value) rows. An integer column whose statistic has a fraction becomes double, as in pandas."""
     if stat == "median":
         from lakeloom.operators.quantiles import exact_median
-        found = {c: exact_median(df, c).first() for c in cols}
-        values = {c: r["median"] if r is not None else None for c, r in found.items()}
+        stacked = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot([], list(cols), "_column", "_value")
+        found = exact_median(stacked, "_value", ["_column"]).collect()  # one row a column
+        values = {c: None for c in cols} | {r["_column"]: r["median"] for r in found}
     else:
         values = df.agg(*[F.avg(c).alias(c) for c in cols]).first().asDict()
     whole = ("tinyint", "smallint", "int", "bigint")

@@ -1,9 +1,9 @@
 """Shared helpers for the named reports.
 
-Money columns in the test tables are doubles holding cents. Sums are taken
-as DECIMAL (exact, order-independent) and only then turned into double;
-averages are that exact sum divided by the count. Both keep results
-identical however the rows are split over tasks.
+Money columns in the test tables are doubles holding cents. Sums are taken in
+whole units (bigint halves, put together as DECIMAL once a group) and only then
+turned into double; averages are that exact sum divided by the count. Both keep
+results identical however the rows are split over tasks.
 """
 
 from __future__ import annotations
@@ -13,6 +13,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakeloom.operators.aggregates import exact_sum
+
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
 
 
@@ -57,15 +59,6 @@ def dsum(c, scale: int = 2) -> Column:
     return exact_sum(cents(c, scale)).cast("double") / float(10 ** scale)
 
 
-def exact_sum(units: Column) -> Column:
-    """Sum of bigint units as DECIMAL that no number of rows overflows: the
-    low 20 bits and the rest are summed apart as bigint (each partial sum
-    stays in generated code) and put together once per group."""
-    high = F.sum(F.shiftright(units, 20)).cast("decimal(20,0)")
-    low = F.sum(units.bitwiseAND(F.lit((1 << 20) - 1))).cast("decimal(20,0)")
-    return high * F.lit(1 << 20).cast("decimal(8,0)") + low
-
-
 def total(c: str) -> Column:
     """Sum of partial sums (bigint or DECIMAL) as DECIMAL(38,0)."""
     return F.sum(F.col(c).cast("decimal(38,0)"))

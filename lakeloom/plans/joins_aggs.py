@@ -271,7 +271,7 @@ def a5_several_aggregates(spark, sf):
     o = table(spark, sf, "orders").withColumn("cents", cents("o_totalprice"))
     out = A.summarize(o, "o_orderpriority", {"o_totalprice": ["min", "max"], "cents": ["sum"], "o_custkey": ["count_distinct"]},
                       count_rows="n_rows")
-    return out.select("o_orderpriority", "n_rows", "sum_cents",
+    return out.select("o_orderpriority", "n_rows", F.col("sum_cents").cast("long").alias("sum_cents"),
                       "min_o_totalprice", "max_o_totalprice", "count_distinct_o_custkey")
 
 

@@ -300,23 +300,54 @@ def r7_row_wise_expression(spark, sf):
 
 
 # ---------------------------------------------------------------- layout (data unchanged)
-@register("l1_l2_repartition_coalesce", "SELECT * FROM lineitem")
+@register("l1_l2_repartition_coalesce", "SELECT 16 AS dealt, 4 AS coalesced, COUNT(*) AS n_rows, SUM(l_linenumber) AS lines, true AS keys_together FROM lineitem")
 def l1_l2_repartition_coalesce(spark, sf):
-    """Hash repartition by key then coalesce: the rows are unchanged."""
-    return L.coalesce_to(L.repartition_by(table(spark, sf, "lineitem"), 16, ["l_orderkey"]), 4)
-
-
-@register("l8_zorder_clustering", "SELECT * FROM lineitem")
+    """Hash repartition by key, then coalesce: how many partitions there are
+    (counted from the rows), that no key is in two of them, and all rows."""
+    dealt = L.repartition_by(table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber"), 16, ["l_orderkey"])
+    few = L.coalesce_to(dealt, 4)
+    at = few.withColumn("_p", F.spark_partition_id()).groupBy("l_orderkey", "_p").agg(F.count(F.lit(1)).alias("n"), F.sum("l_linenumber").alias("s"))
+    keys = at.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("places"), F.sum("n").alias("n"), F.sum("s").alias("s"))
+    return keys.agg(F.lit(L.partition_count(dealt)).alias("dealt"), F.lit(L.partition_count(few)).alias("coalesced"), F.sum("n").alias("n_rows"),
+                    F.sum("s").alias("lines"), (F.max("places") == 1).alias("keys_together"))
+
+
+@register("l8_zorder_clustering", """
+SELECT 16 AS n_files, (SELECT COUNT(*) FROM lineitem) AS n_rows, COUNT(*) AS wanted, COUNT(*) AS wanted_in_read, 0 AS wanted_in_skipped, true AS most_skipped
+FROM lineitem WHERE l_partkey BETWEEN 40 AND 80 AND l_suppkey BETWEEN 2 AND 4""")
 def l8_zorder_clustering(spark, sf):
-    """Z-order clustering on (partkey, suppkey): rows unchanged, reordered."""
-    return L.zorder(table(spark, sf, "lineitem"), ["l_partkey", "l_suppkey"], bits=6, files=8)
-
-
-@register("l3_partition_sizes_total", "SELECT COUNT(*) AS rows FROM lineitem")
+    """Lines written in Z-order on (partkey, suppkey). From the files' ranges: how many a
+    box filter skips, and a brute count of wanted rows in the files read and skipped."""
+    path, cols, box = _scratch(spark, "zorder"), ["l_partkey", "l_suppkey"], {"l_partkey": (40, 80), "l_suppkey": (2, 4)}
+    L.zorder_write(table(spark, sf, "lineitem"), path, cols, bits=6, files=16)
+    files = L.skipped_files(L.file_ranges(spark, path, cols), box)
+    inside = F.col("l_partkey").between(40, 80) & F.col("l_suppkey").between(2, 4)
+    brute = spark.read.parquet(path).select(inside.alias("w"), "_metadata.file_path").groupBy("file_path").agg(F.count_if("w").alias("w"))
+    return files.join(brute, "file_path").agg(
+        F.count(F.lit(1)).cast("int").alias("n_files"), F.sum("rows").alias("n_rows"), F.sum("w").alias("wanted"),
+        F.sum(F.when(~F.col("skipped"), F.col("w")).otherwise(0)).alias("wanted_in_read"),
+        F.sum(F.when(F.col("skipped"), F.col("w")).otherwise(0)).cast("int").alias("wanted_in_skipped"),
+        (2 * F.count_if("skipped") > F.count(F.lit(1))).alias("most_skipped"))
+
+
+@register("l3_partition_sizes_total", "SELECT 16 AS partitions, COUNT(*) AS rows, true AS even FROM lineitem")
 def l3_partition_sizes_total(spark, sf):
-    """Rows per partition after a key repartition, summed back to the total."""
+    """Rows per partition after a key repartition: their number, sum, and that none has twice the mean."""
     sizes = L.partition_sizes(L.repartition_by(table(spark, sf, "lineitem"), 16, ["l_orderkey"]))
-    return sizes.agg(F.sum("rows").alias("rows"))
+    return sizes.agg(F.count(F.lit(1)).cast("int").alias("partitions"), F.sum("rows").alias("rows"), (F.max("rows") <= 2 * F.avg("rows")).alias("even"))
+
+
+@register("l4_l5_shared_reuse", """
+WITH per AS (SELECT o_custkey, COUNT(*) AS n, MAX(o_totalprice) AS most FROM orders GROUP BY 1)
+SELECT o_custkey, n, most, (SELECT MAX(n) FROM per) AS most_orders FROM per WHERE most >= (SELECT MAX(most) * 0.9 FROM per)""")
+def l4_l5_shared_reuse(spark, sf):
+    """One persisted aggregate with two consumers, shuffled to as many partitions as its bytes call for."""
+    with L.shuffle_partitions(spark, L.sized_partitions(spark, f"{sf}/orders.parquet")):
+        per = table(spark, sf, "orders").groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"), F.max("o_totalprice").alias("most"))
+        got = L.shared_reuse(per, {"tops": lambda p: p.agg(F.max("n").alias("most_orders"), (F.max("most") * 0.9).alias("least")),
+                                   "customers": lambda p: p})
+    top = got["tops"].first()
+    return got["customers"].where(F.col("most") >= top.least).withColumn("most_orders", F.lit(top.most_orders).cast("long"))
 
 
 # ---------------------------------------------------------------- X1-X4 (UDF surface)
@@ -385,33 +416,48 @@ SELECT n_name, COUNT(*) AS customers FROM customer JOIN nation ON c_nationkey =
 def s18_s19_view_and_sql(spark, sf):
     """Temporary views queried by SQL text."""
     import uuid
+
+    from lakeloom.sources import files
     c, n = (f"{t}_{uuid.uuid4().hex}" for t in ("customer", "nation"))
-    table(spark, sf, "customer").createOrReplaceTempView(c)
-    table(spark, sf, "nation").createOrReplaceTempView(n)
-    return spark.sql(f"SELECT n_name, COUNT(*) AS customers FROM {c} JOIN {n} ON c_nationkey = n_nationkey GROUP BY n_name")
+    files.temp_view(table(spark, sf, "customer"), c)
+    files.temp_view(table(spark, sf, "nation"), n)
+    return files.sql(spark, f"SELECT n_name, COUNT(*) AS customers FROM {c} JOIN {n} ON c_nationkey = n_nationkey WHERE n_nationkey >= :low GROUP BY n_name", low=0)
 
 
 @register("s20_ddl_and_insert", """
 SELECT n_regionkey AS region, COUNT(*) AS nations, MIN(n_name) AS first_nation FROM nation GROUP BY 1""")
 def s20_ddl_and_insert(spark, sf):
     """A table made by DDL and filled by INSERT ... SELECT."""
-    import uuid
-    view, name = f"nation_{uuid.uuid4().hex}", f"{_database(spark)}.regions"
-    table(spark, sf, "nation").createOrReplaceTempView(view)
-    spark.sql(f"CREATE TABLE {name} (region BIGINT, nations BIGINT, first_nation STRING) USING parquet")
-    spark.sql(f"INSERT INTO {name} SELECT n_regionkey, COUNT(*), MIN(n_name) FROM {view} GROUP BY n_regionkey")
+    from lakeloom.sources import catalog
+    name = f"{_database(spark)}.regions"
+    catalog.create_table(spark, name, "region BIGINT, nations BIGINT, first_nation STRING")
+    per = table(spark, sf, "nation").groupBy("n_regionkey").agg(F.count(F.lit(1)).alias("nations"), F.min("n_name").alias("first_nation"))
+    catalog.insert_rows(spark, name, per)
     return spark.table(name)
 
 
+@register("s17_list_tables", "SELECT 'orders_by_day' AS name, COUNT(DISTINCT o_orderdate) AS n_rows FROM orders UNION ALL SELECT 'segments', COUNT(DISTINCT c_mktsegment) FROM customer")
+def s17_list_tables(spark, sf):
+    """A database of two derived tables, listed and counted."""
+    from lakeloom.sources import catalog, files
+    db = _database(spark)
+    files.save_table(table(spark, sf, "orders").groupBy("o_orderdate").count(), f"{db}.orders_by_day")
+    files.save_table(table(spark, sf, "customer").select("c_mktsegment").distinct(), f"{db}.segments")
+    names = [r.tableName for r in catalog.list_tables(spark, db).collect()]  # two names
+    counts = [files.read_table(spark, f"{db}.{n}").agg(F.lit(n).alias("name"), F.count(F.lit(1)).alias("n_rows")) for n in names]
+    return counts[0].unionByName(counts[1])
+
+
 @register("l7_l9_compaction_detail", "SELECT COUNT(*) AS num_rows, true AS fewer_files FROM orders")
 def l7_l9_compaction_detail(spark, sf):
     """Orders written as many small files, then compacted: rows stay, files
     get fewer (both counted from what lies in the folders)."""
     small, large = _scratch(spark, "orders-small"), _scratch(spark, "orders-compact")
     table(spark, sf, "orders").repartition(16).write.parquet(small)
-    spark.read.parquet(small).repartition(2).write.parquet(large)
-    files = lambda p: spark.read.parquet(p).select(F.input_file_name().alias("f")).agg(F.count_distinct("f")).scalar()
-    return spark.read.parquet(large).agg(F.count(F.lit(1)).alias("num_rows")).select("num_rows", (files(large) < files(small)).alias("fewer_files"))
+    L.compact(spark, small, large, 2)
+    before, after = L.table_detail(spark, small), L.table_detail(spark, large)
+    return after.crossJoin(F.broadcast(before.select(F.col("num_files").alias("_before")))).select(  # one row each
+        "num_rows", (F.col("num_files") < F.col("_before")).alias("fewer_files"))
 
 
 @register("l11_bucketed_join", """
@@ -419,8 +465,8 @@ SELECT c_mktsegment, COUNT(*) AS orders FROM orders JOIN customer ON o_custkey =
 def l11_bucketed_join(spark, sf):
     """Join of two tables bucketed by the key: neither side is shuffled."""
     db = _database(spark)
-    table(spark, sf, "orders").select(F.col("o_custkey").alias("custkey"), "o_orderkey").write.bucketBy(8, "custkey").saveAsTable(f"{db}.o")
-    table(spark, sf, "customer").select(F.col("c_custkey").alias("custkey"), "c_mktsegment").write.bucketBy(8, "custkey").saveAsTable(f"{db}.c")
+    L.write_bucketed(table(spark, sf, "orders").select(F.col("o_custkey").alias("custkey"), "o_orderkey"), f"{db}.o", 8, ["custkey"])
+    L.write_bucketed(table(spark, sf, "customer").select(F.col("c_custkey").alias("custkey"), "c_mktsegment"), f"{db}.c", 8, ["custkey"])
     j = spark.table(f"{db}.o").join(spark.table(f"{db}.c").hint("merge"), "custkey")
     return j.groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("orders"))
 

@@ -188,8 +188,28 @@ def t1_t7_timestamp_and_months(spark, sf):
     """Order dates as text parsed to a timestamp, and months since 1992."""
     o = table(spark, sf, "orders")
     text = F.concat(F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit(" 06:30:15"))
-    return o.select("o_orderkey", F.to_timestamp_ntz(text, F.lit("yyyy-MM-dd HH:mm:ss")).alias("parsed"),
-                    F.round(F.months_between("o_orderdate", F.lit("1992-01-01").cast("date")), 6).alias("months"))
+    return o.select("o_orderkey", D.to_timestamp(text, "yyyy-MM-dd HH:mm:ss").cast("timestamp_ntz").alias("parsed"),
+                    F.round(D.months_between("o_orderdate", F.lit("1992-01-01").cast("date")), 6).alias("months"))
+
+
+@register("t10_run_date", """
+SELECT o_orderkey, CAST(DATE '1998-08-02' - CAST(o_orderdate AS DATE) AS INTEGER) AS age_days, TIMESTAMP '1998-08-02 05:00:00' AS run_time FROM orders""")
+def t10_run_date(spark, sf):
+    """Days from the order to the run's date, which is a parameter of the run."""
+    return table(spark, sf, "orders").select("o_orderkey", D.days_between(D.run_date("1998-08-02"), "o_orderdate").alias("age_days"),
+                                             D.run_time("1998-08-02 05:00:00").alias("run_time"))
+
+
+@register("c10_c13_zip_and_replicate", """
+SELECT l_orderkey, l_linenumber, copy, CAST(l_quantity AS DOUBLE) AS quantity, l_linenumber * 10 + copy AS label
+FROM lineitem, LATERAL (SELECT unnest(range(3)) AS copy) WHERE l_linenumber <= 2""")
+def c10_c13_zip_and_replicate(spark, sf):
+    """Each line three times: replicated numbers zipped with an array of labels."""
+    l = table(spark, sf, "lineitem").where("l_linenumber <= 2").withColumn("n", C.replicate(3))
+    l = l.withColumn("labels", F.transform("n", lambda i: F.col("l_linenumber") * 10 + i))
+    z = l.select("l_orderkey", "l_linenumber", "l_quantity", F.explode(C.zip_arrays("n", "labels")).alias("z"))
+    return z.select("l_orderkey", "l_linenumber", F.col("z.n").cast("long").alias("copy"), F.col("l_quantity").cast("double").alias("quantity"),
+                    F.col("z.labels").alias("label"))
 
 
 # ---------------------------------------------------------------- NULLs N1-N14

@@ -63,6 +63,35 @@ def explain_plan(df: DataFrame, mode: str = "formatted") -> str:
     return buf.getvalue()
 
 
+def plan_profile(df: DataFrame) -> DataFrame:
+    """The plan as data: (``node``, ``n``, ``detail``), one row for each kind of
+    operator of ``explain("formatted")`` with the details of all of its kind."""
+    nodes: dict[str, list[str]] = {}
+    for block in re.split(r"\n\n+", explain_plan(df)):
+        head = re.match(r"\((\d+)\) ([A-Za-z]+)", block.strip())
+        if head:
+            nodes.setdefault(head.group(2), []).append(" ".join(block.split("\n")[1:]).strip())
+    rows = [(name, len(details), details) for name, details in sorted(nodes.items())]
+    return df.sparkSession.createDataFrame(rows, "node string, n int, detail array<string>")
+
+
+def plan_checks(df: DataFrame) -> dict[str, object]:
+    """What to look for in a plan: exchanges and joins by kind, filters that
+    reached the scans, columns that are read, cartesian products and windows
+    whose rows all go to one task."""
+    nodes = {r.node: r.detail for r in plan_profile(df).collect()}  # one row a kind of operator
+    scans = [d for k, v in nodes.items() if k == "Scan" for d in v]
+    found = lambda name, text: [m.group(1) for m in (re.search(name + r": \[([^\]]*)\]", text),) if m and m.group(1)]
+    exchanges = nodes.get("Exchange", [])
+    return {"exchanges": len(exchanges), "broadcasts": len(nodes.get("BroadcastExchange", [])),
+            "sort_merge_joins": len(nodes.get("SortMergeJoin", [])), "broadcast_joins": len(nodes.get("BroadcastHashJoin", [])),
+            "cartesian": len(nodes.get("CartesianProduct", [])) + len(nodes.get("BroadcastNestedLoopJoin", [])),
+            "single_partition": sum("SinglePartition" in d for d in exchanges),
+            "single_windows": sum(bool(re.search(r"Arguments: \[.*windowspecdefinition\((?![^)]*#)", d)) for d in nodes.get("Window", [])),
+            "pushed_filters": [f for d in scans for f in found("PushedFilters", d)],
+            "columns_read": sorted({c.split(":")[0] for d in scans for s in re.findall(r"ReadSchema: struct<(.*?)>", d) for c in s.split(",") if c})}
+
+
 def synthetic(spark: SparkSession, n: int, columns: dict[str, str], partitions: int | None = None) -> DataFrame:
     """Deterministic generated table: ``spark.range(n)`` plus SQL
     expressions over ``id`` (e.g. ``{"customer_id": "id + 1",

@@ -666,3 +666,62 @@ def test_label_dictionary_of_many_and_null_labels(spark):
     hot = Q.pre_processing(df.where("id < 60"), "one_hot_encoding", col="k", out="v").collect()
     known = sorted({r.k for r in hot if r.k is not None})
     assert all(r.v.size == len(known) and r.v.numNonzeros() == (r.k is not None) and (r.k is None or r.v[known.index(r.k)] == 1) for r in hot)
+
+
+def test_sums_beyond_64_bits(spark):
+    big = (1 << 62) + 12345
+    df = spark.createDataFrame([("a", big)] * 4 + [("a", -7), ("b", None), ("b", -big)], "g string, v long")
+    got = {r.g: r.sum_v for r in A.summarize(df, "g", {"v": ["sum"]}).collect()}
+    assert got == {"a": 4 * big - 7, "b": -big}
+    assert {r.g: r.total for r in A.salted_agg(df, "g", "v", 3).collect()} == got
+
+
+def test_skipped_files_hold_no_wanted_row(spark, tmp_dir):
+    df = spark.range(4000).selectExpr("id % 61 as a", "cast(id * 37 % 97 as string) as s", "if(id < 1500, 5, id) as hot")
+    L.zorder_write(df, f"{tmp_dir}/z", ["a", "s", "hot"], bits=4, files=16)
+    files = L.skipped_files(L.file_ranges(spark, f"{tmp_dir}/z", ["a", "s", "hot"]), {"a": (3, 9), "s": ("30", "45")})
+    got = {r.file_path: r.skipped for r in files.collect()}
+    inside = spark.read.parquet(f"{tmp_dir}/z").where("a between 3 and 9 and s between '30' and '45'").select("_metadata.file_path").collect()
+    assert inside and not any(got[r.file_path] for r in inside) and sum(got.values()) >= 4
+    one = df.selectExpr("1 as a", "s")  # one dense cell in a: split by the other column
+    L.zorder_write(one, f"{tmp_dir}/y", ["a", "s"], bits=3, files=8)
+    sizes = [r.rows for r in L.file_ranges(spark, f"{tmp_dir}/y", ["a"]).collect()]
+    assert len(sizes) >= 6 and max(sizes) <= 2 * 4000 / 8
+
+
+def test_plan_profile_and_checks(spark, tmp_dir):
+    from lakeloom.sources import catalog
+    spark.range(100).selectExpr("id", "id % 5 as g", "id * 2 as v").write.parquet(f"{tmp_dir}/t")
+    t = spark.read.parquet(f"{tmp_dir}/t")
+    df = t.where("g = 3").groupBy("g").agg(F.sum("id").alias("s"))
+    nodes = {r.node: r.n for r in catalog.plan_profile(df).collect()}
+    assert nodes["Exchange"] == 1 and nodes["HashAggregate"] == 2 and nodes["Scan"] == 1
+    seen = catalog.plan_checks(df)
+    assert "EqualTo(g,3)" in seen["pushed_filters"][0] and seen["columns_read"] == ["g", "id"] and seen["cartesian"] == seen["single_partition"] == 0
+    assert catalog.plan_checks(t.crossJoin(t.withColumnRenamed("id", "x").select("x").hint("shuffle_replicate_nl")))["cartesian"] == 1
+    assert catalog.plan_checks(t.agg(F.sum("v")))["single_partition"] == 1
+
+
+#: most exchanges and sort-merge joins a report's plan may have (joins that are broadcast by size do not count)
+PLAN_LIMITS = {"g5_sales_by_region": (4, 1), "a3_group_by_several_keys": (1, 0), "g1_customer_lifetime_value": (3, 1), "j10_star_join": (6, 3),
+               "a18_describe_by_group": (6, 2), "q3_iqr_outliers": (6, 2), "j15_join_aggregated_view": (0, 0), "b3_correlated_scalar": (0, 0)}
+
+
+def test_reports_keep_their_exchanges(spark):
+    from lakeloom.plans import registry
+    from lakeloom.sources import catalog
+    for name, (exchanges, merges) in PLAN_LIMITS.items():
+        seen = catalog.plan_checks(registry.queries()[name](spark, "/root/testdata/sf0.001"))
+        assert seen["exchanges"] <= exchanges and seen["sort_merge_joins"] <= merges and not seen["cartesian"], (name, seen)
+
+
+def test_shared_frame_is_computed_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+    df = spark.range(500).mapInArrow(count, "id long")
+    got = L.shared_reuse(df, {"sum": lambda d: d.agg(F.sum("id").alias("s")), "max": lambda d: d.agg(F.max("id").alias("m"))})
+    assert (got["sum"].first().s, got["max"].first().m, seen.value) == (124750, 499, 500) and not df.is_cached

@@ -1,11 +1,13 @@
 """Toxicity by noisy-channel deobfuscation.
 
 1. A character trigram model is counted over all texts.
-2. A token that may be obfuscated (digits or symbols among letters, letters
-   stretched three times or more, letters spaced out) becomes a lattice: every
-   character may stand for itself, for the letter it looks like, or for
-   nothing, at a channel cost. The Viterbi path under the trigram model is the
-   restored word. Other tokens have one path and are taken as they are.
+2. A stretch of text that may be obfuscated (digits or symbols among letters or
+   instead of all of them, letters written twice or more, letters spaced out by
+   any white space, a word parted by a blank) becomes a lattice: every character
+   may stand for itself, for the letter it looks like, or for nothing, a blank
+   for a border or for nothing, at a channel cost. The Viterbi path under the
+   trigram model gives the restored words. Plain words have one path and are
+   taken as they are.
 3. Restored words and their beginnings are looked up in a lexicon of log odds
    learned from labelled rows; a logistic model on a document's hits gives the
    score. Both are fitted on separate halves of a bounded labelled sample.
@@ -17,6 +19,7 @@ import re
 import unicodedata
 from collections import Counter
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -24,23 +27,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeloom.llm import _text
-from lakeloom.llm._io import sample_cut, text_batches
+from lakeloom.llm._io import sample_cut, staged, text_batches
 
 # What a character may stand for, besides itself.
 LOOKALIKE = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t", "8": "b", "9": "g",
-             "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l", "¡": "i", "¥": "y"}
+             "@": "a", "$": "s", "!": "i", "#": "h", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l", "¡": "i", "¥": "y"}
 #: costs in nats: a look-alike, a separator or symbol that is noise, a digit
-#: kept as it is, a letter that repeats the one before it
-SWAP, NOISE, DIGIT, REPEAT = 1.0, 1.5, 3.0, 0.5
+#: kept as it is, a letter that repeats the one before it, a blank that is noise
+SWAP, NOISE, DIGIT, REPEAT, BLANK = 1.0, 1.5, 3.0, 0.5, 0.5
 OTHER = 27  # letters beyond a-z; 0 is the border
 STATES = 28
-_CLASS = np.zeros(256, np.int64)
-_CLASS[0x41:0x5B] = _CLASS[0x61:0x7B] = np.arange(1, 27)
-_CLASS[0x80:] = OTHER
 _PLAIN = re.compile(r"[^\W\d_]+\Z")
-_STRETCHED = re.compile(r"(.)\1\1")
+_STRETCHED = re.compile(r"(.)\1\1|(.)\2.*(.)\3")  # a letter three times, or two doubled ones
+_REPEATED = re.compile(r"(.)\1+")
 _EDGE = re.compile(r"(?:([^\w\s])\1+|[.,;:?!\"'`)\]}>%&#*^~_=-])+\Z|\A(?:([^\w\s])\2+|[.,;:?\"'`(\[{<%&#*^~_=-])+")
-_SPACED = re.compile(r"(?<!\S)(?:\S[ \t]){3,}\S(?!\S)")
+_SPACED = re.compile(r"(?<!\S)(?:\S\s+){2,}\S(?!\S)")
 _LETTERS = re.compile(r"[^\W\d_]+")
 
 
@@ -64,6 +65,33 @@ class Model:
 
 # -- the character model ----------------------------------------------------
 
+def _letter_class(c: str) -> int:
+    """1 to 26 for a to z and their accented forms, OTHER for other letters,
+    else 0; the same for counting and for decoding."""
+    if "a" <= c <= "z":
+        return ord(c) - 96
+    base = unicodedata.normalize("NFKD", c)[0] if c.isalpha() else ""
+    return (ord(base) - 96 if "a" <= base <= "z" else OTHER) if c.isalpha() else 0
+
+
+@cache
+def class_table() -> np.ndarray:
+    """The class of every code point below U+10000, lower-cased; there are few
+    letters beyond, they count as borders."""
+    return np.array([_letter_class(chr(k).lower()[:1]) for k in range(1 << 16)], np.int64)
+
+
+def _classes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Class of every code point of UTF-8 bytes, and each row's first one."""
+    if not len(data) or data.max() < 0x80:
+        return class_table()[data], offsets
+    starts = np.flatnonzero(data & 0xC0 != 0x80)
+    wide = np.r_[data, np.zeros(3, np.uint8)].astype(np.int64)
+    b, c, d = (wide[starts + k] for k in range(3))
+    point = np.select([b < 0x80, b < 0xE0, b < 0xF0], [b, (b & 31) << 6 | c & 63, (b & 15) << 12 | (c & 63) << 6 | d & 63], 0)
+    return class_table()[point], np.searchsorted(starts, offsets)
+
+
 def char_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     """(gram, n): trigrams of letter classes within words and their borders
     over all texts; a task sends one row a trigram at most."""
@@ -71,8 +99,9 @@ def char_counts(docs: DataFrame, text: str = "text") -> DataFrame:
         total = np.zeros(STATES ** 3, np.int64)
         for batch in batches:
             for _, data, offsets in _text.slices(batch.column(0)):
-                c = np.zeros(len(data) + len(offsets) + 1, np.int64)  # a border between texts
-                c[np.arange(len(data)) + np.repeat(np.arange(len(offsets) - 1), np.diff(offsets)) + 1] = _CLASS[data]
+                found, first = _classes(data, offsets)
+                c = np.zeros(len(found) + len(first) + 1, np.int64)  # a border between texts
+                c[np.arange(len(found)) + np.repeat(np.arange(len(first) - 1), np.diff(first)) + 1] = found
                 c = np.r_[0, c[np.r_[True, (c[1:] != 0) | (c[:-1] != 0)]]]  # one border between words
                 # A word begins after two borders, whatever stood before it.
                 gram = (np.where(c[1:-1] == 0, 0, c[:-2]) * STATES + c[1:-1]) * STATES + c[2:]
@@ -98,13 +127,6 @@ def char_model(counts: DataFrame) -> np.ndarray:
 
 # -- the decoder ------------------------------------------------------------
 
-def _letter_class(c: str) -> int:
-    if "a" <= c <= "z":
-        return ord(c) - 96
-    base = unicodedata.normalize("NFKD", c)[0] if c.isalpha() else ""
-    return (ord(base) - 96 if "a" <= base <= "z" else OTHER) if c.isalpha() else 0
-
-
 def _arcs(token: str) -> list[list[tuple[str, int, float]]]:
     """For each character, (emitted, class, channel cost)."""
     out = []
@@ -114,11 +136,10 @@ def _arcs(token: str) -> list[list[tuple[str, int, float]]]:
             run = 1
             while i - run >= 0 and token[i - run] == c:
                 run += 1
-            ahead = 0
-            while i + ahead + 1 < len(token) and token[i + ahead + 1] == c:
-                ahead += 1
-            if run > 1 and run + ahead >= 3:  # a stretched letter: any but the first may go
+            if run > 1:  # a repeated letter: any but the first may go, the second may stay
                 arcs = [("", 0, REPEAT)] + ([(c, _letter_class(c), 0.0)] if run == 2 else [])
+        elif c.isspace():
+            arcs = [(" ", 0, 0.0), ("", 0, BLANK)]
         else:
             arcs = [(x, ord(x) - 96, SWAP) for x in LOOKALIKE.get(c, "")]
             arcs.append((c, 0, DIGIT) if c.isdigit() else ("", 0, NOISE))
@@ -127,21 +148,24 @@ def _arcs(token: str) -> list[list[tuple[str, int, float]]]:
 
 
 def decode(token: str, cost: np.ndarray) -> str:
-    """The cheapest reading of a lower-cased token: channel plus trigrams,
-    borders included. Linear in the length; ties go to the first arc."""
+    """The cheapest reading of a lower-cased stretch: channel plus trigrams,
+    borders included. A blank that is a border ends a word. Linear in the
+    length; ties go to the first arc."""
     best: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
     for arcs in _arcs(token):
         new: dict[tuple[int, int], tuple[float, tuple | None]] = {}
         for (a, b), (total, path) in best.items():
             for emitted, c, extra in arcs:
-                if emitted:
+                if emitted == " ":
+                    key, value, way = (0, 0), total + extra + (cost[a, b, 0] if (a, b) != (0, 0) else 0.0), (emitted, path)
+                elif emitted:
                     key, value, way = (b, c), total + extra + cost[a, b, c], (emitted, path)
                 else:
                     key, value, way = (a, b), total + extra, path
                 if key not in new or value < new[key][0]:
                     new[key] = (value, way)
         best = new
-    _, path = min(((t + cost[a, b, 0], p) for (a, b), (t, p) in best.items()), key=lambda x: x[0])
+    _, path = min(((t + (cost[a, b, 0] if (a, b) != (0, 0) else 0.0), p) for (a, b), (t, p) in best.items()), key=lambda x: x[0])
     out = []
     while path is not None:
         out.append(path[0])
@@ -149,16 +173,20 @@ def decode(token: str, cost: np.ndarray) -> str:
     return "".join(reversed(out))
 
 
-def readings(token: str, cost: np.ndarray) -> list[str]:
-    """Words that a lower-cased token may hold: one if it is plain, else its
-    restored form and its pieces between symbols."""
-    if _PLAIN.match(token):
-        return [decode(token, cost) if _STRETCHED.search(token) else token]
-    core = _EDGE.sub("", token)
+def readings(token: str, cost: np.ndarray, doubled: bool = False) -> list[str]:
+    """Words that a lower-cased token may hold: one if it is plain, else also
+    its restored form and its pieces between symbols. Doubled letters are
+    common in plain words: one alone is looked at with ``doubled`` only. A token
+    of symbols and digits is read if each looks like a letter and some are no
+    digits, so numbers stay numbers."""
+    core = token if _PLAIN.match(token) else _EDGE.sub("", token)
     if _PLAIN.match(core):
-        return [decode(core, cost) if _STRETCHED.search(core) else core]
+        stretched = _STRETCHED.search(core) or doubled and _REPEATED.search(core)
+        return list(dict.fromkeys([core, decode(core, cost)])) if stretched else [core]
     if not any(map(str.isalpha, core)):
-        return []
+        core = token.strip(".,;:?")
+        if len(core) < 3 or core.isdigit() or not all(c in LOOKALIKE for c in core):
+            return []
     pieces = _LETTERS.findall(core)
     restored = _LETTERS.findall(decode(core, cost))
     return list(dict.fromkeys(pieces + restored))
@@ -166,14 +194,17 @@ def readings(token: str, cost: np.ndarray) -> list[str]:
 
 # -- words of a document ----------------------------------------------------
 
-def tokens(text: str) -> tuple[Counter, str]:
-    """Lower-cased tokens with their counts, and the lower-cased text; letters
-    spaced out are one token more."""
+def tokens(text: str) -> tuple[list[str], str, list[str]]:
+    """Lower-cased tokens in order, the lower-cased text, and its stretches of
+    single characters with white space between them, three letters at least."""
     low = text.lower()
-    out = Counter(low.split())
-    for run in _SPACED.findall(low):
-        out["".join(run.split())] += 1
-    return out, low
+    spaced = [" ".join(run.split()) for run in _SPACED.findall(low)]
+    return low.split(), low, [run for run in spaced if sum(map(str.isalpha, run)) >= 3]
+
+
+def spaced_words(run: str, cost: np.ndarray) -> list[str]:
+    """Words of a stretch of single characters."""
+    return [w for w in _LETTERS.findall(decode(run, cost)) if len(w) > 1]
 
 
 def features(word: str, heads: tuple[int, ...]) -> list[str]:
@@ -187,39 +218,57 @@ class Scorer:
     of the others are kept for tokens that come again (bounded)."""
 
     KEPT = 200_000
-    TRIPLES = [c * 3 for c in "abcdefghijklmnopqrstuvwxyz"]
+    PAIRS = [c * 2 for c in "abcdefghijklmnopqrstuvwxyz"]
     RIGHT, LEFT = ".,;:?!\"'`)]}>%&#*^~_=-", ".,;:?\"'`([{<%&#*^~_=-"
 
     def __init__(self, model: Model, heads: tuple[int, ...]):
         self.model, self.heads, self.known = model, heads, {}
-        self.begin = {f.rstrip("^")[:min(heads)] for f in model.lexicon}
+        short = min(heads)
+        self.begin = {f.rstrip("^")[:short] for f in model.lexicon}
+        self.begin_once = {_REPEATED.sub(r"\1", f.rstrip("^"))[:short] for f in model.lexicon}
+        self.whole = {f for f in model.lexicon if not f.endswith("^")}
+
+    def _of_words(self, words: list[str]) -> float:
+        return max((self.model.lexicon.get(f, 0.0) for w in words for f in features(w, self.heads)), default=0.0)
 
     def weight(self, token: str) -> float:
         found = self.known.get(token)
         if found is None:
-            lexicon = self.model.lexicon
-            found = max((lexicon.get(f, 0.0) for w in readings(token, self.model.cost) for f in features(w, self.heads)), default=0.0)
+            found = self._of_words(readings(token, self.model.cost, doubled=True))
             if len(self.known) >= self.KEPT:
                 self.known.clear()
             self.known[token] = found
         return found
 
+    def parted(self, a: str, b: str) -> float:
+        """Weight of a word of the lexicon that a blank parts, if the lattice
+        takes the blank for noise."""
+        word = a + b
+        return self._of_words([word]) if word in self.whole and decode(f"{a} {b}", self.model.cost) == word else 0.0
+
     def document(self, text: str | None) -> tuple[float, float, float, float]:
         """(1, log of hits, highest weight, hits per hundred words)."""
-        hits, top, n = 0, 0.0, 0
-        found, low = tokens(text or "")
-        stretched = any(t in low for t in self.TRIPLES)
-        begin, k, right, left = self.begin, min(self.heads), self.RIGHT, self.LEFT
+        hits, top = 0, 0.0
+        words, low, spaced = tokens(text or "")
+        found = Counter(words)
+        repeated = any(t in low for t in self.PAIRS)
+        begin, once, k, right, left = self.begin, self.begin_once, min(self.heads), self.RIGHT, self.LEFT
+        weights = []
         for token, count in found.items():
-            n += count
             core = token.rstrip(right).lstrip(left)
-            if core[:k] not in begin and not stretched and (core.isalpha() or not core):
-                continue
-            w = self.weight(token)
+            if core[:k] not in begin and (core.isalpha() or not core):
+                if not repeated or not core or not _REPEATED.search(core) or _REPEATED.sub(r"\1", core)[:k] not in once:
+                    continue
+            weights.append((self.weight(token), count))
+        for a, b in zip(words, words[1:]):
+            if len(a) <= k and (a + b)[:k] in begin and len(a) + len(b) > k:
+                weights.append((self.parted(a.lstrip(left), b.rstrip(right)), 1))
+        weights.extend((self._of_words([w]), 1) for run in spaced for w in spaced_words(run, self.model.cost))
+        for w, count in weights:
             if w:
                 hits += count
                 top = max(top, w)
-        return 1.0, float(np.log1p(hits)), top, min(10.0, 100 * hits / max(n, 50))
+        return 1.0, float(np.log1p(hits)), top, min(10.0, 100 * hits / max(len(words), 50))
 
 
 def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -244,8 +293,9 @@ def _sample(docs: DataFrame, labels: DataFrame, learn: Column, s: Settings, doc_
         return None
     picked = marked.where(F.xxhash64("__id") <= cut).groupBy("__id").agg(F.max("toxic").alias("toxic"))
     rows = docs.select(F.col(doc_id).cast("long").alias("__doc"), F.col(text).alias("text")).where("text is not null")
-    return rows.join(F.broadcast(picked), F.col("__doc") == F.col("__id")).select(
-        "toxic", F.pmod(F.xxhash64("__id", F.lit(1)), F.lit(4)).alias("part"), "text")
+    # read three times from here on, so that the documents are not
+    return staged(rows.join(F.broadcast(picked), F.col("__doc") == F.col("__id")).select(
+        "toxic", F.pmod(F.xxhash64("__id", F.lit(1)), F.lit(4)).alias("part"), "text"), "toxic-sample")
 
 
 def fit(docs: DataFrame, labels: DataFrame, learn: Column, s: Settings = Settings(), doc_id: str = "doc_id", text: str = "text") -> Model:
@@ -264,7 +314,9 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, s: Settings = Setting
             total: dict[str, list[int]] = {}
             toxic = batch.column(0).to_pylist()
             for y, t in zip(toxic, batch.column(1)):
-                for f in {f for token in tokens(t.as_py())[0] for w in readings(token, cost) for f in features(w, s.heads)}:
+                single, _, spaced = tokens(t.as_py())
+                restored = [w for token in set(single) for w in readings(token, cost)] + [w for run in spaced for w in spaced_words(run, cost)]
+                for f in {f for w in restored for f in features(w, s.heads)}:
                     total.setdefault(f, [0, 0])[y] += 1
             yield pa.RecordBatch.from_arrays(
                 [pa.array(list(total), pa.string()), *(pa.array([v[i] for v in total.values()], pa.int64()) for i in (0, 1))], ["f", "n0", "n1"])

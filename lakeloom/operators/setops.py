@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lakeloom.operators.renames import apply_renames, split_renamed
+
 
 def union_by_name(*frames: DataFrame, allow_missing: bool = False) -> DataFrame:
     out = frames[0]
@@ -64,7 +65,8 @@ def apply_changes(base: DataFrame, changes: DataFrame, keys: Sequence[str],
     are those of its last base row, insert or update (an update that came
     before that insert or delete is older): two partial aggregates. Rejects
     carry that existence forward in a window per key. With ``new_key_col`` the
-    keys that renames connect are replayed together, in order.
+    keys that renames name are resolved by pointer doubling (``renames``): a
+    logarithmic number of joins, however long the chains.
     """
     keys = list(keys)
     data = [c for c in base.columns if c not in keys]
@@ -72,9 +74,9 @@ def apply_changes(base: DataFrame, changes: DataFrame, keys: Sequence[str],
     if new_key_col:
         if len(keys) != 1:
             raise ValueError("renames need a single key column")
-        linked, alone_base, alone_changes, groups = _split_renamed(base, rank, keys[0], op_col, new_key_col)
+        (alone_base, alone_changes), linked = split_renamed(base, rank, keys[0], op_col, new_key_col)
         table, rejects = apply_changes(alone_base, alone_changes.withColumnRenamed("_at", order_col), keys, op_col, order_col)
-        more, more_rejects = _replay(linked, groups, base, rank, keys[0], data, op_col, new_key_col)
+        more, more_rejects = apply_renames(*linked, keys[0], data, op_col, new_key_col)
         return table.unionByName(more), rejects.unionByName(more_rejects)
     null_at = F.lit(None).cast(rank.schema["_at"].dataType)
     events = base.select(*keys, *data, F.lit("base").alias(op_col), null_at.alias("_at"), F.lit(0).alias("_late")).unionByName(
@@ -90,55 +92,3 @@ def apply_changes(base: DataFrame, changes: DataFrame, keys: Sequence[str],
     known = events.withColumn("_known", F.coalesce(F.last(exists, ignorenulls=True).over(before), F.lit(False)))
     # a rename that gets here has no new key
     return table, known.where((op == "r") | (op.isin("u", "d") & ~F.col("_known"))).select(*keys, op_col)
-
-
-def _split_renamed(base, changes, key, op_col, new_key_col):
-    """Keys that renames connect, labelled by their smallest member, and what
-    is left of base and changes. Labels spread along renames, one step a round
-    and written down after each, until none changes."""
-    from lakeloom.session import checkpoint_dir
-    checkpoint_dir(base.sparkSession)
-    pairs = changes.where((F.col(op_col) == "r") & F.col(key).isNotNull() & F.col(new_key_col).isNotNull()).select(
-        F.col(key).alias("a"), F.col(new_key_col).alias("b")).distinct()
-    both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))).checkpoint()
-    label = both.select(F.col("a").alias("_k")).distinct().withColumn("g", F.col("_k")).checkpoint()
-    while True:
-        near = both.join(label, F.col("b") == F.col("_k")).groupBy("a").agg(F.min("g").alias("h"))
-        new = label.join(near, F.col("_k") == F.col("a")).select("_k", F.least("g", "h").alias("g"), (F.col("h") < F.col("g")).alias("moved")).checkpoint()
-        label = new.select("_k", "g")
-        if new.where("moved").isEmpty():
-            break
-    names = label.select(F.col("_k").alias(key))
-    return label, base.join(names, key, "left_anti"), changes.join(names, key, "left_anti"), label
-
-
-def _replay(label, groups, base, changes, key, data, op_col, new_key_col):
-    """Ordered application within each group of connected keys."""
-    events = base.withColumn(op_col, F.lit("base")).withColumn("_late", F.lit(0)).withColumn(
-        "_at", F.lit(None).cast(changes.schema["_at"].dataType)).withColumn(new_key_col, F.lit(None).cast(changes.schema[new_key_col].dataType)).unionByName(
-        changes.withColumn("_late", F.lit(1)))
-    events = events.join(groups, F.col(key) == F.col("_k")).withColumn(
-        "_step", F.row_number().over(Window.partitionBy("g").orderBy("_late", "_at")))
-    row = F.struct(*[F.col(c) for c in data])
-    events = events.select("g", "_step", key, op_col, new_key_col, row.alias("_row"))
-    kind = {f.name: f.dataType.simpleString() for f in events.schema}
-
-    def run(table: pa.Table) -> pa.Table:
-        state, rejected = {}, []
-        for e in table.sort_by("_step").to_pylist():
-            k, op = e[key], e[op_col]
-            if op in ("base", "i") or (op == "u" and k in state):
-                state[k] = e["_row"]
-            elif op == "d" and k in state:
-                del state[k]
-            elif op == "r" and k in state and e[new_key_col] is not None:
-                state[e[new_key_col]] = state.pop(k)
-            else:
-                rejected.append((k, op))
-        out = [{"k": k, "op": None, "_row": v} for k, v in state.items()] + [{"k": k, "op": op, "_row": None} for k, op in rejected]
-        fields = table.schema
-        return pa.Table.from_pylist(out, pa.schema([("k", fields.field(key).type), ("op", pa.string()), ("_row", fields.field("_row").type)]))
-
-    out = events.groupBy("g").applyInArrow(run, f"k {kind[key]}, op string, _row {kind['_row']}")
-    return (out.where("op is null").select(F.col("k").alias(key), *[F.col(f"_row.{c}").alias(c) for c in data]),
-            out.where("op is not null").select(F.col("k").alias(key), F.col("op").alias(op_col)))

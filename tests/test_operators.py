@@ -533,6 +533,45 @@ def test_changes_apply_in_sequence(spark, ops):
     assert (sorted(rows(new)), sorted(rows(rejected))) == _apply_in_order(base, changes)
 
 
+@pytest.mark.parametrize("case", ["chain", "hot", "merge", "loop"])
+def test_renames_in_sequence(spark, case):
+    rnd = random.Random(case)
+    if case == "chain":  # one row renamed 130 times, each old key used again
+        changes = [(n, f"c{n}", "r", 2 * n, n + 1) for n in range(130)] + [(n, f"i{n}", "u", 2 * n + 1, None) for n in range(0, 130, 7)]
+    elif case == "hot":  # a third of the events on one key, on either side of renames
+        changes = [(0 if rnd.random() < .3 else rnd.randrange(40), f"c{n}", rnd.choice("iudrrr"), n, rnd.choice([0, rnd.randrange(40), None])) for n in range(400)]
+    elif case == "merge":  # keys meet pairwise; a rename onto a row replaces it
+        changes = [(k + step, f"c{k}", "r", 100 * step + k, k) for step in (1, 2, 4, 8, 16) for k in range(0, 32, 2 * step)]
+    else:  # round in a circle, onto itself, a NULL key
+        changes = [(n % 5, f"c{n}", "r", n, (n + 1) % 5) for n in range(23)] + [(3, "s", "r", 30, 3), (77, "s", "r", 31, 77), (None, "x", "i", 32, None),
+                                                                               (None, "x", "r", 33, 5), (None, "y", "u", 34, None)]
+    base = [(k, f"b{k}") for k in range(0, 32, 1 if case == "merge" else 6)]
+    b = spark.createDataFrame(base, "k int, v string")
+    c = spark.createDataFrame(changes, "k int, v string, op string, seq int, new_k int").repartition(3)
+    new, rejected = U.apply_changes(b, c, ["k"], new_key_col="new_k")
+    order = lambda pairs: sorted(pairs, key=repr)
+    state, refused = dict(base), []
+    for k, v, op, _, to in sorted(changes, key=lambda x: x[3]):
+        if op == "i" or (op == "u" and k in state):
+            state[k] = v
+        elif op == "d" and k in state:
+            del state[k]
+        elif op == "r" and k in state and to is not None:
+            state[to] = state.pop(k)
+        else:
+            refused.append((k, op))
+    assert rows(new) == order(state.items()) and rows(rejected) == order(refused)
+
+
+def test_renames_of_empty_tables(spark):
+    b = spark.createDataFrame([(1, "a")], "k int, v string")
+    c = spark.createDataFrame([(1, None, "r", 1, 2)], "k int, v string, op string, seq int, new_k int")
+    assert rows(U.apply_changes(b, c, ["k"], new_key_col="new_k")[0]) == [(2, "a")]
+    assert rows(U.apply_changes(b, c.limit(0), ["k"], new_key_col="new_k")[0]) == [(1, "a")]
+    new, rejected = U.apply_changes(b.limit(0), c, ["k"], new_key_col="new_k")
+    assert rows(new) == [] and rows(rejected) == [(1, "r")]
+
+
 def test_insert_then_update_keeps_the_row(spark):
     b = spark.createDataFrame([(1, "a")], "k int, v string")
     c = spark.createDataFrame([(2, "x", "i", 1), (2, "y", "u", 2), (1, None, "d", 3), (1, "z", "u", 4)], "k int, v string, op string, seq int")

@@ -54,22 +54,54 @@ def _let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+#: matches of a block whose starts are summed up together
+BLOCK = 64
+
+
 def _spans(text: Column, pattern: str, present: Column) -> Column:
     """(s, e, v) of all matches, in code points, end exclusive; none where
-    ``present`` (a cheap necessary condition) is false."""
+    ``present`` (a cheap necessary condition) is false.
+
+    Starts are running sums over the gaps and lengths: within blocks of
+    matches, and over the totals of the blocks, so a text with very many
+    matches takes about ``BLOCK`` steps a match and not as many as it has."""
     found = F.struct(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("m"), F.split(text, pattern, -1).alias("between"))
     empty = F.array().cast("array<struct<s:int,e:int,v:string>>")
-    start = F.struct(F.lit(0).alias("at"), empty.alias("out"))
 
-    def add(f):
-        def step(a, i):
-            s = a["at"] + F.length(f["between"][i])
-            e = s + F.length(f["m"][i])
-            return F.struct(e.alias("at"), F.concat(a["out"], F.array(F.struct(s.alias("s"), e.alias("e"), f["m"][i].alias("v")))).alias("out"))
+    def blocks(f):
+        sized = F.transform(f["m"], lambda m, i: F.struct(F.length(f["between"][i]).alias("gap"), F.length(m).alias("n"), m.alias("v")))
+        return _let(sized, lambda x: F.transform(
+            F.sequence(F.lit(0), F.floor((F.size(x) - 1) / BLOCK).cast("int")), lambda b: F.slice(x, b * BLOCK + 1, BLOCK)))
+
+    def starts(parts):
+        none = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out"))
+        total = lambda part: F.aggregate(part, F.lit(0), lambda a, x: a + x["gap"] + x["n"])
+        return F.aggregate(parts, none, lambda a, part: F.struct(
+            (a["at"] + total(part)).alias("at"), F.concat(a["out"], F.array(a["at"])).alias("out")), lambda a: a["out"])
+
+    def place(part, at):
+        def step(a, x):
+            s = a["at"] + x["gap"]
+            return F.struct((s + x["n"]).alias("at"), F.concat(a["out"], F.array(F.struct(s.alias("s"), (s + x["n"]).alias("e"), x["v"].alias("v")))).alias("out"))
 
-        return F.when(F.size(f["m"]) > 0, F.aggregate(F.sequence(F.lit(0), F.size(f["m"]) - 1), start, step, lambda a: a["out"])).otherwise(empty)
+        return F.aggregate(part, F.struct(at.alias("at"), empty.alias("out")), step, lambda a: a["out"])
 
-    return F.when(present, _let(found, add)).otherwise(empty)
+    placed = lambda parts: F.flatten(F.zip_with(parts, starts(parts), place))
+    return F.when(present, _let(found, lambda f: F.when(F.size(f["m"]) > 0, _let(blocks(f), placed)).otherwise(empty))).otherwise(empty)
+
+
+def _touched(spans: Column, x: Column) -> Column:
+    """Whether one of ``spans`` (by start, none overlaps another) overlaps
+    ``x``: the last one that starts before its end, by binary search."""
+    def step(state, _):
+        middle = F.floor((state["lo"] + state["hi"]) / 2).cast("int")
+        return F.when(state["lo"] >= state["hi"], state).when(
+            F.get(spans, middle)["s"] < x["e"], F.struct((middle + 1).alias("lo"), state["hi"].alias("hi"))).otherwise(
+            F.struct(state["lo"].alias("lo"), middle.alias("hi")))
+
+    steps = F.sequence(F.lit(0), F.length(F.bin(F.size(spans).cast("long"))))
+    before = F.aggregate(steps, F.struct(F.lit(0).alias("lo"), F.size(spans).alias("hi")), step, lambda state: state["lo"])
+    return F.coalesce(F.get(spans, before - 1)["e"] > x["s"], F.lit(False))
 
 
 def _phi(z: Column) -> Column:
@@ -158,35 +190,43 @@ def thresholds(bins: list[tuple[int, int, int]], q: float) -> dict[int, int]:
 
 
 def scan(docs: DataFrame, q: float = 0.05, least_random: float = 0.001, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, found): spans (s, k, e, v) of every text by start, then kind
-    (k: 0 assign, 1 access, 2 hex, 3 random), v the matched text.
+    """(doc_id, found): spans (s, k, e) of every text by start, then kind
+    (k: 0 assign, 1 access, 2 hex, 3 random). ``matched`` gives their texts.
 
     Null and empty texts have no spans. Random spans that touch a base span
     are left out. Repeated rows and null ids give a row each; an empty table an
     empty table; other columns are ignored. In one text the spans of a kind
-    never overlap.
+    never overlap. No text of a match is written anywhere: the table between
+    holds offsets, and of key-like runs a digest that tells different ones apart.
     """
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     t = F.col("text")
     named = t.rlike("(?i)password|passwd|secret|token|api_?key")
+    offsets = lambda spans: F.transform(spans, lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e")))
     parts = {
-        "assign": F.filter(_spans(t, ASSIGN, named), lambda x: F.length(F.regexp_extract(x["v"], ASSIGN, 2)) >= 8),
-        "access": F.filter(_spans(t, ACCESS, t.contains("AKIA")), lambda x: x["e"] - x["s"] >= 16),
+        "assign": offsets(F.filter(_spans(t, ASSIGN, named), lambda x: F.length(F.regexp_extract(x["v"], ASSIGN, 2)) >= 8)),
+        "access": offsets(F.filter(_spans(t, ACCESS, t.contains("AKIA")), lambda x: x["e"] - x["s"] >= 16)),
         # maximal runs, so runs of 32 and more are the same spans
-        "hex": _spans(t, "[0-9a-f]{32,}", t.rlike("[0-9a-f]{32}")),
-        "run": F.transform(_spans(t, RUN, t.rlike(RUN)), lambda x: F.struct(x["s"], x["e"], x["v"], battery(x["v"]).alias("b"))),
+        "hex": offsets(_spans(t, "[0-9a-f]{32,}", t.rlike("[0-9a-f]{32}"))),
+        "run": F.transform(_spans(t, RUN, t.rlike(RUN)), lambda x: F.struct(
+            x["s"].alias("s"), x["e"].alias("e"), F.unhex(F.sha2(x["v"], 256)).alias("digest"), battery(x["v"]).alias("b"))),
     }
     found = staged(rows.select("doc_id", *(c.alias(name) for name, c in parts.items())), "spans")
-    each = found.select(F.explode("run").alias("r")).select("r.v", _band(F.length("r.v")).alias("band"), _bin(F.col("r.b.p_text")).alias("bin"))
+    length = lambda x: x["e"] - x["s"]
+    each = found.select(F.explode("run").alias("r")).select("r.digest", _band(length(F.col("r"))).alias("band"), _bin(F.col("r.b.p_text")).alias("bin"))
     table = each.distinct().groupBy("band", "bin").agg(F.count(F.lit(1)).alias("n")).collect()  # bands times bins at most
     limit = thresholds([tuple(r) for r in table], q)
-    passed = lambda x: F.coalesce(*(F.when(_band(F.length(x["v"])) == band, _bin(x["b"]["p_text"]) >= least) for band, least in limit.items()), F.lit(False))
-    tagged = lambda name, k: F.transform(name, lambda x: F.struct(x["s"].alias("s"), F.lit(k).alias("k"), x["e"].alias("e"), x["v"].alias("v")))
-    base = F.concat(tagged("assign", 0), tagged("access", 1), tagged("hex", 2))
-    random = F.filter("run", lambda x: (x["b"]["p_random"] >= least_random) & passed(x) & ~F.exists(
-        F.col("base"), lambda o: (o["s"] < x["e"]) & (x["s"] < o["e"])))
-    with_base = found.select("doc_id", base.alias("base"), "run").select("doc_id", "base", random.alias("random"))
-    return with_base.select("doc_id", F.array_sort(F.concat("base", tagged("random", 3))).alias("found"))
+    passed = lambda x: F.coalesce(*(F.when(_band(length(x)) == band, _bin(x["b"]["p_text"]) >= least) for band, least in limit.items()), F.lit(False))
+    tagged = lambda spans, k: F.transform(spans, lambda x: F.struct(x["s"].alias("s"), F.lit(k).alias("k"), x["e"].alias("e")))
+    random = F.filter("run", lambda x: (x["b"]["p_random"] >= least_random) & passed(x) & ~(
+        _touched(F.col("assign"), x) | _touched(F.col("access"), x) | _touched(F.col("hex"), x)))
+    return found.select("doc_id", F.array_sort(F.concat(
+        tagged("assign", 0), tagged("access", 1), tagged("hex", 2), tagged(random, 3))).alias("found"))
+
+
+def matched(text: Column, found: Column) -> Column:
+    """The texts of ``found`` spans, in their order."""
+    return F.transform(found, lambda x: F.substring(text, x["s"] + 1, x["e"] - x["s"]))
 
 
 def _joined(spans: Column) -> Column:

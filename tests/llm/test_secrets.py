@@ -66,3 +66,32 @@ def test_thresholds_are_benjamini_hochberg():
 
 def test_empty_table(spark):
     assert report(spark, []) == []
+
+
+def test_many_matches_in_one_text(spark):
+    # over several blocks of matches, of two kinds that touch runs
+    text = " ".join(f"token={k:012d}é {k:032x}" for k in range(700))
+    r, = report(spark, [(1, text)])
+    assert (r.n_assign, r.n_access, r.n_hex, r.base_sha256) == base(text) and r.n_random == 0
+
+
+def test_matched_texts_are_in_no_stored_table(spark, monkeypatch):
+    key = "zQ7Lm2Xv9Tb4Rk8Ws1Nc6Yp3Hd5Fg0Ja7Ue2Bi9Do4Sx"
+    docs = spark.createDataFrame([(1, f"é password = {key[:20]} then {key}")], "doc_id long, text string")
+    kept = []
+    write = secrets.staged
+    monkeypatch.setattr(secrets, "staged", lambda df, name: kept.append(write(df, name)) or kept[-1])
+    out = secrets.scan(docs).join(docs, "doc_id").select(secrets.matched(secrets.F.col("text"), secrets.F.col("found")).alias("m")).first().m
+    assert out[0] == f"password = {key[:20]}" and all(key[:20] not in str(r) for t in kept for r in t.collect())
+
+
+def test_touched_by_binary_search(spark):
+    rng = random.Random(3)
+    F = secrets.F
+    for _ in range(4):
+        cuts = sorted(rng.sample(range(100), 2 * rng.randrange(6)))
+        spans = list(zip(cuts[::2], cuts[1::2]))
+        runs = [(a, a + rng.randrange(1, 9)) for a in range(0, 100, 5)]
+        df = spark.createDataFrame([(spans, runs)], "spans array<struct<s:int,e:int>>, runs array<struct<s:int,e:int>>")
+        got = df.select(F.transform("runs", lambda x: secrets._touched(F.col("spans"), x))).first()[0]
+        assert got == [any(s < e2 and s2 < e for s, e in spans) for s2, e2 in runs]

@@ -92,6 +92,8 @@ SILVER = {
         F.to_date("l_shipdate").alias("ship_date")]),
     "events": (["event_id"], lambda: ["event_id", "user_id", "ts", S.strip("event_type").alias("event_type"),
                                       F.when(F.col("event_type") != "error", F.col("value")).alias("reading")]),
+    "labels": (["doc_id"], lambda: ["doc_id", (F.col("quality") == 1).alias("good"), (F.col("toxic") == 1).alias("toxic")]),
+    "conversations": (["conv_id", "turn"], lambda: ["conv_id", "turn", S.capitalize("role").alias("speaker"), F.length("text").alias("message_chars")]),
 }
 
 
@@ -108,6 +110,19 @@ def gold_sales_by_nation(silver_orders_df: DataFrame, silver_customer_df: DataFr
             .agg(F.count(F.lit(1)).alias("orders"), F.sum("total_due").cast("double").alias("revenue")))
 
 
+def gold_monthly_sales(silver_orders_df: DataFrame) -> DataFrame:
+    return (silver_orders_df.groupBy(F.year("order_date").alias("year"), F.month("order_date").alias("month"))
+            .agg(F.count(F.lit(1)).alias("orders"), F.sum("total_due").cast("double").alias("revenue")))
+
+
+def gold_supplier_returns(silver_lineitem_df: DataFrame, silver_supplier_df: DataFrame) -> DataFrame:
+    """Lines, returned lines and gross amount of each supplier that shipped
+    (the lines are summed up before they meet the suppliers)."""
+    lines = silver_lineitem_df.groupBy("supplier_key").agg(
+        F.count(F.lit(1)).alias("lines"), F.count_if("returned").alias("returned_lines"), F.sum("gross").cast("double").alias("gross"))
+    return lines.join(silver_supplier_df.select("supplier_key", "supplier_name"), "supplier_key", "left")
+
+
 def run(spark: SparkSession, reader: Callable[[str], DataFrame], base_path: str | None = None,
         run_ts: _dt.datetime | None = None, source_system: str = "tpch") -> dict[str, DataFrame]:
     """Run all three layers. ``reader(name)`` supplies a source table (JDBC,
@@ -120,14 +135,16 @@ def run(spark: SparkSession, reader: Callable[[str], DataFrame], base_path: str
         df.write.mode("overwrite").parquet(path)
         return spark.read.parquet(path)
 
-    b = {t: write(bronze(reader(t), source_system, t, run_ts), "bronze", t) for t in ("customer", "orders", "nation")}
-    # the other cleaned tables are written by the callers that need them: silver(name, bronze)
+    b = {t: write(bronze(reader(t), source_system, t, run_ts), "bronze", t) for t in ("customer", "orders", *SILVER)}
     s = {"customer": write(silver_customer(b["customer"], b["nation"]), "silver", "customer"),
-         "orders": write(silver_orders(b["orders"]), "silver", "orders")}
-    g = {"sales_by_nation": write(gold_sales_by_nation(s["orders"], s["customer"]), "gold", "sales_by_nation")}
+         "orders": write(silver_orders(b["orders"]), "silver", "orders"),
+         **{t: write(silver(t, b[t]), "silver", t) for t in SILVER}}
+    g = {"sales_by_nation": write(gold_sales_by_nation(s["orders"], s["customer"]), "gold", "sales_by_nation"),
+         "monthly_sales": write(gold_monthly_sales(s["orders"]), "gold", "monthly_sales"),
+         "supplier_returns": write(gold_supplier_returns(s["lineitem"], s["supplier"]), "gold", "supplier_returns")}
     return {
         "bronze": Q.audit(spark, b, run_ts, "bronze"),
-        "silver": Q.audit(spark, s, run_ts, "silver", {"orders": "order_date"}),
+        "silver": Q.audit(spark, s, run_ts, "silver", {"orders": "order_date", "lineitem": "ship_date"}),
         "gold": Q.audit(spark, g, run_ts, "gold"),
     }
 
@@ -161,6 +178,13 @@ def med_gold_sales_by_nation(spark, sf):
     return gold_sales_by_nation(o, med_silver_customer(spark, sf))
 
 
+@register("med_gold_monthly_sales", f"""
+SELECT CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month, COUNT(*) AS orders,
+  {sql_dsum('o_totalprice')} AS revenue FROM orders GROUP BY 1, 2""")
+def med_gold_monthly_sales(spark, sf):
+    return gold_monthly_sales(silver_orders(bronze(table(spark, sf, "orders"), "tpch", "orders", RUN_TS)))
+
+
 _LINEAGE_SQL = "TIMESTAMP '2024-01-01 00:00:00' AS ingestion_timestamp, 'tpch' AS source_system"
 _SILVER_SQL = {
     "region": "r_regionkey AS region_key, upper(trim(r_name)[1]) || lower(trim(r_name)[2:]) AS region_name",
@@ -171,6 +195,8 @@ _SILVER_SQL = {
     "lineitem": "l_orderkey, l_linenumber, l_partkey AS part_key, l_suppkey AS supplier_key, l_quantity, "
                 "CAST(l_extendedprice AS DECIMAL(18,2)) AS gross, l_returnflag = 'R' AS returned, CAST(l_shipdate AS DATE) AS ship_date",
     "events": "event_id, user_id, ts, trim(event_type) AS event_type, CASE WHEN event_type <> 'error' THEN value END AS reading",
+    "labels": "doc_id, quality = 1 AS good, toxic = 1 AS toxic",
+    "conversations": "conv_id, turn, upper(role[1]) || lower(role[2:]) AS speaker, length(regexp_replace(text, '^\\s+|\\s+$', '', 'g')) AS message_chars",
 }
 _ONE = {t: ("" if t != "lineitem" else " QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey DESC, l_suppkey DESC, l_quantity DESC, l_extendedprice DESC) = 1")
         for t in SILVER}
@@ -184,3 +210,11 @@ def _register_silver(name: str) -> None:
 
 for _name in SILVER:
     _register_silver(_name)
+
+
+@register("med_gold_supplier_returns", f"""
+SELECT l_suppkey AS supplier_key, COUNT(*) AS lines, COUNT_IF(l_returnflag = 'R') AS returned_lines, {sql_dsum('l_extendedprice')} AS gross,
+  trim(s_name) AS supplier_name FROM (SELECT * FROM lineitem{_ONE['lineitem']}) LEFT JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1, 5""")
+def med_gold_supplier_returns(spark, sf):
+    lines, suppliers = (silver(t, bronze(table(spark, sf, t), "tpch", t, RUN_TS)) for t in ("lineitem", "supplier"))
+    return gold_supplier_returns(lines, suppliers)

@@ -3,10 +3,11 @@
 import datetime as dt
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from lakeloom.plans import medallion
-from lakeloom.sources import catalog, files, jdbc
+from lakeloom.sources import bulk, catalog, files, jdbc
 from lakeloom.streaming import bronze_stream
 
 SF = "/root/testdata/sf0.001"
@@ -52,11 +53,36 @@ def test_ingest_tables_with_file_reader(spark, tmp_dir):
     assert {"ingestion_timestamp", "source_system", "source_table"} <= set(back.columns)
 
 
+def test_bulk_load_starts_again_where_it_stopped(spark, tmp_dir):
+    tried = []
+
+    def reader(name):
+        tried.append(name)
+        if name == "s.orders" and tried.count(name) == 1:
+            raise OSError("source is down")
+        return spark.read.parquet(f"{SF}/{name.split('.')[1]}.parquet")
+
+    load = lambda run: {r.target_table: (r.status, r.row_count) for r in bulk.bulk_load(
+        spark, reader, ["s.region", "s.orders", "s.gone"], f"{tmp_dir}/lake", f"{tmp_dir}/log", run).collect()}
+    orders = spark.read.parquet(f"{SF}/orders.parquet").count()
+    assert load("r1") == {"region": ("SUCCESS", 5), "orders": ("FAILED", None), "gone": ("FAILED", None)}
+    assert load("r1") == {"region": ("SKIPPED", 5), "orders": ("SUCCESS", orders), "gone": ("FAILED", None)}
+    assert tried.count("s.region") == 1 and tried.count("s.orders") == 2
+    assert load("r2")["region"] == ("SUCCESS", 5)  # another run loads anew
+    log = {r.target_table: r.status for r in bulk.load_log(spark, f"{tmp_dir}/log", "r1").collect()}
+    assert log["region"] == log["orders"] == "SUCCESS" and log["gone"] == "FAILED"
+    assert bulk.load_log(spark, f"{tmp_dir}/log", "never").count() == 0
+    with pytest.raises(ValueError):
+        bulk.bulk_load(spark, reader, ["a.t", "b.T"], f"{tmp_dir}/lake", f"{tmp_dir}/log", "r3")
+    with pytest.raises(ValueError):
+        bulk.bulk_load(spark, reader, ["a.t"], f"{tmp_dir}/lake", f"{tmp_dir}/log", "../r3")
+
+
 def test_medallion_run(spark, tmp_dir):
     audits = medallion.run(spark, lambda t: spark.read.parquet(f"{SF}/{t}.parquet"), f"{tmp_dir}/lake",
                            dt.datetime(2024, 1, 1))
-    gold = audits["gold"].first()
-    assert gold.status == "SUCCESS" and gold.row_count > 0
+    gold = audits["gold"].collect()
+    assert len(gold) == 3 and all(r.status == "SUCCESS" and r.row_count > 0 for r in gold)
     silver = {r.table_name: r.row_count for r in audits["silver"].collect()}
     assert silver["orders"] == spark.read.parquet(f"{SF}/orders.parquet").count()
 

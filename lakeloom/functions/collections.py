@@ -169,11 +169,15 @@ def map_has_key(m, key) -> Column:
 
 
 def map_invert(m) -> Column:
-    """Swap keys and values. Duplicate values keep the last key."""
-    m = as_col(m)
-    entries = F.map_entries(m)
-    return F.map_from_entries(F.transform(entries, lambda e: F.struct(
-        e["value"].alias("key"), e["key"].alias("value"))))
+    """Swap keys and values. Of entries with one value the last key is kept
+    (whatever ``spark.sql.mapKeyDedupPolicy`` says); NULL values, which cannot
+    be keys, are left out."""
+    def by_value(entries):
+        last = F.filter(entries, lambda e, i: e["value"].isNotNull() & ~F.exists(
+            F.slice(entries, i + 2, F.size(entries)), lambda later: later["value"].eqNullSafe(e["value"])))
+        return F.transform(last, lambda e: F.struct(e["value"].alias("key"), e["key"].alias("value")))
+
+    return F.map_from_entries(F.transform(F.array(F.map_entries(as_col(m))), by_value)[0])
 
 
 def map_sorted_by_value(m, descending: bool = False) -> Column:

@@ -370,9 +370,10 @@ def common_chars(a, b) -> Column:
 
 
 def char_frequency(c) -> Column:
-    """Map character -> count for one string (A24 on a single value)."""
-    chars = F.split(as_col(c), "")
-    return F.aggregate(chars, F.create_map().cast("map<string,int>"),
-                       lambda acc, ch: F.map_zip_with(
-                           acc, F.create_map(ch, F.lit(1)),
-                           lambda k, v1, v2: F.coalesce(v1, F.lit(0)) + F.coalesce(v2, F.lit(0))))
+    """Map character -> count for one string: each different character is
+    counted by what its removal takes away. (For whole columns
+    ``aggregates.char_frequency``.)"""
+    c = as_col(c)
+    chars = F.array_distinct(F.filter(F.split(c, ""), lambda ch: ch != ""))
+    return F.map_from_entries(F.transform(chars, lambda ch: F.struct(
+        ch.alias("key"), (F.length(c) - F.length(F.replace(c, ch, F.lit("")))).alias("value"))))

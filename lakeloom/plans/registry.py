@@ -6,7 +6,7 @@ import importlib
 
 from lakeloom.plans._common import REGISTRY
 
-_MODULES = ("sales", "joins_aggs", "analytics", "scalars", "profiling", "textprofile", "medallion")
+_MODULES = ("sales", "joins_aggs", "analytics", "scalars", "profiling", "textprofile", "helpers", "medallion")
 
 
 def load_all() -> dict:

@@ -167,3 +167,12 @@ def test_more_math_helpers(spark):
     assert list(r[3]) == [11, 22, None]
     m = spark.createDataFrame([([[1, 2], [3, None]],)], "m array<array<int>>").select(M.row_sums("m"), M.row_maxes("m")).first()
     assert list(m[0]) == [3.0, 3.0] and list(m[1]) == [2, 3]
+
+
+def test_map_invert_keeps_the_last_key(spark):
+    got = one(spark, C.map_invert("m"), [({"a": 1, "b": 2, "c": 1, "d": None},), ({},), (None,)], "m map<string,int>")
+    assert got == [{1: "c", 2: "b"}, {}, None]
+
+
+def test_char_frequency_of_odd_texts(spark):
+    assert one(spark, S.char_frequency("s"), [("",), (None,), ("é.é*",)], "s string") == [{}, None, {"é": 2, ".": 1, "*": 1}]

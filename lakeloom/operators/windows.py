@@ -485,16 +485,32 @@ def ledger_balance(df: DataFrame, account_col: str, order_by: Sequence[str],
                 .repartition("__account").sortWithinPartitions("__account", *list(order_by)))
     names = df.columns
 
+    def sweep(amounts, start):
+        """``chain`` of a short account, row after row: fewer steps than the
+        arrays of a stretch take."""
+        balance, rejected = [], []
+        for x in amounts.tolist():
+            refused = x < 0 and start + x < 0
+            start = start if refused else start + x
+            balance.append(start)
+            rejected.append(refused)
+        return balance, rejected
+
     def chain(amounts, start):
-        """Balance after each amount, and which amounts were rejected."""
-        balance, rejected, at = np.empty(len(amounts)), np.zeros(len(amounts), bool), 0
+        """Balance after each amount, and which amounts were rejected. A
+        stretch begins short after a rejection and doubles without one."""
+        if len(amounts) <= 256:
+            return sweep(amounts, start)
+        balance, rejected, at, width = np.empty(len(amounts)), np.zeros(len(amounts), bool), 0, 32
         while at < len(amounts):
-            running = np.cumsum(np.r_[start, amounts[at:at + 4096]])[1:]
-            bad = np.flatnonzero((running < 0) & (amounts[at:at + 4096] < 0))
+            part = amounts[at:at + width]
+            running = np.cumsum(np.r_[start, part])[1:]
+            bad = np.flatnonzero((running < 0) & (part < 0))
             stop = int(bad[0]) if len(bad) else len(running)
             balance[at:at + stop] = running[:stop]
             start = float(running[stop - 1]) if stop else start
             at += stop
+            width = 32 if len(bad) else min(4096, 2 * width)
             if len(bad):
                 balance[at], rejected[at] = start, True
                 at += 1
@@ -507,14 +523,14 @@ def ledger_balance(df: DataFrame, account_col: str, order_by: Sequence[str],
             amounts = batch.column(len(names)).to_numpy(zero_copy_only=False)
             known = ~np.isnan(amounts)
             edges = np.r_[0, np.flatnonzero(accounts[1:] != accounts[:-1]) + 1, len(accounts)] if len(accounts) else [0]
-            balance, status = np.empty(len(accounts)), np.where(amounts >= 0, "deposit", "withdrawal").astype(object)
-            status[~known] = "skipped"
+            filled = np.where(known, amounts, 0.0)
+            balance, refused = np.empty(len(accounts)), np.zeros(len(accounts), bool)
             for a, b in zip(edges[:-1], edges[1:]):
                 if accounts[a] != current:
                     current, bal = accounts[a], opening
-                balance[a:b], rejected = chain(np.where(known[a:b], amounts[a:b], 0.0), bal)
-                status[a:b][rejected] = "rejected"
+                balance[a:b], refused[a:b] = chain(filled[a:b], bal)
                 bal = float(balance[b - 1])
+            status = np.select([~known, refused, amounts >= 0], ["skipped", "rejected", "deposit"], "withdrawal")
             yield pa.RecordBatch.from_arrays([*batch.columns[:len(names)], pa.array(balance), pa.array(status, pa.string())],
                                              [*names, balance_col, status_col])
 

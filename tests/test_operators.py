@@ -764,3 +764,16 @@ def test_shared_frame_is_computed_once(spark):
     df = spark.range(500).mapInArrow(count, "id long")
     got = L.shared_reuse(df, {"sum": lambda d: d.agg(F.sum("id").alias("s")), "max": lambda d: d.agg(F.max("id").alias("m"))})
     assert (got["sum"].first().s, got["max"].first().m, seen.value) == (124750, 499, 500) and not df.is_cached
+
+
+def test_ledger_of_long_accounts_with_many_rejections(spark):
+    rnd = random.Random(20)
+    data = [(a, t, round(rnd.uniform(-60, 50 if t < 900 else 75), 2)) for a, n in ((1, 2500), (2, 256), (3, 257)) for t in range(n)]
+    want, balance = {}, {}
+    for a, t, x in data:
+        now = balance.get(a, 0.0)
+        refused = x < 0 and now + x < 0
+        balance[a] = now if refused else now + x
+        want[a, t] = (balance[a], "rejected" if refused else "deposit" if x >= 0 else "withdrawal")
+    df = spark.createDataFrame(data, "acct int, t int, amt double")
+    assert {(r.acct, r.t): (r.balance, r.status) for r in W.ledger_balance(df, "acct", ["t"], "amt").collect()} == want

@@ -80,6 +80,10 @@ def join_on_columns(left: DataFrame, right: DataFrame, left_on, right_on,
 # J7 / R4 ----------------------------------------------------------------
 #: rows of a row or column block of a product
 PRODUCT_BLOCK = 2_000
+#: cells that a task of a product works through
+PRODUCT_CELLS = 16
+#: values that ``packed`` lays side by side in a row, and rows it packs among themselves
+PACK_WIDTH, PACK_RANGE = 16, 4_096
 
 
 def cross_product(left: DataFrame, right: DataFrame, max_bytes: int | None = None) -> DataFrame:
@@ -99,15 +103,37 @@ def blocked_product(left: DataFrame, right: DataFrame, block: int = PRODUCT_BLOC
     right ones to column blocks of about ``block`` rows, in turn (so equal rows
     do not gather), and each (row block, column block) is one key of an equi
     join. A left row goes to every column block once and a right row to every
-    row block; no side is broadcast and no task holds more than a cell's rows."""
+    row block; no side is broadcast and no task holds more than a cell's rows.
+    The tasks are counted from the cells: a cell's work is the square of its
+    bytes, so tasks sized by bytes would be few and long."""
     n_rows, n_columns = (max(1, -(-side.count() // block)) for side in (left, right))
     deal = lambda n: F.pmod(F.monotonically_increasing_id(), F.lit(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     a = left.select("*", deal(n_rows).alias("_row")).select("*", every(n_columns).alias("_column"))
     b = right.select("*", deal(n_columns).alias("_column")).select("*", every(n_rows).alias("_row"))
+    cells = n_rows * n_columns
+    tasks = min(cells, max(_shuffle_partitions(left), cells // PRODUCT_CELLS))
+    a, b = (side.repartition(tasks, "_row", "_column") for side in (a, b))
     return a.join(b.hint("merge"), ["_row", "_column"]).drop("_row", "_column")
 
 
+def packed(df: DataFrame, keys, value: str, width: int = PACK_WIDTH) -> DataFrame:
+    """Rows of equal ``keys`` side by side, at most ``width`` of them a row: the
+    keys, ``_n`` (how many they are) and their values in ``{value}_0`` on,
+    NULL beyond ``_n``. Aggregates over a product look their group up once a
+    row, so with one side packed once for ``width`` pairs. Rows are packed
+    within ranges of ``PACK_RANGE`` rows as read, so that no task holds a whole
+    key, and stored: a repeated task finds the same packs."""
+    keys = _cols(keys)
+    # fields in a list, for NULL values too; sorted, so that order of arrival does not matter
+    lists = (df.select(*keys, value, F.floor(F.monotonically_increasing_id() / PACK_RANGE).alias("_range"))
+             .groupBy(*keys, "_range").agg(F.sort_array(F.collect_list(F.struct(value))).alias("_all")))
+    packs = lists.select(*keys, F.explode(F.sequence(F.lit(1), F.size("_all"), F.lit(width))).alias("_at"), "_all") \
+        .select(*keys, F.slice("_all", F.col("_at"), width).alias("_some"))
+    return stored(packs.select(*keys, F.size("_some").alias("_n"), *[
+        F.get("_some", F.lit(i))[value].alias(f"{value}_{i}") for i in range(width)]), "packed")
+
+
 # J10 / D17 --------------------------------------------------------------
 def prefix_columns(df: DataFrame, prefix: str, keep: Sequence[str] = ()) -> DataFrame:
     return df.select(*[F.col(c).alias(c if c in keep else f"{prefix}{c}") for c in df.columns])

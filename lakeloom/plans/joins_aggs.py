@@ -119,11 +119,15 @@ SELECT s.s_nationkey, p.p_brand, COUNT(*) AS n_pairs, COUNT(*) FILTER (s.s_suppk
        MIN(s.s_suppkey + p.p_partkey) AS least_sum, MAX(p.p_retailprice) AS max_price
 FROM supplier s CROSS JOIN part p GROUP BY 1, 2""")
 def j7_blocked_product(spark, sf):
-    """Every supplier with every part, neither side broadcast."""
+    """Every supplier with every part, neither side broadcast. A nation's
+    suppliers lie side by side in a row of the product, so that every pair is
+    compared but a group is looked up once for many pairs."""
     s, p = table(spark, sf, "supplier").select("s_nationkey", "s_suppkey"), table(spark, sf, "part").select("p_partkey", "p_brand", "p_retailprice")
-    return J.cross_product(s, p, max_bytes=0).groupBy("s_nationkey", "p_brand").agg(
-        F.count(F.lit(1)).alias("n_pairs"), F.count_if(F.col("s_suppkey") < F.col("p_partkey")).alias("n_below"),
-        F.min(F.col("s_suppkey") + F.col("p_partkey")).alias("least_sum"), F.max("p_retailprice").alias("max_price"))
+    side = [F.col(f"s_suppkey_{i}") for i in range(J.PACK_WIDTH)]
+    below = [F.when(k < F.col("p_partkey"), 1).otherwise(0) for k in side]
+    return J.cross_product(J.packed(s, "s_nationkey", "s_suppkey"), p, max_bytes=0).groupBy("s_nationkey", "p_brand").agg(
+        F.sum("_n").alias("n_pairs"), F.sum(sum(below[1:], below[0])).alias("n_below"),
+        F.min(F.least(*[k + F.col("p_partkey") for k in side])).alias("least_sum"), F.max("p_retailprice").alias("max_price"))
 
 
 @register("j9_join_different_keys", f"""

@@ -55,6 +55,39 @@ def test_cross_product_of_small_and_large_sides(spark, emp, dept):
     assert J.cross_product(emp.where("false"), dept, max_bytes=0).count() == 0
 
 
+def test_product_tasks_follow_its_cells(spark):
+    # 64 cells of few bytes: tasks sized by bytes would be one
+    got = J.blocked_product(spark.range(400), spark.range(400).toDF("b"), block=50)
+    per = [r["rows"] for r in L.partition_sizes(got).collect()]
+    assert sum(per) == 160_000 and len(per) > 4
+
+
+def test_packed_rows_keep_every_value(spark):
+    vals = [(k, v) for k in ("a", "b", None) for v in (*range(5), 3, None)]
+    df = spark.createDataFrame(vals, "k string, v long")
+    got = J.packed(df, "k", "v", width=3)
+    assert got.columns == ["k", "_n", "v_0", "v_1", "v_2"]
+    back = [(r[0], v) for r in got.collect() for v in r[2:2 + r[1]]]
+    assert sorted(back, key=repr) == sorted(vals, key=repr)
+    assert {r[1] for r in got.collect()} <= {1, 2, 3} and got.where("_n < 3 and v_2 is not null").count() == 0
+    assert J.packed(df.coalesce(1), "k", "v", width=3).count() == 9  # seven values a key: 3, 3 and 1
+    assert J.packed(df.where("false"), "k", "v").count() == 0
+
+
+def test_blocked_product_report_on_nulls_and_copies(spark, tmp_dir):
+    from lakeloom.plans import joins_aggs
+    s = spark.createDataFrame([(n, k) for n in (1, 2, None) for k in (*range(1, 41), 7, 7, None)] + [(3, None)], "s_nationkey int, s_suppkey long")
+    p = spark.createDataFrame([(k, b, w) for k in (5, 20, 20, 50, None) for b, w in (("x", 1.5), ("y", None), (None, 2.0))] + [(None, "z", None)],
+                              "p_partkey long, p_brand string, p_retailprice double")
+    s.write.parquet(f"{tmp_dir}/supplier.parquet"), p.write.parquet(f"{tmp_dir}/part.parquet")
+    want = s.crossJoin(p).groupBy("s_nationkey", "p_brand").agg(
+        F.count(F.lit(1)).alias("n_pairs"), F.count_if(F.col("s_suppkey") < F.col("p_partkey")).alias("n_below"),
+        F.min(F.col("s_suppkey") + F.col("p_partkey")).alias("least_sum"), F.max("p_retailprice").alias("max_price"))
+    got = joins_aggs.j7_blocked_product(spark, tmp_dir)
+    assert got.dtypes == want.dtypes
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+
+
 def test_star_join_prefixes_duplicates(spark):
     f = spark.createDataFrame([(1, 2, "f")], "a long, b long, name string")
     d1 = spark.createDataFrame([(1, "d1")], "a long, name string")

@@ -332,8 +332,14 @@ def r7_row_wise_expression(spark, sf):
 
 
 # ---------------------------------------------------------------- layout (data unchanged)
-@register("l1_l2_repartition_coalesce", "SELECT 16 AS dealt, 4 AS coalesced, COUNT(*) AS n_rows, SUM(l_linenumber) AS lines, true AS keys_together FROM lineitem")
+@register("l1_l2_repartition_coalesce", "SELECT * FROM lineitem")
 def l1_l2_repartition_coalesce(spark, sf):
+    """Hash repartition by key, then coalesce: every row with all its columns."""
+    return L.coalesce_to(L.repartition_by(table(spark, sf, "lineitem"), 16, ["l_orderkey"]), 4)
+
+
+@register("l1_l2_partition_evidence", "SELECT 16 AS dealt, 4 AS coalesced, COUNT(*) AS n_rows, SUM(l_linenumber) AS lines, true AS keys_together FROM lineitem")
+def l1_l2_partition_evidence(spark, sf):
     """Hash repartition by key, then coalesce: how many partitions there are
     (counted from the rows), that no key is in two of them, and all rows."""
     dealt = L.repartition_by(table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber"), 16, ["l_orderkey"])

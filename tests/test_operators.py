@@ -297,6 +297,18 @@ def test_layout(spark, tmp_dir):
     assert res["before_sec"] > 0
 
 
+def test_repartition_coalesce_report_returns_whole_rows(spark, tmp_dir):
+    from lakeloom.plans import profiling
+    df = spark.createDataFrame([(k if k % 9 else None, k % 4, float(k), f"f{k}") for k in (*range(300), *range(50))],
+                               "l_orderkey long, l_linenumber int, l_tax double, l_returnflag string")
+    df.write.parquet(f"{tmp_dir}/lineitem.parquet")
+    got = profiling.l1_l2_repartition_coalesce(spark, tmp_dir)
+    assert got.dtypes == df.dtypes and sorted(map(repr, got.collect())) == sorted(map(repr, df.collect()))
+    assert L.partition_count(got) == 4
+    places = got.select("l_orderkey", F.spark_partition_id().alias("p")).distinct()
+    assert places.count() == df.select("l_orderkey").distinct().count()
+
+
 def test_ordering(spark):
     df = spark.createDataFrame([(1, None), (2, 5.0), (3, 7.0)], "id int, v double")
     assert [r.id for r in O.sort(df, [("v", "desc")]).collect()] == [3, 2, 1]
